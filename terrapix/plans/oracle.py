@@ -51,3 +51,60 @@ ORACLE: dict[str, str] = {}
 ORACLE["ndvi_confusion"] = with_(PIXELS, FEATURES) + """
 SELECT CAST(label AS DOUBLE) AS label, prediction, count(*) AS count
 FROM predictions GROUP BY 1, 2"""
+
+ORACLE["spectral_indices"] = with_(PIXELS, FEATURES) + "SELECT * FROM indexed"
+
+RAW_EPS = """raw_eps AS (
+ SELECT patch_id, pixel_idx,
+  (CAST(band_2 AS DOUBLE) - CAST(band_4 AS DOUBLE)) / (CAST(band_2 AS DOUBLE) + CAST(band_4 AS DOUBLE) + 1e-8) AS ndvi_raw,
+  (CAST(band_1 AS DOUBLE) - CAST(band_8 AS DOUBLE)) / (CAST(band_1 AS DOUBLE) + CAST(band_8 AS DOUBLE) + 1e-8) AS ndwi_raw
+ FROM pixels)"""
+
+ORACLE["raw_eps_indices"] = with_(PIXELS, RAW_EPS) + "SELECT * FROM raw_eps"
+
+ORACLE["class_share"] = with_(PIXELS) + """
+SELECT count(*) AS n_rows, count_if(label = 1) AS n_crop,
+ round(CAST(count_if(label = 1) AS DOUBLE) / CAST(count(*) AS DOUBLE) * 100.0, 6) AS crop_pct,
+ round(avg(CAST(label AS DOUBLE)), 6) AS label_mean
+FROM pixels"""
+
+ORACLE["class_counts"] = with_(PIXELS) + """
+SELECT label, n, round(n * 100.0::DOUBLE / sum(n) OVER (), 6) AS pct,
+ CASE label WHEN 0 THEN 'Non-Crop' WHEN 1 THEN 'Crop' END AS label_name
+FROM (SELECT label, count(*) AS n FROM pixels GROUP BY label)"""
+
+ORACLE["profile_bands"] = with_(PIXELS, """long AS (
+ SELECT band, CAST(value AS DOUBLE) AS value FROM (UNPIVOT (SELECT band_1, band_2, band_4, band_8 FROM pixels)
+ ON band_1, band_2, band_4, band_8 INTO NAME band VALUE value) WHERE value IS NOT NULL)""") + """
+SELECT band, count(value) AS count, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS std,
+ min(value) AS min, round(quantile_cont(value, 0.25), 6) AS q25, round(quantile_cont(value, 0.5), 6) AS q50,
+ round(quantile_cont(value, 0.75), 6) AS q75, max(value) AS max
+FROM long GROUP BY band"""
+
+ORACLE["describe_features"] = with_(PIXELS, FEATURES, """long AS (
+ SELECT feature, CAST(value AS DOUBLE) AS value FROM (UNPIVOT (SELECT red_b4, nir_b8, swir_b11, ndvi, ndwi, ndmi,
+  CAST(label AS DOUBLE) AS label FROM indexed)
+ ON red_b4, nir_b8, swir_b11, ndvi, ndwi, ndmi, label INTO NAME feature VALUE value)
+ WHERE value IS NOT NULL AND NOT isnan(value))""") + """
+SELECT feature, count(value) AS count, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS stddev,
+ min(value) AS min, max(value) AS max
+FROM long GROUP BY feature"""
+
+ORACLE["index_range"] = with_(PIXELS, RAW_EPS) + """
+SELECT min(ndvi_raw) AS ndvi_raw_min, max(ndvi_raw) AS ndvi_raw_max,
+ min(ndwi_raw) AS ndwi_raw_min, max(ndwi_raw) AS ndwi_raw_max FROM raw_eps"""
+
+ORACLE["ndvi_histogram"] = with_(PIXELS, FEATURES, """b AS (SELECT min(ndvi) AS lo, max(ndvi) AS hi,
+ (max(ndvi) - min(ndvi)) / 50.0::DOUBLE AS width FROM valid)""") + """
+SELECT CAST(label AS DOUBLE) AS label, bin, count(*) AS count, round(any_value(lo) + bin * any_value(width), 6) AS bin_lo
+FROM (SELECT label, ndvi, lo, width,
+        CAST(LEAST(floor((ndvi - lo) / width), 49) AS INTEGER) AS bin FROM valid, b)
+GROUP BY 1, 2"""
+
+ORACLE["ndvi_red_density"] = with_(PIXELS, FEATURES, """b AS (SELECT min(red_b4) AS xlo,
+ (max(red_b4) - min(red_b4)) / 20.0::DOUBLE AS xw, min(ndvi) AS ylo, (max(ndvi) - min(ndvi)) / 20.0::DOUBLE AS yw
+ FROM valid)""") + """
+SELECT CAST(label AS DOUBLE) AS label,
+ CAST(LEAST(floor((red_b4 - xlo) / xw), 19) AS INTEGER) AS x_bin,
+ CAST(LEAST(floor((ndvi - ylo) / yw), 19) AS INTEGER) AS y_bin, count(*) AS count
+FROM valid, b GROUP BY 1, 2, 3"""

@@ -45,3 +45,67 @@ def q_ndvi_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """pixels -> label filter -> reflectance -> NDVI -> drop invalid ->
     threshold prediction -> confusion matrix."""
     return metrics.confusion_long(threshold_predictions(spark, sf_dir))
+
+
+# --- step 2: features and profiles -------------------------------------------
+
+from terrapix.operators import profile  # noqa: E402
+
+BAND_COLS = ["band_1", "band_2", "band_4", "band_8"]
+
+
+@register("spectral_indices")
+def q_spectral_indices(spark, sf_dir):
+    """Reflectance bands, float label, guarded NDVI/NDWI/NDMI."""
+    return features_v2(spark, sf_dir)
+
+
+@register("raw_eps_indices")
+def q_raw_eps_indices(spark, sf_dir):
+    """Epsilon-form indices on raw digital numbers."""
+    return feat.raw_eps_indices(derived.pixels(spark, sf_dir))
+
+
+@register("class_share")
+def q_class_share(spark, sf_dir):
+    """total rows, crop rows and share, label mean in one pass."""
+    return profile.class_share(derived.pixels(spark, sf_dir))
+
+
+@register("class_counts")
+def q_class_counts(spark, sf_dir):
+    """Rows per label with share and name."""
+    return profile.class_counts(derived.pixels(spark, sf_dir))
+
+
+@register("profile_bands")
+def q_profile_bands(spark, sf_dir):
+    """count/mean/std/min/quartiles/max per band, exact quantiles."""
+    return profile.profile_columns(derived.pixels(spark, sf_dir), BAND_COLS)
+
+
+@register("describe_features")
+def q_describe_features(spark, sf_dir):
+    """typed describe() of the notebook's feature table."""
+    return profile.describe_columns(
+        features_v2(spark, sf_dir), ["red_b4", "nir_b8", "swir_b11", "ndvi", "ndwi", "ndmi", "label"])
+
+
+@register("index_range")
+def q_index_range(spark, sf_dir):
+    """F8: min/max of the raw-epsilon indices."""
+    return profile.value_range(q_raw_eps_indices(spark, sf_dir), ["ndvi_raw", "ndwi_raw"])
+
+
+@register("ndvi_histogram")
+def q_ndvi_histogram(spark, sf_dir):
+    """50 common equal-width NDVI bins per class, full data."""
+    f = feat.drop_invalid(features_v2(spark, sf_dir), feat.FEATURES_V1)
+    return profile.histogram(f, "ndvi", "label", 50)
+
+
+@register("ndvi_red_density")
+def q_ndvi_red_density(spark, sf_dir):
+    """red x NDVI 20x20 density per class, full data."""
+    f = feat.drop_invalid(features_v2(spark, sf_dir), feat.FEATURES_V1)
+    return profile.density_2d(f, "red_b4", "ndvi", "label", 20)
