@@ -88,3 +88,51 @@ def auc_rank(pred: DataFrame, label: str = "label", score: str = "score",
     return cum.agg(
         (F.sum(contrib) / (F.sum("pos").cast("double") * F.sum("neg").cast("double"))).alias("auc"),
         F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
+
+
+def standardize_fit(df: DataFrame, cols: list[str]) -> dict[str, tuple[float, float]]:
+    """Mean and sample standard deviation per column in one pass."""
+    aggs = []
+    for c in cols:
+        aggs += [F.avg(c).alias(f"{c}__m"), F.stddev_samp(c).alias(f"{c}__s")]
+    r = df.agg(*aggs).first()
+    return {c: (r[f"{c}__m"], r[f"{c}__s"]) for c in cols}
+
+
+def standardize(df: DataFrame, cols: list[str], stats: dict | None = None, suffix: str = "_z") -> DataFrame:
+    """(x - mean) / std with a constant column mapped to 0 (K2)."""
+    stats = stats or standardize_fit(df, cols)
+    new = {}
+    for c in cols:
+        m, s = stats[c]
+        if m is None or s is None or s == 0:
+            new[f"{c}{suffix}"] = F.when(F.col(c).isNotNull(), F.lit(0.0))
+        else:
+            new[f"{c}{suffix}"] = (F.col(c) - F.lit(m)) / F.lit(s)
+    return df.withColumns(new)
+
+
+def class_weights(df: DataFrame, label: str = "label", threshold: float = 5.0,
+                  positive=1, negative=0) -> DataFrame:
+    """Per class: rows, positive/negative ratio, imbalance flag and advised
+    weight {negative: ratio, positive: 1} when the ratio exceeds the
+    threshold, else 1 for both (B22). One aggregation, <= #classes rows."""
+    per = df.groupBy(F.col(label).cast("bigint").alias("label")).agg(F.count(F.lit(1)).alias("n"))
+    tot = per.agg(F.sum(F.when(F.col("label") == positive, F.col("n")).otherwise(0)).alias("p"),
+                  F.sum(F.when(F.col("label") == negative, F.col("n")).otherwise(0)).alias("q")).first()
+    ratio = (tot["p"] / tot["q"]) if tot["q"] else None
+    imbalanced = ratio is not None and ratio > threshold
+    w = (F.when(F.col("label") == negative, F.lit(float(ratio))).otherwise(F.lit(1.0))
+         if imbalanced else F.lit(1.0))
+    return per.select("label", "n",
+                      F.lit(ratio).cast("double").alias("ratio"),
+                      F.lit(imbalanced).alias("imbalanced"), w.alias("weight"))
+
+
+def with_weight(df: DataFrame, weights: DataFrame, label: str = "label", name: str = "weight") -> DataFrame:
+    """Attach the per-class weight column for a weighted fit (K8).
+
+    ``weights`` has one row per class, so it is broadcast."""
+    w = weights.select(F.col("label").alias("_wl"), F.col("weight").alias(name))
+    return (df.join(F.broadcast(w), F.col(label).cast("bigint") == F.col("_wl"), "left")
+            .drop("_wl").fillna(1.0, subset=[name]))

@@ -43,7 +43,7 @@ def with_(*ctes: str) -> str:
 def u_sql(parts: list[str], salt: str) -> str:
     """DuckDB form of terrapix.functions.hashing.uniform."""
     args = ", ".join([f"CAST({p} AS VARCHAR)" for p in parts] + [f"'{salt}'"])
-    return f"(CAST(('0x' || substr(md5(concat_ws('|', {args})), 1, 8)) AS BIGINT) / 4294967296.0)"
+    return f"(CAST(('0x' || substr(md5(concat_ws('|', {args})), 1, 8)) AS BIGINT) / 4294967296.0::DOUBLE)"
 
 
 ORACLE: dict[str, str] = {}
@@ -108,3 +108,87 @@ SELECT CAST(label AS DOUBLE) AS label,
  CAST(LEAST(floor((red_b4 - xlo) / xw), 19) AS INTEGER) AS x_bin,
  CAST(LEAST(floor((ndvi - ylo) / yw), 19) AS INTEGER) AS y_bin, count(*) AS count
 FROM valid, b GROUP BY 1, 2, 3"""
+
+STRAT = f"""strat AS (
+ SELECT patch_id, pixel_idx, red_b4, nir_b8, swir_b11, green_b3, label, ndvi FROM indexed
+ WHERE {u_sql(['patch_id', 'pixel_idx'], '42')} <
+   CASE WHEN label = 1 THEN 0.1::DOUBLE WHEN label = 0 THEN 0.025::DOUBLE ELSE 0.0::DOUBLE END)"""
+
+ORACLE["stratified_sample"] = with_(PIXELS, FEATURES, STRAT) + "SELECT * FROM strat"
+
+ORACLE["sample_n"] = with_(PIXELS, FEATURES, STRAT) + f"""
+SELECT s.* FROM strat s, (SELECT count(*) AS c FROM strat) k
+WHERE {u_sql(['s.patch_id', 's.pixel_idx'], 'n42')} < LEAST(1.0::DOUBLE, 1000.0::DOUBLE / k.c)"""
+
+ORACLE["exact_sample"] = with_(PIXELS, FEATURES) + f"""
+SELECT patch_id, pixel_idx, red_b4, nir_b8, swir_b11, green_b3, label, ndvi FROM valid
+ORDER BY {u_sql(['patch_id', 'pixel_idx'], 'x42')}, patch_id, pixel_idx LIMIT 20000"""
+
+ORACLE["hash_split"] = with_(PIXELS, FEATURES, STRAT) + f"""
+SELECT *, CASE WHEN {u_sql(['patch_id', 'pixel_idx'], 'split42')} < 0.8::DOUBLE THEN 'train' ELSE 'test' END AS split
+FROM strat"""
+
+ORACLE["balance_split"] = with_(PIXELS, FEATURES, f"""counts AS (SELECT label, count(*) AS n FROM valid GROUP BY label),
+fr AS (SELECT label, LEAST(1.0::DOUBLE, CAST((SELECT min(n) FROM counts) AS DOUBLE) / CAST(n AS DOUBLE)) AS f FROM counts),
+bal AS (SELECT v.* FROM valid v JOIN fr USING (label) WHERE {u_sql(['patch_id', 'pixel_idx'], '42')} < fr.f),
+tagged AS (SELECT *, CASE WHEN {u_sql(['patch_id', 'pixel_idx'], 'split42')} < 0.8::DOUBLE THEN 'train' ELSE 'test' END AS split
+ FROM bal)""") + """
+SELECT split, CAST(label AS DOUBLE) AS label, count(*) AS n FROM tagged GROUP BY 1, 2
+UNION ALL
+SELECT 'overlap' AS split, -1.0::DOUBLE AS label, count(*) AS n
+FROM (SELECT patch_id, pixel_idx FROM tagged WHERE split = 'train') a
+JOIN (SELECT patch_id, pixel_idx FROM tagged WHERE split = 'test') b USING (patch_id, pixel_idx)"""
+
+ORACLE["confusion_wide"] = with_(PIXELS, FEATURES) + """
+SELECT CAST(label AS DOUBLE) AS label, count_if(prediction = 0) AS pred_0, count_if(prediction = 1) AS pred_1
+FROM predictions GROUP BY 1"""
+
+ORACLE["auc_rank"] = with_(PIXELS, FEATURES, """per AS (
+ SELECT score AS s, CAST(sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS BIGINT) AS pos,
+  CAST(sum(CASE WHEN label = 1 THEN 0 ELSE 1 END) AS BIGINT) AS neg
+ FROM predictions WHERE score IS NOT NULL GROUP BY score),
+cum AS (SELECT *, sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_neg FROM per)""") + """
+SELECT round(sum(pos * (cum_neg - neg + neg / 2.0::DOUBLE)) / (CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE)), 6) AS auc,
+ CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg
+FROM cum"""
+
+REPORT = """conf AS (SELECT CAST(label AS DOUBLE) AS label, prediction, count(*) AS cnt FROM predictions GROUP BY 1, 2),
+pc AS (
+ SELECT s.cls, s.support, coalesce(p.predicted, 0) AS predicted, coalesce(t.tp, 0) AS tp
+ FROM (SELECT label AS cls, sum(cnt) AS support FROM conf GROUP BY 1) s
+ LEFT JOIN (SELECT prediction AS cls, sum(cnt) AS predicted FROM conf GROUP BY 1) p USING (cls)
+ LEFT JOIN (SELECT label AS cls, cnt AS tp FROM conf WHERE label = prediction) t USING (cls)),
+pm AS (SELECT *, CASE WHEN predicted > 0 THEN tp / predicted ELSE 0.0::DOUBLE END AS precision,
+  CASE WHEN support > 0 THEN tp / support ELSE 0.0::DOUBLE END AS recall FROM pc),
+pf AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall)
+  ELSE 0.0::DOUBLE END AS f1 FROM pm),
+report AS (
+ SELECT sum(tp) / sum(support) AS accuracy,
+  max(CASE WHEN cls = 1 THEN precision END) AS precision_pos, max(CASE WHEN cls = 1 THEN recall END) AS recall_pos,
+  sum(precision * support) / sum(support) AS weighted_precision, sum(recall * support) / sum(support) AS weighted_recall,
+  sum(f1 * support) / sum(support) AS f1_weighted
+ FROM pf)"""
+
+ORACLE["f1_weighted"] = with_(PIXELS, FEATURES, REPORT) + "SELECT round(f1_weighted, 6) AS f1_weighted FROM report"
+
+ORACLE["accuracy_pr"] = with_(PIXELS, FEATURES, REPORT) + """
+SELECT round(accuracy, 6) AS accuracy, round(precision_pos, 6) AS precision_pos, round(recall_pos, 6) AS recall_pos,
+ round(weighted_precision, 6) AS weighted_precision, round(weighted_recall, 6) AS weighted_recall,
+ round(f1_weighted, 6) AS f1_weighted FROM report"""
+
+ORACLE["standardize"] = with_(PIXELS, FEATURES, STRAT, """b AS (
+ SELECT * FROM strat WHERE red_b4 IS NOT NULL AND nir_b8 IS NOT NULL AND swir_b11 IS NOT NULL AND ndvi IS NOT NULL
+  AND NOT isnan(red_b4) AND NOT isnan(nir_b8) AND NOT isnan(swir_b11) AND NOT isnan(ndvi)),
+st AS (SELECT avg(red_b4) AS mr, stddev_samp(red_b4) AS sr, avg(nir_b8) AS mn, stddev_samp(nir_b8) AS sn,
+  avg(swir_b11) AS ms, stddev_samp(swir_b11) AS ss, avg(ndvi) AS mv, stddev_samp(ndvi) AS sv FROM b)""") + """
+SELECT patch_id, pixel_idx, CAST(label AS DOUBLE) AS label,
+ round((red_b4 - mr) / sr, 6) AS red_b4_z, round((nir_b8 - mn) / sn, 6) AS nir_b8_z,
+ round((swir_b11 - ms) / ss, 6) AS swir_b11_z, round((ndvi - mv) / sv, 6) AS ndvi_z
+FROM b, st"""
+
+ORACLE["class_weight"] = with_(PIXELS, """per AS (SELECT label, count(*) AS n FROM pixels WHERE label IN (0, 1) GROUP BY label),
+r AS (SELECT CAST(sum(CASE WHEN label = 1 THEN n ELSE 0 END) AS DOUBLE)
+  / CAST(sum(CASE WHEN label = 0 THEN n ELSE 0 END) AS DOUBLE) AS ratio FROM per)""") + """
+SELECT label, n, ratio, ratio > 5 AS imbalanced,
+ CASE WHEN ratio > 5 AND label = 0 THEN ratio ELSE 1.0::DOUBLE END AS weight
+FROM per, r"""

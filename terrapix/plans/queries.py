@@ -109,3 +109,105 @@ def q_ndvi_red_density(spark, sf_dir):
     """red x NDVI 20x20 density per class, full data."""
     f = feat.drop_invalid(features_v2(spark, sf_dir), feat.FEATURES_V1)
     return profile.density_2d(f, "red_b4", "ndvi", "label", 20)
+
+
+# --- step 3: sampling ----------------------------------------------------------
+
+from terrapix.operators import sampling  # noqa: E402
+
+KEY = ["patch_id", "pixel_idx"]
+
+
+def features_v1(spark, sf_dir):
+    return feat.pixel_features(derived.pixels(spark, sf_dir), indices=("ndvi",), keep=tuple(KEY))
+
+
+def balanced(spark, sf_dir):
+    """J1 with the trainer's fractions {crop: 0.1, non-crop: 0.025}, seed 42."""
+    return sampling.stratified_sample(features_v1(spark, sf_dir), {1: 0.1, 0: 0.025}, seed=42)
+
+
+@register("stratified_sample")
+def q_stratified_sample(spark, sf_dir):
+    """Per-class hash sample in one scan."""
+    return balanced(spark, sf_dir)
+
+
+@register("sample_n")
+def q_sample_n(spark, sf_dir):
+    """About n rows of the balanced set (fraction = n / count)."""
+    return sampling.sample_n(balanced(spark, sf_dir), 1000, seed=42)
+
+
+@register("exact_sample")
+def q_exact_sample(spark, sf_dir):
+    """Exactly 20,000 valid feature rows (smallest hash numbers)."""
+    f = feat.drop_invalid(features_v1(spark, sf_dir), feat.FEATURES_V1)
+    return sampling.exact_sample(f, 20000, seed=42)
+
+
+@register("hash_split")
+def q_hash_split(spark, sf_dir):
+    """80/20 split of the balanced set, tagged per row."""
+    return sampling.split_column(balanced(spark, sf_dir), 0.8, seed=42)
+
+
+@register("balance_split")
+def q_balance_split(spark, sf_dir):
+    """Minority class whole, majority sampled to match, 80/20 per class;
+    plus the train/test overlap (0 by construction)."""
+    f = feat.drop_invalid(features_v1(spark, sf_dir), feat.FEATURES_V1)
+    train, test = sampling.balance_split(f, seed=42, train_fraction=0.8)
+    counts = (train.withColumn("split", F.lit("train"))
+              .unionByName(test.withColumn("split", F.lit("test")))
+              .groupBy("split", F.col("label").cast("double").alias("label"))
+              .agg(F.count(F.lit(1)).alias("n")))
+    leak = (train.select(*KEY).join(test.select(*KEY), KEY, "inner")
+            .agg(F.count(F.lit(1)).alias("n"))
+            .select(F.lit("overlap").alias("split"), F.lit(-1.0).alias("label"), "n"))
+    return counts.unionByName(leak)
+
+
+# --- step 4: metrics -------------------------------------------------------------
+
+@register("confusion_wide")
+def q_confusion_wide(spark, sf_dir):
+    """label x predicted-class counts."""
+    return metrics.confusion_wide(threshold_predictions(spark, sf_dir))
+
+
+@register("auc_rank")
+def q_auc_rank(spark, sf_dir):
+    """exact ROC AUC of the NDVI score (rank statistic, ties 1/2)."""
+    a = metrics.auc_rank(threshold_predictions(spark, sf_dir), "label", "score")
+    return a.select(F.round("auc", 6).alias("auc"), "n_pos", "n_neg")
+
+
+@register("f1_weighted")
+def q_f1_weighted(spark, sf_dir):
+    """F16: support-weighted F1 of the threshold classifier."""
+    return metrics.f1_weighted(threshold_predictions(spark, sf_dir)).select(
+        F.round("f1_weighted", 6).alias("f1_weighted"))
+
+
+@register("accuracy_pr")
+def q_accuracy_pr(spark, sf_dir):
+    """accuracy, positive-class and weighted precision/recall, weighted F1."""
+    r = metrics.classification_report(threshold_predictions(spark, sf_dir))
+    return r.select(*[F.round(c, 6).alias(c) for c in r.columns])
+
+
+@register("standardize")
+def q_standardize(spark, sf_dir):
+    """Z-scores of the balanced features (mean, sample std)."""
+    b = feat.drop_invalid(balanced(spark, sf_dir), feat.FEATURES_V1)
+    z = metrics.standardize(b, list(feat.FEATURES_V1))
+    return z.select(*KEY, F.col("label").cast("double").alias("label"),
+                    *[F.round(f"{c}_z", 6).alias(f"{c}_z") for c in feat.FEATURES_V1])
+
+
+@register("class_weight")
+def q_class_weight(spark, sf_dir):
+    """Imbalance ratio and advised class weights over pixel labels 0/1."""
+    px = derived.pixels(spark, sf_dir).where(F.col("label").isin(0, 1))
+    return metrics.class_weights(px)
