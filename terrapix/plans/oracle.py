@@ -63,8 +63,8 @@ RAW_EPS = """raw_eps AS (
 ORACLE["raw_eps_indices"] = with_(PIXELS, RAW_EPS) + "SELECT * FROM raw_eps"
 
 ORACLE["class_share"] = with_(PIXELS) + """
-SELECT count(*) AS n_rows, count_if(label = 1) AS n_crop,
- round(CAST(count_if(label = 1) AS DOUBLE) / CAST(count(*) AS DOUBLE) * 100.0, 6) AS crop_pct,
+SELECT count(*) AS n_rows, count(*) FILTER (WHERE label = 1) AS n_crop,
+ round(CAST(count(*) FILTER (WHERE label = 1) AS DOUBLE) / CAST(count(*) AS DOUBLE) * 100.0, 6) AS crop_pct,
  round(avg(CAST(label AS DOUBLE)), 6) AS label_mean
 FROM pixels"""
 
@@ -140,7 +140,7 @@ FROM (SELECT patch_id, pixel_idx FROM tagged WHERE split = 'train') a
 JOIN (SELECT patch_id, pixel_idx FROM tagged WHERE split = 'test') b USING (patch_id, pixel_idx)"""
 
 ORACLE["confusion_wide"] = with_(PIXELS, FEATURES) + """
-SELECT CAST(label AS DOUBLE) AS label, count_if(prediction = 0) AS pred_0, count_if(prediction = 1) AS pred_1
+SELECT CAST(label AS DOUBLE) AS label, count(*) FILTER (WHERE prediction = 0) AS pred_0, count(*) FILTER (WHERE prediction = 1) AS pred_1
 FROM predictions GROUP BY 1"""
 
 ORACLE["auc_rank"] = with_(PIXELS, FEATURES, """per AS (
@@ -192,3 +192,47 @@ r AS (SELECT CAST(sum(CASE WHEN label = 1 THEN n ELSE 0 END) AS DOUBLE)
 SELECT label, n, ratio, ratio > 5 AS imbalanced,
  CASE WHEN ratio > 5 AND label = 0 THEN ratio ELSE 1.0::DOUBLE END AS weight
 FROM per, r"""
+
+PARCELS = """parcels AS (
+ SELECT o_orderkey AS parcel_id, o_orderpriority AS ec_hcat_n,
+  CAST((o_orderkey * 37) % 2000 AS DOUBLE) AS xmin, CAST((o_orderkey * 91 + o_custkey * 13) % 1500 AS DOUBLE) AS ymin,
+  CAST((o_orderkey * 37) % 2000 + 1 + o_custkey % 30 AS DOUBLE) AS xmax,
+  CAST((o_orderkey * 91 + o_custkey * 13) % 1500 + 1 + o_orderkey % 20 AS DOUBLE) AS ymax
+ FROM orders),
+class_map AS (SELECT * FROM (VALUES ('1-URGENT', 1), ('2-HIGH', 1), ('3-MEDIUM', 1), ('4-NOT SPECIFIED', 0))
+ AS t(ec_hcat_n, binary_id)),
+looked AS (SELECT p.*, c.binary_id FROM parcels p LEFT JOIN class_map c USING (ec_hcat_n)),
+ext AS (SELECT min(xmin) AS x0, min(ymin) AS y0, max(xmax) AS x1, max(ymax) AS y1,
+  CAST(ceil((max(xmax) - min(xmin)) / 20.0::DOUBLE) AS BIGINT) AS nx,
+  CAST(ceil((max(ymax) - min(ymin)) / 20.0::DOUBLE) AS BIGINT) AS ny FROM parcels),
+cells AS (
+ SELECT i, j, x0 + i * 20.0::DOUBLE AS xmin, y0 + j * 20.0::DOUBLE AS ymin,
+  x0 + i * 20.0::DOUBLE + 20.0::DOUBLE AS xmax, y0 + j * 20.0::DOUBLE + 20.0::DOUBLE AS ymax
+ FROM (SELECT x0, y0, unnest(range(0, nx)) AS i, ny FROM ext) a, LATERAL (SELECT unnest(range(0, a.ny)) AS j) b),
+pairs AS (
+ SELECT c.i, c.j, p.parcel_id, p.binary_id FROM cells c JOIN looked p
+ ON p.xmin <= c.xmax AND p.xmax >= c.xmin AND p.ymin <= c.ymax AND p.ymax >= c.ymin),
+counts AS (
+ SELECT i, j, count(*) AS n_raw, count(binary_id) AS n_mapped, count(*) FILTER (WHERE binary_id = 1) AS crop,
+  count(*) FILTER (WHERE binary_id = 0) AS non_crop FROM pairs GROUP BY i, j),
+tasks AS (
+ SELECT row_number() OVER (ORDER BY c.i, c.j) - 1 AS task_id, c.i, c.j, g.xmin, g.ymin, g.xmax, g.ymax,
+  c.n_mapped AS polygon_count, c.crop, c.non_crop, c.n_raw
+ FROM counts c JOIN cells g USING (i, j) WHERE c.n_raw >= 3 AND c.n_mapped > 0)"""
+
+ORACLE["extent"] = with_(PARCELS) + "SELECT x0 AS xmin, y0 AS ymin, x1 AS xmax, y1 AS ymax, nx, ny FROM ext"
+ORACLE["class_lookup"] = with_(PARCELS) + "SELECT parcel_id, ec_hcat_n, binary_id FROM looked"
+ORACLE["grid_cells"] = with_(PARCELS) + "SELECT * FROM cells"
+ORACLE["cell_parcels"] = with_(PARCELS) + "SELECT * FROM pairs"
+ORACLE["cell_counts"] = with_(PARCELS) + "SELECT * FROM counts"
+ORACLE["tasks"] = with_(PARCELS) + "SELECT * FROM tasks"
+ORACLE["dataset_stats"] = with_(PARCELS) + """
+SELECT count(*) AS n_tasks, (SELECT nx * ny FROM ext) AS n_cells, CAST(sum(polygon_count) AS BIGINT) AS total_polygons,
+ CAST(sum(crop) AS BIGINT) AS crop, CAST(sum(non_crop) AS BIGINT) AS non_crop,
+ round(CAST(sum(crop) AS DOUBLE) / CAST(sum(crop) + sum(non_crop) AS DOUBLE) * 100.0, 6) AS crop_pct,
+ round(CAST(sum(non_crop) AS DOUBLE) / CAST(sum(crop) + sum(non_crop) AS DOUBLE) * 100.0, 6) AS non_crop_pct,
+ round(CAST(sum(crop) AS DOUBLE) / CAST(sum(non_crop) AS DOUBLE), 6) AS ratio,
+ CAST(sum(crop) AS DOUBLE) / CAST(sum(non_crop) AS DOUBLE) > 5 AS imbalanced,
+ (SELECT count(DISTINCT p.parcel_id) FROM pairs p JOIN tasks t USING (i, j) WHERE p.binary_id IS NOT NULL)
+   AS distinct_polygons
+FROM tasks"""

@@ -211,3 +211,68 @@ def q_class_weight(spark, sf_dir):
     """Imbalance ratio and advised class weights over pixel labels 0/1."""
     px = derived.pixels(spark, sf_dir).where(F.col("label").isin(0, 1))
     return metrics.class_weights(px)
+
+
+# --- step 5: grid and tasks ------------------------------------------------------
+
+from terrapix.operators import grid  # noqa: E402
+
+
+def grid_inputs(spark, sf_dir):
+    parcels = derived.parcels(spark, sf_dir, with_rings=False)
+    spec = grid.grid_spec(parcels, derived.FIXTURE_GRID_STEP)
+    looked = grid.class_lookup(parcels, derived.class_map(spark))
+    pairs = grid.cell_parcels(looked, spec)
+    return parcels, spec, pairs
+
+
+@register("extent")
+def q_extent(spark, sf_dir):
+    """Layer bounds and grid size."""
+    parcels = derived.parcels(spark, sf_dir, with_rings=False)
+    spec = grid.grid_spec(parcels, derived.FIXTURE_GRID_STEP)
+    return grid.extent(parcels).select(
+        "*", F.lit(spec.nx).cast("bigint").alias("nx"), F.lit(spec.ny).cast("bigint").alias("ny"))
+
+
+@register("class_lookup")
+def q_class_lookup(spark, sf_dir):
+    """Parcels left-joined with the broadcast class map (null = unmapped)."""
+    parcels = derived.parcels(spark, sf_dir, with_rings=False)
+    return grid.class_lookup(parcels, derived.class_map(spark)).select("parcel_id", "ec_hcat_n", "binary_id")
+
+
+@register("grid_cells")
+def q_grid_cells(spark, sf_dir):
+    """Every grid cell with its bbox."""
+    parcels = derived.parcels(spark, sf_dir, with_rings=False)
+    return grid.grid_cells(spark, grid.grid_spec(parcels, derived.FIXTURE_GRID_STEP))
+
+
+@register("cell_parcels")
+def q_cell_parcels(spark, sf_dir):
+    """Closed-edge range join of parcels to cells."""
+    _, _, pairs = grid_inputs(spark, sf_dir)
+    return pairs.select("i", "j", "parcel_id", "binary_id")
+
+
+@register("cell_counts")
+def q_cell_counts(spark, sf_dir):
+    """raw / mapped / crop / non-crop polygons per non-empty cell."""
+    _, _, pairs = grid_inputs(spark, sf_dir)
+    return grid.cell_counts(pairs)
+
+
+@register("tasks")
+def q_tasks(spark, sf_dir):
+    """Kept cells numbered densely in (i, j) order."""
+    _, spec, pairs = grid_inputs(spark, sf_dir)
+    return grid.make_tasks(grid.cell_counts(pairs), spec)
+
+
+@register("dataset_stats")
+def q_dataset_stats(spark, sf_dir):
+    """Global task statistics (per-cell sums and distinct polygons)."""
+    _, spec, pairs = grid_inputs(spark, sf_dir)
+    tasks = grid.make_tasks(grid.cell_counts(pairs), spec)
+    return grid.dataset_stats(tasks, pairs, spec)
