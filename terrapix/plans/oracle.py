@@ -236,3 +236,111 @@ SELECT count(*) AS n_tasks, (SELECT nx * ny FROM ext) AS n_cells, CAST(sum(polyg
  (SELECT count(DISTINCT p.parcel_id) FROM pairs p JOIN tasks t USING (i, j) WHERE p.binary_id IS NOT NULL)
    AS distinct_polygons
 FROM tasks"""
+
+SCENES = """scenes AS (
+ SELECT event_id AS scene_id, ts AS scene_ts, value / 5.0::DOUBLE AS cloud_cover,
+  CAST((user_id * 53 + event_id * 7) % 2000 - 25 AS DOUBLE) AS xmin, CAST((user_id * 29 + event_id * 11) % 1500 - 25 AS DOUBLE) AS ymin,
+  CAST((user_id * 53 + event_id * 7) % 2000 + 25 AS DOUBLE) AS xmax, CAST((user_id * 29 + event_id * 11) % 1500 + 25 AS DOUBLE) AS ymax
+ FROM events),
+windows AS (SELECT priority, season, CAST(d0 AS TIMESTAMP) AS d0, CAST(d1 AS TIMESTAMP) AS d1, CAST(mc AS DOUBLE) AS max_cloud
+ FROM (VALUES (1, 'peak', '2024-01-10', '2024-01-12', 2), (2, 'early', '2024-01-05', '2024-01-10', 3),
+  (3, 'late', '2024-01-12', '2024-01-16', 4), (4, 'full', '2024-01-01', '2024-01-31', 20)) AS t(priority, season, d0, d1, mc))"""
+
+MATCH_TASKS = """mtasks AS (
+ SELECT o_orderkey AS task_id, CAST((o_orderkey * 37) % 2000 AS DOUBLE) AS xmin, CAST((o_orderkey * 91) % 1500 AS DOUBLE) AS ymin,
+  CAST((o_orderkey * 37) % 2000 + 20 AS DOUBLE) AS xmax, CAST((o_orderkey * 91) % 1500 + 20 AS DOUBLE) AS ymax
+ FROM orders)"""
+
+
+def _match(tasks: str) -> str:
+    return f"""cand AS (
+ SELECT t.task_id, s.scene_id, s.cloud_cover, w.priority, w.season FROM {tasks} t
+ JOIN scenes s ON s.xmin <= t.xmax AND s.xmax >= t.xmin AND s.ymin <= t.ymax AND s.ymax >= t.ymin
+ JOIN windows w ON s.scene_ts >= w.d0 AND s.scene_ts < w.d1 AND s.cloud_cover < w.max_cloud),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY task_id ORDER BY priority, cloud_cover, scene_id) AS rn
+ FROM cand) WHERE rn = 1),
+matched AS (
+ SELECT t.task_id, b.priority, b.cloud_cover, b.scene_id, b.season,
+  CASE WHEN b.scene_id IS NULL THEN 'failed_download' END AS status
+ FROM {tasks} t LEFT JOIN best b USING (task_id))"""
+
+
+ORACLE["match_scenes"] = with_(SCENES, MATCH_TASKS, _match("mtasks")) + "SELECT * FROM matched"
+
+PATCHES = """pat AS (SELECT 'vec_' || CAST(vec_id AS VARCHAR) AS patch_id, embedding AS e FROM embeddings)"""
+
+ORACLE["explode_patches"] = with_(PATCHES) + """
+SELECT patch_id, CAST(p AS BIGINT) AS pixel_idx, CAST(CASE WHEN e[p + 1] > 0 THEN 1 ELSE 0 END AS BIGINT) AS label,
+ CAST(e[p + 1] AS DOUBLE) AS band_0, CAST(e[16 + p + 1] AS DOUBLE) AS band_1,
+ CAST(e[32 + p + 1] AS DOUBLE) AS band_2, CAST(e[48 + p + 1] AS DOUBLE) AS band_3
+FROM pat, (SELECT unnest(range(0, 16)) AS p) r"""
+
+ORACLE["explode_patches_buffer"] = with_(PATCHES) + """
+SELECT patch_id, CAST(p AS BIGINT) AS pixel_idx, CAST(CASE WHEN e[p + 1] > 0 THEN 1 ELSE 0 END AS BIGINT) AS label,
+ CAST(e[p * 4 + 1] AS DOUBLE) AS band_0, CAST(e[p * 4 + 2] AS DOUBLE) AS band_1,
+ CAST(e[p * 4 + 3] AS DOUBLE) AS band_2, CAST(e[p * 4 + 4] AS DOUBLE) AS band_3
+FROM pat, (SELECT unnest(range(0, 16)) AS p) r"""
+
+ORACLE["pack_patches"] = with_(PATCHES) + """
+SELECT patch_id, 4 AS n_bands, 4 AS h, 4 AS w,
+ round(list_reduce(list_transform(range(1, 65), lambda i: CAST(e[i] AS DOUBLE) * i), lambda a, b: a + b, 0.0::DOUBLE), 6) AS checksum,
+ CAST(len(list_filter(e[1:16], lambda x: x > 0)) AS BIGINT) AS mask_ones, true AS same
+FROM pat"""
+
+ORACLE["mask_stats"] = with_(PATCHES) + """
+SELECT patch_id, CAST(len(list_filter(e[1:16], lambda x: x > 0)) AS BIGINT) AS crop_pixels,
+ CAST(len(list_filter(e[1:16], lambda x: NOT (x > 0))) AS BIGINT) AS noncrop_pixels,
+ len(list_filter(e[1:16], lambda x: x > 0)) = 0 AS empty_mask, true AS shape_ok
+FROM pat"""
+
+ORACLE["resample_bilinear"] = with_(PATCHES, """coords AS (
+ SELECT o, o // 6 AS r, o % 6 AS c, (o // 6) * 3.0::DOUBLE / 5.0::DOUBLE AS sr, (o % 6) * 3.0::DOUBLE / 5.0::DOUBLE AS sc
+ FROM (SELECT unnest(range(0, 36)) AS o)),
+idx AS (SELECT o, floor(sr) AS r0, floor(sc) AS c0, LEAST(floor(sr) + 1, 3) AS r1, LEAST(floor(sc) + 1, 3) AS c1,
+ sr - floor(sr) AS fr, sc - floor(sc) AS fc FROM coords)""") + """
+SELECT patch_id, CAST(o AS BIGINT) AS pixel_idx,
+""" + ",\n".join(
+    f""" round((1 - fr) * (1 - fc) * CAST(e[CAST({k * 16} + r0 * 4 + c0 + 1 AS INTEGER)] AS DOUBLE)
+  + (1 - fr) * fc * CAST(e[CAST({k * 16} + r0 * 4 + c1 + 1 AS INTEGER)] AS DOUBLE)
+  + fr * (1 - fc) * CAST(e[CAST({k * 16} + r1 * 4 + c0 + 1 AS INTEGER)] AS DOUBLE)
+  + fr * fc * CAST(e[CAST({k * 16} + r1 * 4 + c1 + 1 AS INTEGER)] AS DOUBLE), 6) AS band_{k}"""
+    for k in range(4)) + "\nFROM pat, idx"
+
+ORACLE["resample_nearest"] = with_(PATCHES, """idx AS (
+ SELECT o, CAST(floor((o // 6) * 3.0::DOUBLE / 5.0::DOUBLE + 0.5) AS INTEGER) AS rr,
+  CAST(floor((o % 6) * 3.0::DOUBLE / 5.0::DOUBLE + 0.5) AS INTEGER) AS cc
+ FROM (SELECT unnest(range(0, 36)) AS o))""") + """
+SELECT patch_id, CAST(o AS BIGINT) AS pixel_idx, CASE WHEN (CASE WHEN e[rr * 4 + cc + 1] > 0 THEN 1 ELSE 0 END) > 0.5
+ THEN 1 ELSE 0 END AS mask
+FROM pat, idx"""
+
+RASTER = """tpairs AS (SELECT t.task_id, p.parcel_id, p.binary_id, l.xmin, l.ymin, l.xmax, l.ymax
+ FROM pairs p JOIN tasks t USING (i, j) JOIN looked l USING (parcel_id) WHERE p.binary_id IS NOT NULL),
+px AS (SELECT t.task_id, r.k AS pixel_idx, t.xmin + (r.k % 20) + 0.5 AS cx, t.ymax - (r.k // 20) - 0.5 AS cy
+ FROM tasks t, (SELECT unnest(range(0, 400)) AS k) r),
+burned AS (
+ SELECT px.task_id, px.pixel_idx, max_by(tp.binary_id, tp.parcel_id) AS mask_class
+ FROM tpairs tp JOIN px ON px.task_id = tp.task_id AND px.cx >= tp.xmin AND px.cx <= tp.xmax
+  AND px.cy >= tp.ymin AND px.cy <= tp.ymax
+ GROUP BY 1, 2),
+masks AS (
+ SELECT t.task_id, coalesce(b.crop, 0) AS crop_pixels, 400 - coalesce(b.crop, 0) AS noncrop_pixels,
+  400 - coalesce(b.crop, 0) - coalesce(b.c0, 0) AS background_pixels, coalesce(b.crop, 0) = 0 AS empty_mask
+ FROM tasks t LEFT JOIN (SELECT task_id, count(*) FILTER (WHERE mask_class = 1) AS crop,
+  count(*) FILTER (WHERE mask_class = 0) AS c0 FROM burned GROUP BY 1) b USING (task_id))"""
+
+ORACLE["rasterize_boxes"] = with_(PARCELS, RASTER) + """
+SELECT task_id, CAST(crop_pixels AS BIGINT) AS crop_pixels, CAST(noncrop_pixels AS BIGINT) AS noncrop_pixels,
+ CAST(background_pixels AS BIGINT) AS background_pixels, empty_mask FROM masks"""
+
+ORACLE["patch_results"] = with_(PARCELS, RASTER, SCENES, _match("tasks")) + """
+SELECT t.task_id,
+ CASE WHEN t.n_raw < 5 THEN 'skipped_few_polygons' WHEN t.polygon_count = 0 THEN 'skipped_no_binary_classes'
+  WHEN m.scene_id IS NULL THEN 'failed_download' WHEN k.empty_mask THEN 'failed_empty_mask' ELSE 'success' END AS status,
+ CAST(CASE WHEN t.n_raw >= 5 THEN t.polygon_count ELSE 0 END AS BIGINT) AS polygon_count,
+ CAST(CASE WHEN t.n_raw >= 5 AND t.polygon_count > 0 AND m.scene_id IS NOT NULL AND NOT k.empty_mask
+  THEN k.crop_pixels ELSE 0 END AS BIGINT) AS crop_pixels,
+ CAST(CASE WHEN t.n_raw >= 5 AND t.polygon_count > 0 AND m.scene_id IS NOT NULL AND NOT k.empty_mask
+  THEN k.noncrop_pixels ELSE 0 END AS BIGINT) AS noncrop_pixels,
+ m.scene_id, m.season
+FROM tasks t JOIN masks k USING (task_id) JOIN matched m USING (task_id)"""

@@ -276,3 +276,102 @@ def q_dataset_stats(spark, sf_dir):
     _, spec, pairs = grid_inputs(spark, sf_dir)
     tasks = grid.make_tasks(grid.cell_counts(pairs), spec)
     return grid.dataset_stats(tasks, pairs, spec)
+
+
+# --- step 6: scenes and patches ------------------------------------------------
+
+from terrapix.operators import patches as pt  # noqa: E402
+from terrapix.operators import scenes as sc  # noqa: E402
+
+RESAMPLE_OUT = 6  # 4x4 -> 6x6: source coordinates i*3/5 never fall on .5
+
+
+@register("match_scenes")
+def q_match_scenes(spark, sf_dir):
+    """First tier with a hit, lowest cloud inside it, per task."""
+    return sc.match_scenes(derived.match_tasks(spark, sf_dir), derived.scenes(spark, sf_dir),
+                           derived.FIXTURE_WINDOWS, coarse=50.0)
+
+
+@register("explode_patches")
+def q_explode_patches(spark, sf_dir):
+    """Patch arrays -> one row per pixel (pixel-major layout)."""
+    return pt.explode_patches(derived.patches(spark, sf_dir), 4)
+
+
+@register("explode_patches_buffer")
+def q_explode_patches_buffer(spark, sf_dir):
+    """C1 (layout='buffer'): the reshape-without-transpose row layout."""
+    return pt.explode_patches(derived.patches(spark, sf_dir), 4, layout="buffer")
+
+
+@register("pack_patches")
+def q_pack_patches(spark, sf_dir):
+    """Pixel rows -> patch arrays; checks the round trip exactly."""
+    orig = derived.patches(spark, sf_dir)
+    packed = pt.pack_patches(pt.explode_patches(orig, 4), 4, 4, 4)
+    flat = F.flatten("bands")
+    checksum = F.aggregate(F.sequence(F.lit(1), F.size(flat)), F.lit(0.0),
+                           lambda acc, i: acc + F.element_at(flat, i) * i)
+    o = orig.select("patch_id", F.col("bands").alias("o_bands"), F.col("mask").alias("o_mask"))
+    return packed.join(o, "patch_id").select(
+        "patch_id", "n_bands", "h", "w",
+        F.round(checksum, 6).alias("checksum"),
+        F.aggregate("mask", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("mask_ones"),
+        ((F.col("bands") == F.col("o_bands")) & (F.col("mask") == F.col("o_mask"))).alias("same"))
+
+
+@register("mask_stats")
+def q_mask_stats(spark, sf_dir):
+    """Crop / non-crop pixels, empty mask, shape check per patch."""
+    return pt.mask_stats(derived.patches(spark, sf_dir)).drop("shape")
+
+
+@register("resample_bilinear")
+def q_resample_bilinear(spark, sf_dir):
+    """C4: per-band linear zoom 4x4 -> 6x6, as pixel rows."""
+    r = pt.resample_bilinear(derived.patches(spark, sf_dir).drop("mask"), RESAMPLE_OUT, RESAMPLE_OUT)
+    r = r.withColumn("mask", F.array_repeat(F.lit(0), RESAMPLE_OUT * RESAMPLE_OUT))
+    e = pt.explode_patches(r, 4).drop("label")
+    return e.select("patch_id", "pixel_idx", *[F.round(f"band_{k}", 6).alias(f"band_{k}") for k in range(4)])
+
+
+@register("resample_nearest")
+def q_resample_nearest(spark, sf_dir):
+    """Nearest zoom of the mask 4x4 -> 6x6, binarised (> 0.5)."""
+    r = pt.resample_nearest(derived.patches(spark, sf_dir), RESAMPLE_OUT, RESAMPLE_OUT)
+    return r.select("patch_id", F.posexplode("mask").alias("pixel_idx", "mask")).withColumn(
+        "pixel_idx", F.col("pixel_idx").cast("bigint"))
+
+
+def task_pairs(spark, sf_dir, with_rings=True):
+    """Grid tasks and their (task, parcel) pairs."""
+    parcels = derived.parcels(spark, sf_dir, with_rings=with_rings)
+    spec = grid.grid_spec(parcels, derived.FIXTURE_GRID_STEP)
+    looked = grid.class_lookup(parcels, derived.class_map(spark))
+    pairs = grid.cell_parcels(looked, spec)
+    counts = grid.cell_counts(pairs)
+    tasks = grid.make_tasks(counts, spec)
+    tp = pairs.join(tasks.select("task_id", "i", "j"), ["i", "j"])
+    return tasks, tp
+
+
+@register("rasterize_boxes")
+def q_rasterize_boxes(spark, sf_dir):
+    """Burn mapped parcels (pixel-centre rule, later parcel
+    wins) on each task's 1-unit grid; per-task mask counts."""
+    tasks, tp = task_pairs(spark, sf_dir)
+    g = pt.pixel_grid(tasks, 1.0)
+    return pt.mask_counts(pt.rasterize(tp, g), g)
+
+
+@register("patch_results")
+def q_patch_results(spark, sf_dir):
+    """Patch production (batch core of the worker): thresholds, class
+    mapping, scene choice, rasterisation, mask checks -> one result per task."""
+    tasks, tp = task_pairs(spark, sf_dir)
+    g = pt.pixel_grid(tasks, 1.0)
+    masks = pt.mask_counts(pt.rasterize(tp, g), g)
+    m = sc.match_scenes(tasks.select("task_id", "xmin", "ymin", "xmax", "ymax"),
+                        derived.scenes(spark, sf_dir), derived.FIXTURE_WINDOWS, coarse=50.0)
+    return pt.patch_status(tasks, m, masks)

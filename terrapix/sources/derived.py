@@ -96,9 +96,9 @@ def scenes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def match_tasks(spark: SparkSession, sf_dir: str, max_task: int = 300) -> DataFrame:
-    """Task boxes for scene matching (the fixture keeps the first 300 orders)."""
-    o = table(spark, sf_dir, "orders").where(F.col("o_orderkey") < max_task)
+def match_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """20 x 20 task boxes for scene matching, one per order."""
+    o = table(spark, sf_dir, "orders")
     ok = F.col("o_orderkey")
     x, y = (ok * 37) % 2000, (ok * 91) % 1500
     return o.select(ok.alias("task_id"),
