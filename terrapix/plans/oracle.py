@@ -344,3 +344,60 @@ SELECT t.task_id,
   THEN k.noncrop_pixels ELSE 0 END AS BIGINT) AS noncrop_pixels,
  m.scene_id, m.season
 FROM tasks t JOIN masks k USING (task_id) JOIN matched m USING (task_id)"""
+
+RESULTS = """results AS (
+ SELECT event_id AS task_id, 'w' || CAST(user_id % 4 AS VARCHAR) AS worker_id, ts,
+  CASE event_type WHEN 'purchase' THEN 'success' WHEN 'click' THEN 'success' WHEN 'view' THEN 'skipped_few_polygons'
+   WHEN 'signup' THEN 'failed_empty_mask' ELSE 'failed_download' END AS status,
+  CAST(floor(value * 100) AS BIGINT) AS crop_pixels, 50000 - CAST(floor(value * 100) AS BIGINT) AS noncrop_pixels
+ FROM events),
+flags AS (
+ SELECT *, CAST(status = 'success' AS BIGINT) AS s_ok, CAST(status <> 'success' AND status LIKE 'skipped%' AS BIGINT) AS s_skip,
+  CAST(status <> 'success' AND NOT (status LIKE 'skipped%') AS BIGINT) AS s_fail,
+  CASE WHEN status = 'success' THEN crop_pixels ELSE 0 END AS s_crop,
+  CASE WHEN status = 'success' THEN noncrop_pixels ELSE 0 END AS s_noncrop
+ FROM results)"""
+
+COUNTERS = """count(*) AS tasks, CAST(sum(s_ok) AS BIGINT) AS success, CAST(sum(s_skip) AS BIGINT) AS skipped,
+ CAST(sum(s_fail) AS BIGINT) AS failed, CAST(sum(s_ok) AS BIGINT) AS patches,
+ CAST(sum(s_crop) AS BIGINT) AS crop_pixels, CAST(sum(s_noncrop) AS BIGINT) AS noncrop_pixels"""
+
+ORACLE["monitor_totals"] = with_(RESULTS, f"""a AS (SELECT {COUNTERS},
+ (max(epoch_us(ts)) - min(epoch_us(ts))) / 1e6 AS el FROM flags)""") + """
+SELECT tasks, success, skipped, failed, patches, crop_pixels, noncrop_pixels, crop_pixels + noncrop_pixels AS total_pixels,
+ round(CASE WHEN crop_pixels + noncrop_pixels > 0
+  THEN CAST(crop_pixels AS DOUBLE) / CAST(crop_pixels + noncrop_pixels AS DOUBLE) * 100.0 ELSE 0.0 END, 6) AS crop_ratio,
+ round(el, 6) AS elapsed_s, CAST(floor(el / 60) AS BIGINT) AS elapsed_min, CAST(floor(el % 60) AS BIGINT) AS elapsed_sec,
+ round(CASE WHEN el > 0 THEN tasks / el ELSE 0.0 END, 6) AS tasks_per_sec
+FROM a"""
+
+ORACLE["monitor_by_worker"] = with_(RESULTS) + f"SELECT worker_id, {COUNTERS} FROM flags GROUP BY worker_id"
+
+ORACLE["progress"] = with_(RESULTS, """c AS (
+ SELECT ts, row_number() OVER w AS message, sum(s_ok) OVER w AS success, sum(s_skip) OVER w AS skipped,
+  sum(s_fail) OVER w AS failed, sum(s_crop) OVER w AS crop_pixels, sum(s_noncrop) OVER w AS noncrop_pixels
+ FROM flags WINDOW w AS (ORDER BY ts, task_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))""") + """
+SELECT CAST(message AS BIGINT) AS message, ts, CAST(success AS BIGINT) AS success, CAST(skipped AS BIGINT) AS skipped,
+ CAST(failed AS BIGINT) AS failed, CAST(crop_pixels AS BIGINT) AS crop_pixels, CAST(noncrop_pixels AS BIGINT) AS noncrop_pixels
+FROM c WHERE message % 20 = 0"""
+
+ORACLE["dedupe_results"] = with_(RESULTS) + """
+SELECT task_id, ts, worker_id, status, crop_pixels, noncrop_pixels FROM (
+ SELECT *, row_number() OVER (PARTITION BY task_id ORDER BY ts DESC, worker_id DESC, status DESC,
+  crop_pixels DESC, noncrop_pixels DESC) AS rn
+ FROM (SELECT CAST(task_id // 2 AS BIGINT) AS task_id, worker_id, ts, status, crop_pixels, noncrop_pixels FROM results))
+WHERE rn = 1"""
+
+ORACLE["worker_runtime"] = with_(RESULTS) + """
+SELECT worker_id, count(*) AS tasks, min(ts) AS first_ts, max(ts) AS last_ts,
+ round((max(epoch_us(ts)) - min(epoch_us(ts))) / 1e6, 6) AS seconds,
+ round(CASE WHEN (max(epoch_us(ts)) - min(epoch_us(ts))) > 0
+  THEN count(*) / ((max(epoch_us(ts)) - min(epoch_us(ts))) / 1e6) ELSE 0.0 END, 6) AS tasks_per_sec
+FROM results GROUP BY worker_id"""
+
+ORACLE["every_nth"] = with_(RESULTS) + "SELECT * FROM results WHERE task_id % 5 = 0"
+
+ORACLE["json_roundtrip"] = with_(PARCELS) + """
+SELECT 'task_' || CAST(task_id AS VARCHAR) AS key, task_id, xmin, ymin, xmax, ymax, 20.0::DOUBLE AS grid_step,
+ polygon_count, crop, non_crop, 4 AS n_classes, 1 AS class_1_urgent
+FROM tasks"""

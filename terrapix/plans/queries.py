@@ -375,3 +375,64 @@ def q_patch_results(spark, sf_dir):
     m = sc.match_scenes(tasks.select("task_id", "xmin", "ymin", "xmax", "ymax"),
                         derived.scenes(spark, sf_dir), derived.FIXTURE_WINDOWS, coarse=50.0)
     return pt.patch_status(tasks, m, masks)
+
+
+# --- step 7: monitor (batch) -----------------------------------------------------
+
+from terrapix.operators import monitor as mon  # noqa: E402
+from terrapix.schema import TASK_SCHEMA  # noqa: E402
+from terrapix.sources import messages as msg  # noqa: E402
+
+
+@register("monitor_totals")
+def q_monitor_totals(spark, sf_dir):
+    """Global counters, success-only pixel totals, crop
+    ratio, elapsed time and rate."""
+    return mon.monitor_totals(derived.task_results(spark, sf_dir))
+
+
+@register("monitor_by_worker")
+def q_monitor_by_worker(spark, sf_dir):
+    """Per-worker counters sorted by worker id."""
+    return mon.monitor_by_worker(derived.task_results(spark, sf_dir))
+
+
+@register("progress")
+def q_progress(spark, sf_dir):
+    """Running totals after every 20th result in time order."""
+    return mon.progress(derived.task_results(spark, sf_dir), every=20)
+
+
+@register("dedupe_results")
+def q_dedupe_results(spark, sf_dir):
+    """One (latest) result per task when tasks were processed twice."""
+    return mon.dedupe_results(derived.retried_results(spark, sf_dir))
+
+
+@register("worker_runtime")
+def q_worker_runtime(spark, sf_dir):
+    """first/last result, run time and rate per worker."""
+    return mon.worker_runtime(derived.task_results(spark, sf_dir))
+
+
+@register("every_nth")
+def q_every_nth(spark, sf_dir):
+    """The every-5th-task log selection."""
+    return mon.every_nth(derived.task_results(spark, sf_dir), 5)
+
+
+@register("json_roundtrip")
+def q_json_roundtrip(spark, sf_dir):
+    """Task records -> keyed JSON -> parsed back, flattened."""
+    tasks, _ = task_pairs(spark, sf_dir, with_rings=False)
+    spec = grid.grid_spec(derived.parcels(spark, sf_dir, with_rings=False), derived.FIXTURE_GRID_STEP)
+    m = grid.task_messages(tasks, spec, derived.FIXTURE_CLASS_MAP)
+    frames = msg.encode(m, msg.task_key())
+    back = msg.decode(frames, TASK_SCHEMA, keep=("key",)).where("_ok")
+    return back.select(
+        "key", "task_id",
+        *[F.col("bbox")[k].alias(n) for k, n in enumerate(["xmin", "ymin", "xmax", "ymax"])],
+        "grid_step", "polygon_count",
+        F.col("binary_distribution.crop").alias("crop"), F.col("binary_distribution.non_crop").alias("non_crop"),
+        F.size("binary_classes").alias("n_classes"),
+        F.col("binary_classes")["1-URGENT"].alias("class_1_urgent"))

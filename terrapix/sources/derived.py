@@ -134,6 +134,13 @@ def task_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def retried_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Task results where every task was processed twice (task_id = event_id
+    div 2): the reprocessing case that needs de-duplication."""
+    r = task_results(spark, sf_dir)
+    return r.withColumn("task_id", F.floor(F.col("task_id") / 2).cast("bigint"))
+
+
 # --- patches <- embeddings -------------------------------------------------
 
 def patches(spark: SparkSession, sf_dir: str, c: int = 4, h: int = 4, w: int = 4) -> DataFrame:
