@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrapix.functions.geo import point_in_rings
+from terrapix.functions.geo import is_axis_box, ring_edges, scanline_crossings
 from terrapix.schema import (MIN_POLYGONS_PATCH, STATUS_EMPTY_MASK, STATUS_FEW_POLYGONS,
                              STATUS_INVALID_SHAPE, STATUS_NO_BINARY, STATUS_SUCCESS)
 
@@ -134,71 +134,106 @@ def resample_nearest(patches: DataFrame, out_h: int, out_w: int, col: str = "mas
 
 # --- rasterisation ----------------------------------------------------------
 
-def pixel_grid(tasks: DataFrame, res: float) -> DataFrame:
+def pixel_grid(tasks: DataFrame, res: float, key: tuple[str, ...] = ("task_id",)) -> DataFrame:
     """Raster grid of each task box: origin at the top-left corner, north-up,
     h = ceil(height / res), w = ceil(width / res)."""
     return tasks.select(
-        "task_id", F.col("xmin").alias("gx0"), F.col("ymax").alias("gy1"), F.lit(float(res)).alias("res"),
+        *key, F.col("xmin").alias("gx0"), F.col("ymax").alias("gy1"), F.lit(float(res)).alias("res"),
         F.ceil((F.col("ymax") - F.col("ymin")) / F.lit(res)).cast("int").alias("h"),
         F.ceil((F.col("xmax") - F.col("xmin")) / F.lit(res)).cast("int").alias("w"))
 
 
-def rasterize(pairs: DataFrame, grid: DataFrame, exact: bool = True) -> DataFrame:
-    """Burn each mapped polygon's binary label onto its task's pixel grid.
+def cell_grid_columns(spec, res: float) -> dict[str, Column]:
+    """Pixel-grid columns of grid cell (i, j), computed from the index alone,
+    so cell-keyed rows need no join to learn their raster geometry."""
+    x = F.lit(spec.x0) + F.col("i").cast("double") * F.lit(spec.step)
+    y = F.lit(spec.y0) + F.col("j").cast("double") * F.lit(spec.step)
+    n = int(-(-spec.step // res))  # ceil(step / res)
+    return {"gx0": x, "gy1": y + F.lit(spec.step), "res": F.lit(float(res)),
+            "h": F.lit(n), "w": F.lit(n)}
 
-    ``pairs``: task_id, parcel_id, binary_id, xmin..ymax, rings (polygons
-    meeting the task box). A pixel is burned when its centre is inside the
-    polygon (even-odd test; envelope only when ``exact=False``); where
-    polygons overlap, the later one (higher parcel_id) wins.
 
-    Returns sparse burned pixels: task_id, pixel_idx, mask_class. Each
-    polygon is expanded only over the pixel rows/columns of its own envelope,
-    so the work is proportional to the covered area.
+def rasterize(pairs: DataFrame, key: tuple[str, ...] = ("task_id",), exact: bool = True) -> DataFrame:
+    """Burn each mapped polygon's binary label onto its patch's pixel grid.
+
+    ``pairs``: key columns, parcel_id, binary_id, xmin..ymax[, rings] and the
+    grid columns gx0, gy1, res, h, w (``pixel_grid`` joined on the key, or
+    ``cell_grid_columns`` for grid cells). A pixel is burned when its centre
+    is inside the polygon (even-odd rule over all rings, so holes and
+    multi-part polygons work; the envelope when ``exact=False`` or no rings);
+    where polygons overlap, the later one (higher parcel_id) wins.
+
+    Scanline rasterisation: each polygon is expanded to the pixel rows of its
+    envelope; per row the sorted edge crossings give the inside spans, and
+    only inside pixels are generated. Work is proportional to the polygon's
+    height x edges plus its inside area - no per-pixel polygon test.
+
+    Returns sparse burned pixels: key, pixel_idx, mask_class.
     """
-    g = grid.alias("g")
-    p = pairs.where(F.col("binary_id").isNotNull()).join(g, "task_id")
+    p = pairs.where(F.col("binary_id").isNotNull())
     res = F.col("res")
-    # pixel centre (c + .5, r + .5) inside [xmin, xmax] x [ymin, ymax]
-    c_lo = F.greatest(F.ceil((F.col("xmin") - F.col("gx0")) / res - 0.5), F.lit(0))
-    c_hi = F.least(F.floor((F.col("xmax") - F.col("gx0")) / res - 0.5), F.col("w") - 1)
     r_lo = F.greatest(F.ceil((F.col("gy1") - F.col("ymax")) / res - 0.5), F.lit(0))
     r_hi = F.least(F.floor((F.col("gy1") - F.col("ymin")) / res - 0.5), F.col("h") - 1)
-    ex = (p.where((c_lo <= c_hi) & (r_lo <= r_hi))
-          .withColumn("_c", F.explode(F.sequence(c_lo.cast("int"), c_hi.cast("int"))))
-          .withColumn("_r", F.explode(F.sequence(r_lo.cast("int"), r_hi.cast("int")))))
-    cx = F.col("gx0") + (F.col("_c") + 0.5) * res
+    use_rings = exact and "rings" in pairs.columns
+    if use_rings:
+        p = p.withColumns({"_edges": ring_edges("rings"),
+                           "_box": is_axis_box("rings", "xmin", "ymin", "xmax", "ymax")})
+    rows = (p.where(r_lo <= r_hi)
+            .withColumn("_r", F.explode(F.sequence(r_lo.cast("int"), r_hi.cast("int")))))
     cy = F.col("gy1") - (F.col("_r") + 0.5) * res
-    if exact and "rings" in pairs.columns:
-        ex = ex.where(point_in_rings(cx, cy, "rings"))
-    burned = (ex.groupBy("task_id", (F.col("_r") * F.col("w") + F.col("_c")).cast("bigint").alias("pixel_idx"))
-              .agg(F.max_by("binary_id", "parcel_id").alias("mask_class")))
-    return burned
+
+    def col_of(x):  # first pixel column whose centre is >= x
+        return F.ceil((x - F.col("gx0")) / res - 0.5)
+
+    if use_rings:
+        xs = scanline_crossings("_edges", cy)
+        n_spans = F.floor(F.size(xs) / 2).cast("int")
+        spans = F.transform(F.sequence(F.lit(0), n_spans - 1), lambda k: F.struct(
+            F.greatest(col_of(xs[2 * k]), F.lit(0)).cast("int").alias("a"),
+            F.least(col_of(xs[2 * k + 1]) - 1, F.col("w") - 1).cast("int").alias("b")))
+        spans = F.when(n_spans > 0, spans)
+        scan_cols = F.flatten(F.transform(F.filter(spans, lambda s: s["a"] <= s["b"]),
+                                          lambda s: F.sequence(s["a"], s["b"])))
+        # rectangles: the same half-open rule, x in [xmin, xmax) on rows with
+        # ymin <= cy < ymax, from plain arithmetic (no per-row array work)
+        ba = F.greatest(col_of(F.col("xmin")), F.lit(0)).cast("int")
+        bb = F.least(col_of(F.col("xmax")) - 1, F.col("w") - 1).cast("int")
+        box_cols = F.when((ba <= bb) & (cy >= F.col("ymin")) & (cy < F.col("ymax")), F.sequence(ba, bb))
+        cols = F.when(F.col("_box"), box_cols).otherwise(scan_cols)
+    else:
+        # centre in [xmin, xmax] (closed envelope)
+        a = F.greatest(col_of(F.col("xmin")), F.lit(0)).cast("int")
+        b = F.least(F.floor((F.col("xmax") - F.col("gx0")) / res - 0.5), F.col("w") - 1).cast("int")
+        cols = F.when(a <= b, F.sequence(a, b))
+    px = rows.select(*key, "parcel_id", "binary_id", "w", "_r", F.explode(cols).alias("_c"))
+    return (px.groupBy(*key, (F.col("_r") * F.col("w") + F.col("_c")).cast("bigint").alias("pixel_idx"))
+            .agg(F.max_by("binary_id", "parcel_id").alias("mask_class")))
 
 
-def mask_counts(burned: DataFrame, grid: DataFrame) -> DataFrame:
-    """Per task: crop pixels (mask 1), non-crop pixels (mask 0: non-crop
+def mask_counts(burned: DataFrame, grid: DataFrame, key: tuple[str, ...] = ("task_id",)) -> DataFrame:
+    """Per patch: crop pixels (mask 1), non-crop pixels (mask 0: non-crop
     polygons plus unburned background), background pixels, empty flag.
 
     Computed from the sparse burned pixels and the grid size, without
-    materialising the background pixels."""
-    per = burned.groupBy("task_id").agg(
+    materialising the background pixels. ``grid`` has the key and h, w."""
+    per = burned.groupBy(*key).agg(
         F.count_if(F.col("mask_class") == 1).alias("crop_pixels"),
         F.count_if(F.col("mask_class") == 0).alias("class0_pixels"))
-    g = grid.select("task_id", (F.col("h") * F.col("w")).cast("bigint").alias("n_pixels"))
-    j = g.join(per, "task_id", "left").fillna(0, subset=["crop_pixels", "class0_pixels"])
+    g = grid.select(*key, (F.col("h") * F.col("w")).cast("bigint").alias("n_pixels"))
+    j = g.join(per, list(key), "left").fillna(0, subset=["crop_pixels", "class0_pixels"])
     return j.select(
-        "task_id", "crop_pixels",
+        *key, "crop_pixels",
         (F.col("n_pixels") - F.col("crop_pixels")).alias("noncrop_pixels"),
         (F.col("n_pixels") - F.col("crop_pixels") - F.col("class0_pixels")).alias("background_pixels"),
         (F.col("crop_pixels") == 0).alias("empty_mask"))
 
 
-def full_mask(burned: DataFrame, grid: DataFrame) -> DataFrame:
-    """Dense mask rows: task_id, pixel_idx, label (0/1, background 0) and
+def full_mask(burned: DataFrame, grid: DataFrame, key: tuple[str, ...] = ("task_id",)) -> DataFrame:
+    """Dense mask rows: key, pixel_idx, label (0/1, background 0) and
     nullable mask_class (null = background) (C6, Q4)."""
-    allpx = grid.select("task_id", F.explode(F.sequence(F.lit(0), F.col("h") * F.col("w") - 1))
+    allpx = grid.select(*key, F.explode(F.sequence(F.lit(0), F.col("h") * F.col("w") - 1))
                         .cast("bigint").alias("pixel_idx"))
-    return (allpx.join(burned, ["task_id", "pixel_idx"], "left")
+    return (allpx.join(burned, [*key, "pixel_idx"], "left")
             .withColumn("label", F.coalesce(F.col("mask_class"), F.lit(0)).cast("bigint")))
 
 

@@ -345,33 +345,40 @@ def q_resample_nearest(spark, sf_dir):
 
 
 def task_pairs(spark, sf_dir, with_rings=True):
-    """Grid tasks and their (task, parcel) pairs."""
+    """Grid tasks and the cell-keyed (cell, parcel) pairs."""
     parcels = derived.parcels(spark, sf_dir, with_rings=with_rings)
     spec = grid.grid_spec(parcels, derived.FIXTURE_GRID_STEP)
     looked = grid.class_lookup(parcels, derived.class_map(spark))
     pairs = grid.cell_parcels(looked, spec)
-    counts = grid.cell_counts(pairs)
-    tasks = grid.make_tasks(counts, spec)
-    tp = pairs.join(tasks.select("task_id", "i", "j"), ["i", "j"])
-    return tasks, tp
+    tasks = grid.make_tasks(grid.cell_counts(pairs), spec)
+    return tasks, pairs, spec
+
+
+def cell_masks(tasks, pairs, spec, res=1.0):
+    """Rasterise per grid cell and attach task ids: burning needs no join,
+    and the per-cell counts join the (one row per cell) task table."""
+    g = pairs.withColumns(pt.cell_grid_columns(spec, res))
+    burned = pt.rasterize(g, key=("i", "j"))
+    n = int(-(-spec.step // res))
+    tg = tasks.select("task_id", "i", "j", F.lit(n).alias("h"), F.lit(n).alias("w"))
+    return pt.mask_counts(burned, tg.select("i", "j", "h", "w"), key=("i", "j")).join(
+        tg.select("task_id", "i", "j"), ["i", "j"]).drop("i", "j")
 
 
 @register("rasterize_boxes")
 def q_rasterize_boxes(spark, sf_dir):
     """Burn mapped parcels (pixel-centre rule, later parcel
     wins) on each task's 1-unit grid; per-task mask counts."""
-    tasks, tp = task_pairs(spark, sf_dir)
-    g = pt.pixel_grid(tasks, 1.0)
-    return pt.mask_counts(pt.rasterize(tp, g), g)
+    tasks, pairs, spec = task_pairs(spark, sf_dir)
+    return cell_masks(tasks, pairs, spec)
 
 
 @register("patch_results")
 def q_patch_results(spark, sf_dir):
     """Patch production (batch core of the worker): thresholds, class
     mapping, scene choice, rasterisation, mask checks -> one result per task."""
-    tasks, tp = task_pairs(spark, sf_dir)
-    g = pt.pixel_grid(tasks, 1.0)
-    masks = pt.mask_counts(pt.rasterize(tp, g), g)
+    tasks, pairs, spec = task_pairs(spark, sf_dir)
+    masks = cell_masks(tasks, pairs, spec)
     m = sc.match_scenes(tasks.select("task_id", "xmin", "ymin", "xmax", "ymax"),
                         derived.scenes(spark, sf_dir), derived.FIXTURE_WINDOWS, coarse=50.0)
     return pt.patch_status(tasks, m, masks)
@@ -424,8 +431,7 @@ def q_every_nth(spark, sf_dir):
 @register("json_roundtrip")
 def q_json_roundtrip(spark, sf_dir):
     """Task records -> keyed JSON -> parsed back, flattened."""
-    tasks, _ = task_pairs(spark, sf_dir, with_rings=False)
-    spec = grid.grid_spec(derived.parcels(spark, sf_dir, with_rings=False), derived.FIXTURE_GRID_STEP)
+    tasks, _, spec = task_pairs(spark, sf_dir, with_rings=False)
     m = grid.task_messages(tasks, spec, derived.FIXTURE_CLASS_MAP)
     frames = msg.encode(m, msg.task_key())
     back = msg.decode(frames, TASK_SCHEMA, keep=("key",)).where("_ok")
@@ -436,3 +442,49 @@ def q_json_roundtrip(spark, sf_dir):
         F.col("binary_distribution.crop").alias("crop"), F.col("binary_distribution.non_crop").alias("non_crop"),
         F.size("binary_classes").alias("n_classes"),
         F.col("binary_classes")["1-URGENT"].alias("class_1_urgent"))
+
+
+# --- step 9: machine learning (rows-only checks: no SQL twin) --------------------
+
+from terrapix.operators import ml  # noqa: E402
+from terrapix.plans import training  # noqa: E402
+
+
+def _fit_v1(spark, sf_dir):
+    bal = training.balanced_features(derived.pixels(spark, sf_dir))
+    train, test = sampling.hash_split(bal, [0.8, 0.2], 42)
+    model = ml.forest_pipeline(feat.FEATURES_V1, ml.FOREST_V1).fit(ml.stable_input(train, KEY))
+    return model, test
+
+
+@register("rf_scores")
+def q_rf_scores(spark, sf_dir):
+    """K1-K5: 80-tree forest on the balanced split; test-set predictions."""
+    model, test = _fit_v1(spark, sf_dir)
+    return ml.score(model, test).select(*KEY, "label", "prediction", F.round("p1", 6).alias("p1"))
+
+
+@register("rf_importance")
+def q_rf_importance(spark, sf_dir):
+    """K6, H2: feature importances, ascending."""
+    model, _ = _fit_v1(spark, sf_dir)
+    return ml.importances(model, feat.FEATURES_V1)
+
+
+@register("rf_v2_scores")
+def q_rf_v2_scores(spark, sf_dir):
+    """K3 (notebook variant): 6 features, J5 balance + split, 100 trees depth 10."""
+    f = features_v2(spark, sf_dir)
+    train, test = sampling.balance_split(f, seed=42)
+    model = ml.forest_pipeline(feat.FEATURES_V2, ml.FOREST_V2).fit(ml.stable_input(train, KEY))
+    return ml.score(model, test).select(*KEY, "label", "prediction", F.round("p1", 6).alias("p1"))
+
+
+@register("lr_weighted")
+def q_lr_weighted(spark, sf_dir):
+    """Class-weighted logistic regression on the unbalanced features."""
+    f = feat.drop_invalid(features_v1(spark, sf_dir), feat.FEATURES_V1)
+    train, test = sampling.hash_split(f, [0.8, 0.2], 42)
+    w = metrics.class_weights(train, threshold=1.0)
+    model = ml.logistic_pipeline(feat.FEATURES_V1, "weight").fit(metrics.with_weight(train, w))
+    return ml.score(model, test).select(*KEY, "label", "prediction", F.round("p1", 6).alias("p1"))
