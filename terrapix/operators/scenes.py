@@ -23,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from terrapix.operators.spatial import BOX, box_join, prefixed
 from terrapix.schema import STATUS_FAILED_DOWNLOAD, SearchWindow
 
 
@@ -48,10 +49,6 @@ def scene_tier(scenes: DataFrame, windows: list[SearchWindow], ts: str = "scene_
             .where(F.col("priority").isNotNull()))
 
 
-def _coarse(lo: Column, hi: Column, size: float) -> Column:
-    return F.sequence(F.floor(lo / F.lit(size)).cast("bigint"), F.floor(hi / F.lit(size)).cast("bigint"))
-
-
 def match_scenes(tasks: DataFrame, scenes: DataFrame, windows: list[SearchWindow],
                  coarse: float = 50.0) -> DataFrame:
     """One row per task: task_id, scene_id, season, priority, cloud_cover, status.
@@ -60,21 +57,9 @@ def match_scenes(tasks: DataFrame, scenes: DataFrame, windows: list[SearchWindow
     cloud_cover, xmin, ymin, xmax, ymax. ``coarse`` is the join cell size (about
     the scene footprint size keeps the explode factor small on both sides).
     """
-    s = scene_tier(scenes, windows).select(
-        "scene_id", "cloud_cover", "priority", "season",
-        *[F.col(c).alias(f"s_{c}") for c in ("xmin", "ymin", "xmax", "ymax")])
-    t = tasks.select("task_id", *[F.col(c).alias(f"t_{c}") for c in ("xmin", "ymin", "xmax", "ymax")])
-    te = (t.withColumn("_cx", F.explode(_coarse(F.col("t_xmin"), F.col("t_xmax"), coarse)))
-           .withColumn("_cy", F.explode(_coarse(F.col("t_ymin"), F.col("t_ymax"), coarse))))
-    se = (s.withColumn("_cx", F.explode(_coarse(F.col("s_xmin"), F.col("s_xmax"), coarse)))
-           .withColumn("_cy", F.explode(_coarse(F.col("s_ymin"), F.col("s_ymax"), coarse))))
-    j = te.join(se, ["_cx", "_cy"])
-    hit = ((F.col("s_xmin") <= F.col("t_xmax")) & (F.col("s_xmax") >= F.col("t_xmin"))
-           & (F.col("s_ymin") <= F.col("t_ymax")) & (F.col("s_ymax") >= F.col("t_ymin")))
-    ref_x = F.greatest("s_xmin", "t_xmin")
-    ref_y = F.greatest("s_ymin", "t_ymin")
-    owner = ((F.floor(ref_x / F.lit(coarse)) == F.col("_cx")) & (F.floor(ref_y / F.lit(coarse)) == F.col("_cy")))
-    cand = j.where(hit & owner)
+    s = prefixed(scene_tier(scenes, windows).select("scene_id", "cloud_cover", "priority", "season", *BOX), "s_")
+    t = prefixed(tasks.select("task_id", *BOX), "t_")
+    cand = box_join(t, s, coarse, "t_", "s_")
     best = (cand.groupBy("task_id")
             .agg(F.min(F.struct("priority", "cloud_cover", "scene_id", "season")).alias("b"))
             .select("task_id", "b.*"))
