@@ -91,6 +91,7 @@ WGS84_A = 6378137.0
 WGS84_F = 1 / 298.257223563
 UTM_K0 = 0.9996
 UTM_FALSE_EASTING = 500000.0
+DEG = math.pi / 180.0
 
 
 def utm_central_meridian(zone: int) -> float:
@@ -108,8 +109,8 @@ def to_utm(lon, lat, zone: int = 30) -> tuple[Column, Column]:
     e2 = f * (2 - f)
     e4, e6 = e2 * e2, e2 * e2 * e2
     ep2 = e2 / (1 - e2)
-    phi = F.radians(lat)
-    lam = F.radians(lon - F.lit(utm_central_meridian(zone)))
+    phi = lat * F.lit(DEG)
+    lam = (lon - F.lit(utm_central_meridian(zone))) * F.lit(DEG)
     s, c = F.sin(phi), F.cos(phi)
     n = F.lit(a) / F.sqrt(F.lit(1.0) - F.lit(e2) * s * s)
     t = F.tan(phi) * F.tan(phi)

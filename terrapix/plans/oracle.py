@@ -401,3 +401,56 @@ ORACLE["json_roundtrip"] = with_(PARCELS) + """
 SELECT 'task_' || CAST(task_id AS VARCHAR) AS key, task_id, xmin, ymin, xmax, ymax, 20.0::DOUBLE AS grid_step,
  polygon_count, crop, non_crop, 4 AS n_classes, 1 AS class_1_urgent
 FROM tasks"""
+
+
+def _utm_sql(lon: str, lat: str) -> tuple[str, str]:
+    """SQL twin of terrapix.functions.geo.to_utm (same operation order)."""
+    from terrapix.functions.geo import DEG, UTM_FALSE_EASTING, UTM_K0, utm_constants
+    c = utm_constants(30)
+    a, e2, ep2 = c["a"], c["e2"], c["ep2"]
+    e4, e6 = e2 * e2, e2 * e2 * e2
+    d = lambda v: f"CAST({v!r} AS DOUBLE)"
+    phi = f"({lat} * {d(DEG)})"
+    lam = f"(({lon} - {d(c['lon0'])}) * {d(DEG)})"
+    s_, c_ = f"sin({phi})", f"cos({phi})"
+    n = f"({d(a)} / sqrt({d(1.0)} - {d(e2)} * {s_} * {s_}))"
+    t = f"(tan({phi}) * tan({phi}))"
+    cc = f"({d(ep2)} * {c_} * {c_})"
+    aa = f"({lam} * {c_})"
+    m = (f"({d(a)} * ({d(1 - e2 / 4 - 3 * e4 / 64 - 5 * e6 / 256)} * {phi}"
+         f" - {d(3 * e2 / 8 + 3 * e4 / 32 + 45 * e6 / 1024)} * sin(2 * {phi})"
+         f" + {d(15 * e4 / 256 + 45 * e6 / 1024)} * sin(4 * {phi})"
+         f" - {d(35 * e6 / 3072)} * sin(6 * {phi})))")
+    a2 = f"({aa} * {aa})"
+    x = (f"({d(UTM_K0)} * {n} * ({aa} + ({d(1.0)} - {t} + {cc}) * {a2} * {aa} / 6"
+         f" + ({d(5.0)} - 18 * {t} + {t} * {t} + 72 * {cc} - {d(58 * ep2)}) * {a2} * {a2} * {aa} / 120)"
+         f" + {d(UTM_FALSE_EASTING)})")
+    y = (f"({d(UTM_K0)} * ({m} + {n} * tan({phi}) * ({a2} / 2"
+         f" + ({d(5.0)} - {t} + 9 * {cc} + 4 * {cc} * {cc}) * {a2} * {a2} / 24"
+         f" + ({d(61.0)} - 58 * {t} + {t} * {t} + 600 * {cc} - {d(330 * ep2)}) * {a2} * {a2} * {a2} / 720)))")
+    return x, y
+
+
+_E, _N = _utm_sql("(-9.0::DOUBLE + xmin / 200.0::DOUBLE)", "(36.0::DOUBLE + ymin / 200.0::DOUBLE)")
+ORACLE["utm_project"] = with_(PARCELS) + f"SELECT parcel_id, round({_E}, 2) AS easting, round({_N}, 2) AS northing FROM parcels"
+
+
+def _edge(x1, y1, x2, y2):
+    return (f"CAST(CASE WHEN ({y1} > px.cy) <> ({y2} > px.cy) "
+            f"THEN px.cx < {x1} + ({x2} - {x1}) * (px.cy - {y1}) / ({y2} - {y1}) ELSE false END AS INTEGER)")
+
+
+_CX, _CY = "((tp.xmin + tp.xmax) / 2)", "((tp.ymin + tp.ymax) / 2)"
+_DIAMOND = " + ".join([_edge(_CX, "tp.ymin", "tp.xmax", _CY), _edge("tp.xmax", _CY, _CX, "tp.ymax"),
+                       _edge(_CX, "tp.ymax", "tp.xmin", _CY), _edge("tp.xmin", _CY, _CX, "tp.ymin")])
+ORACLE["rasterize_polygons"] = with_(PARCELS, RASTER.replace(
+    "AND px.cy >= tp.ymin AND px.cy <= tp.ymax", f"AND px.cy >= tp.ymin AND px.cy <= tp.ymax AND ({_DIAMOND}) % 2 = 1")) + """
+SELECT task_id, CAST(crop_pixels AS BIGINT) AS crop_pixels, CAST(noncrop_pixels AS BIGINT) AS noncrop_pixels,
+ CAST(background_pixels AS BIGINT) AS background_pixels, empty_mask FROM masks"""
+
+ORACLE["worker_results"] = "SELECT task_id, status, polygon_count, crop_pixels, noncrop_pixels FROM (" + \
+    ORACLE["patch_results"] + ")"
+
+ORACLE["ready_events"] = with_(RESULTS) + """
+SELECT task_id, worker_id, 'parquet/task_' || CAST(task_id AS VARCHAR) AS s3_path, 10 AS c, 256 AS h, 256 AS w
+FROM results WHERE status = 'success'"""

@@ -344,9 +344,9 @@ def q_resample_nearest(spark, sf_dir):
         "pixel_idx", F.col("pixel_idx").cast("bigint"))
 
 
-def task_pairs(spark, sf_dir, with_rings=True):
+def task_pairs(spark, sf_dir, with_rings=True, shape="box"):
     """Grid tasks and the cell-keyed (cell, parcel) pairs."""
-    parcels = derived.parcels(spark, sf_dir, with_rings=with_rings)
+    parcels = derived.parcels(spark, sf_dir, with_rings=with_rings, shape=shape)
     spec = grid.grid_spec(parcels, derived.FIXTURE_GRID_STEP)
     looked = grid.class_lookup(parcels, derived.class_map(spark))
     pairs = grid.cell_parcels(looked, spec)
@@ -488,3 +488,49 @@ def q_lr_weighted(spark, sf_dir):
     w = metrics.class_weights(train, threshold=1.0)
     model = ml.logistic_pipeline(feat.FEATURES_V1, "weight").fit(metrics.with_weight(train, w))
     return ml.score(model, test).select(*KEY, "label", "prediction", F.round("p1", 6).alias("p1"))
+
+
+# --- step 10: geometry and worker-path extras ---------------------------------
+
+from terrapix.functions.geo import to_utm  # noqa: E402
+from terrapix.plans import patch_production as pp  # noqa: E402
+
+
+@register("utm_project")
+def q_utm_project(spark, sf_dir):
+    """Parcel corners (fixture degrees) -> UTM zone 30 metres."""
+    p = derived.parcels(spark, sf_dir, with_rings=False)
+    lon = F.lit(-9.0) + F.col("xmin") / 200.0
+    lat = F.lit(36.0) + F.col("ymin") / 200.0
+    e, n = to_utm(lon, lat, 30)
+    return p.select("parcel_id", F.round(e, 2).alias("easting"), F.round(n, 2).alias("northing"))
+
+
+@register("rasterize_polygons")
+def q_rasterize_polygons(spark, sf_dir):
+    """Scanline even-odd burn of rhombus parcels (non-rectangular
+    rings) on each task's grid; per-task mask counts."""
+    tasks, pairs, spec = task_pairs(spark, sf_dir, shape="diamond")
+    return cell_masks(tasks, pairs, spec)
+
+
+@register("worker_results")
+def q_worker_results(spark, sf_dir):
+    """E3, L1 batch core: task messages (bbox) -> bbox range join with parcels
+    -> thresholds, scene, mask -> result per task."""
+    tasks, _, spec = task_pairs(spark, sf_dir, with_rings=False)
+    msgs = grid.task_messages(tasks, spec, derived.FIXTURE_CLASS_MAP)
+    parcels = grid.class_lookup(derived.parcels(spark, sf_dir), derived.class_map(spark))
+    r = pp.produce(msgs, parcels, derived.scenes(spark, sf_dir), derived.FIXTURE_WINDOWS,
+                   res=1.0, parcel_cell=derived.FIXTURE_GRID_STEP, scene_cell=50.0, worker_id="1")
+    return r.select("task_id", "status", "polygon_count", "crop_pixels", "noncrop_pixels")
+
+
+@register("ready_events")
+def q_ready_events(spark, sf_dir):
+    """Image-ready records for successful results only (shape [C,H,W])."""
+    r = derived.task_results(spark, sf_dir).withColumns({
+        "bbox": F.array(F.lit(0.0)), "s3_path": F.concat(F.lit("parquet/task_"), F.col("task_id").cast("string"))})
+    ev = msg.ready_events(r, shape=(10, 256, 256))
+    return ev.select("task_id", "worker_id", "s3_path", F.col("shape")[0].alias("c"),
+                     F.col("shape")[1].alias("h"), F.col("shape")[2].alias("w"))

@@ -55,8 +55,9 @@ FIXTURE_GRID_STEP = 20.0
 FIXTURE_CLASS_MAP = {"1-URGENT": 1, "2-HIGH": 1, "3-MEDIUM": 1, "4-NOT SPECIFIED": 0}
 
 
-def parcels(spark: SparkSession, sf_dir: str, with_rings: bool = True) -> DataFrame:
-    """Axis-aligned box parcels in integer milli-degree coordinates."""
+def parcels(spark: SparkSession, sf_dir: str, with_rings: bool = True, shape: str = "box") -> DataFrame:
+    """Parcels in integer milli-degree coordinates: axis-aligned boxes, or
+    (``shape="diamond"``) the rhombus through the box's edge midpoints."""
     o = table(spark, sf_dir, "orders")
     ok, ck = F.col("o_orderkey"), F.col("o_custkey")
     xmin = (ok * 37) % 2000
@@ -69,7 +70,16 @@ def parcels(spark: SparkSession, sf_dir: str, with_rings: bool = True) -> DataFr
         (xmin + 1 + ck % 30).cast("double").alias("xmax"),
         (ymin + 1 + ok % 20).cast("double").alias("ymax"),
     )
-    if with_rings:
+    if with_rings and shape == "diamond":
+        cx = (F.col("xmin") + F.col("xmax")) / 2
+        cy = (F.col("ymin") + F.col("ymax")) / 2
+
+        def pt(x, y):
+            return F.struct(x.alias("x"), y.alias("y"))
+        ring = F.array(pt(cx, F.col("ymin")), pt(F.col("xmax"), cy), pt(cx, F.col("ymax")),
+                       pt(F.col("xmin"), cy), pt(cx, F.col("ymin")))
+        df = df.withColumn("rings", F.array(ring))
+    elif with_rings:
         from terrapix.functions.geo import box_ring
         df = df.withColumn("rings", F.array(box_ring("xmin", "ymin", "xmax", "ymax")))
     return df.withColumn("crs", F.lit("EPSG:4258"))
