@@ -49,19 +49,47 @@ def scene_tier(scenes: DataFrame, windows: list[SearchWindow], ts: str = "scene_
             .where(F.col("priority").isNotNull()))
 
 
+def _tier_scenes(scenes: DataFrame, w: SearchWindow, ts: str = "scene_ts", cloud: str = "cloud_cover"):
+    cond = ((F.col(ts) >= _ts(w.d0, scenes, ts)) & (F.col(ts) < _ts(w.d1, scenes, ts))
+            & (F.col(cloud) < F.lit(float(w.max_cloud))))
+    return scenes.where(cond).select("scene_id", "cloud_cover", F.lit(w.priority).alias("priority"),
+                                     F.lit(w.season).alias("season"), *BOX)
+
+
+def _best(cand: DataFrame) -> DataFrame:
+    return (cand.groupBy("task_id")
+            .agg(F.min(F.struct("priority", "cloud_cover", "scene_id", "season")).alias("b"))
+            .select("task_id", "b.*"))
+
+
 def match_scenes(tasks: DataFrame, scenes: DataFrame, windows: list[SearchWindow],
-                 coarse: float = 50.0) -> DataFrame:
+                 coarse: float = 50.0, strategy: str = "tiered") -> DataFrame:
     """One row per task: task_id, scene_id, season, priority, cloud_cover, status.
 
     ``tasks``: task_id, xmin, ymin, xmax, ymax. ``scenes``: scene_id, scene_ts,
     cloud_cover, xmin, ymin, xmax, ymax. ``coarse`` is the join cell size (about
     the scene footprint size keeps the explode factor small on both sides).
+
+    ``strategy="tiered"`` (default) short-circuits like the original search:
+    tier k is joined only with the tasks no earlier tier matched (a left-anti
+    join), so a large fallback tier never meets tasks that a small preferred
+    tier already served. ``"single"`` does one join against every scene's
+    best tier; both give the same rows.
     """
-    s = prefixed(scene_tier(scenes, windows).select("scene_id", "cloud_cover", "priority", "season", *BOX), "s_")
-    t = prefixed(tasks.select("task_id", *BOX), "t_")
-    cand = box_join(t, s, coarse, "t_", "s_")
-    best = (cand.groupBy("task_id")
-            .agg(F.min(F.struct("priority", "cloud_cover", "scene_id", "season")).alias("b"))
-            .select("task_id", "b.*"))
-    return (tasks.select("task_id").join(best, "task_id", "left")
+    t = tasks.select("task_id", *BOX)
+    if strategy == "single":
+        s = prefixed(scene_tier(scenes, windows).select("scene_id", "cloud_cover", "priority", "season", *BOX),
+                     "s_")
+        best = _best(box_join(prefixed(t, "t_"), s, coarse, "t_", "s_"))
+    else:
+        remaining, parts = t, []
+        for w in sorted(windows, key=lambda x: x.priority):
+            s = prefixed(_tier_scenes(scenes, w), "s_")
+            b = _best(box_join(prefixed(remaining, "t_"), s, coarse, "t_", "s_"))
+            parts.append(b)
+            remaining = remaining.join(b.select("task_id"), "task_id", "left_anti")
+        best = parts[0]
+        for b in parts[1:]:
+            best = best.unionByName(b)
+    return (t.select("task_id").join(best, "task_id", "left")
             .withColumn("status", F.when(F.col("scene_id").isNull(), F.lit(STATUS_FAILED_DOWNLOAD))))
