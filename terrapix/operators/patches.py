@@ -205,9 +205,18 @@ def rasterize(pairs: DataFrame, key: tuple[str, ...] = ("task_id",), exact: bool
         a = F.greatest(col_of(F.col("xmin")), F.lit(0)).cast("int")
         b = F.least(F.floor((F.col("xmax") - F.col("gx0")) / res - 0.5), F.col("w") - 1).cast("int")
         cols = F.when(a <= b, F.sequence(a, b))
-    px = rows.select(*key, "parcel_id", "binary_id", "w", "_r", F.explode(cols).alias("_c"))
-    return (px.groupBy(*key, (F.col("_r") * F.col("w") + F.col("_c")).cast("bigint").alias("pixel_idx"))
-            .agg(F.max_by("binary_id", "parcel_id").alias("mask_class")))
+    # Shuffle the (polygon, pixel-row) span records - not the pixels - on
+    # (patch, row): hash partitioning on (key, row) already clusters the
+    # (key, row, col) groups, so the pixels are generated and reduced inside
+    # the receiving task with no second exchange, and even a crowded patch
+    # is spread over its rows.
+    spans_rows = rows.select(*key, "_r", "parcel_id", "binary_id", "w", cols.alias("_cols"))
+    px = (spans_rows.repartition(*[F.col(k) for k in key], F.col("_r"))
+          .select(*key, "_r", "parcel_id", "binary_id", "w", F.explode("_cols").alias("_c")))
+    return (px.groupBy(*key, "_r", "_c")
+            .agg(F.max_by("binary_id", "parcel_id").alias("mask_class"), F.first("w").alias("w"))
+            .select(*key, (F.col("_r") * F.col("w") + F.col("_c")).cast("bigint").alias("pixel_idx"),
+                    "mask_class"))
 
 
 def mask_counts(burned: DataFrame, grid: DataFrame, key: tuple[str, ...] = ("task_id",)) -> DataFrame:
