@@ -34,13 +34,18 @@ def confusion_wide(pred: DataFrame, label: str = "label", prediction: str = "pre
 
 
 def _per_class(conf: DataFrame) -> DataFrame:
-    """label-indexed tp / support / predicted counts from a long confusion table."""
-    sup = conf.groupBy(F.col("label").alias("cls")).agg(F.sum("count").alias("support"))
-    prd = conf.groupBy(F.col("prediction").alias("cls")).agg(F.sum("count").alias("predicted"))
-    tp = (conf.where(F.col("label") == F.col("prediction"))
-          .select(F.col("label").alias("cls"), F.col("count").alias("tp")))
-    return (sup.join(prd, "cls", "left").join(tp, "cls", "left")
-            .fillna(0, subset=["predicted", "tp"]))
+    """cls, support, predicted, tp from a long confusion table in one pass:
+    each (label, prediction, n) row feeds its label's support/tp and its
+    prediction's predicted count."""
+    e = conf.select(F.explode(F.array(
+        F.struct(F.col("label").alias("cls"), F.col("count").alias("support"), F.lit(0).cast("bigint")
+                 .alias("predicted"), F.when(F.col("label") == F.col("prediction"), F.col("count"))
+                 .otherwise(F.lit(0)).cast("bigint").alias("tp")),
+        F.struct(F.col("prediction").alias("cls"), F.lit(0).cast("bigint").alias("support"),
+                 F.col("count").cast("bigint").alias("predicted"), F.lit(0).cast("bigint").alias("tp")),
+    )).alias("e")).select("e.*")
+    return e.groupBy("cls").agg(F.sum("support").alias("support"), F.sum("predicted").alias("predicted"),
+                                F.sum("tp").alias("tp")).where(F.col("support") > 0)
 
 
 def classification_report(pred: DataFrame, label: str = "label", prediction: str = "prediction",
@@ -48,7 +53,9 @@ def classification_report(pred: DataFrame, label: str = "label", prediction: str
     """One row: accuracy, positive-class precision/recall, weighted precision,
     recall and F1 (F16, F17). Weighted = by label support; a class never
     predicted has precision 0; F1 is 0 when precision + recall is 0."""
-    conf = confusion_long(pred, label, prediction)
+    conf = (pred.groupBy(F.col(label).cast("double").alias("label"),
+                         F.col(prediction).cast("double").alias("prediction"))
+            .agg(F.count(F.lit(1)).alias("count")))
     pc = _per_class(conf)
     prec = F.when(F.col("predicted") > 0, F.col("tp") / F.col("predicted")).otherwise(0.0)
     rec = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(0.0)
