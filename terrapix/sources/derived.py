@@ -1,4 +1,4 @@
-"""Reference-shaped inputs derived from the benchmark tables.
+"""Pipeline-shaped inputs derived from the benchmark tables.
 
 The benchmark directory holds TPC-H-like tables; the pipeline needs pixels,
 parcels, scenes, task results and raster patches. Each is derived with plain

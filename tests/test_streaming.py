@@ -70,3 +70,26 @@ def test_patch_stream_results_idempotent(spark, tmp_dir):
     ready = spark.read.parquet(os.path.join(out, "ready"))
     assert ready.count() == got.where("status = 'success'").count()
     assert set(glob.glob(os.path.join(out, "results", "batch=*")))
+
+
+def test_score_stream_running_confusion(spark, tmp_dir):
+    from pyspark.sql import types as T
+
+    from terrapix.operators import features as feat
+    from terrapix.operators import ml
+    from terrapix.streaming.score_stream import run_score_stream
+    px = derived.pixels(spark, SF_SMALL)
+    f = feat.pixel_features(px, keep=("patch_id", "pixel_idx"))
+    model = ml.logistic_pipeline(feat.FEATURES_V1, weight=None, max_iter=5).fit(f)
+    # ready events for two patches, as JSON lines
+    ev = spark.createDataFrame([(3, "0"), (7, "1")], "task_id long, worker_id string")
+    src = os.path.join(tmp_dir, "ready")
+    messages.write_json_lines(messages.encode(ev), src)
+    schema = T.StructType([T.StructField("task_id", T.LongType()), T.StructField("worker_id", T.StringType())])
+    stream = messages.valid(messages.read_json_stream(spark, src, schema))
+    q = run_score_stream(stream, px, model, os.path.join(tmp_dir, "ck"), "conf_test")
+    q.awaitTermination(120)
+    got = spark.sql("SELECT sum(count) AS n FROM conf_test").first().n
+    want = feat.drop_invalid(f.where(F.col("patch_id").isin("task_3_worker_0", "task_7_worker_1")),
+                             feat.FEATURES_V1).count()
+    assert got == want and want > 0
