@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from terrapix.schema import MIN_POLYGONS_TASK, GridSpec
+from terrapix.session import checkpoint_dir
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
@@ -110,6 +111,11 @@ def number_tasks(cells: DataFrame, order=("i", "j"), name: str = "task_id") -> D
     column's offset; the rank inside a column is a window partitioned by i,
     whose partitions are bounded by ny."""
     outer, inner = order
+    # both the offsets and the ranks read the cells: materialise them once
+    # (at most nx * ny rows) in the shared checkpoint folder instead of
+    # recomputing the parcel explode for each branch
+    checkpoint_dir(cells.sparkSession)
+    cells = cells.checkpoint(eager=True)
     per = cells.groupBy(outer).agg(F.count(F.lit(1)).alias("_k"))
     before = Window.orderBy(outer).rowsBetween(Window.unboundedPreceding, -1)
     off = per.select(outer, F.coalesce(F.sum("_k").over(before), F.lit(0)).alias("_off"))

@@ -44,13 +44,21 @@ def build_session(master: str | None = None, app: str = "terrapix",
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
+def checkpoint_dir(spark: SparkSession) -> str | None:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     A cluster names a shared folder there; a scratch folder is created only
     when nothing is configured (local tests), never overriding the cluster's.
+    Sessions without a local SparkContext (Spark Connect) keep the server's
+    setting untouched.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote session: the server owns the setting
+        try:
+            return spark.conf.get("spark.checkpoint.dir", None)
+        except Exception:  # noqa: BLE001
+            return None
     d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
         d = tempfile.mkdtemp(prefix="terrapix-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
@@ -62,5 +70,5 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder (streaming checkpoints,
     materialised intermediates)."""
-    base = checkpoint_dir(spark).rstrip("/")
+    base = (checkpoint_dir(spark) or tempfile.gettempdir()).rstrip("/")
     return f"{base}/{name}"
