@@ -70,5 +70,8 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder (streaming checkpoints,
     materialised intermediates)."""
-    base = (checkpoint_dir(spark) or tempfile.gettempdir()).rstrip("/")
+    base = checkpoint_dir(spark)
+    if not base:
+        raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
+    base = base.rstrip("/")
     return f"{base}/{name}"
