@@ -67,6 +67,12 @@ def pack_patches(pixels: DataFrame, n_bands: int, h: int, w: int) -> DataFrame:
         F.transform("px", lambda s: s["m"].cast("int")).alias("mask"))
 
 
+def fill_missing(patches: DataFrame, value: float = 0.0) -> DataFrame:
+    """Missing raster values -> ``value`` (the download's fill value)."""
+    return patches.withColumn("bands", F.transform(
+        "bands", lambda b: F.transform(b, lambda v: F.coalesce(v, F.lit(float(value))))))
+
+
 def mask_stats(patches: DataFrame) -> DataFrame:
     """crop (mask==1) / non-crop (mask==0) pixel counts and the empty-mask and
     shape checks (C7-C9) - per-row array functions, no shuffle."""

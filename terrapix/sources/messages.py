@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from terrapix.schema import READY_SCHEMA, RESULT_SCHEMA, STATUS_SUCCESS, TASK_SCHEMA
 
+# Topic and consumer-group names (fixed values shared with existing producers)
 TASKS_TOPIC = "satellite-tasks"
 RESULTS_TOPIC = "satellite-results"
 READY_TOPIC = "satellite-images-ready"

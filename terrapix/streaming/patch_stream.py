@@ -23,9 +23,12 @@ from terrapix.sources import messages
 def run_patch_stream(tasks_stream: DataFrame, parcels: DataFrame, scenes: DataFrame,
                      windows: list[SearchWindow], out_dir: str, checkpoint: str,
                      res: float, parcel_cell: float, scene_cell: float, worker_id: str = "spark",
-                     available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
+                     available_now: bool = True, processing_time: str | None = None,
+                     kafka_bootstrap: str | None = None) -> StreamingQuery:
     """Start the loop. ``tasks_stream`` is a decoded task stream (``_ok`` flag
-    present); bad messages go to ``rejects``."""
+    present); bad messages go to ``rejects``. With ``kafka_bootstrap`` the
+    ready events and results are also published to their topics (after the
+    files, results last)."""
     out = out_dir.rstrip("/")
 
     def batch(df: DataFrame, epoch: int) -> None:
@@ -33,8 +36,12 @@ def run_patch_stream(tasks_stream: DataFrame, parcels: DataFrame, scenes: DataFr
         df.where("not _ok").select("_raw").write.mode("overwrite").text(f"{out}/rejects/batch={epoch}")
         res_df = produce(good, parcels, scenes, windows, res, parcel_cell, scene_cell, worker_id,
                          pixel_path=f"{out}/pixels").persist()
-        messages.ready_events(res_df).write.mode("overwrite").parquet(f"{out}/ready/batch={epoch}")
+        ready = messages.ready_events(res_df)
+        ready.write.mode("overwrite").parquet(f"{out}/ready/batch={epoch}")
         res_df.write.mode("overwrite").parquet(f"{out}/results/batch={epoch}")
+        if kafka_bootstrap:
+            messages.write_topic(messages.encode(ready), messages.READY_TOPIC, kafka_bootstrap)
+            messages.write_topic(messages.encode(res_df.drop("ts")), messages.RESULTS_TOPIC, kafka_bootstrap)
         res_df.unpersist()
 
     w = tasks_stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
