@@ -65,11 +65,23 @@ def logistic_pipeline(features, weight: str | None = "weight", max_iter: int = 5
     return Pipeline(stages=[assembler(features), scaler(), lr])
 
 
+def training_partitions(spark, n_rows: int | None, rows_per_partition: int = 2500) -> int:
+    """Partitions for a fit: every tree level is one job over all partitions,
+    so use about one partition per core, fewer when the data is small."""
+    try:
+        cores = spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - remote session
+        cores = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    if not n_rows:
+        return cores
+    return max(1, min(cores, -(-int(n_rows) // rows_per_partition)))
+
+
 def stable_input(df: DataFrame, key=("patch_id", "pixel_idx"), n: int | None = None) -> DataFrame:
     """Hash-partition and sort the training rows by key, so bagging (which
     draws per partition) sees the same rows in the same place on every run:
     equal splits then give equal forests."""
-    n = n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    n = n or training_partitions(df.sparkSession, None)
     return df.repartition(n, *key).sortWithinPartitions(*key)
 
 

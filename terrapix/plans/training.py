@@ -55,7 +55,8 @@ def train_and_evaluate(pixels: DataFrame, bands: BandSpec = DEFAULT_BANDS, fract
 
     t = time.time()
     train, test = sampling.hash_split(bal, [train_fraction, 1 - train_fraction], seed)
-    model = ml.forest_pipeline(features, forest).fit(ml.stable_input(train, KEY, partitions))
+    n = partitions or ml.training_partitions(pixels.sparkSession, int(sum(per_class.values()) * train_fraction))
+    model = ml.forest_pipeline(features, forest).fit(ml.stable_input(train, KEY, n))
     res.model = model
     res.timings["train"] = time.time() - t
 
