@@ -54,13 +54,20 @@ def _field(arr: str, name: str) -> Column:
 def pack_patches(pixels: DataFrame, n_bands: int, h: int, w: int) -> DataFrame:
     """Inverse of ``explode_patches`` (C3): pixel rows -> band-major arrays.
 
-    A group is one patch, bounded by the raster shape (h * w pixels), never
-    by the data volume; ``array_sort`` on the pixel index restores order.
+    Copies of a pixel (a patch written twice) are first reduced on
+    (patch_id, pixel_idx) - a partial aggregation spread over all tasks even
+    when one patch has many copies - so each patch then gathers at most
+    h * w rows, a bound set by the raster shape, not by the data volume.
+    ``array_sort`` on the pixel index restores the raster order.
     """
+    bands = [f"band_{k}" for k in range(n_bands)]
+    one = (pixels.groupBy("patch_id", "pixel_idx")
+           .agg(F.max(F.struct("label", *bands)).alias("_v"))
+           .where((F.col("pixel_idx") >= 0) & (F.col("pixel_idx") < h * w)))
     px = F.array_sort(F.collect_list(F.struct(
-        F.col("pixel_idx").alias("i"), F.col("label").alias("m"),
-        *[F.col(f"band_{k}").alias(f"b{k}") for k in range(n_bands)])))
-    g = pixels.groupBy("patch_id").agg(px.alias("px"))
+        F.col("pixel_idx").alias("i"), F.col("_v.label").alias("m"),
+        *[F.col(f"_v.{b}").alias(f"b{k}") for k, b in enumerate(bands)])))
+    g = one.groupBy("patch_id").agg(px.alias("px"))
     return g.select(
         "patch_id", F.lit(n_bands).alias("n_bands"), F.lit(h).alias("h"), F.lit(w).alias("w"),
         F.array(*[_field("px", f"b{k}") for k in range(n_bands)]).alias("bands"),

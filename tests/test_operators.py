@@ -278,3 +278,13 @@ def test_grid_spec_matches_arange():
         n = math.ceil((hi - lo) / step) if hi > lo else 0
         assert n == len(np.arange(lo, hi, step))
     assert GridSpec(0, 0, 1, 2, 3).nx == 2
+
+
+def test_pack_patches_ignores_duplicate_copies(spark):
+    bands = [[float(c * 100 + p) for p in range(4)] for c in range(2)]
+    df = spark.createDataFrame([("a", 2, 2, 2, bands, [0, 1, 1, 0])],
+                               "patch_id string, n_bands int, h int, w int, bands array<array<double>>, "
+                               "mask array<int>")
+    px = patches.explode_patches(df, 2)
+    packed = patches.pack_patches(px.unionByName(px).unionByName(px), 2, 2, 2).collect()
+    assert len(packed) == 1 and packed[0]["bands"] == bands and packed[0]["mask"] == [0, 1, 1, 0]
