@@ -120,9 +120,12 @@ def number_tasks(cells: DataFrame, order=("i", "j"), name: str = "task_id") -> D
     before = Window.orderBy(outer).rowsBetween(Window.unboundedPreceding, -1)
     off = per.select(outer, F.coalesce(F.sum("_k").over(before), F.lit(0)).alias("_off"))
     w = Window.partitionBy(outer).orderBy(inner)
-    return (cells.join(F.broadcast(off), outer)
-            .withColumn(name, (F.col("_off") + F.row_number().over(w) - 1).cast("bigint"))
-            .drop("_off"))
+    out = (cells.join(F.broadcast(off), outer)
+           .withColumn(name, (F.col("_off") + F.row_number().over(w) - 1).cast("bigint"))
+           .drop("_off"))
+    # tasks feed several later joins: keep the numbered table (one row per
+    # kept cell) instead of re-running the windows for each consumer
+    return out.checkpoint(eager=True)
 
 
 def make_tasks(counts: DataFrame, spec: GridSpec, min_polygons: int = MIN_POLYGONS_TASK) -> DataFrame:

@@ -72,8 +72,10 @@ def profile_columns(df: DataFrame, cols: list[str], name: str = "band",
         F.min("value").alias("min"), F.max("value").alias("max"))
     vc = long.groupBy(name, "value").agg(F.count(F.lit(1)).alias("c"))
     w = Window.partitionBy(name).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    cum = vc.withColumn("hi", F.sum("c").over(w)).withColumn("lo", F.col("hi") - F.col("c"))
-    j = cum.join(stats.select(name, "count"), name)
+    whole = Window.partitionBy(name)
+    # the per-band count comes from the same window pass (no join back to stats)
+    j = (vc.withColumn("hi", F.sum("c").over(w)).withColumn("lo", F.col("hi") - F.col("c"))
+         .withColumn("count", F.sum("c").over(whole)))
     aggs = []
     for q in quantiles:
         pos = (F.col("count") - 1) * F.lit(float(q))

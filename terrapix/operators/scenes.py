@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from terrapix.operators.spatial import BOX, box_join, prefixed
 from terrapix.schema import STATUS_FAILED_DOWNLOAD, SearchWindow
+from terrapix.session import checkpoint_dir
 
 
 def _ts(value: str, like: DataFrame, col: str) -> Column:
@@ -82,12 +83,18 @@ def match_scenes(tasks: DataFrame, scenes: DataFrame, windows: list[SearchWindow
                      "s_")
         best = _best(box_join(prefixed(t, "t_"), s, coarse, "t_", "s_"))
     else:
-        remaining, parts = t, []
-        for w in sorted(windows, key=lambda x: x.priority):
+        # each tier's winners and the tasks still open are materialised (both
+        # at most one row per task) so tier k's plan does not contain tiers
+        # 1..k-1 again; the checkpoints live in the shared checkpoint folder
+        checkpoint_dir(tasks.sparkSession)
+        remaining, parts = t.checkpoint(eager=True), []
+        ws = sorted(windows, key=lambda x: x.priority)
+        for k, w in enumerate(ws):
             s = prefixed(_tier_scenes(scenes, w), "s_")
-            b = _best(box_join(prefixed(remaining, "t_"), s, coarse, "t_", "s_"))
+            b = _best(box_join(prefixed(remaining, "t_"), s, coarse, "t_", "s_")).checkpoint(eager=True)
             parts.append(b)
-            remaining = remaining.join(b.select("task_id"), "task_id", "left_anti")
+            if k < len(ws) - 1:
+                remaining = remaining.join(b.select("task_id"), "task_id", "left_anti").checkpoint(eager=True)
         best = parts[0]
         for b in parts[1:]:
             best = best.unionByName(b)
