@@ -22,15 +22,14 @@ def confusion_long(pred: DataFrame, label: str = "label", prediction: str = "pre
 
 def confusion_wide(pred: DataFrame, label: str = "label", prediction: str = "prediction",
                    classes=(0.0, 1.0)) -> DataFrame:
-    """One row per label, one count column per predicted class.
-
-    A pivot with the class list given up front (no extra distinct pass)."""
+    """One row per label, one count column per predicted class (F12): the
+    pivot written as conditional counts in a single aggregation (the class
+    list is known, so no distinct pass and no second aggregation stage)."""
     p = pred.select(F.col(label).cast("double").alias("label"),
                     F.col(prediction).cast("double").alias("prediction"))
-    wide = p.groupBy("label").pivot("prediction", list(classes)).agg(F.count(F.lit(1)))
-    names = {str(c): f"pred_{int(c)}" for c in classes}
-    wide = wide.withColumnsRenamed({k: v for k, v in names.items() if k in wide.columns})
-    return wide.fillna(0, subset=list(names.values())).orderBy("label")
+    return (p.groupBy("label")
+            .agg(*[F.count_if(F.col("prediction") == F.lit(float(c))).alias(f"pred_{int(c)}") for c in classes])
+            .orderBy("label"))
 
 
 def _per_class(conf: DataFrame) -> DataFrame:

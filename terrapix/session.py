@@ -18,6 +18,9 @@ _DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
+    # checkpoint files of unreachable Datasets are removed, so the shared
+    # checkpoint folder does not grow with every materialised intermediate
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
