@@ -454,3 +454,11 @@ ORACLE["worker_results"] = "SELECT task_id, status, polygon_count, crop_pixels,
 ORACLE["ready_events"] = with_(RESULTS) + """
 SELECT task_id, worker_id, 'parquet/task_' || CAST(task_id AS VARCHAR) AS s3_path, 10 AS c, 256 AS h, 256 AS w
 FROM results WHERE status = 'success'"""
+
+ORACLE["class_usage"] = with_(PIXELS, FEATURES, f"""used AS (SELECT * FROM valid
+ WHERE {u_sql(['patch_id', 'pixel_idx'], '42')} <
+   CASE WHEN label = 1 THEN 0.1::DOUBLE WHEN label = 0 THEN 0.025::DOUBLE ELSE 0.0::DOUBLE END)""") + """
+SELECT a.label, a.n_total, coalesce(b.n_used, 0) AS n_used,
+ round(coalesce(b.n_used, 0) * 100.0::DOUBLE / a.n_total, 6) AS pct_used
+FROM (SELECT CAST(label AS BIGINT) AS label, count(*) AS n_total FROM valid GROUP BY 1) a
+LEFT JOIN (SELECT CAST(label AS BIGINT) AS label, count(*) AS n_used FROM used GROUP BY 1) b USING (label)"""

@@ -534,3 +534,19 @@ def q_ready_events(spark, sf_dir):
     ev = msg.ready_events(r, shape=(10, 256, 256))
     return ev.select("task_id", "worker_id", "s3_path", F.col("shape")[0].alias("c"),
                      F.col("shape")[1].alias("h"), F.col("shape")[2].alias("w"))
+
+
+@register("class_usage")
+def q_class_usage(spark, sf_dir):
+    """per class, valid rows available, rows kept by the balancing sample, % used."""
+    full = feat.drop_invalid(features_v1(spark, sf_dir), feat.FEATURES_V1)
+    used = sampling.stratified_sample(full, {1: 0.1, 0: 0.025}, seed=42)
+    return profile.class_usage(full, used)
+
+
+@register("inventory")
+def q_inventory(spark, sf_dir):
+    """Parquet objects under the data folder (metadata only):
+    count and total MB, one row."""
+    from terrapix.sources import files
+    return files.inventory_summary(files.inventory(spark, sf_dir, ".parquet"))
