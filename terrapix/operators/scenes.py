@@ -83,18 +83,18 @@ def match_scenes(tasks: DataFrame, scenes: DataFrame, windows: list[SearchWindow
                      "s_")
         best = _best(box_join(prefixed(t, "t_"), s, coarse, "t_", "s_"))
     else:
-        # each tier's winners and the tasks still open are materialised (both
-        # at most one row per task) so tier k's plan does not contain tiers
-        # 1..k-1 again; the checkpoints live in the shared checkpoint folder
+        # each tier's winners (at most one row per task) are materialised, so
+        # the tasks still open after tier k are the tasks minus k small
+        # checkpointed tables - a linear plan that never re-runs an earlier
+        # tier's join; the checkpoints live in the shared checkpoint folder
         checkpoint_dir(tasks.sparkSession)
-        remaining, parts = t.checkpoint(eager=True), []
-        ws = sorted(windows, key=lambda x: x.priority)
-        for k, w in enumerate(ws):
+        t = t.checkpoint(eager=True)
+        remaining, parts = t, []
+        for w in sorted(windows, key=lambda x: x.priority):
             s = prefixed(_tier_scenes(scenes, w), "s_")
             b = _best(box_join(prefixed(remaining, "t_"), s, coarse, "t_", "s_")).checkpoint(eager=True)
             parts.append(b)
-            if k < len(ws) - 1:
-                remaining = remaining.join(b.select("task_id"), "task_id", "left_anti").checkpoint(eager=True)
+            remaining = remaining.join(b.select("task_id"), "task_id", "left_anti")
         best = parts[0]
         for b in parts[1:]:
             best = best.unionByName(b)

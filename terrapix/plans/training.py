@@ -15,7 +15,6 @@ from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from terrapix.operators import features as feat
 from terrapix.operators import metrics, ml, sampling
@@ -72,19 +71,3 @@ def train_and_evaluate(pixels: DataFrame, bands: BandSpec = DEFAULT_BANDS, fract
     pred.unpersist()
     bal.unpersist()
     return res
-
-
-def test_predictions(pixels: DataFrame, model, seed: int = 42, train_fraction: float = 0.8,
-                     fractions: dict | None = None, features=feat.FEATURES_V1) -> DataFrame:
-    bal = balanced_features(pixels, DEFAULT_BANDS, fractions, seed, features)
-    _, test = sampling.hash_split(bal, [train_fraction, 1 - train_fraction], seed)
-    return ml.score(model, test)
-
-
-def label_weights_frame(df: DataFrame) -> DataFrame:
-    """Per-class weight column from the imbalance rule (B22 -> K8)."""
-    w = metrics.class_weights(df)
-    return metrics.with_weight(df, w)
-
-
-__all__ = ["train_and_evaluate", "balanced_features", "TrainingResult", "F"]

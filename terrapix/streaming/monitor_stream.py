@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from terrapix.session import scratch_path
+
 from terrapix.functions.status import percent
 from terrapix.operators.monitor import _counter_aggs, _flags, normalize_results
 
@@ -31,8 +33,12 @@ def totals_from_workers(per_worker: DataFrame) -> DataFrame:
     return t.withColumns({"total_pixels": tot, "crop_ratio": F.round(percent("crop_pixels", tot), 6)})
 
 
-def run_monitor_stream(results_stream: DataFrame, out_dir: str, checkpoint: str,
+def run_monitor_stream(results_stream: DataFrame, out_dir: str, checkpoint: str | None,
                        available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
+    """Start the monitor: per-worker table overwritten and one totals
+    snapshot per micro-batch (replay-safe by batch id)."""
+    if checkpoint is None:  # default: a folder under the shared checkpoint dir
+        checkpoint = scratch_path(results_stream.sparkSession, "streams/monitor_stream")
     out = out_dir.rstrip("/")
 
     def batch(per_worker: DataFrame, epoch: int) -> None:

@@ -15,13 +15,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from terrapix.session import scratch_path
+
 from terrapix.plans.patch_production import produce
 from terrapix.schema import SearchWindow
 from terrapix.sources import messages
 
 
 def run_patch_stream(tasks_stream: DataFrame, parcels: DataFrame, scenes: DataFrame,
-                     windows: list[SearchWindow], out_dir: str, checkpoint: str,
+                     windows: list[SearchWindow], out_dir: str, checkpoint: str | None,
                      res: float, parcel_cell: float, scene_cell: float, worker_id: str = "spark",
                      available_now: bool = True, processing_time: str | None = None,
                      kafka_bootstrap: str | None = None) -> StreamingQuery:
@@ -29,6 +31,8 @@ def run_patch_stream(tasks_stream: DataFrame, parcels: DataFrame, scenes: DataFr
     present); bad messages go to ``rejects``. With ``kafka_bootstrap`` the
     ready events and results are also published to their topics (after the
     files, results last)."""
+    if checkpoint is None:  # default: a folder under the shared checkpoint dir
+        checkpoint = scratch_path(tasks_stream.sparkSession, "streams/patch_stream")
     out = out_dir.rstrip("/")
 
     def batch(df: DataFrame, epoch: int) -> None:
