@@ -55,6 +55,11 @@ def classification_report(pred: DataFrame, label: str = "label", prediction: str
     conf = (pred.groupBy(F.col(label).cast("double").alias("label"),
                          F.col(prediction).cast("double").alias("prediction"))
             .agg(F.count(F.lit(1)).alias("count")))
+    return report_from_confusion(conf, positive)
+
+
+def report_from_confusion(conf: DataFrame, positive: float = 1.0) -> DataFrame:
+    """The classification report from a (label, prediction, count) table."""
     pc = _per_class(conf)
     prec = F.when(F.col("predicted") > 0, F.col("tp") / F.col("predicted")).otherwise(0.0)
     rec = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(0.0)

@@ -91,14 +91,15 @@ def score(model: PipelineModel, df: DataFrame) -> DataFrame:
     return p.withColumn("p1", vector_to_array("probability")[1])
 
 
-def evaluate(pred: DataFrame, label: str = "label") -> dict:
+def evaluate(pred: DataFrame, label: str = "label", f1: bool = True) -> dict:
     """AUC and weighted F1 with MLlib's evaluators (F15, F16). ``pred``
     should be persisted by the caller: each evaluator is one pass."""
-    auc = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction",
-                                        metricName="areaUnderROC").evaluate(pred)
-    f1 = MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction",
-                                           metricName="f1").evaluate(pred)
-    return {"auc": auc, "f1": f1}
+    out = {"auc": BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction",
+                                                metricName="areaUnderROC").evaluate(pred)}
+    if f1:
+        out["f1"] = MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction",
+                                                      metricName="f1").evaluate(pred)
+    return out
 
 
 def importances(model: PipelineModel, features) -> DataFrame:

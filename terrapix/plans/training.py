@@ -62,10 +62,14 @@ def train_and_evaluate(pixels: DataFrame, bands: BandSpec = DEFAULT_BANDS, fract
     t = time.time()
     pred = ml.score(model, test).select("label", "prediction", "rawPrediction", "p1").persist(
         StorageLevel.MEMORY_AND_DISK)
-    res.metrics.update(ml.evaluate(pred))
-    res.confusion = [tuple(r) for r in metrics.confusion_long(pred).collect()]
-    rep = metrics.classification_report(pred).first().asDict()
-    res.metrics.update({k: rep[k] for k in ("accuracy", "f1_weighted")})
+    res.metrics.update(ml.evaluate(pred, f1=False))
+    # one aggregation of the predictions; every other metric reads that table
+    conf_rows = metrics.confusion_long(pred).collect()
+    res.confusion = [tuple(r) for r in conf_rows]
+    conf = pred.sparkSession.createDataFrame(conf_rows, "label double, prediction double, count long")
+    rep = metrics.report_from_confusion(conf).first().asDict()
+    res.metrics.update({k: rep[k] for k in ("accuracy", "f1_weighted", "weighted_precision", "weighted_recall")})
+    res.metrics["f1"] = rep["f1_weighted"]
     res.timings["evaluate"] = time.time() - t
     res.importances = [tuple(r) for r in ml.importances(model, features).collect()]
     pred.unpersist()

@@ -99,3 +99,15 @@ def test_label_filter_reaches_parquet_scan(spark, tmp_dir):
     plan = buf.getvalue()
     assert "In(label, [0,1])" in plan or "In(label, [0, 1])" in plan
     assert "ReadSchema: struct<band_1:bigint,band_2:bigint,band_4:bigint,band_8:bigint,label:bigint>" in plan
+
+
+def test_report_f1_equals_mllib_evaluator(spark):
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+
+    from terrapix.operators import metrics
+    rows = [(1.0, 1.0)] * 7 + [(1.0, 0.0)] * 3 + [(0.0, 0.0)] * 5 + [(0.0, 1.0)] * 4 + [(2.0, 0.0)] * 2
+    df = spark.createDataFrame(rows, "label double, prediction double")
+    ours = metrics.classification_report(df).first()
+    mllib = MulticlassClassificationEvaluator(metricName="f1").evaluate(df)
+    acc = MulticlassClassificationEvaluator(metricName="accuracy").evaluate(df)
+    assert ours.f1_weighted == pytest.approx(mllib) and ours.accuracy == pytest.approx(acc)
