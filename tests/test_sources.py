@@ -7,7 +7,6 @@ import struct
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from terrapix.schema import CLASS_MAP, RESULT_SCHEMA
 from terrapix.sources import files, gpkg, messages
