@@ -93,3 +93,21 @@ def test_score_stream_running_confusion(spark, tmp_dir):
     want = feat.drop_invalid(f.where(F.col("patch_id").isin("task_3_worker_0", "task_7_worker_1")),
                              feat.FEATURES_V1).count()
     assert got == want and want > 0
+
+
+def test_progress_stream_equals_batch(spark, tmp_dir):
+    from terrapix.streaming.progress_stream import run_progress_stream
+    res = derived.task_results(spark, SF_SMALL)
+    cut = res.orderBy("ts", "task_id").select("ts").collect()[400][0]
+    src = os.path.join(tmp_dir, "in")
+    _write_results_json(spark, res.where(F.col("ts") < cut), os.path.join(src, "p1"))
+    stream = messages.read_json_stream(spark, os.path.join(src, "*"), RESULT_SCHEMA)
+    out, ck = os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ck")
+    run_progress_stream(messages.valid(stream), out, ck, every=20).awaitTermination(120)
+    _write_results_json(spark, res.where(F.col("ts") >= cut), os.path.join(src, "p2"))
+    stream = messages.read_json_stream(spark, os.path.join(src, "*"), RESULT_SCHEMA)
+    run_progress_stream(messages.valid(stream), out, ck, every=20).awaitTermination(120)
+    got = spark.read.parquet(os.path.join(out, "snapshots")).drop("batch", "ts")
+    want = mon.progress(res, every=20).drop("ts")
+    assert got.count() == want.count() == res.count() // 20
+    assert got.exceptAll(want).count() == 0
