@@ -67,14 +67,14 @@ def report_from_confusion(conf: DataFrame, positive: float = 1.0) -> DataFrame:
     pc = pc.withColumn("f1", F.when(F.col("precision") + F.col("recall") > 0,
                                     2 * F.col("precision") * F.col("recall")
                                     / (F.col("precision") + F.col("recall"))).otherwise(0.0))
-    tot = F.sum("support")
+    tot = F.sum("support").cast("double")
     return pc.agg(
-        (F.sum("tp") / tot).alias("accuracy"),
+        F.try_divide(F.sum("tp"), tot).alias("accuracy"),
         F.max(F.when(F.col("cls") == positive, F.col("precision"))).alias("precision_pos"),
         F.max(F.when(F.col("cls") == positive, F.col("recall"))).alias("recall_pos"),
-        (F.sum(F.col("precision") * F.col("support")) / tot).alias("weighted_precision"),
-        (F.sum(F.col("recall") * F.col("support")) / tot).alias("weighted_recall"),
-        (F.sum(F.col("f1") * F.col("support")) / tot).alias("f1_weighted"),
+        F.try_divide(F.sum(F.col("precision") * F.col("support")), tot).alias("weighted_precision"),
+        F.try_divide(F.sum(F.col("recall") * F.col("support")), tot).alias("weighted_recall"),
+        F.try_divide(F.sum(F.col("f1") * F.col("support")), tot).alias("f1_weighted"),
     )
 
 
@@ -97,7 +97,7 @@ def auc_rank(pred: DataFrame, label: str = "label", score: str = "score",
     cum = running_totals(per_score, ["s"], ["neg"], n=n)
     contrib = F.col("pos") * (F.col("cum_neg") - F.col("neg") + F.col("neg") / 2.0)
     return cum.agg(
-        (F.sum(contrib) / (F.sum("pos").cast("double") * F.sum("neg").cast("double"))).alias("auc"),
+        F.try_divide(F.sum(contrib), F.sum("pos").cast("double") * F.sum("neg").cast("double")).alias("auc"),
         F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
 
 

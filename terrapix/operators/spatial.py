@@ -21,7 +21,9 @@ def coarse_span(lo: Column, hi: Column, size: float) -> Column:
 
 def explode_cells(df: DataFrame, size: float, prefix: str = "") -> DataFrame:
     x0, y0, x1, y1 = (F.col(f"{prefix}{c}") for c in BOX)
-    return (df.withColumn("_cx", F.explode(coarse_span(x0, x1, size)))
+    # a box with min > max (or a null corner) meets nothing
+    return (df.where((x0 <= x1) & (y0 <= y1))
+              .withColumn("_cx", F.explode(coarse_span(x0, x1, size)))
               .withColumn("_cy", F.explode(coarse_span(y0, y1, size))))
 
 

@@ -288,3 +288,32 @@ def test_pack_patches_ignores_duplicate_copies(spark):
     px = patches.explode_patches(df, 2)
     packed = patches.pack_patches(px.unionByName(px).unionByName(px), 2, 2, 2).collect()
     assert len(packed) == 1 and packed[0]["bands"] == bands and packed[0]["mask"] == [0, 1, 1, 0]
+
+
+def test_empty_inputs(spark):
+    """Operators return empty or null results on empty input, no error."""
+    from terrapix.operators import monitor
+    empty_pred = spark.createDataFrame([], "label double, prediction double, score double")
+    a = metrics.auc_rank(empty_pred, n=2).first()
+    assert a["auc"] is None
+    r = metrics.classification_report(empty_pred).first()
+    assert r is None or r["accuracy"] is None
+    assert metrics.confusion_wide(empty_pred).count() == 0
+    res = spark.createDataFrame([], "task_id long, worker_id string, status string, crop_pixels long, "
+                                "noncrop_pixels long, ts timestamp")
+    t = monitor.monitor_totals(res).first()
+    assert t["tasks"] == 0 and t["crop_ratio"] == 0.0 and t["tasks_per_sec"] == 0.0
+    assert monitor.progress(res, n=2).count() == 0
+    tasks = spark.createDataFrame([], "task_id long, xmin double, ymin double, xmax double, ymax double")
+    sc_ = spark.createDataFrame([], "scene_id long, scene_ts timestamp, cloud_cover double, xmin double, "
+                                "ymin double, xmax double, ymax double")
+    w = [SearchWindow(1, "p", "2024-01-01", "2024-02-01", 10.0)]
+    assert scenes.match_scenes(tasks, sc_, w, 10.0).count() == 0
+
+
+def test_invalid_box_meets_nothing(spark):
+    a = spark.createDataFrame([(1, 5.0, 5.0, 1.0, 1.0)], "id long, xmin double, ymin double, xmax double, "
+                              "ymax double")
+    b = spark.createDataFrame([(2, 0.0, 0.0, 10.0, 10.0)], "sid long, xmin double, ymin double, xmax double, "
+                              "ymax double")
+    assert box_join(prefixed(a, "l_"), prefixed(b, "r_"), 3.0).count() == 0
