@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrapix.functions.status import label_name
+from terrapix.operators.ordering import running_totals
 
 
 def class_share(pixels: DataFrame, label: str = "label", positive: int = 1) -> DataFrame:
@@ -60,9 +61,9 @@ def profile_columns(df: DataFrame, cols: list[str], name: str = "band",
     interpolation (pandas ``describe``) (F6).
 
     Exact quantiles without sorting a group in one task: values are first
-    counted per distinct value (partial aggregation; raster digital numbers
-    are uint16, so at most 65,536 rows per band survive), then running counts
-    over that small table locate the order statistics.
+    counted per distinct value (partial aggregation), then running counts in
+    (column, value) order - range-partitioned, so one column's distinct
+    values never have to fit in one task - locate the order statistics.
     """
     long = unpivot(df, cols, name, "value").where(F.col("value").isNotNull() & ~F.isnan("value"))
     stats = long.groupBy(name).agg(
@@ -71,11 +72,13 @@ def profile_columns(df: DataFrame, cols: list[str], name: str = "band",
         F.round(F.stddev_samp("value"), 6).alias("std"),
         F.min("value").alias("min"), F.max("value").alias("max"))
     vc = long.groupBy(name, "value").agg(F.count(F.lit(1)).alias("c"))
-    w = Window.partitionBy(name).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy(name)
-    # the per-band count comes from the same window pass (no join back to stats)
-    j = (vc.withColumn("hi", F.sum("c").over(w)).withColumn("lo", F.col("hi") - F.col("c"))
-         .withColumn("count", F.sum("c").over(whole)))
+    cum = running_totals(vc, [name, "value"], ["c"])
+    # per-column totals and offsets: one row per profiled column
+    tot = vc.groupBy(name).agg(F.sum("c").alias("count"))
+    before = Window.orderBy(name).rowsBetween(Window.unboundedPreceding, -1)
+    off = tot.select(name, "count", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_off"))
+    j = (cum.join(F.broadcast(off), name)
+         .withColumn("hi", F.col("cum_c") - F.col("_off")).withColumn("lo", F.col("hi") - F.col("c")))
     aggs = []
     for q in quantiles:
         pos = (F.col("count") - 1) * F.lit(float(q))
