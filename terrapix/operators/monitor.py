@@ -125,3 +125,8 @@ def dedupe_results(results: DataFrame, key: str = "task_id", ts: str = "ts") ->
 def every_nth(results: DataFrame, n: int = 5, key: str = "task_id") -> DataFrame:
     """The log sampling rule: messages whose task id is a multiple of n."""
     return results.where(F.col(key) % n == 0)
+
+
+def dedupe_patches(results: DataFrame) -> DataFrame:
+    """One result (and so one patch) per task: the latest."""
+    return dedupe_results(results, "task_id", "ts")

@@ -140,3 +140,9 @@ def density_2d(df: DataFrame, x: str, y: str, by: str = "label", bins: int = 20)
             .groupBy(F.col(by).cast("double").alias(by),
                      _bin(x, xlo, xhi, bins).alias("x_bin"), _bin(y, ylo, yhi, bins).alias("y_bin"))
             .agg(F.count(F.lit(1)).alias("count")))
+
+
+def profile_bands(pixels: DataFrame, bands: list[str] | None = None) -> DataFrame:
+    """F6 on the pixel table's band columns (all ``band_k`` by default)."""
+    cols = bands or [c for c in pixels.columns if c.startswith("band_")]
+    return profile_columns(pixels, cols, "band")

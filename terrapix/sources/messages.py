@@ -110,3 +110,36 @@ def ready_events(results: DataFrame, shape=(10, 256, 256)) -> DataFrame:
 
 
 SCHEMAS = {TASKS_TOPIC: TASK_SCHEMA, RESULTS_TOPIC: RESULT_SCHEMA, READY_TOPIC: READY_SCHEMA}
+
+
+# --- the bus endpoints under their pipeline names (A5-A9) ------------------------
+
+def read_task_stream(spark: SparkSession, bootstrap: str | None = None, path: str | None = None,
+                     min_partitions: int | None = None) -> DataFrame:
+    """Task messages as a decoded stream: Kafka when ``bootstrap`` is given,
+    else JSON lines under ``path``; reads from the earliest offset (A5)."""
+    if bootstrap:
+        return read_topic_stream(spark, TASKS_TOPIC, bootstrap, TASK_SCHEMA, "earliest", min_partitions)
+    return read_json_stream(spark, path, TASK_SCHEMA)
+
+
+def read_result_stream(spark: SparkSession, bootstrap: str | None = None, path: str | None = None) -> DataFrame:
+    """Result messages from the earliest offset, decoded."""
+    if bootstrap:
+        return read_topic_stream(spark, RESULTS_TOPIC, bootstrap, RESULT_SCHEMA, "earliest")
+    return read_json_stream(spark, path, RESULT_SCHEMA)
+
+
+def write_tasks(tasks: DataFrame, bootstrap: str) -> None:
+    """Publish task records keyed ``task_<id>``."""
+    write_topic(encode(tasks, task_key()), TASKS_TOPIC, bootstrap)
+
+
+def write_results(results: DataFrame, bootstrap: str) -> None:
+    """Publish result records (A8, batch form; the stream uses it per batch)."""
+    write_topic(encode(results), RESULTS_TOPIC, bootstrap)
+
+
+def write_ready(results: DataFrame, bootstrap: str) -> None:
+    """Publish image-ready records for successful patches only."""
+    write_topic(encode(ready_events(results)), READY_TOPIC, bootstrap)
