@@ -51,9 +51,10 @@ def _counter_aggs() -> list[Column]:
     ]
 
 
-def _elapsed_us(ts: str) -> tuple[Column, Column]:
-    us = F.unix_micros(F.col(ts).cast("timestamp"))
-    return F.min(us), F.max(us)
+def _elapsed_us(ts: str) -> Column:
+    """Microseconds between the first and last message; computed on the
+    values as stored, so a session time zone (and its DST) cannot shift it."""
+    return F.timestamp_diff("MICROSECOND", F.min(ts), F.max(ts))
 
 
 def monitor_totals(results: DataFrame, ts: str | None = "ts") -> DataFrame:
@@ -63,19 +64,18 @@ def monitor_totals(results: DataFrame, ts: str | None = "ts") -> DataFrame:
     f = _flags(normalize_results(results))
     aggs = _counter_aggs()
     if ts:
-        lo, hi = _elapsed_us(ts)
-        aggs += [lo.alias("_t0"), hi.alias("_t1")]
+        aggs.append(_elapsed_us(ts).alias("_us"))
     a = f.agg(*aggs)
     tot = F.col("crop_pixels") + F.col("noncrop_pixels")
     out = a.withColumns({"total_pixels": tot, "crop_ratio": F.round(percent("crop_pixels", tot), 6)})
     if ts:
-        el = (F.col("_t1") - F.col("_t0")) / F.lit(1e6)
+        el = F.col("_us") / F.lit(1e6)
         out = out.withColumns({
             "elapsed_s": F.round(el, 6),
             "elapsed_min": F.floor(el / 60).cast("bigint"),
             "elapsed_sec": F.floor(el % 60).cast("bigint"),
             "tasks_per_sec": F.round(rate("tasks", el), 6),
-        }).drop("_t0", "_t1")
+        }).drop("_us")
     return out
 
 
@@ -88,10 +88,9 @@ def monitor_by_worker(results: DataFrame) -> DataFrame:
 def worker_runtime(results: DataFrame, ts: str = "ts") -> DataFrame:
     """First/last message, run time and rate per worker."""
     f = normalize_results(results)
-    lo, hi = _elapsed_us(ts)
-    a = f.groupBy("worker_id").agg(F.count(F.lit(1)).alias("tasks"), lo.alias("_t0"), hi.alias("_t1"),
+    a = f.groupBy("worker_id").agg(F.count(F.lit(1)).alias("tasks"), _elapsed_us(ts).alias("_us"),
                                    F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"))
-    secs = (F.col("_t1") - F.col("_t0")) / F.lit(1e6)
+    secs = F.col("_us") / F.lit(1e6)
     return a.select("worker_id", "tasks", "first_ts", "last_ts", F.round(secs, 6).alias("seconds"),
                     F.round(rate("tasks", secs), 6).alias("tasks_per_sec"))
 
