@@ -62,29 +62,6 @@ def ring_edges(rings) -> Column:
     return F.flatten(F.transform(rings, ring_to_edges))
 
 
-def is_axis_box(rings, xmin, ymin, xmax, ymax) -> Column:
-    """True when the polygon is one axis-aligned rectangle equal to its
-    envelope (4 edges, each horizontal or vertical, corners on the envelope)."""
-    rings, x0, y0, x1, y1 = _c(rings), _c(xmin), _c(ymin), _c(xmax), _c(ymax)
-    r = rings[0]
-    on_corner = F.forall(r, lambda p: ((p["x"] == x0) | (p["x"] == x1)) & ((p["y"] == y0) | (p["y"] == y1)))
-    axis = F.forall(F.sequence(F.lit(0), F.size(r) - 2), lambda k: (r[k]["x"] == r[k + 1]["x"])
-                    | (r[k]["y"] == r[k + 1]["y"]))
-    return F.coalesce((F.size(rings) == 1) & (F.size(r) == 5) & on_corner & axis & (x0 < x1) & (y0 < y1),
-                      F.lit(False))
-
-
-def scanline_crossings(edges, y) -> Column:
-    """Sorted x positions where the horizontal line at ``y`` crosses the edges
-    (same half-open straddle rule as ``point_in_rings``). A point (x, y) is
-    inside iff an odd number of crossings lies strictly right of x, i.e. x is
-    in [xs[0], xs[1]) or [xs[2], xs[3]) or ..."""
-    edges, y = _c(edges), _c(y)
-    hit = F.filter(edges, lambda e: (e["y1"] > y) != (e["y2"] > y))
-    xs = F.transform(hit, lambda e: e["x1"] + (e["x2"] - e["x1"]) * (y - e["y1"]) / (e["y2"] - e["y1"]))
-    return F.array_sort(xs)
-
-
 # --- transverse Mercator (UTM) ---------------------------------------------
 # WGS84 ellipsoid and UTM constants (published, fixed values).
 WGS84_A = 6378137.0

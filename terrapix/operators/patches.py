@@ -9,10 +9,10 @@ code-generated JVM work, one pass per patch, no Python.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrapix.functions.geo import is_axis_box, ring_edges, scanline_crossings
+from terrapix.functions.geo import ring_edges
 from terrapix.schema import (MIN_POLYGONS_PATCH, STATUS_EMPTY_MASK, STATUS_FEW_POLYGONS,
                              STATUS_INVALID_SHAPE, STATUS_NO_BINARY, STATUS_SUCCESS)
 
@@ -176,56 +176,65 @@ def rasterize(pairs: DataFrame, key: tuple[str, ...] = ("task_id",), exact: bool
     multi-part polygons work; the envelope when ``exact=False`` or no rings);
     where polygons overlap, the later one (higher parcel_id) wins.
 
-    Scanline rasterisation: each polygon is expanded to the pixel rows of its
-    envelope; per row the sorted edge crossings give the inside spans, and
-    only inside pixels are generated. Work is proportional to the polygon's
-    height x edges plus its inside area - no per-pixel polygon test.
+    Scanline rasterisation as plain relational steps:
+      1. every non-horizontal edge is exploded over the pixel rows whose
+         centre line it crosses (half-open in y), and the crossing x is plain
+         arithmetic;
+      2. crossing rows are shuffled on (patch, pixel row) - not pixels;
+      3. a window over (patch, row, polygon) ordered by x pairs crossings
+         1-2, 3-4, ... into inside spans (even-odd);
+      4. spans become pixel columns and each pixel keeps the label of the
+         highest parcel_id.
+    Steps 3-4 group by supersets of (patch, row), so the one shuffle of step
+    2 serves them all, and a crowded patch is spread over its rows. The
+    closed-envelope mode (``exact=False``) emits its span directly.
 
     Returns sparse burned pixels: key, pixel_idx, mask_class.
     """
     p = pairs.where(F.col("binary_id").isNotNull())
     res = F.col("res")
-    r_lo = F.greatest(F.ceil((F.col("gy1") - F.col("ymax")) / res - 0.5), F.lit(0))
-    r_hi = F.least(F.floor((F.col("gy1") - F.col("ymin")) / res - 0.5), F.col("h") - 1)
     use_rings = exact and "rings" in pairs.columns
-    if use_rings:
-        p = p.withColumns({"_edges": ring_edges("rings"),
-                           "_box": is_axis_box("rings", "xmin", "ymin", "xmax", "ymax")})
-    rows = (p.where(r_lo <= r_hi)
-            .withColumn("_r", F.explode(F.sequence(r_lo.cast("int"), r_hi.cast("int")))))
-    cy = F.col("gy1") - (F.col("_r") + 0.5) * res
+    part = [F.col(k) for k in key] + [F.col("_r")]
 
     def col_of(x):  # first pixel column whose centre is >= x
         return F.ceil((x - F.col("gx0")) / res - 0.5)
 
     if use_rings:
-        xs = scanline_crossings("_edges", cy)
-        n_spans = F.floor(F.size(xs) / 2).cast("int")
-        spans = F.transform(F.sequence(F.lit(0), n_spans - 1), lambda k: F.struct(
-            F.greatest(col_of(xs[2 * k]), F.lit(0)).cast("int").alias("a"),
-            F.least(col_of(xs[2 * k + 1]) - 1, F.col("w") - 1).cast("int").alias("b")))
-        spans = F.when(n_spans > 0, spans)
-        scan_cols = F.flatten(F.transform(F.filter(spans, lambda s: s["a"] <= s["b"]),
-                                          lambda s: F.sequence(s["a"], s["b"])))
-        # rectangles: the same half-open rule, x in [xmin, xmax) on rows with
-        # ymin <= cy < ymax, from plain arithmetic (no per-row array work)
-        ba = F.greatest(col_of(F.col("xmin")), F.lit(0)).cast("int")
-        bb = F.least(col_of(F.col("xmax")) - 1, F.col("w") - 1).cast("int")
-        box_cols = F.when((ba <= bb) & (cy >= F.col("ymin")) & (cy < F.col("ymax")), F.sequence(ba, bb))
-        cols = F.when(F.col("_box"), box_cols).otherwise(scan_cols)
+        e = (p.select(*key, "parcel_id", "binary_id", "gx0", "gy1", "res", "h", "w",
+                      F.explode(ring_edges("rings")).alias("e"))
+             .where(F.col("e.y1") != F.col("e.y2")))
+        ylo = F.least("e.y1", "e.y2")
+        yhi = F.greatest("e.y1", "e.y2")
+        # rows whose centre cy = gy1 - (r + .5) * res satisfies ylo <= cy < yhi
+        r_lo = F.greatest(F.floor((F.col("gy1") - yhi) / res - 0.5) + 1, F.lit(0))
+        r_hi = F.least(F.floor((F.col("gy1") - ylo) / res - 0.5), F.col("h") - 1)
+        cross = (e.where(r_lo <= r_hi)
+                 .withColumn("_r", F.explode(F.sequence(r_lo.cast("int"), r_hi.cast("int")))))
+        cy = F.col("gy1") - (F.col("_r") + 0.5) * res
+        x = F.col("e.x1") + (F.col("e.x2") - F.col("e.x1")) * (cy - F.col("e.y1")) / (F.col("e.y2") - F.col("e.y1"))
+        cross = cross.select(*key, "_r", "parcel_id", "binary_id", "gx0", "res", "w", x.alias("_x"))
+        cross = cross.repartition(*part)
+        order = Window.partitionBy(*key, "_r", "parcel_id").orderBy("_x")
+        paired = cross.withColumn("_pair", F.floor((F.row_number().over(order) - 1) / 2))
+        spans = (paired.groupBy(*key, "_r", "parcel_id", "binary_id", "gx0", "res", "w", "_pair")
+                 .agg(F.min("_x").alias("_xa"), F.max("_x").alias("_xb"), F.count(F.lit(1)).alias("_n"))
+                 .where(F.col("_n") == 2))
+        a = F.greatest(col_of(F.col("_xa")), F.lit(0)).cast("int")
+        b = F.least(col_of(F.col("_xb")) - 1, F.col("w") - 1).cast("int")
+        px = spans.where(a <= b).select(*key, "_r", "parcel_id", "binary_id", "w",
+                                        F.explode(F.sequence(a, b)).alias("_c"))
     else:
-        # centre in [xmin, xmax] (closed envelope)
+        # closed envelope: centre in [xmin, xmax] x [ymin, ymax]
+        r_lo = F.greatest(F.ceil((F.col("gy1") - F.col("ymax")) / res - 0.5), F.lit(0))
+        r_hi = F.least(F.floor((F.col("gy1") - F.col("ymin")) / res - 0.5), F.col("h") - 1)
+        rows = (p.where(r_lo <= r_hi)
+                .withColumn("_r", F.explode(F.sequence(r_lo.cast("int"), r_hi.cast("int")))))
         a = F.greatest(col_of(F.col("xmin")), F.lit(0)).cast("int")
         b = F.least(F.floor((F.col("xmax") - F.col("gx0")) / res - 0.5), F.col("w") - 1).cast("int")
-        cols = F.when(a <= b, F.sequence(a, b))
-    # Shuffle the (polygon, pixel-row) span records - not the pixels - on
-    # (patch, row): hash partitioning on (key, row) already clusters the
-    # (key, row, col) groups, so the pixels are generated and reduced inside
-    # the receiving task with no second exchange, and even a crowded patch
-    # is spread over its rows.
-    spans_rows = rows.select(*key, "_r", "parcel_id", "binary_id", "w", cols.alias("_cols"))
-    px = (spans_rows.repartition(*[F.col(k) for k in key], F.col("_r"))
-          .select(*key, "_r", "parcel_id", "binary_id", "w", F.explode("_cols").alias("_c")))
+        spans = rows.where(a <= b).select(*key, "_r", "parcel_id", "binary_id", "w", a.alias("_a"), b.alias("_b"))
+        px = (spans.repartition(*part)
+              .select(*key, "_r", "parcel_id", "binary_id", "w",
+                      F.explode(F.sequence("_a", "_b")).alias("_c")))
     return (px.groupBy(*key, "_r", "_c")
             .agg(F.max_by("binary_id", "parcel_id").alias("mask_class"), F.first("w").alias("w"))
             .select(*key, (F.col("_r") * F.col("w") + F.col("_c")).cast("bigint").alias("pixel_idx"),
