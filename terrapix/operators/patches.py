@@ -262,8 +262,8 @@ def mask_counts(burned: DataFrame, grid: DataFrame, key: tuple[str, ...] = ("tas
 def full_mask(burned: DataFrame, grid: DataFrame, key: tuple[str, ...] = ("task_id",)) -> DataFrame:
     """Dense mask rows: key, pixel_idx, label (0/1, background 0) and
     nullable mask_class (null = background) (C6, Q4)."""
-    allpx = grid.select(*key, F.explode(F.sequence(F.lit(0), F.col("h") * F.col("w") - 1))
-                        .cast("bigint").alias("pixel_idx"))
+    allpx = (grid.select(*key, F.explode(F.sequence(F.lit(0), F.col("h") * F.col("w") - 1)).alias("pixel_idx"))
+             .withColumn("pixel_idx", F.col("pixel_idx").cast("bigint")))
     return (allpx.join(burned, [*key, "pixel_idx"], "left")
             .withColumn("label", F.coalesce(F.col("mask_class"), F.lit(0)).cast("bigint")))
 

@@ -317,3 +317,19 @@ def test_invalid_box_meets_nothing(spark):
     b = spark.createDataFrame([(2, 0.0, 0.0, 10.0, 10.0)], "sid long, xmin double, ymin double, xmax double, "
                               "ymax double")
     assert box_join(prefixed(a, "l_"), prefixed(b, "r_"), 3.0).count() == 0
+
+
+def test_rasterize_envelope_mode_and_full_mask(spark):
+    schema = "task_id long, parcel_id long, binary_id int, xmin double, ymin double, xmax double, ymax double"
+    pairs = spark.createDataFrame([(1, 1, 1, 0.0, 0.0, 3.0, 2.0), (1, 2, 0, 2.0, 1.0, 4.0, 4.0)], schema)
+    ringed = pairs.withColumn("rings", F.array(box_ring("xmin", "ymin", "xmax", "ymax")))
+    tasks = spark.createDataFrame([(1, 0.0, 0.0, 4.0, 4.0)], "task_id long, xmin double, ymin double, "
+                                  "xmax double, ymax double")
+    g = patches.pixel_grid(tasks, 1.0)
+    env = {(r.pixel_idx, r.mask_class) for r in patches.rasterize(pairs.join(g, "task_id"), exact=False).collect()}
+    ring = {(r.pixel_idx, r.mask_class) for r in patches.rasterize(ringed.join(g, "task_id")).collect()}
+    assert env == ring and len(env) == 11
+    dense = patches.full_mask(patches.rasterize(ringed.join(g, "task_id")), g).collect()
+    assert len(dense) == 16
+    assert sum(r.label for r in dense) == 5            # crop pixels not overwritten by parcel 2
+    assert sum(1 for r in dense if r.mask_class is None) == 5   # background stays distinguishable
