@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terrapix.llm import op1_token_file as op1
 from terrapix.llm import op3_toxicity, op7_quality, op8_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,3 +43,8 @@ def op7_quality_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_token_counts_two_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op8_token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
+@query
+def op1_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op1.token_table(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=2)
