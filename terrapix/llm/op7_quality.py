@@ -69,7 +69,7 @@ def chunk_stats(buf: np.ndarray, off: np.ndarray) -> dict[str, np.ndarray]:
     if len(h) > 1:
         echo[1:] = (h[1:] == h[:-1]) & (row_of[1:] == row_of[:-1])
     # lines with a word, equal to an earlier line of their row
-    line_s, line_e, line_row = _lines(buf, off)
+    line_s, line_e, line_row = tv.line_spans(buf, off)
     wordy = np.searchsorted(starts, line_s, "left") < np.searchsorted(starts, line_e, "left")
     line_s, line_e, line_row = line_s[wordy], line_e[wordy], line_row[wordy]
     key = tv.span_hashes(buf, line_s, line_e, lower=False) ^ salt[line_row] if len(line_s) else np.zeros(0, np.uint64)
@@ -83,20 +83,6 @@ def chunk_stats(buf: np.ndarray, off: np.ndarray) -> dict[str, np.ndarray]:
     }
 
 
-def _lines(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and row of every line (the text between line feeds)."""
-    feeds = np.flatnonzero(buf == 0x0A)
-    starts = np.concatenate([off[:-1], feeds + 1])
-    rows = np.concatenate([np.arange(len(off) - 1), np.searchsorted(off, feeds, "right") - 1])
-    order = np.lexsort((starts, rows))
-    starts, rows = starts[order], rows[order]
-    ends = np.empty_like(starts)
-    ends[:-1] = np.where(rows[1:] == rows[:-1], starts[1:] - 1, off[rows[:-1] + 1])
-    if len(ends):
-        ends[-1] = off[rows[-1] + 1]
-    return starts, ends, rows
-
-
 def batch_stats(texts: pa.Array) -> dict[str, np.ndarray]:
     parts = [chunk_stats(buf, off) for _, _, buf, off in tv.chunks(texts)]
     return {k: np.concatenate([p[k] for p in parts]).astype(np.int64) if parts else np.zeros(0, np.int64) for k in BASE + EXTRA}

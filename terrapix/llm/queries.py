@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrapix.llm import op1_token_file as op1
-from terrapix.llm import op3_toxicity, op7_quality, op8_token_counts
+from terrapix.llm import op3_toxicity, op5_line_dedup, op6_decontaminate, op7_quality, op8_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -48,3 +48,50 @@ def op8_token_counts_two_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op1.token_table(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=2)
+
+
+_FOLD = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+
+@query
+def op5_line_dedup_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, (lines, dropped) = op5_line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), at_least=10, min_chars=1)
+    return docs.select("doc_id", F.col(lines).alias("n_lines"), F.col(dropped).alias("n_dropped"), F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+ORACLE["op5_line_dedup_runs"] = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT rid, doc_id, i, lines[i] AS line,
+             translate(trim(lines[i], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), {_FOLD}) AS key
+      FROM (SELECT *, unnest(range(1, len(lines) + 1)) AS i FROM d)),
+f AS (SELECT key FROM l WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT rid) >= 10),
+m AS (SELECT l.*, f.key IS NOT NULL AS gone FROM l LEFT JOIN f USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM m GROUP BY rid, doc_id
+"""
+
+
+@query
+def op6_decontaminate_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = op6_decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                      F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+_WORDS6 = f"regexp_extract_all(translate(coalesce(text, ''), {_FOLD}), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+ORACLE["op6_decontaminate_automaton"] = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS6} AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS6} AS w FROM benchmark),
+iw AS (SELECT DISTINCT item, least(len(w), 10) AS k, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS win
+       FROM (SELECT *, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+ks AS (SELECT DISTINCT k FROM iw),
+dw AS (SELECT rid, k, i, array_to_string(w[i:i + k - 1], ' ') AS win
+       FROM (SELECT rid, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, ks WHERE len(w) >= k)),
+h AS (SELECT DISTINCT rid, k, i, item FROM dw JOIN iw USING (k, win)),
+hits AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(i, i + k)) AS p FROM h) GROUP BY rid),
+items AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT rid, item FROM h) GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hits USING (rid) LEFT JOIN items USING (rid)
+"""

@@ -25,9 +25,9 @@ NOT_ALNUM[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x
 _MUL = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INV = np.uint64(pow(int(_MUL), -1, 1 << 64))
 _rng = np.random.default_rng(20240229)
-_BYTES = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
+_BYTES = _rng.integers(1, 1 << 63, (2, 256), dtype=np.uint64) | np.uint64(1)  # two independent hash functions
 _BYTES_LOWER = _BYTES.copy()
-_BYTES_LOWER[0x41:0x5B] = _BYTES[0x61:0x7B]
+_BYTES_LOWER[:, 0x41:0x5B] = _BYTES[:, 0x61:0x7B]
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
@@ -79,11 +79,14 @@ def chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int
         i = j
 
 
-def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool) -> np.ndarray:
-    """64-bit hash of each byte span; ``lower`` folds A-Z."""
+def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool, which: int = 0) -> np.ndarray:
+    """64-bit hash of each byte span; ``lower`` folds A-Z.  ``which`` names one
+    of two independent functions, for 128-bit keys."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
     up, down = _power_tables(len(buf))
     run = np.zeros(len(buf) + 1, np.uint64)
-    np.cumsum((_BYTES_LOWER if lower else _BYTES)[buf] * up[:len(buf)], out=run[1:])
+    np.cumsum((_BYTES_LOWER if lower else _BYTES)[which][buf] * up[:len(buf)], out=run[1:])
     h = (run[ends] - run[starts]) * down[starts]
     return mix(h + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
@@ -127,6 +130,21 @@ def window_rows(first: np.ndarray, n: int, total: int) -> np.ndarray:
     return ok
 
 
+def line_spans(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and row of every line (the text between line feeds); an
+    empty row has one empty line."""
+    feeds = np.flatnonzero(buf == 0x0A)
+    starts = np.concatenate([off[:-1], feeds + 1])
+    rows = np.concatenate([np.arange(len(off) - 1), np.searchsorted(off, feeds, "right") - 1])
+    order = np.lexsort((starts, rows))
+    starts, rows = starts[order], rows[order]
+    ends = np.empty_like(starts)
+    ends[:-1] = np.where(rows[1:] == rows[:-1], starts[1:] - 1, off[rows[:-1] + 1])
+    if len(ends):
+        ends[-1] = off[rows[-1] + 1]
+    return starts, ends, rows
+
+
 def per_row(cum: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Sums per row from values per byte or word."""
     run = np.zeros(len(cum) + 1, np.int64)
