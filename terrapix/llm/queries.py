@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrapix.llm import op1_token_file as op1
-from terrapix.llm import op3_toxicity, op5_line_dedup, op6_decontaminate, op7_quality, op8_token_counts
+from terrapix.llm import op2_jaccard_join, op3_toxicity, op5_line_dedup, op6_decontaminate, op7_quality, op8_token_counts, op9_sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -95,3 +95,33 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
        sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hits USING (rid) LEFT JOIN items USING (rid)
 """
+
+
+@query
+def op2_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op2_jaccard_join.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+_SPACE = "[\\x20\\x09-\\x0D]"
+ORACLE["op2_jaccard_components"] = f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), {_FOLD}), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT rid, array_to_string(w[i:i + 4], ' ') AS g
+      FROM (SELECT *, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT rid, count(*) AS n FROM s GROUP BY rid),
+j AS (SELECT x.rid AS a, y.rid AS b, count(*) AS k FROM s x JOIN s y USING (g) WHERE x.rid < y.rid GROUP BY ALL),
+e AS (SELECT a, b FROM j JOIN n na ON na.rid = a JOIN n nb ON nb.rid = b WHERE 100 * k >= 80 * (na.n + nb.n - k)),
+u AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+r AS (SELECT rid AS node, rid AS reach FROM d UNION SELECT r.node, u.b FROM r JOIN u ON r.reach = u.a)
+SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(t.doc_id) AS component_id
+FROM d LEFT JOIN n USING (rid) JOIN r ON r.node = d.rid JOIN d t ON t.rid = r.reach GROUP BY d.rid, d.doc_id
+"""
+
+
+@query
+def op9_sharding_hypergeometric(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 16).cast("long").alias("size"),
+        F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0)).cast("long").alias("text_crc32"))
+    out, shard, slot = op9_sharding.shuffle_into_shards(docs, 40)
+    return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), F.col(shard).alias("shard"), F.col(slot).alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
