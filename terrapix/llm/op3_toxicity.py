@@ -29,8 +29,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrapix.llm import textvec as tv
+from terrapix.llm.store import written
 
-PER_CLASS, MAX_WORDS, STEPS, RATE, L1, SEED = 4_000, 200_000, 160, 0.25, 2e-4, 3
+PER_CLASS, MAX_WORDS, STEPS, RATE, L1, SEED = 4_000, 5_000, 160, 0.25, 5e-3, 3
+#: share of the toxic bags in the likelihood
+TOXIC_SHARE = 0.2
 PREFIXES = (4, 5, 7)
 _BITS = 20
 _END = np.zeros(256, bool)
@@ -119,53 +122,76 @@ def _training_rows(docs: DataFrame, labels: DataFrame, label_col: str) -> DataFr
     return docs.join(F.broadcast(picked), "doc_id")  # 2 * PER_CLASS ids
 
 
-def _featurise(batches):
-    """Per training document: its distinct (sentence, feature hash) pairs."""
+def _bag(texts: pa.Array, i: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (sentence, feature hash) pairs of one document."""
+    one = [sentence_words(buf, off)[:2] for _, _, buf, off in tv.chunks(texts.slice(i, 1))]
+    h, s = one[0] if one else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    pairs = np.unique(np.column_stack([s, h.view(np.int64)]), axis=0) if len(h) else np.zeros((0, 2), np.int64)
+    return pairs[:, 0], np.ascontiguousarray(pairs[:, 1])
+
+
+def _document_counts(batches):
+    """Training documents of the batch that hold each feature, by label."""
     for b in batches:
-        hashes, sentences = [], []
-        for i in range(b.num_rows):
-            one = [sentence_words(buf, off)[:2] for _, _, buf, off in tv.chunks(b.column(1).slice(i, 1))]
-            h, s = one[0] if one else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-            keep = np.unique(np.column_stack([s, h.view(np.int64)]), axis=0) if len(h) else np.zeros((0, 2), np.int64)
-            sentences.append(keep[:, 0].astype(np.int32).tobytes())
-            hashes.append(np.ascontiguousarray(keep[:, 1]).tobytes())
-        yield pa.RecordBatch.from_arrays([b.column(2), pa.array(hashes, pa.binary()), pa.array(sentences, pa.binary())], ["label", "words", "sentences"])
+        labels = b.column(2).to_numpy(zero_copy_only=False)
+        for label in (0, 1):
+            rows = np.flatnonzero(labels == label).tolist()
+            words = [np.unique(_bag(b.column(1), i)[1]) for i in rows]
+            f, n = np.unique(np.concatenate(words), return_counts=True) if words else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(f), pa.array(n.astype(np.int64) * (1 - label)), pa.array(n.astype(np.int64) * label)], ["word", "clean", "toxic"])
+
+
+def _featurise(chosen):
+    """Per training document: its sentences and chosen features, and how many
+    sentences it has."""
+    def run(batches):
+        known = chosen.value
+        for b in batches:
+            hashes, sentences, counts = [], [], []
+            for i in range(b.num_rows):
+                s, h = _bag(b.column(1), i)
+                k = np.minimum(np.searchsorted(known, h), max(len(known) - 1, 0))
+                at = np.flatnonzero(known[k] == h) if len(known) else np.zeros(0, np.int64)
+                counts.append(int(s.max()) + 1 if len(s) else 1)
+                sentences.append(s[at].astype(np.int32).tobytes())
+                hashes.append(k[at].astype(np.int32).tobytes())
+            yield pa.RecordBatch.from_arrays([b.column(2), pa.array(hashes, pa.binary()), pa.array(sentences, pa.binary()), pa.array(counts, pa.int32())], ["label", "words", "sentences", "n"])
+    return run
 
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """Train on the bounded sample; the sample's words come to the driver."""
+    """Train on the bounded sample.  Features are chosen by Spark: the
+    ``MAX_WORDS`` whose share of documents differs most between the labels, of
+    those in three training documents or more.  Only these reach the driver."""
     thin = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    rows = _training_rows(thin, labels, label_col).mapInArrow(_featurise, "label int, words binary, sentences binary").collect()
+    rows = written(_training_rows(thin, labels, label_col).dropDuplicates(["doc_id"]).select("doc_id", "text", "label"), "toxicity-sample")
+    size = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+    if not size.get(0) or not size.get(1):
+        return Model.of(np.zeros(0, np.uint64), np.zeros(0), -6.0)
+    gap = F.abs(F.col("toxic") / size[1] - F.col("clean") / size[0])
+    words = (rows.mapInArrow(_document_counts, "word long, clean long, toxic long").groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+             .filter(F.col("clean") + F.col("toxic") >= 3).orderBy(gap.desc(), "word").limit(MAX_WORDS).select("word").toPandas()["word"].to_numpy(np.int64))
+    words = np.sort(words)
+    bags = rows.mapInArrow(_featurise(docs.sparkSession.sparkContext.broadcast(words)), "label int, words binary, sentences binary, n int").collect()
     # an order that does not depend on the partitioning
-    rows = sorted({(r["label"], bytes(r["words"]), bytes(r["sentences"])) for r in rows})
-    return train([(y, np.frombuffer(w, np.uint64), np.frombuffer(s, np.int32)) for y, w, s in rows])
+    bags = sorted((r["label"], bytes(r["words"]), bytes(r["sentences"]), r["n"]) for r in bags)
+    w, bias = train([(y, np.frombuffer(f, np.int32), np.frombuffer(s, np.int32), n) for y, f, s, n in bags], len(words))
+    kept = np.flatnonzero(w)
+    return Model.of(words.view(np.uint64)[kept], w[kept], bias)
 
 
-def train(bags: list[tuple[int, np.ndarray, np.ndarray]]) -> Model:
-    """Maximise the class-balanced noisy-or likelihood of (label, word hashes,
-    sentence numbers) bags by Adam steps with a soft threshold on weights."""
+def train(bags: list[tuple[int, np.ndarray, np.ndarray, int]], features: int) -> tuple[np.ndarray, float]:
+    """Maximise the class-weighted noisy-or likelihood of (label, feature
+    numbers, their sentences, number of sentences) bags by Adam steps with a
+    soft threshold on weights; returns the weights and the bias."""
     y = np.array([b[0] for b in bags], float)
-    if not len(y) or y.min() == y.max():
-        return Model.of(np.zeros(0, np.uint64), np.zeros(0), -6.0)
-    words, inverse = np.unique(np.concatenate([b[1] for b in bags]), return_inverse=True)
-    doc = np.repeat(np.arange(len(bags)), [len(b[1]) for b in bags])
-    # a word is worth a weight when it is in three training documents and commoner in toxic ones, or the reverse
-    pair = np.unique(doc * np.int64(len(words)) + inverse)
-    in_doc, in_word = pair // len(words), pair % len(words)
-    df = np.bincount(in_word, minlength=len(words))
-    share = np.bincount(in_word, y[in_doc], minlength=len(words)) / y.sum() - np.bincount(in_word, 1 - y[in_doc], minlength=len(words)) / (1 - y).sum()
-    order = np.argsort(-np.abs(share) * (df >= 3), kind="stable")[:MAX_WORDS]
-    keep = np.zeros(len(words), bool)
-    keep[order[df[order] >= 3]] = True
-    new = np.cumsum(keep) - 1
-    sizes = [int(b[2].max()) + 1 if len(b[2]) else 1 for b in bags]
+    sizes = np.array([b[3] for b in bags], np.int64)
     base = np.concatenate([[0], np.cumsum(sizes)])
-    sentence = np.concatenate([b[2].astype(np.int64) for b in bags]) + base[doc]
-    used = keep[inverse]
-    sentence, index = sentence[used], new[inverse[used]]
+    index = np.concatenate([b[1] for b in bags]).astype(np.int64)
+    sentence = np.concatenate([b[2].astype(np.int64) + base[i] for i, b in enumerate(bags)])
     bag_of = np.repeat(np.arange(len(bags)), sizes)
-    weight = np.where(y > 0, 0.5 / y.sum(), 0.5 / (1 - y).sum())
-    w, bias = np.zeros(int(keep.sum())), -5.0
+    weight = np.where(y > 0, TOXIC_SHARE / y.sum(), (1 - TOXIC_SHARE) / (1 - y).sum())
+    w, bias = np.zeros(features), -5.0
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     for step in range(1, STEPS + 1):
         z = bias + np.bincount(sentence, w[index], minlength=base[-1])
@@ -180,9 +206,8 @@ def train(bags: list[tuple[int, np.ndarray, np.ndarray]]) -> Model:
         c1, c2 = 1 - 0.9 ** step, 1 - 0.99 ** step
         w += RATE * (m / c1) / (np.sqrt(v / c2) + 1e-4)
         bias += RATE * (mb / c1) / (np.sqrt(vb / c2) + 1e-4)
-        w = np.sign(w) * np.maximum(np.abs(w) - RATE * L1 * 10, 0.0)
-    kept = np.flatnonzero(w)
-    return Model.of(words[keep][kept], w[kept], bias)
+        w = np.sign(w) * np.maximum(np.abs(w) - RATE * L1, 0.0)
+    return w, bias
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
