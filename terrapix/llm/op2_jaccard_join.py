@@ -89,12 +89,13 @@ def _first_pass(batches):
         none = lambda k: pa.nulls(k, pa.int64())
         yield pa.RecordBatch.from_arrays([
             pa.concat_arrays([b.column(0), pa.nulls(m, b.column(0).type)]),
+            pa.concat_arrays([b.column(2), none(m)]),
             pa.concat_arrays([pa.array([len(s) for s in sets], pa.int64()), none(m)]),
             pa.concat_arrays([pa.array([p[0] for p in prints], pa.int64()), none(m)]),
             pa.concat_arrays([pa.array([p[1] for p in prints], pa.int64()), none(m)]),
             pa.concat_arrays([none(n), pa.array(shingle, pa.int64())]),
             pa.concat_arrays([none(n), pa.array(times.astype(np.int64), pa.int64())]),
-        ], ["doc_id", "n", "hi", "lo", "shingle", "times"])
+        ], ["doc_id", "tie", "n", "hi", "lo", "shingle", "times"])
 
 
 class Order:
@@ -238,18 +239,17 @@ def _verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     return written(both.mapInArrow(_similar, "a long, b long"), "jaccard-links")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id and node (the set's fingerprint) of
-    every row."""
-    thin = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+def _grouped(thin: DataFrame) -> DataFrame:
+    """Of (doc_id, text, tie): doc_id, tie, n, node (the set's fingerprint) and
+    group (the component's smallest node, null without shingles) of every row."""
     texts = thin.select("text")
-    spark = docs.sparkSession
+    spark = thin.sparkSession
     kind = thin.schema["doc_id"].dataType.simpleString()
-    first = written(thin.mapInArrow(_first_pass, f"doc_id {kind}, n long, hi long, lo long, shingle long, times long"), "jaccard-docs")
+    first = written(thin.mapInArrow(_first_pass, f"doc_id {kind}, tie long, n long, hi long, lo long, shingle long, times long"), "jaccard-docs")
     often = (first.filter(F.col("shingle").isNotNull()).groupBy("shingle").agg(F.sum("times").alias("times"))
              .orderBy(F.desc("times"), "shingle").limit(FREQUENT).toPandas())
     order = spark.sparkContext.broadcast(Order(often["shingle"].to_numpy(np.int64).view(np.uint64), often["times"].to_numpy(np.int64)))
-    members = first.filter(F.col("n").isNotNull()).select("doc_id", "n", F.col("hi").alias("node"))
+    members = first.filter(F.col("n").isNotNull()).select("doc_id", "tie", "n", F.col("hi").alias("node"))
     # distinct sets, each with its prefix
     nodes = (texts.mapInArrow(_prefixes(order), "hi long, lo long, n int, need int, prefix binary")
              .groupBy("hi", "lo").agg(F.first("n").alias("n"), F.first("need").alias("need"), F.first("prefix").alias("prefix")))
@@ -276,7 +276,38 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             .filter(enough).select("a", "b").join(tried, ["a", "b"], "left_anti"))
     more = _verified(texts, written(rest, "jaccard-rest"))
     final = components(links.unionByName(more))
-    grouped = members.join(final, "node", "left").withColumn("group", F.when(F.col("n") > 0, F.coalesce("root", "node")))
+    return members.join(final, "node", "left").withColumn("group", F.when(F.col("n") > 0, F.coalesce("root", "node"))).select("doc_id", "tie", "n", "node", "group")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_shingles and component_id of every row."""
+    grouped = _grouped(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.lit(0).cast("long").alias("tie")))
     smallest = written(grouped.filter("group is not null").groupBy("group").agg(F.min("doc_id").alias("least")), "jaccard-least")
     return (grouped.join(smallest, "group", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("group").isNotNull(), F.col("least")).otherwise(F.col("doc_id")).alias("component_id"), "node"))
+            .select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("group").isNotNull(), F.col("least")).otherwise(F.col("doc_id")).alias("component_id")))
+
+
+#: rows to remove that may be broadcast (16 bytes each)
+REMOVED = 1_000_000
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each group of near duplicates: the one with the
+    smallest id (and, of equal ids, the smallest text hash).  Rows without
+    shingles stay, also when their texts are equal."""
+    tie = "tie"
+    while tie in docs.columns:
+        tie += "_"
+    key = docs.withColumn(tie, F.xxhash64(F.col(text_col), F.col(id_col)))
+    rows = written(_grouped(key.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(tie).alias("tie"))), "jaccard-rows").filter("group is not null")
+    best = rows.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tie")).alias("best"))
+    placed = rows.join(best, "group").withColumn("stays", F.col("best.tie") == F.col("tie"))
+    out = written(placed.filter("not stays").select(F.col("tie").alias(tie)).distinct(), "jaccard-removed")
+    small = out.count() <= REMOVED
+    left = key.join(F.broadcast(out) if small else out, tie, "left_anti")
+    # the row that stays may itself be repeated
+    many = written(placed.filter("stays").groupBy(F.col("tie").alias(tie)).count().filter("count > 1").select(tie), "jaccard-repeated")
+    if not many.isEmpty():
+        single = left.join(many, tie, "left_semi").dropDuplicates([tie])
+        left = left.join(many, tie, "left_anti").unionByName(single)
+    return left.select(*docs.columns)

@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from terrapix.llm import op1_token_file as op1
-from terrapix.llm import op2_jaccard_join, op3_toxicity, op5_line_dedup, op6_decontaminate, op7_quality, op8_token_counts, op9_sharding
+from terrapix.llm import op2_jaccard_join, op3_toxicity, op4_sentencepiece, op5_line_dedup, op6_decontaminate, op7_quality, op8_token_counts, op9_sharding, op10_secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -125,3 +126,25 @@ def op9_sharding_hypergeometric(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0)).cast("long").alias("text_crc32"))
     out, shard, slot = op9_sharding.shuffle_into_shards(docs, 40)
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), F.col(shard).alias("shard"), F.col(slot).alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op4_sentencepiece_fst(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, (ids, decoded) = op4_sentencepiece.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path("piece_bpe_32k.model"), with_decoded=True)
+    return docs.select("doc_id", (F.octet_length(ids) / 4).cast("long").alias("n_tokens"), F.crc32(ids).alias("ids_crc32"),
+                       (F.col(decoded) == F.coalesce("text", F.lit(""))).alias("round_trip"))
+
+
+@query
+def op10_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = op10_secrets.scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "start", "end", F.sha2(F.col("value").cast("binary"), 256).alias("secret_sha256"), F.round("score", 6).alias("score"))
+
+
+def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES["pipeline"] = _pipeline
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
