@@ -25,4 +25,4 @@ def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFr
     path = new_folder(spark, name)
     w = df.write.mode("overwrite")
     (w.partitionBy(partition_by) if partition_by else w).parquet(path)
-    return spark.read.schema(df.schema).parquet(path) if not partition_by else spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
