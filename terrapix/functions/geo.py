@@ -28,6 +28,12 @@ def bbox_overlap(a: tuple, b: tuple) -> Column:
     return (axmin <= bxmax) & (axmax >= bxmin) & (aymin <= bymax) & (aymax >= bymin)
 
 
+def _corners(ring: Column) -> Column:
+    """0..n-1 of a ring's points. The edge after the last point leads back to
+    the first: it closes an open ring and has no length in a closed one."""
+    return F.when(F.size(ring) > 0, F.sequence(F.lit(0), F.size(ring) - 1)).otherwise(F.array().cast("array<int>"))
+
+
 def point_in_rings(px, py, rings) -> Column:
     """Even-odd ray test over every edge of every ring (E5).
 
@@ -44,9 +50,7 @@ def point_in_rings(px, py, rings) -> Column:
         return F.when(straddles, px < x_at).otherwise(F.lit(False))
 
     def ring_parity(acc, ring):
-        return F.aggregate(
-            F.sequence(F.lit(0), F.size(ring) - 2), acc,
-            lambda a, k: a != crossing(ring[k], ring[k + 1]))
+        return F.aggregate(_corners(ring), acc, lambda a, k: a != crossing(ring[k], ring[(k + 1) % F.size(ring)]))
 
     return F.when(F.size(rings) > 0, F.aggregate(rings, F.lit(False), ring_parity)).otherwise(F.lit(False))
 
@@ -56,9 +60,10 @@ def ring_edges(rings) -> Column:
     rings = _c(rings)
 
     def ring_to_edges(ring):
-        return F.transform(F.sequence(F.lit(0), F.size(ring) - 2), lambda k: F.struct(
-            ring[k]["x"].alias("x1"), ring[k]["y"].alias("y1"),
-            ring[k + 1]["x"].alias("x2"), ring[k + 1]["y"].alias("y2")))
+        def edge(k):
+            to = ring[(k + 1) % F.size(ring)]
+            return F.struct(ring[k]["x"].alias("x1"), ring[k]["y"].alias("y1"), to["x"].alias("x2"), to["y"].alias("y2"))
+        return F.transform(_corners(ring), edge)
     return F.flatten(F.transform(rings, ring_to_edges))
 
 

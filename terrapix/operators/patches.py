@@ -27,10 +27,16 @@ def explode_patches(patches: DataFrame, n_bands: int, layout: str = "pixel",
 
     The arrays are zipped once and inlined, so each pixel row is built without
     carrying the whole patch along (explode + element_at would copy the
-    arrays into every generated row).
+    arrays into every generated row). A patch whose number of bands is not
+    ``n_bands`` raises; an empty raster yields no rows.
     """
+    bad = F.raise_error(F.concat(F.lit("patch "), F.col(keep[0]).cast("string"), F.lit(" has "),
+                                 F.size("bands").cast("string"), F.lit(f" bands, expected {n_bands}")))
+    patches = patches.withColumn("bands", F.when(F.size("bands") == n_bands, F.col("bands"))
+                                 .otherwise(bad.cast(patches.schema["bands"].dataType)))
     npx = F.size(F.col("bands")[0])
-    idx = F.sequence(F.lit(0), npx - 1)
+    # an empty band has no pixels (sequence(0, -1) would count down)
+    idx = F.when(npx > 0, F.sequence(F.lit(0), npx - 1)).otherwise(F.array().cast("array<int>"))
     if layout == "pixel":
         per_band = [F.col("bands")[k] for k in range(n_bands)]
     elif layout == "buffer":
@@ -40,7 +46,7 @@ def explode_patches(patches: DataFrame, n_bands: int, layout: str = "pixel",
         per_band = [pick(k) for k in range(n_bands)]
     else:
         raise ValueError(f"unknown layout {layout!r}")
-    z = F.arrays_zip(idx.alias("pixel_idx"), F.col("mask").alias("label"),
+    z = F.arrays_zip(idx.alias("pixel_idx"), F.when(npx > 0, F.col("mask")).otherwise(F.array().cast("array<int>")).alias("label"),
                      *[b.alias(f"band_{k}") for k, b in enumerate(per_band)])
     out = patches.select(*keep, F.inline(z))
     return out.withColumns({"pixel_idx": F.col("pixel_idx").cast("bigint"),
@@ -51,27 +57,48 @@ def _field(arr: str, name: str) -> Column:
     return F.transform(arr, lambda s: s[name])
 
 
-def pack_patches(pixels: DataFrame, n_bands: int, h: int, w: int) -> DataFrame:
+def pack_patches(pixels: DataFrame, n_bands: int, h: int | None = None, w: int | None = None,
+                 sizes: DataFrame | None = None, fill: float = 0.0) -> DataFrame:
     """Inverse of ``explode_patches`` (C3): pixel rows -> band-major arrays.
 
-    Copies of a pixel (a patch written twice) are first reduced on
-    (patch_id, pixel_idx) - a partial aggregation spread over all tasks even
-    when one patch has many copies - so each patch then gathers at most
-    h * w rows, a bound set by the raster shape, not by the data volume.
-    ``array_sort`` on the pixel index restores the raster order.
+    Every patch has its own size: ``sizes`` (patch_id, h, w), or one h, w for
+    all. Values stand at their pixel index; a missing pixel gets ``fill`` in
+    every band and mask 0 (C10), so nothing shifts. What does not fit is
+    counted, never dropped unseen: ``n_missing`` pixels absent, ``n_extra``
+    pixel rows outside the raster, ``n_conflicts`` pixels whose copies differ
+    (the latest copy by ``ts`` wins when that column exists, else the largest
+    values - one result whatever the partitioning).
+
+    Copies of a pixel are first reduced on (patch_id, pixel_idx), a partial
+    aggregation spread over all tasks, so each patch gathers at most h * w
+    rows, a bound set by the raster shape, not by the data volume.
     """
     bands = [f"band_{k}" for k in range(n_bands)]
-    one = (pixels.groupBy("patch_id", "pixel_idx")
-           .agg(F.max(F.struct("label", *bands)).alias("_v"))
-           .where((F.col("pixel_idx") >= 0) & (F.col("pixel_idx") < h * w)))
-    px = F.array_sort(F.collect_list(F.struct(
-        F.col("pixel_idx").alias("i"), F.col("_v.label").alias("m"),
-        *[F.col(f"_v.{b}").alias(f"b{k}") for k, b in enumerate(bands)])))
-    g = one.groupBy("patch_id").agg(px.alias("px"))
-    return g.select(
-        "patch_id", F.lit(n_bands).alias("n_bands"), F.lit(h).alias("h"), F.lit(w).alias("w"),
+    if sizes is None:
+        if h is None or w is None:
+            raise ValueError("pack_patches needs sizes or h and w")
+        sizes = pixels.select("patch_id").distinct().select("patch_id", F.lit(h).alias("h"), F.lit(w).alias("w"))
+    values = F.struct("label", *bands)
+    order = F.struct("ts", values.alias("v")) if "ts" in pixels.columns else F.struct(values.alias("v"))
+    one = pixels.groupBy("patch_id", "pixel_idx").agg(
+        F.max(order)["v"].alias("_v"), (~F.max(values).eqNullSafe(F.min(values))).alias("_differs"))
+    last = F.col("h") * F.col("w") - 1
+    wanted = sizes.select("patch_id", "h", "w", F.explode(
+        F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))).alias("_i"))
+    placed = wanted.join(one.withColumnRenamed("pixel_idx", "_i"), ["patch_id", "_i"], "left")
+    item = F.struct(F.col("_i").alias("i"), F.coalesce("_v.label", F.lit(0)).cast("int").alias("m"),
+                    *[F.when(F.col("_v").isNull(), F.lit(float(fill))).otherwise(F.col(f"_v.{b}")).alias(f"b{k}")
+                      for k, b in enumerate(bands)])
+    g = placed.groupBy("patch_id", "h", "w").agg(
+        F.array_sort(F.collect_list(item)).alias("px"), F.count_if(F.col("_v").isNull()).alias("n_missing"),
+        F.count_if("_differs").alias("n_conflicts"))
+    extra = (one.join(sizes, "patch_id").where((F.col("pixel_idx") < 0) | (F.col("pixel_idx") > last))
+             .groupBy("patch_id").agg(F.count(F.lit(1)).alias("n_extra")))
+    return g.join(extra, "patch_id", "left").select(
+        "patch_id", F.lit(n_bands).alias("n_bands"), "h", "w",
         F.array(*[_field("px", f"b{k}") for k in range(n_bands)]).alias("bands"),
-        F.transform("px", lambda s: s["m"].cast("int")).alias("mask"))
+        _field("px", "m").alias("mask"),
+        "n_missing", F.coalesce("n_extra", F.lit(0)).cast("bigint").alias("n_extra"), "n_conflicts")
 
 
 def fill_missing(patches: DataFrame, value: float = 0.0) -> DataFrame:

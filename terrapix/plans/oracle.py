@@ -314,14 +314,16 @@ SELECT patch_id, CAST(o AS BIGINT) AS pixel_idx, CASE WHEN (CASE WHEN e[rr * 4 +
  THEN 1 ELSE 0 END AS mask
 FROM pat, idx"""
 
-RASTER = """tpairs AS (SELECT t.task_id, p.parcel_id, p.binary_id, l.xmin, l.ymin, l.xmax, l.ymax
+# candidate pixels come from each parcel's box clipped to its task (rows, then
+# columns), widened by one against rounding; the exact test follows
+RASTER = """tpairs AS (SELECT t.task_id, p.parcel_id, p.binary_id, l.xmin, l.ymin, l.xmax, l.ymax, t.xmin AS gx, t.ymax AS gy
  FROM pairs p JOIN tasks t USING (i, j) JOIN looked l USING (parcel_id) WHERE p.binary_id IS NOT NULL),
-px AS (SELECT t.task_id, r.k AS pixel_idx, t.xmin + (r.k % 20) + 0.5 AS cx, t.ymax - (r.k // 20) - 0.5 AS cy
- FROM tasks t, (SELECT unnest(range(0, 400)) AS k) r),
+prow AS (SELECT *, unnest(range(CAST(greatest(0, floor(gy - ymax) - 1) AS BIGINT), CAST(least(19, ceil(gy - ymin) + 1) AS BIGINT) + 1)) AS r FROM tpairs),
+pcol AS (SELECT *, unnest(range(CAST(greatest(0, floor(xmin - gx) - 1) AS BIGINT), CAST(least(19, ceil(xmax - gx) + 1) AS BIGINT) + 1)) AS c FROM prow),
+px AS (SELECT *, gx + c + 0.5 AS cx, gy - r - 0.5 AS cy FROM pcol),
 burned AS (
- SELECT px.task_id, px.pixel_idx, max_by(tp.binary_id, tp.parcel_id) AS mask_class
- FROM tpairs tp JOIN px ON px.task_id = tp.task_id AND px.cx >= tp.xmin AND px.cx <= tp.xmax
-  AND px.cy >= tp.ymin AND px.cy <= tp.ymax
+ SELECT px.task_id, px.r * 20 + px.c AS pixel_idx, max_by(px.binary_id, px.parcel_id) AS mask_class
+ FROM px WHERE px.cx >= px.xmin AND px.cx <= px.xmax AND px.cy >= px.ymin AND px.cy <= px.ymax
  GROUP BY 1, 2),
 masks AS (
  SELECT t.task_id, coalesce(b.crop, 0) AS crop_pixels, 400 - coalesce(b.crop, 0) AS noncrop_pixels,
@@ -440,20 +442,41 @@ def _edge(x1, y1, x2, y2):
             f"THEN px.cx < {x1} + ({x2} - {x1}) * (px.cy - {y1}) / ({y2} - {y1}) ELSE false END AS INTEGER)")
 
 
-_CX, _CY = "((tp.xmin + tp.xmax) / 2)", "((tp.ymin + tp.ymax) / 2)"
-_DIAMOND = " + ".join([_edge(_CX, "tp.ymin", "tp.xmax", _CY), _edge("tp.xmax", _CY, _CX, "tp.ymax"),
-                       _edge(_CX, "tp.ymax", "tp.xmin", _CY), _edge("tp.xmin", _CY, _CX, "tp.ymin")])
+_CX, _CY = "((px.xmin + px.xmax) / 2)", "((px.ymin + px.ymax) / 2)"
+_DIAMOND = " + ".join([_edge(_CX, "px.ymin", "px.xmax", _CY), _edge("px.xmax", _CY, _CX, "px.ymax"),
+                       _edge(_CX, "px.ymax", "px.xmin", _CY), _edge("px.xmin", _CY, _CX, "px.ymin")])
 ORACLE["rasterize_polygons"] = with_(PARCELS, RASTER.replace(
-    "AND px.cy >= tp.ymin AND px.cy <= tp.ymax", f"AND px.cy >= tp.ymin AND px.cy <= tp.ymax AND ({_DIAMOND}) % 2 = 1")) + """
+    "AND px.cy <= px.ymax\n", f"AND px.cy <= px.ymax AND ({_DIAMOND}) % 2 = 1\n")) + """
 SELECT task_id, CAST(crop_pixels AS BIGINT) AS crop_pixels, CAST(noncrop_pixels AS BIGINT) AS noncrop_pixels,
  CAST(background_pixels AS BIGINT) AS background_pixels, empty_mask FROM masks"""
 
 ORACLE["worker_results"] = "SELECT task_id, status, polygon_count, crop_pixels, noncrop_pixels FROM (" + \
     ORACLE["patch_results"] + ")"
 
-ORACLE["ready_events"] = with_(RESULTS) + """
-SELECT task_id, worker_id, 'parquet/task_' || CAST(task_id AS VARCHAR) AS s3_path, 10 AS c, 256 AS h, 256 AS w
-FROM results WHERE status = 'success'"""
+SUCCESS = """good AS (SELECT t.task_id, t.xmin, t.ymin, t.xmax, t.ymax FROM tasks t JOIN masks k USING (task_id) JOIN matched m USING (task_id)
+ WHERE t.n_raw >= 5 AND t.polygon_count > 0 AND m.scene_id IS NOT NULL AND NOT k.empty_mask)"""
+ORACLE["ready_events"] = with_(PARCELS, RASTER, SCENES, _match("tasks"), SUCCESS) + """
+SELECT task_id, '1' AS worker_id, 'pixels/task_' || CAST(task_id AS VARCHAR) || '_worker_1' AS s3_path, 4 AS c,
+ CAST(ceil(ymax - ymin) AS INTEGER) AS h, CAST(ceil(xmax - xmin) AS INTEGER) AS w FROM good"""
+
+ORACLE["worker_pixels"] = with_(PARCELS, RASTER, SCENES, _match("tasks"), SUCCESS, """
+vec AS (SELECT g.task_id, e.embedding AS e FROM good g JOIN embeddings e ON e.vec_id = g.task_id % (SELECT count(*) FROM embeddings)),
+lab AS (SELECT task_id, count(*) AS crop, sum(pixel_idx) AS at FROM burned WHERE mask_class = 1 GROUP BY 1)""") + """
+SELECT 'task_' || CAST(v.task_id AS VARCHAR) || '_worker_1' AS patch_id, 400 AS n_pixels, CAST(l.crop AS BIGINT) AS crop_pixels, CAST(l.at AS BIGINT) AS label_at,
+""" + ",\n".join(f" round(list_sum(list_transform(range(0, 400), lambda p: CAST(e[CAST({k * 16 + 1} + p % 16 AS INTEGER)] AS DOUBLE) * (p + 1))), 4) AS band_{k}" for k in range(4)) + """
+FROM vec v JOIN lab l USING (task_id)"""
+
+ORACLE["pack_patches_sized"] = """WITH s AS (SELECT vec_id AS v, embedding AS e, CAST(vec_id % 4 + 1 AS INTEGER) AS h, CAST((vec_id // 4) % 4 + 1 AS INTEGER) AS w FROM embeddings),
+p AS (SELECT *, unnest(range(0, h * w + 1)) AS p FROM s),
+k AS (SELECT *, p < h * w AS inside, (v + p) % 5 <> 0 AS there FROM p)
+SELECT 'vec_' || CAST(v AS VARCHAR) AS patch_id, h, w, count(*) FILTER (WHERE inside AND NOT there) AS n_missing,
+ count(*) FILTER (WHERE NOT inside AND there) AS n_extra, 0 AS n_conflicts,
+""" + ",\n".join(f" round(coalesce(sum(CAST(e[CAST({k * 16 + 1} + p AS INTEGER)] AS DOUBLE) * (p + 1)) FILTER (WHERE inside AND there), 0), 6) AS band_{k}" for k in range(3)) + """,
+ count(*) FILTER (WHERE inside AND there AND e[CAST(p + 1 AS INTEGER)] > 0) AS mask_ones
+FROM k GROUP BY v, h, w"""
+
+ORACLE["inventory"] = " UNION ALL ".join(f"SELECT '{t}' AS name, count(*) AS n_rows FROM {t}" for t in (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings"))
 
 ORACLE["class_usage"] = with_(PIXELS, FEATURES, f"""used AS (SELECT * FROM valid
  WHERE {u_sql(['patch_id', 'pixel_idx'], '42')} <

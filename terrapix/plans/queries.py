@@ -526,14 +526,48 @@ def q_worker_results(spark, sf_dir):
     return r.select("task_id", "status", "polygon_count", "crop_pixels", "noncrop_pixels")
 
 
+def _production(spark, sf_dir):
+    tasks, _, spec = task_pairs(spark, sf_dir, with_rings=False)
+    msgs = grid.task_messages(tasks, spec, derived.FIXTURE_CLASS_MAP)
+    parcels = grid.class_lookup(derived.parcels(spark, sf_dir), derived.class_map(spark))
+    rasters = derived.task_rasters(spark, sf_dir, tasks)
+    # every message twice: the bus delivers at least once
+    made = pp.produce_all(msgs.unionByName(msgs), parcels, derived.scenes(spark, sf_dir), derived.FIXTURE_WINDOWS, res=1.0,
+                          parcel_cell=derived.FIXTURE_GRID_STEP, scene_cell=50.0, worker_id="1", pixel_path="pixels",
+                          rasters=rasters, n_bands=4)
+    return made, rasters
+
+
 @register("ready_events")
 def q_ready_events(spark, sf_dir):
-    """Image-ready records for successful results only (shape [C,H,W])."""
-    r = derived.task_results(spark, sf_dir).withColumns({
-        "bbox": F.array(F.lit(0.0)), "s3_path": F.concat(F.lit("parquet/task_"), F.col("task_id").cast("string"))})
-    ev = msg.ready_events(r, shape=(10, 256, 256))
-    return ev.select("task_id", "worker_id", "s3_path", F.col("shape")[0].alias("c"),
-                     F.col("shape")[1].alias("h"), F.col("shape")[2].alias("w"))
+    """Image-ready records of the worker's successful results, with the
+    shape of each patch's own grid, from task messages that come twice."""
+    made, _ = _production(spark, sf_dir)
+    return msg.ready_events(made.results).select(
+        "task_id", "worker_id", "s3_path", F.col("shape")[0].alias("c"), F.col("shape")[1].alias("h"), F.col("shape")[2].alias("w"))
+
+
+@register("worker_pixels")
+def q_worker_pixels(spark, sf_dir):
+    """Every pixel row the worker writes, as one line per patch:
+    rows, labels and index-weighted sums of the bands."""
+    made, rasters = _production(spark, sf_dir)
+    px = made.pixels(rasters, 4)
+    return px.groupBy("patch_id").agg(
+        F.count(F.lit(1)).alias("n_pixels"), F.sum("label").alias("crop_pixels"), F.sum(F.col("pixel_idx") * F.col("label")).alias("label_at"),
+        *[F.round(F.sum(F.col(f"band_{k}") * (F.col("pixel_idx") + 1)), 4).alias(f"band_{k}") for k in range(4)])
+
+
+@register("pack_patches_sized")
+def q_pack_patches_sized(spark, sf_dir):
+    """Patches of differing sizes from pixel rows with repeated,
+    missing and surplus pixels; values stay at their index."""
+    rows, sizes = derived.sized_patch_pixels(spark, sf_dir)
+    p = pt.pack_patches(rows, 3, sizes=sizes)
+    def weighted(k):
+        return F.aggregate(F.sequence(F.lit(1), F.size(F.col("bands")[k])), F.lit(0.0), lambda acc, i: acc + F.element_at(F.col("bands")[k], i) * i)
+    return p.select("patch_id", "h", "w", "n_missing", "n_extra", "n_conflicts", *[F.round(weighted(k), 6).alias(f"band_{k}") for k in range(3)],
+                    F.aggregate("mask", F.lit(0).cast("bigint"), lambda acc, x: acc + x).alias("mask_ones"))
 
 
 @register("class_usage")
@@ -544,9 +578,14 @@ def q_class_usage(spark, sf_dir):
     return profile.class_usage(full, used)
 
 
+INVENTORY = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings"]
+
+
 @register("inventory")
 def q_inventory(spark, sf_dir):
-    """Parquet objects under the data folder (metadata only):
-    count and total MB, one row."""
-    from terrapix.sources import files
-    return files.inventory_summary(files.inventory(spark, sf_dir, ".parquet"))
+    """Rows of each Parquet table of the data folder."""
+    parts = [derived.table(spark, sf_dir, t).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(t).alias("name"), "n_rows") for t in INVENTORY]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -63,6 +63,8 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
         except Exception:  # noqa: BLE001
             return None
     d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+    if not d and not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
     if not d:
         d = tempfile.mkdtemp(prefix="terrapix-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     if sc.getCheckpointDir() is None:
@@ -78,3 +80,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
     base = base.rstrip("/")
     return f"{base}/{name}"
+
+
+def require_checkpoint(path: str | None) -> None:
+    """A stream's checkpoint is its memory: it must outlive the process, so
+    there is no default."""
+    if not path:
+        raise ValueError("a stream needs a checkpoint folder of its own, shared and kept between runs")

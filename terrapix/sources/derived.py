@@ -168,3 +168,32 @@ def patches(spark: SparkSession, sf_dir: str, c: int = 4, h: int = 4, w: int = 4
         F.lit(c).alias("n_bands"), F.lit(h).alias("h"), F.lit(w).alias("w"),
         bands.alias("bands"),
     ).withColumn("mask", F.transform(F.col("bands")[0], lambda v: F.when(v > 0, 1).otherwise(0)))
+
+
+def task_rasters(spark: SparkSession, sf_dir: str, tasks: DataFrame, size: int = 20, c: int = 4) -> DataFrame:
+    """A (c, size, size) raster for each task from the embeddings: task t reads
+    vector t mod n; pixel p of band k is the vector's element k * 16 + p mod 16."""
+    e = table(spark, sf_dir, "embeddings")
+    n = e.count()
+    idx = F.sequence(F.lit(0), F.lit(size * size - 1))
+
+    def band(k):
+        return F.transform(idx, lambda p: F.element_at("embedding", F.lit(k * 16 + 1) + p % 16).cast("double"))
+    bands = F.array(*[band(k) for k in range(c)])
+    t = tasks.select("task_id", (F.col("task_id") % F.lit(max(n, 1))).alias("vec_id"))
+    return t.join(e, "vec_id").select("task_id", F.lit(c).alias("n_bands"), F.lit(size).alias("h"), F.lit(size).alias("w"), bands.alias("bands"))
+
+
+def sized_patch_pixels(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Pixel rows of patches with sizes of their own (h = 1 + id mod 4, w = 1 +
+    id div 4 mod 4), every pixel twice, without the pixels whose (id + index)
+    is a multiple of 5, and one pixel beyond the raster; and the sizes."""
+    e = table(spark, sf_dir, "embeddings")
+    v = F.col("vec_id")
+    sized = e.select(F.concat(F.lit("vec_"), _s(v)).alias("patch_id"), v, (v % 4 + 1).cast("int").alias("h"),
+                     (F.floor(v / 4) % 4 + 1).cast("int").alias("w"), "embedding")
+    px = sized.select("patch_id", "vec_id", "embedding", F.explode(F.sequence(F.lit(0), F.col("h") * F.col("w"))).alias("p"))
+    rows = px.where((F.col("vec_id") + F.col("p")) % 5 != 0).select(
+        "patch_id", F.col("p").cast("bigint").alias("pixel_idx"), F.when(F.element_at("embedding", F.col("p") + 1) > 0, 1).otherwise(0).cast("bigint").alias("label"),
+        *[F.element_at("embedding", F.lit(k * 16 + 1) + F.col("p")).cast("double").alias(f"band_{k}") for k in range(3)])
+    return rows.unionByName(rows), sized.select("patch_id", "h", "w")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terrapix.schema import READY_SCHEMA, RESULT_SCHEMA, STATUS_SUCCESS, TASK_SCHEMA
+from terrapix.schema import RESULT_SCHEMA, STATUS_SUCCESS, TASK_SCHEMA
 
 # Topic and consumer-group names (fixed values shared with existing producers)
 TASKS_TOPIC = "satellite-tasks"
@@ -62,14 +62,6 @@ def rejects(decoded: DataFrame) -> DataFrame:
 
 # --- Kafka / file I/O ---------------------------------------------------------
 
-def kafka_available(spark: SparkSession) -> bool:
-    try:
-        spark._jvm.java.lang.Class.forName("org.apache.spark.sql.kafka010.KafkaSourceProvider")
-        return True
-    except Exception:  # noqa: BLE001 - the jar is optional
-        return False
-
-
 def write_topic(df: DataFrame, topic: str, bootstrap: str) -> None:
     """Batch publish keyed JSON frames (A7). Needs the Kafka connector."""
     (to_kafka(df).write.format("kafka")
@@ -84,7 +76,17 @@ def read_topic_stream(spark: SparkSession, topic: str, bootstrap: str, schema: T
          .option("subscribe", topic).option("startingOffsets", starting))
     if min_partitions:
         r = r.option("minPartitions", str(min_partitions))
-    return decode(r.load(), schema)
+    return decode_topic(r.load(), schema)
+
+
+def decode_topic(frames: DataFrame, schema: T.StructType) -> DataFrame:
+    """Decoded topic records with their key, topic time, partition and offset.
+    Messages that carry no time of their own take the topic's."""
+    keep = frames.select(F.col("key").cast("string").alias("_key"), "value", F.col("timestamp").alias("_topic_ts"),
+                         F.col("partition").alias("_partition"), F.col("offset").alias("_offset"))
+    out = decode(keep, schema, keep=("_key", "_topic_ts", "_partition", "_offset"))
+    ts = F.coalesce("ts", "_topic_ts") if "ts" in schema.fieldNames() else F.col("_topic_ts")
+    return out.withColumn("ts", ts)
 
 
 def read_json_stream(spark: SparkSession, path: str, schema: T.StructType,
@@ -100,18 +102,15 @@ def write_json_lines(df: DataFrame, path: str, mode: str = "append") -> None:
     df.select("value").write.mode(mode).text(path)
 
 
-def ready_events(results: DataFrame, shape=(10, 256, 256)) -> DataFrame:
-    """Image-ready records for successful patches only."""
+def ready_events(results: DataFrame) -> DataFrame:
+    """Image-ready records for successful patches only (A9, B9). ``results``
+    carry each patch's own shape [bands, height, width]."""
     ok = results.where(F.col("status") == STATUS_SUCCESS)
     return ok.select(
-        "task_id", "worker_id", "bbox", "s3_path",
-        F.array(*[F.lit(int(x)) for x in shape]).alias("shape"),
+        "task_id", "worker_id", "bbox", "s3_path", "shape",
         (F.unix_micros(F.current_timestamp()) / F.lit(1e6)).alias("timestamp"))
 
 
-SCHEMAS = {TASKS_TOPIC: TASK_SCHEMA, RESULTS_TOPIC: RESULT_SCHEMA, READY_TOPIC: READY_SCHEMA}
-
-
 # --- the bus endpoints under their pipeline names (A5-A9) ------------------------
 
 def read_task_stream(spark: SparkSession, bootstrap: str | None = None, path: str | None = None,
@@ -136,10 +135,11 @@ def write_tasks(tasks: DataFrame, bootstrap: str) -> None:
 
 
 def write_results(results: DataFrame, bootstrap: str) -> None:
-    """Publish result records (A8, batch form; the stream uses it per batch)."""
-    write_topic(encode(results), RESULTS_TOPIC, bootstrap)
+    """Publish result records keyed ``task_<id>``, so that readers can drop the
+    repeats of a replayed batch (A8)."""
+    write_topic(encode(results, task_key(), RESULT_SCHEMA.fieldNames()), RESULTS_TOPIC, bootstrap)
 
 
 def write_ready(results: DataFrame, bootstrap: str) -> None:
     """Publish image-ready records for successful patches only."""
-    write_topic(encode(ready_events(results)), READY_TOPIC, bootstrap)
+    write_topic(encode(ready_events(results), task_key()), READY_TOPIC, bootstrap)

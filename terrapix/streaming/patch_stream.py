@@ -1,13 +1,14 @@
 """Streaming patch production.
 
-readStream(tasks) -> foreachBatch: the batch ``produce`` on the micro-batch
+readStream(tasks) -> foreachBatch: the batch ``produce_all`` on the micro-batch
 -> results and image-ready events written per batch id.
 
-Exactly-once without broker commits: the stream's offsets live in the
-checkpoint, and each micro-batch overwrites its own ``batch=<id>`` folder,
-so a batch replayed after a failure replaces, never duplicates, its output.
-Results are written last: a result row exists only if everything it
-describes was written.
+The stream's offsets live in the checkpoint, and each micro-batch overwrites
+its own ``batch=<id>`` folders, so a batch replayed after a failure replaces,
+never duplicates, its files: rejects, pixels, ready events, and results last, so
+a result row exists only if the pixels it names were written. Topics are
+written after the files, at least once: a replayed batch publishes its records
+again, keyed ``task_<id>``, and readers keep one per key.
 """
 
 from __future__ import annotations
@@ -15,10 +16,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from terrapix.session import scratch_path
+from terrapix.session import require_checkpoint
 
-from terrapix.plans.patch_production import produce
-from terrapix.schema import SearchWindow
+from terrapix.plans.patch_production import produce_all, write_pixels
+from terrapix.schema import REQUESTED_BANDS, SearchWindow
 from terrapix.sources import messages
 
 
@@ -26,26 +27,32 @@ def run_patch_stream(tasks_stream: DataFrame, parcels: DataFrame, scenes: DataFr
                      windows: list[SearchWindow], out_dir: str, checkpoint: str | None,
                      res: float, parcel_cell: float, scene_cell: float, worker_id: str = "spark",
                      available_now: bool = True, processing_time: str | None = None,
-                     kafka_bootstrap: str | None = None) -> StreamingQuery:
+                     kafka_bootstrap: str | None = None, rasters: DataFrame | None = None,
+                     n_bands: int = len(REQUESTED_BANDS), utm_zone: int | None = None) -> StreamingQuery:
     """Start the loop. ``tasks_stream`` is a decoded task stream (``_ok`` flag
-    present); bad messages go to ``rejects``. With ``kafka_bootstrap`` the
-    ready events and results are also published to their topics (after the
-    files, results last)."""
-    if checkpoint is None:  # default: a folder under the shared checkpoint dir
-        checkpoint = scratch_path(tasks_stream.sparkSession, "streams/patch_stream")
+    present); bad messages go to ``rejects``. With ``rasters`` (task_id, h, w,
+    bands) the pixels of successful tasks are written and named in results and
+    ready events; without, neither is announced. With ``kafka_bootstrap`` the
+    ready events and results are also published to their topics."""
+    require_checkpoint(checkpoint)
     out = out_dir.rstrip("/")
 
     def batch(df: DataFrame, epoch: int) -> None:
         good = df.where("_ok")
         df.where("not _ok").select("_raw").write.mode("overwrite").text(f"{out}/rejects/batch={epoch}")
-        res_df = produce(good, parcels, scenes, windows, res, parcel_cell, scene_cell, worker_id,
-                         pixel_path=f"{out}/pixels").persist()
-        ready = messages.ready_events(res_df)
+        made = produce_all(good, parcels, scenes, windows, res, parcel_cell, scene_cell, worker_id,
+                           pixel_path=f"{out}/pixels/batch={epoch}" if rasters is not None else None,
+                           rasters=rasters, n_bands=n_bands, utm_zone=utm_zone)
+        res_df = made.results.persist()
+        if rasters is not None:
+            made.results = res_df
+            write_pixels(made.pixels(rasters, n_bands), f"{out}/pixels", batch=epoch)
+        ready = messages.ready_events(res_df if rasters is not None else res_df.limit(0))
         ready.write.mode("overwrite").parquet(f"{out}/ready/batch={epoch}")
         res_df.write.mode("overwrite").parquet(f"{out}/results/batch={epoch}")
         if kafka_bootstrap:
-            messages.write_topic(messages.encode(ready), messages.READY_TOPIC, kafka_bootstrap)
-            messages.write_topic(messages.encode(res_df.drop("ts")), messages.RESULTS_TOPIC, kafka_bootstrap)
+            messages.write_topic(messages.encode(ready, messages.task_key()), messages.READY_TOPIC, kafka_bootstrap)
+            messages.write_results(res_df, kafka_bootstrap)
         res_df.unpersist()
 
     w = tasks_stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)

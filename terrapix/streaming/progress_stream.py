@@ -17,32 +17,36 @@ from pyspark.sql.streaming import StreamingQuery
 
 from terrapix.operators.monitor import _flags, normalize_results
 from terrapix.operators.ordering import running_totals
-from terrapix.session import scratch_path
+from terrapix.session import require_checkpoint
 
 _SUMS = ["_succ", "_skip", "_fail", "_crop", "_noncrop"]
 _NAMES = {"_succ": "success", "_skip": "skipped", "_fail": "failed", "_crop": "crop_pixels",
           "_noncrop": "noncrop_pixels"}
 
 
-def _previous_state(spark, path: str) -> dict | None:
+def _previous_state(spark, out: str, epoch: int) -> dict:
+    """The state that batch ``epoch - 1`` left; zero before the first batch.
+    Lost state is an error: counting again from zero would look right."""
+    if epoch == 0:
+        return {"message": 0, **{v: 0 for v in _NAMES.values()}}
+    path = f"{out}/state/batch={epoch - 1}"
     try:
         r = spark.read.parquet(path).first()
-    except AnalysisException:  # first batch: no state yet
-        return None
-    return r.asDict() if r is not None else None
+    except AnalysisException as ex:
+        raise RuntimeError(f"progress state of batch {epoch - 1} is missing: {path}") from ex
+    if r is None:
+        raise RuntimeError(f"progress state of batch {epoch - 1} is empty: {path}")
+    return r.asDict()
 
 
 def run_progress_stream(results_stream: DataFrame, out_dir: str, checkpoint: str | None = None,
                         every: int = 20, available_now: bool = True) -> StreamingQuery:
-    if checkpoint is None:
-        checkpoint = scratch_path(results_stream.sparkSession, "streams/progress_stream")
+    require_checkpoint(checkpoint)
     out = out_dir.rstrip("/")
 
     def batch(df: DataFrame, epoch: int) -> None:
         spark = df.sparkSession
-        prev = _previous_state(spark, f"{out}/state/batch={epoch - 1}") if epoch > 0 else None
-        if prev is None:
-            prev = {"message": 0, **{v: 0 for v in _NAMES.values()}}
+        prev = _previous_state(spark, out, epoch)
         f = _flags(normalize_results(df)).select("ts", "task_id", *_SUMS)
         cum = running_totals(f, ["ts", "task_id"], _SUMS, row_number="_rn")
         cum = cum.withColumn("message", F.col("_rn") + F.lit(int(prev["message"])))

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from terrapix.session import scratch_path
+from terrapix.session import require_checkpoint
 
 from terrapix.operators import features as feat
 from terrapix.schema import DEFAULT_BANDS, BandSpec
@@ -44,8 +44,7 @@ def scored_pixels(ready: DataFrame, pixels: DataFrame, model: PipelineModel,
 def run_score_stream(ready_stream: DataFrame, pixels: DataFrame, model: PipelineModel, checkpoint: str | None,
                      query_name: str = "confusion_running", available_now: bool = True) -> StreamingQuery:
     """Running (label, prediction) counts into a memory table ``query_name``."""
-    if checkpoint is None:  # default: a folder under the shared checkpoint dir
-        checkpoint = scratch_path(ready_stream.sparkSession, "streams/score_stream")
+    require_checkpoint(checkpoint)
     conf = scored_pixels(ready_stream, pixels, model).groupBy("label", "prediction").count()
     w = (conf.writeStream.outputMode("complete").format("memory").queryName(query_name)
          .option("checkpointLocation", checkpoint))

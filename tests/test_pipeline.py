@@ -61,6 +61,7 @@ def test_pixel_rows_and_write(spark, tmp_dir):
     assert rows[0].patch_id == "task_1_worker_w"
     out = os.path.join(tmp_dir, "pixels")
     pp.write_pixels(px, out, buckets=4)
+    pp.write_pixels(px, out, buckets=4)  # a replay replaces its batch
     back = spark.read.parquet(out)
     assert back.count() == 4 and "task_bucket" in back.columns
 

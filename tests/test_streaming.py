@@ -42,6 +42,9 @@ def test_monitor_stream_equals_batch_and_restarts(spark, tmp_dir):
     for c in ("tasks", "success", "skipped", "failed", "patches", "crop_pixels", "noncrop_pixels"):
         assert tot[c] == batch[c], c
     per_worker = spark.read.parquet(os.path.join(out, "by_worker"))
+    per_worker = per_worker.where(F.col("batch") == per_worker.agg(F.max("batch")).first()[0])
+    seconds = (tot.last_ts - tot.first_ts).total_seconds()
+    assert abs(tot.tasks_per_sec - tot.tasks / seconds) < 1e-3
     assert per_worker.agg(F.sum("tasks")).first()[0] == batch.tasks   # workers sum to totals
 
 
