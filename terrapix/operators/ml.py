@@ -8,10 +8,13 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from terrapix.operators.metrics import auc_rank
 
 
 @dataclass(frozen=True)
@@ -64,24 +67,20 @@ def logistic_pipeline(features, weight: str | None = "weight", max_iter: int = 5
     return Pipeline(stages=[assembler(features), scaler(), lr])
 
 
-def training_partitions(spark, n_rows: int | None, rows_per_partition: int = 2500) -> int:
-    """Partitions for a fit: every tree level is one job over all partitions,
-    so use about one partition per core, fewer when the data is small."""
-    try:
-        cores = spark.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001 - remote session
-        cores = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    if not n_rows:
-        return cores
-    return max(1, min(cores, -(-int(n_rows) // rows_per_partition)))
+#: partitions of a training set; bagging draws per partition, so this number is
+#: part of the model's definition and never follows the machine
+FIT_PARTITIONS = 8
 
 
-def stable_input(df: DataFrame, key=("patch_id", "pixel_idx"), n: int | None = None) -> DataFrame:
-    """Hash-partition and sort the training rows by key, so bagging (which
-    draws per partition) sees the same rows in the same place on every run:
-    equal splits then give equal forests."""
-    n = n or training_partitions(df.sparkSession, None)
-    return df.repartition(n, *key).sortWithinPartitions(*key)
+def stable_input(df: DataFrame, key=("patch_id", "pixel_idx"), n: int = FIT_PARTITIONS) -> DataFrame:
+    """Training rows in ``n`` partitions by a hash of their key, sorted by key:
+    bagging sees the same rows in the same place on every cluster, so equal
+    splits give equal forests. Choose ``n`` for the training set (about one
+    partition for each core that may be used) and keep it. The partition number
+    is a column, which the optimiser's partition coalescing cannot merge."""
+    part = F.pmod(F.xxhash64(*key), F.lit(n)).cast("int")
+    spread = df.withColumn("_part", part).repartitionByRange(n, "_part")
+    return spread.sortWithinPartitions("_part", *key).drop("_part")
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -91,10 +90,9 @@ def score(model: PipelineModel, df: DataFrame) -> DataFrame:
 
 
 def evaluate(pred: DataFrame, label: str = "label", f1: bool = True) -> dict:
-    """AUC and weighted F1 with MLlib's evaluators (F15, F16). ``pred``
-    should be persisted by the caller: each evaluator is one pass."""
-    out = {"auc": BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction",
-                                                metricName="areaUnderROC").evaluate(pred)}
+    """Exact AUC of ``p1`` (ties one half) and weighted F1 (F15, F16). ``pred``
+    should be persisted by the caller: each is one pass."""
+    out = {"auc": auc_rank(pred, label, "p1").first()["auc"]}
     if f1:
         out["f1"] = MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction",
                                                       metricName="f1").evaluate(pred)

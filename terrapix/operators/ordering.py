@@ -1,36 +1,73 @@
 """Global order numbers and running totals without a single-partition window.
 
 ``Window.orderBy(...)`` with no partitioning moves every row into one task.
-Instead the rows are range-partitioned on the order key (balanced by
-sampling, ties broken by the remaining key columns), materialised with a
-reliable checkpoint so every later pass sees the same partition of each row,
-and a tiny per-partition total table (one row per partition: a proven size
-bound) supplies the offsets. Within a partition an ordinary partitioned
-window finishes the job.
+Instead every row gets a bucket from its own order values: bucket bounds are
+approximate quantiles of the first order column, computed once, and a value that
+fills several buckets by itself is cut again by the second column. The bucket is
+a plain expression, so nothing has to be materialised: per-bucket totals (one
+row per bucket) supply the offsets, and one window partitioned by the bucket
+finishes the job with a single shuffle of the rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from terrapix.session import checkpoint_dir
+_BUCKET = "_tp_bucket"
+_RANGED = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
-_PID = "_tp_pid"
 
+def _n_buckets(df: DataFrame, n: int | None) -> int:
+    return n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
-def _n_parts(df: DataFrame, n: int | None) -> int:
-    if n:
-        return n
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
+def _cuts(df: DataFrame, col: str, n: int) -> list:
+    """About n - 1 increasing bounds; a frequent value may come several times."""
+    if n <= 1 or not isinstance(df.schema[col].dataType, _RANGED):
+        return []
+    shares = [k / n for k in range(1, n)]
+    got = df.agg(F.percentile_approx(col, shares, 20 * n).alias("q")).first()["q"]
+    return sorted(x for x in (got or []) if x is not None and x == x)
 
-def range_partitioned(df: DataFrame, order_cols: list[str], n: int | None = None) -> DataFrame:
-    """Range-partition on ``order_cols`` and checkpoint, tagging each row's partition."""
-    checkpoint_dir(df.sparkSession)
-    r = (df.repartitionByRange(_n_parts(df, n), *[F.col(c) for c in order_cols])
-         .withColumn(_PID, F.spark_partition_id()))
-    return r.checkpoint(eager=True)
+
+def _below(col: str, bounds: list, typ: T.DataType, first: int, last: int) -> Column:
+    """Number of bounds below the value, by a balanced tree of comparisons."""
+    if first == last:
+        return F.lit(first)
+    mid = (first + last) // 2
+    return (F.when(F.col(col) <= F.lit(bounds[mid]).cast(typ), _below(col, bounds, typ, first, mid))
+            .otherwise(_below(col, bounds, typ, mid + 1, last)))
+
+
+def _place(df: DataFrame, col: str, bounds: list) -> Column:
+    """Bucket of a value: 0 for nulls (they sort first), then 1 + bounds below."""
+    typ = df.schema[col].dataType
+    return F.when(F.col(col).isNull(), F.lit(0)).otherwise(F.lit(1) + _below(col, bounds, typ, 0, len(bounds)))
+
+
+def range_bucket(df: DataFrame, order_cols: list[str], n: int | None = None) -> Column:
+    """A bucket number that increases with the order of ``order_cols``: the
+    place of the first column, and below it, for values that fill buckets of
+    their own, the place of the second."""
+    n = _n_buckets(df, n)
+    first = order_cols[0]
+    cuts = _cuts(df, first, n)
+    bounds = sorted(set(cuts))
+    # a bound that came k times fills about k buckets: the value before it ends
+    # a bucket, so that it stands alone, and the second column cuts it
+    hot = sorted({x for x in bounds if cuts.count(x) > 1})
+    width = n + 2
+    bucket = _place(df, first, bounds).cast("bigint") * F.lit(2 * width)
+    if not hot or len(order_cols) < 2:
+        return bucket
+    typ = df.schema[first].dataType
+    inner = F.lit(0)
+    for x in hot:
+        own = sorted(set(_cuts(df.where(F.col(first) == F.lit(x).cast(typ)), order_cols[1], min(n, cuts.count(x) + 1))))
+        inner = F.when(F.col(first) == F.lit(x).cast(typ), F.lit(1) + _place(df, order_cols[1], own)).otherwise(inner)
+    return bucket + inner
 
 
 def running_totals(df: DataFrame, order_cols: list[str], sum_cols: list[str],
@@ -39,29 +76,25 @@ def running_totals(df: DataFrame, order_cols: list[str], sum_cols: list[str],
     """Add inclusive running sums ``cum_<c>`` (and optionally a 1-based global
     row number) in the total order given by ``order_cols``.
 
-    ``order_cols`` must identify rows uniquely for the order to be total.
+    ``order_cols`` must identify rows uniquely for the order to be total. The
+    input is read for the bounds, the totals and the result: pass something
+    that is cheap to read again.
     """
-    r = range_partitioned(df, order_cols, n)
-    aggs = [F.sum(c).alias(c) for c in sum_cols]
-    aggs.append(F.count(F.lit(1)).alias("_tp_n"))
-    totals = r.groupBy(_PID).agg(*aggs)
-    before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    # one row per partition: ordering this table in one task is bounded by n
+    r = df.withColumn(_BUCKET, range_bucket(df, order_cols, n))
+    totals = r.groupBy(_BUCKET).agg(*[F.sum(c).alias(c) for c in sum_cols], F.count(F.lit(1)).alias("_tp_n"))
+    before = Window.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    # one row per bucket: ordering this table in one task is bounded by n
     offsets = totals.select(
-        _PID,
+        _BUCKET,
         *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_tp_off_{c}") for c in sum_cols],
         F.coalesce(F.sum("_tp_n").over(before), F.lit(0)).alias("_tp_off_n"))
-    within = (Window.partitionBy(_PID).orderBy(*[F.col(c) for c in order_cols])
+    within = (Window.partitionBy(_BUCKET).orderBy(*[F.col(c) for c in order_cols])
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    j = r.join(F.broadcast(offsets), _PID)
-    new = {f"{prefix}{c}": F.col(f"_tp_off_{c}") + F.sum(c).over(within) for c in sum_cols}
+    new = {f"_tp_in_{c}": F.sum(c).over(within) for c in sum_cols}
     if row_number:
-        new[row_number] = F.col("_tp_off_n") + F.row_number().over(within)
-    out = j.withColumns(new)
-    return out.drop(_PID, "_tp_off_n", *[f"_tp_off_{c}" for c in sum_cols])
-
-
-def global_row_number(df: DataFrame, order_cols: list[str], name: str = "rn",
-                      n: int | None = None) -> DataFrame:
-    """1-based position of each row in the total order of ``order_cols``."""
-    return running_totals(df, order_cols, [], n=n, row_number=name)
+        new["_tp_in_n"] = F.row_number().over(within)
+    j = r.withColumns(new).join(F.broadcast(offsets), _BUCKET)  # one row per bucket
+    out = {f"{prefix}{c}": F.col(f"_tp_off_{c}") + F.col(f"_tp_in_{c}") for c in sum_cols}
+    if row_number:
+        out[row_number] = F.col("_tp_off_n") + F.col("_tp_in_n")
+    return j.withColumns(out).drop(_BUCKET, "_tp_off_n", "_tp_in_n", *[f"_tp_off_{c}" for c in sum_cols], *[f"_tp_in_{c}" for c in sum_cols])

@@ -1,9 +1,10 @@
 """Dataset profiles: class shares, band statistics, index ranges, histograms
-(F4-F8, F13, F14). All are single-pass partial aggregations except the exact
-quantiles, which aggregate per distinct value first."""
+(F4-F8, F13, F14), as partial aggregations."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -60,44 +61,37 @@ def profile_columns(df: DataFrame, cols: list[str], name: str = "band",
     """count/mean/std/min/quartiles/max per column, quantiles exact with linear
     interpolation (pandas ``describe``) (F6).
 
-    Exact quantiles without sorting a group in one task: values are first
-    counted per distinct value (partial aggregation), then running counts in
-    (column, value) order - range-partitioned, so one column's distinct
-    values never have to fit in one task - locate the order statistics.
-    """
+    One aggregation: ``percentile`` keeps one counter per distinct value, and
+    band values are 16-bit numbers, so a column's state has at most 65,536
+    entries whatever the number of rows. For columns without such a bound use
+    ``exact_quantiles``."""
     long = unpivot(df, cols, name, "value").where(F.col("value").isNotNull() & ~F.isnan("value"))
-    stats = long.groupBy(name).agg(
+    out = long.groupBy(name).agg(
         F.count("value").alias("count"),
         F.round(F.avg("value"), 6).alias("mean"),
         F.round(F.stddev_samp("value"), 6).alias("std"),
-        F.min("value").alias("min"), F.max("value").alias("max"))
-    vc = long.groupBy(name, "value").agg(F.count(F.lit(1)).alias("c"))
-    cum = running_totals(vc, [name, "value"], ["c"])
-    # per-column totals and offsets: one row per profiled column
-    tot = vc.groupBy(name).agg(F.sum("c").alias("count"))
-    before = Window.orderBy(name).rowsBetween(Window.unboundedPreceding, -1)
-    off = tot.select(name, "count", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_off"))
-    j = (cum.join(F.broadcast(off), name)
-         .withColumn("hi", F.col("cum_c") - F.col("_off")).withColumn("lo", F.col("hi") - F.col("c")))
-    aggs = []
-    for q in quantiles:
-        pos = (F.col("count") - 1) * F.lit(float(q))
-        k0, k1 = F.floor(pos), F.ceil(pos)
-        tag = f"q{int(round(q * 100))}"
-        aggs += [
-            F.max(F.when((F.col("lo") <= k0) & (k0 < F.col("hi")), F.col("value"))).alias(f"{tag}_lo"),
-            F.max(F.when((F.col("lo") <= k1) & (k1 < F.col("hi")), F.col("value"))).alias(f"{tag}_hi"),
-            F.max(pos - k0).alias(f"{tag}_frac"),
-        ]
-    qs = j.groupBy(name).agg(*aggs)
-    out = stats.join(qs, name)
-    sel = [name, "count", "mean", "std", "min"]
-    for q in quantiles:
-        tag = f"q{int(round(q * 100))}"
-        sel.append(F.round(F.col(f"{tag}_lo") + F.col(f"{tag}_frac") * (F.col(f"{tag}_hi") - F.col(f"{tag}_lo")),
-                           6).alias(tag))
-    sel.append("max")
-    return out.select(*sel)
+        F.min("value").alias("min"), F.max("value").alias("max"),
+        F.percentile("value", [float(q) for q in quantiles]).alias("_q"))
+    return out.select(name, "count", "mean", "std", "min",
+                      *[F.round(F.col("_q")[k], 6).alias(f"q{int(round(q * 100))}") for k, q in enumerate(quantiles)], "max")
+
+
+def exact_quantiles(df: DataFrame, col: str, quantiles=(0.25, 0.5, 0.75)) -> DataFrame:
+    """Exact quantiles (linear interpolation) of a column with any number of
+    distinct values: counts per value, running counts in value order over
+    range buckets, and the values around each position."""
+    vc = df.where(F.col(col).isNotNull()).groupBy(F.col(col).cast("double").alias("value")).agg(F.count(F.lit(1)).alias("c"))
+    cum = running_totals(vc, ["value"], ["c"])
+    n = vc.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n")).first()["n"]
+    hi, lo = F.col("cum_c"), F.col("cum_c") - F.col("c")
+    aggs, out = [], []
+    for k, q in enumerate(quantiles):
+        pos = max(n - 1, 0) * float(q)
+        k0, k1 = math.floor(pos), math.ceil(pos)
+        aggs += [F.max(F.when((lo <= k0) & (hi > k0), F.col("value"))).alias(f"_a{k}"),
+                 F.max(F.when((lo <= k1) & (hi > k1), F.col("value"))).alias(f"_b{k}")]
+        out.append((F.col(f"_a{k}") + F.lit(pos - k0) * (F.col(f"_b{k}") - F.col(f"_a{k}"))).alias(f"q{int(round(q * 100))}"))
+    return cum.agg(*aggs).select(*out)
 
 
 def value_range(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -134,8 +128,8 @@ def histogram(df: DataFrame, col: str, by: str = "label", bins: int = 50) -> Dat
 
 def density_2d(df: DataFrame, x: str, y: str, by: str = "label", bins: int = 20) -> DataFrame:
     """2-D equal-width bin counts per class over the full data."""
-    xlo, xhi = _bounds(df, x)
-    ylo, yhi = _bounds(df, y)
+    r = df.agg(F.min(x), F.max(x), F.min(y), F.max(y)).first()
+    xlo, xhi, ylo, yhi = r
     return (df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
             .groupBy(F.col(by).cast("double").alias(by),
                      _bin(x, xlo, xhi, bins).alias("x_bin"), _bin(y, ylo, yhi, bins).alias("y_bin"))

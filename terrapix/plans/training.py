@@ -44,7 +44,7 @@ def balanced_features(pixels: DataFrame, bands: BandSpec = DEFAULT_BANDS,
 def train_and_evaluate(pixels: DataFrame, bands: BandSpec = DEFAULT_BANDS, fractions: dict | None = None,
                        seed: int = 42, forest: ml.ForestParams = ml.FOREST_V1,
                        features=feat.FEATURES_V1, train_fraction: float = 0.8,
-                       partitions: int | None = None) -> TrainingResult:
+                       partitions: int = ml.FIT_PARTITIONS) -> TrainingResult:
     res = TrainingResult()
     t = time.time()
     bal = balanced_features(pixels, bands, fractions, seed, features).persist(StorageLevel.MEMORY_AND_DISK)
@@ -54,8 +54,7 @@ def train_and_evaluate(pixels: DataFrame, bands: BandSpec = DEFAULT_BANDS, fract
 
     t = time.time()
     train, test = sampling.hash_split(bal, [train_fraction, 1 - train_fraction], seed)
-    n = partitions or ml.training_partitions(pixels.sparkSession, int(sum(per_class.values()) * train_fraction))
-    model = ml.forest_pipeline(features, forest).fit(ml.stable_input(train, KEY, n))
+    model = ml.forest_pipeline(features, forest).fit(ml.stable_input(train, KEY, partitions))
     res.model = model
     res.timings["train"] = time.time() - t
 
