@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from terrapix.llm import textvec as tv
 from terrapix.llm.store import new_folder
 
-BLOCK, LANES, MIN_STEPS = 1 << 21, 8192, 64
+BLOCK, LANES, MIN_STEPS = 1 << 21, 16384, 128
 MAGIC = b"TPX1"
 _NONE = np.uint32(0xFFFFFFFF)  # no prediction; such an id is always escaped
 _CTX2, _T0, _TM = 18, 17, 16
@@ -69,12 +69,13 @@ class Mixer:
         self.weigh()
 
     def contexts(self, prev1: np.ndarray, prev2: np.ndarray):
-        """(order-1 slot, order-2 slot, their predictions, mixing state)."""
+        """For order 1 and order 2 the slots, predictions and their trust; the
+        mixing state."""
         a = (prev1 & np.uint32(0xFFFF)).astype(np.intp)
         b = ((prev1 * np.uint32(0x9E3779B1) ^ prev2 * np.uint32(0x85EBCA77)) >> np.uint32(32 - _CTX2)).astype(np.intp)
-        p1, p2 = self.next1[a], self.next2[b]
-        state = (self.trust2[b].astype(np.intp) << 4) | (self.trust1[a].astype(np.intp) << 1) | (p1 == p2)
-        return a, b, p1, p2, state
+        p1, p2, t1, t2 = self.next1.take(a), self.next2.take(b), self.trust1.take(a), self.trust2.take(b)
+        state = ((t2.astype(np.intp) << 3 | t1) << 1) | (p1 == p2)
+        return (a, p1, t1), (b, p2, t2), state
 
     def weigh(self) -> None:
         """Mixing weights of each state, out of 2**_TM."""
@@ -84,12 +85,11 @@ class Mixer:
         self.bounds[:, 2] = scaled[:, 0] + scaled[:, 1]
         self.starts, self.sizes = self.bounds[:, :3].ravel(), np.diff(self.bounds, axis=1).ravel()
 
-    def learn(self, a, b, p1, p2, cell, ids) -> None:
-        for slot, p, nxt, trust in ((a, p1, self.next1, self.trust1), (b, p2, self.next2, self.trust2)):
+    def learn(self, one, two, cell, ids) -> None:
+        for (slot, p, t), nxt, trust in ((one, self.next1, self.trust1), (two, self.next2, self.trust2)):
             hit = p == ids
-            t = trust[slot]
             nxt[slot] = np.where(t > 1, p, ids)  # of equal slots the last lane's value stays
-            trust[slot] = _TRUST[hit.view(np.uint8) * np.uint8(8) + t]
+            trust[slot] = _TRUST.take(hit.view(np.uint8) * np.uint8(8) + t)
         self.events += np.bincount(cell, minlength=768)
         if self.events.max() > 1 << 24:
             self.events = (self.events >> 1) + 1
@@ -125,10 +125,9 @@ class Lanes:
         self.range = np.full(n, 0xFFFFFFFFFFFFFFFF, np.uint64)
 
     def narrow(self, at, r, start, freq) -> None:
-        self.settle(at, self.low[at] + start * r, r * freq)
-
-    def settle(self, at, low, rng) -> None:
-        """Shift out the settled words; at most four rounds."""
+        """Code the interval (start, freq) in the lanes ``at``: their numbers,
+        or a slice from the first lane on."""
+        low, rng = self.low[at] + start * r, r * freq
         k, some_low, some_rng = None, low, rng
         while True:
             done = (some_low ^ (some_low + some_rng)) < _TOP
@@ -143,7 +142,7 @@ class Lanes:
                 break
             k = j if k is None else k[j]
             some_low, some_rng = some_low[j], some_rng[j]
-            self.shift(at[k], some_low)
+            self.shift(k if isinstance(at, slice) else at[k], some_low)
             some_low, some_rng = some_low << _SHIFT, some_rng << _SHIFT
         self.low[at], self.range[at] = low, rng
 
@@ -214,29 +213,31 @@ def pack(ids: np.ndarray) -> bytes:
     grid = np.ascontiguousarray(grid.reshape(lanes, steps).T)
     model, out = Mixer(n), Writer(lanes, steps)
     prev1 = prev2 = np.zeros(lanes, np.uint32)
-    every, short = np.arange(lanes), n - (lanes - 1) * steps
+    short = n - (lanes - 1) * steps
     for t in range(steps):
-        at = every if t < short else every[:-1]
-        x = grid[t, :len(at)]
-        a, b, p1, p2, state = model.contexts(prev1[:len(at)], prev2[:len(at)])
+        m = lanes if t < short else lanes - 1
+        at = slice(0, m)
+        x = grid[t, :m]
+        one, two, state = model.contexts(prev1[:m], prev2[:m])
+        p1, p2 = one[1], two[1]
         miss = x != p2
-        event = miss.astype(np.intp) + (miss & (x != p1)) if t else np.full(len(at), 2)
+        event = miss.astype(np.intp) + (miss & (x != p1)) if t else np.full(m, 2)
         cell = state * 3 + event
-        out.put(at, model.starts[cell], model.sizes[cell], _TM)
+        out.put(at, model.starts.take(cell), model.sizes.take(cell), _TM)
         rest = np.flatnonzero(event == 2)
         if len(rest):
             y = x[rest].astype(np.intp)
             low16 = y & 0xFFFF
             known = model.known[low16] & (y < 1 << 16)
-            out.put(at[rest], np.where(known, model.start[low16], np.uint64(model.escape_start)), np.where(known, model.freq[low16], np.uint64(model.escape)), _T0)
+            out.put(rest, np.where(known, model.start[low16], np.uint64(model.escape_start)), np.where(known, model.freq[low16], np.uint64(model.escape)), _T0)
             raw = rest[~known]
             if len(raw):
-                one = np.ones(len(raw), np.uint64)
+                unit = np.ones(len(raw), np.uint64)
                 if wide:
-                    out.put(at[raw], (x[raw] >> np.uint32(16)).astype(np.uint64), one, 16)
-                out.put(at[raw], (x[raw] & np.uint32(0xFFFF)).astype(np.uint64), one, 16)
-        model.learn(a, b, p1, p2, cell, x)
-        prev2, prev1 = prev1[:len(at)], x
+                    out.put(raw, (x[raw] >> np.uint32(16)).astype(np.uint64), unit, 16)
+                out.put(raw, (x[raw] & np.uint32(0xFFFF)).astype(np.uint64), unit, 16)
+        model.learn(one, two, cell, x)
+        prev2, prev1 = prev1[:m], x
         if t + 1 == model.rebuild_at:
             model.order0(grid[t // 2 + (t > 0):t + 1].ravel().astype(np.int64))
             model.rebuild_at *= 2
@@ -260,25 +261,27 @@ def unpack(block: bytes) -> np.ndarray:
     model, src = Mixer(n), Reader(used, np.frombuffer(block, "<u2", -1, 24 + 4 * lanes))
     grid = np.zeros((steps, lanes), np.uint32)
     prev1 = prev2 = np.zeros(lanes, np.uint32)
-    every, short = np.arange(lanes), n - (lanes - 1) * steps
+    short = n - (lanes - 1) * steps
     for t in range(steps):
-        at = every if t < short else every[:-1]
-        a, b, p1, p2, state = model.contexts(prev1[:len(at)], prev2[:len(at)])
+        m = lanes if t < short else lanes - 1
+        at = slice(0, m)
+        one, two, state = model.contexts(prev1[:m], prev2[:m])
+        p1, p2 = one[1], two[1]
         r, v = src.peek(at, _TM)
         cell = state * 3
-        event = (v >= model.starts[cell + 1]).astype(np.intp) + (v >= model.starts[cell + 2])
+        event = (v >= model.starts.take(cell + 1)).astype(np.intp) + (v >= model.starts.take(cell + 2))
         cell += event
-        src.narrow(at, r, model.starts[cell], model.sizes[cell])
+        src.narrow(at, r, model.starts.take(cell), model.sizes.take(cell))
         x = np.where(event == 0, p2, p1)
         rest = np.flatnonzero(event == 2)
         if len(rest):
-            r, v = src.peek(at[rest], _T0)
+            r, v = src.peek(rest, _T0)
             known = v < np.uint64(model.escape_start)
             y = model.slot_id[v.astype(np.intp)]
-            src.narrow(at[rest], r, np.where(known, model.start[y], np.uint64(model.escape_start)), np.where(known, model.freq[y], np.uint64(model.escape)))
+            src.narrow(rest, r, np.where(known, model.start[y], np.uint64(model.escape_start)), np.where(known, model.freq[y], np.uint64(model.escape)))
             raw = np.flatnonzero(~known)
             if len(raw):
-                lane = at[rest[raw]]
+                lane = rest[raw]
                 high = np.zeros(len(raw), np.uint32)
                 for part in range(1 + wide):
                     r, v = src.peek(lane, 16)
@@ -286,9 +289,9 @@ def unpack(block: bytes) -> np.ndarray:
                     high = (high << np.uint32(16)) | v.astype(np.uint32)
                 y[raw] = high
             x[rest] = y
-        grid[t, :len(at)] = x
-        model.learn(a, b, p1, p2, cell, x)
-        prev2, prev1 = prev1[:len(at)], x
+        grid[t, :m] = x
+        model.learn(one, two, cell, x)
+        prev2, prev1 = prev1[:m], x
         if t + 1 == model.rebuild_at:
             model.order0(grid[t // 2 + (t > 0):t + 1].ravel().astype(np.int64))
             model.rebuild_at *= 2
@@ -299,60 +302,73 @@ def unpack(block: bytes) -> np.ndarray:
 
 
 #: words in each of the two generations of a worker's cache
-CACHED = 350_000
+CACHED = 500_000
 _encoders: dict[str, "WordCache"] = {}
 
 
-class WordCache:
-    """Encodes texts with the library, remembering the ids of words.
+def _byte_letters() -> dict[int, str]:
+    """The letters that byte-level models write for bytes: printable Latin-1
+    stands for itself, the rest for the code points from 256 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+class WordCache(dict):
+    """Encodes texts with the library: word -> ids of the word led by a space.
 
     Under the byte-level pattern a single space before a character that is not
     white space always starts a new pre-token, so a text whose spaces are
-    single is the concatenation of its space-led words; other texts, and those
-    holding an added token's text, are encoded whole.
+    single is the concatenation of its space-led words; a word's pre-tokens are
+    encoded one by one by the library's model.  Other texts, and those holding
+    an added token's text, are encoded whole.  Words are remembered in two
+    generations.
     """
 
     def __init__(self, path: str):
+        super().__init__()
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        self.young: dict[str, bytes] = {}
+        self.model, self.cut = self.tok.model, self.tok.pre_tokenizer
+        self.letters, self.space = _byte_letters(), _byte_letters()[0x20]
         self.old: dict[str, bytes] = {}
-        probe = ["a\n b c\n\n d \te 1 2x 's it's", " x y", "a\t b", " a  b", "a \u3000b"]
+        probe = ["a\n b c\n\n d \te 1 2x 's it's", " x y", "a\t b", " a  b", "a \u3000b", "word, word. Zoë's Ünï-x 12,5 \U0001F642 \u00aa\u00b5"]
         self.splits = True
-        self.splits = [self._whole([t])[0] for t in probe] == self.encode(probe)
+        try:
+            self.splits = self._whole(probe) == [self.encode(t) for t in probe]
+        except AttributeError:  # a tokenizer without these parts
+            self.splits = False
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, words: set[str]) -> None:
-        """See that the young generation has all of ``words``."""
-        missing = words - self.young.keys()
-        if len(self.young) + len(missing) > CACHED:
-            self.old, self.young, missing = self.young, {}, words
-        kept = missing & self.old.keys()
-        self.young.update((w, self.old[w]) for w in kept)
-        fresh = list(missing - kept)
-        self.young.update(zip(fresh, self._whole(fresh)))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian 32-bit numbers."""
-        parts, whole = [], []
-        for t in texts:
-            if not t:
-                parts.append([])
-            elif not self.splits or "  " in t or any(a in t for a in self.added):
-                parts.append(None)
-                whole.append(t)
+    def _ids(self, pre_token: str) -> list[int]:
+        return [t.id for t in self.model.tokenize(pre_token)]
+
+    def __missing__(self, word: str) -> bytes:
+        done = self.old.get(word)
+        if done is None:
+            stem, end = (word[:-1], word[-1]) if word[-1:] in (",", ".") else (word, "")
+            if stem.isalpha() and stem < "\u0250" and max(stem) < "\u0250":  # one pre-token of Latin letters
+                ids = self._ids(self.space + stem.encode().decode("latin-1").translate(self.letters)) + (self._ids(end) if end else [])
             else:
-                head, *rest = t.split(" ")
-                words = [" " + w for w in rest]
-                if head:
-                    words.insert(0, head)
-                parts.append(words)
-        self._learn({w for p in parts if p for w in p})
-        known, others = self.young.__getitem__, iter(self._whole(whole))
-        return [next(others) if p is None else b"".join(map(known, p)) for p in parts]
+                ids = [i for part, _ in self.cut.pre_tokenize_str(" " + word) for i in self._ids(part)]
+            done = struct.pack(f"<{len(ids)}I", *ids)
+        if len(self) >= CACHED:
+            self.old = dict(self)
+            self.clear()
+        self[word] = done
+        return done
+
+    def encode(self, text: str) -> bytes:
+        """The ids of a text as little-endian 32-bit numbers."""
+        if not text:
+            return b""
+        if not self.splits or "  " in text or any(a in text for a in self.added):
+            return self._whole([text])[0]
+        head, *rest = text.split(" ")
+        return (self._whole([head])[0] if head else b"") + b"".join(map(self.__getitem__, rest))
 
 
 def encoder(path: str) -> WordCache:
@@ -379,7 +395,7 @@ def _pack_partition(path: str, end_id: int):
         for b in batches:
             kind = b.schema.field(0).type
             for i, j, _, _ in tv.chunks(b.column(1)):
-                for doc, one in zip(b.column(0)[i:j].to_pylist(), enc.encode(b.column(1)[i:j].to_pylist())):
+                for doc, one in zip(b.column(0)[i:j].to_pylist(), map(enc.encode, (t or "" for t in b.column(1)[i:j].to_pylist()))):
                     docs.append(doc)
                     ids.append(one + end)
                     held += len(one) // 4 + 1
