@@ -31,23 +31,27 @@ def tokenizer_path(name: str) -> str:
 
 @query
 def op3_toxicity_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """3: noisy-or toxicity score of every document."""
     docs = table(spark, sf_dir, "documents")
     return op3_toxicity.score(docs, op3_toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
 @query
 def op7_quality_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """7: rule statistics and the isolation forest's verdict of every document."""
     out = op7_quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return out.select("doc_id", *op7_quality.BASE, "base_failed", "kept", F.round("score", 6).alias("score"))
 
 
 @query
 def op8_token_counts_two_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """8: SentencePiece token count of every document."""
     return op8_token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
 @query
 def op1_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """1: ids of every document written as range-coded blocks and read back."""
     return op1.token_table(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=2)
 
 
@@ -56,6 +60,7 @@ _FOLD = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 @query
 def op5_line_dedup_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """5: documents without the lines found in ten documents or more."""
     docs, (lines, dropped) = op5_line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), at_least=10, min_chars=1)
     return docs.select("doc_id", F.col(lines).alias("n_lines"), F.col(dropped).alias("n_dropped"), F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
@@ -75,6 +80,7 @@ FROM m GROUP BY rid, doc_id
 
 @query
 def op6_decontaminate_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """6: words of every document inside 10-word windows of benchmark items."""
     out = op6_decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
     return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                       F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
@@ -100,6 +106,7 @@ FROM d LEFT JOIN hits USING (rid) LEFT JOIN items USING (rid)
 
 @query
 def op2_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """2: components of documents whose 5-word shingles are 80 % alike."""
     return op2_jaccard_join.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
@@ -121,6 +128,7 @@ FROM d LEFT JOIN n USING (rid) JOIN r ON r.node = d.rid JOIN d t ON t.rid = r.re
 
 @query
 def op9_sharding_hypergeometric(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """9: every document's shard and slot in a uniform shuffle, `rows` law."""
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 16).cast("long").alias("size"),
         F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0)).cast("long").alias("text_crc32"))
@@ -130,6 +138,7 @@ def op9_sharding_hypergeometric(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op4_sentencepiece_fst(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """4: ids by the compiled transducer, as count and crc32, and the round trip."""
     docs, (ids, decoded) = op4_sentencepiece.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path("piece_bpe_32k.model"), with_decoded=True)
     return docs.select("doc_id", (F.octet_length(ids) / 4).cast("long").alias("n_tokens"), F.crc32(ids).alias("ids_crc32"),
                        (F.col(decoded) == F.coalesce("text", F.lit(""))).alias("round_trip"))
@@ -137,11 +146,13 @@ def op4_sentencepiece_fst(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """10: secrets found in the documents, false positives removed by a forest."""
     found = op10_secrets.scan(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "start", "end", F.sha2(F.col("value").cast("binary"), 256).alias("secret_sha256"), F.round("score", 6).alias("score"))
 
 
 def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five stages of corpus_pipeline over all documents."""
     return corpus_pipeline.run(spark, sf_dir)
 
 
