@@ -76,11 +76,8 @@ def stable_input(df: DataFrame, key=("patch_id", "pixel_idx"), n: int = FIT_PART
     """Training rows in ``n`` partitions by a hash of their key, sorted by key:
     bagging sees the same rows in the same place on every cluster, so equal
     splits give equal forests. Choose ``n`` for the training set (about one
-    partition for each core that may be used) and keep it. The partition number
-    is a column, which the optimiser's partition coalescing cannot merge."""
-    part = F.pmod(F.xxhash64(*key), F.lit(n)).cast("int")
-    spread = df.withColumn("_part", part).repartitionByRange(n, "_part")
-    return spread.sortWithinPartitions("_part", *key).drop("_part")
+    partition for each core that may be used) and keep it."""
+    return df.repartition(n, *key).sortWithinPartitions(*key)
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:

@@ -126,6 +126,13 @@ def every_nth(results: DataFrame, n: int = 5, key: str = "task_id") -> DataFrame
     return results.where(F.col(key) % n == 0)
 
 
-def dedupe_patches(results: DataFrame) -> DataFrame:
-    """One result (and so one patch) per task: the latest."""
-    return dedupe_results(results, "task_id", "ts")
+def patch_name() -> Column:
+    """The id of a result's patch in the pixel table."""
+    return F.concat(F.lit("task_"), F.col("task_id").cast("string"), F.lit("_worker_"), F.col("worker_id"))
+
+
+def dedupe_pixels(pixels: DataFrame, results: DataFrame) -> DataFrame:
+    """Pixels of the winning result of each task (G4): a task done twice leaves
+    two patches under different names, and only one may be trained on."""
+    won = dedupe_results(results.where(F.col("status") == "success").select("task_id", "worker_id", "ts"))
+    return pixels.join(won.select(patch_name().alias("patch_id")), "patch_id", "left_semi")

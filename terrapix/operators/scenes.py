@@ -6,16 +6,12 @@ window [d0, d1) and has cloud cover strictly below the tier's maximum wins;
 inside it the lowest cloud cover wins (ties: lowest scene_id). No hit in any
 tier -> no scene (status ``failed_download``).
 
-Plan: (1) each scene gets its best qualifying tier with a CASE chain - a
-projection, no join with the tier table; scenes qualifying for no tier are
-dropped before any shuffle, and the widest window becomes a pushed scan
-filter. (2) Task and scene boxes are both exploded to coarse cells and
-equi-joined on the cell; the exact closed-box test follows, and each pair is
-kept only in the cell holding the lower-left corner of the boxes'
-intersection, so no pair is produced twice. (3) ``min(struct(priority,
-cloud, scene_id))`` per task is a partial aggregation, so a task or a scene
-with many candidates never gathers them in one task. (4) Tasks without a
-candidate come back through a left join.
+Plan: tier by tier, (1) the tier's date window and cloud limit filter the scan,
+and the scenes of one footprint are reduced to the best one; (2) task and scene
+boxes are joined by ``box_join``; (3) ``min(struct(priority, cloud, scene_id))``
+per task is a partial aggregation, so a task or a scene with many candidates
+never gathers them in one task; (4) the tasks served leave (left-anti) before
+the next tier, and tasks without a candidate come back through a left join.
 """
 
 from __future__ import annotations
@@ -53,8 +49,15 @@ def scene_tier(scenes: DataFrame, windows: list[SearchWindow], ts: str = "scene_
 def _tier_scenes(scenes: DataFrame, w: SearchWindow, ts: str = "scene_ts", cloud: str = "cloud_cover"):
     cond = ((F.col(ts) >= _ts(w.d0, scenes, ts)) & (F.col(ts) < _ts(w.d1, scenes, ts))
             & (F.col(cloud) < F.lit(float(w.max_cloud))))
-    return scenes.where(cond).select("scene_id", "cloud_cover", F.lit(w.priority).alias("priority"),
-                                     F.lit(w.season).alias("season"), *BOX)
+    return _by_footprint(scenes.where(cond).select("scene_id", "cloud_cover", F.lit(w.priority).alias("priority"),
+                                                   F.lit(w.season).alias("season"), *BOX))
+
+
+def _by_footprint(scenes: DataFrame) -> DataFrame:
+    """The best scene of each footprint: overlap depends on the box alone, and
+    a catalog repeats the same tiles for years."""
+    return (scenes.groupBy(*BOX).agg(F.min(F.struct("priority", "cloud_cover", "scene_id", "season")).alias("b"))
+            .select("b.*", *BOX))
 
 
 def _best(cand: DataFrame) -> DataFrame:
@@ -79,8 +82,7 @@ def match_scenes(tasks: DataFrame, scenes: DataFrame, windows: list[SearchWindow
     """
     t = tasks.select("task_id", *BOX)
     if strategy == "single":
-        s = prefixed(scene_tier(scenes, windows).select("scene_id", "cloud_cover", "priority", "season", *BOX),
-                     "s_")
+        s = prefixed(_by_footprint(scene_tier(scenes, windows).select("scene_id", "cloud_cover", "priority", "season", *BOX)), "s_")
         best = _best(box_join(prefixed(t, "t_"), s, coarse, "t_", "s_"))
     else:
         # each tier's winners (at most one row per task) are materialised, so

@@ -1,10 +1,13 @@
 """Box-overlap (range) join without a cross join.
 
-Both sides are exploded to the coarse cells their boxes cover and
-equi-joined on the cell; the exact closed-interval test follows, and a pair
-is kept only in the cell holding the lower-left corner of the two boxes'
-intersection, so every overlapping pair appears exactly once. With a cell
-about the size of the larger boxes, each box explodes to a handful of cells.
+Every box has a level: on level k cells are ``size * 2**k`` wide, and a box's own
+level is the first on which it is no longer than a cell, so it covers at most
+2 x 2 cells there, however large it is. A pair meets on the higher of its two
+levels: boxes are exploded to the cells they cover on their own level and on the
+higher ones that occur, and equi-joined on (level, cell). The exact
+closed-interval test follows, and a pair is kept only in the cell holding the
+lower-left corner of the two boxes' intersection, so every overlapping pair
+appears exactly once.
 """
 
 from __future__ import annotations
@@ -13,33 +16,52 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BOX = ("xmin", "ymin", "xmax", "ymax")
+_TOP = 40  # beyond this level a cell is larger than any coordinate in use
 
 
-def coarse_span(lo: Column, hi: Column, size: float) -> Column:
-    return F.sequence(F.floor(lo / F.lit(size)).cast("bigint"), F.floor(hi / F.lit(size)).cast("bigint"))
+def box_level(size: float, prefix: str = "") -> Column:
+    """0 for boxes up to ``size``, one more for each doubling."""
+    x0, y0, x1, y1 = (F.col(f"{prefix}{c}") for c in BOX)
+    length = F.greatest(x1 - x0, y1 - y0, F.lit(float(size)))
+    return F.least(F.ceil(F.log2(length / F.lit(float(size))) - F.lit(1e-9)).cast("int"), F.lit(_TOP))
 
 
-def explode_cells(df: DataFrame, size: float, prefix: str = "") -> DataFrame:
-    x0, y0, x1, y1 = (F.col(f"{prefix}{c}") for c in BOX)
+def _usable(df: DataFrame, prefix: str) -> DataFrame:
     # a box with min > max (or a null corner) meets nothing
-    return (df.where((x0 <= x1) & (y0 <= y1))
-              .withColumn("_cx", F.explode(coarse_span(x0, x1, size)))
-              .withColumn("_cy", F.explode(coarse_span(y0, y1, size))))
+    x0, y0, x1, y1 = (F.col(f"{prefix}{c}") for c in BOX)
+    return df.where((x0 <= x1) & (y0 <= y1))
+
+
+def _cell(v: Column, size: float) -> Column:
+    return F.floor(v / (F.lit(float(size)) * F.pow(F.lit(2.0), F.col("_level"))))
+
+
+def explode_cells(df: DataFrame, size: float, levels: list[int], prefix: str, own: str) -> DataFrame:
+    """One row per box, level (its own and the occurring ones above) and cell."""
+    x0, y0, x1, y1 = (F.col(f"{prefix}{c}") for c in BOX)
+    above = F.filter(F.array(*[F.lit(k) for k in levels]), lambda k: k >= F.col(own))
+    e = _usable(df, prefix).withColumn(own, box_level(size, prefix)).withColumn("_level", F.explode(above))
+    return (e.withColumn("_cx", F.explode(F.sequence(_cell(x0, size), _cell(x1, size))))
+             .withColumn("_cy", F.explode(F.sequence(_cell(y0, size), _cell(y1, size)))))
 
 
 def box_join(left: DataFrame, right: DataFrame, size: float,
              lp: str = "l_", rp: str = "r_") -> DataFrame:
     """Pairs of overlapping boxes. ``left`` / ``right`` carry box columns
     already renamed with prefixes ``lp`` / ``rp`` (e.g. l_xmin ... r_ymax)."""
-    le = explode_cells(left, size, lp)
-    re = explode_cells(right, size, rp)
-    j = le.join(re, ["_cx", "_cy"])
+    found = (_usable(left, lp).select(box_level(size, lp).alias("k")).distinct()
+             .union(_usable(right, rp).select(box_level(size, rp).alias("k")).distinct()).distinct().collect())
+    levels = sorted(r["k"] for r in found) or [0]  # at most _TOP + 1 numbers
+    le = explode_cells(left, size, levels, lp, "_ll")
+    re = explode_cells(right, size, levels, rp, "_rl")
+    j = le.join(re, ["_level", "_cx", "_cy"])
     hit = ((F.col(f"{rp}xmin") <= F.col(f"{lp}xmax")) & (F.col(f"{rp}xmax") >= F.col(f"{lp}xmin"))
            & (F.col(f"{rp}ymin") <= F.col(f"{lp}ymax")) & (F.col(f"{rp}ymax") >= F.col(f"{lp}ymin")))
+    meeting = F.col("_level") == F.greatest("_ll", "_rl")
     ref_x = F.greatest(F.col(f"{lp}xmin"), F.col(f"{rp}xmin"))
     ref_y = F.greatest(F.col(f"{lp}ymin"), F.col(f"{rp}ymin"))
-    owner = ((F.floor(ref_x / F.lit(size)) == F.col("_cx")) & (F.floor(ref_y / F.lit(size)) == F.col("_cy")))
-    return j.where(hit & owner).drop("_cx", "_cy")
+    owner = (_cell(ref_x, size) == F.col("_cx")) & (_cell(ref_y, size) == F.col("_cy"))
+    return j.where(meeting & hit & owner).drop("_level", "_cx", "_cy", "_ll", "_rl")
 
 
 def prefixed(df: DataFrame, prefix: str, cols=BOX) -> DataFrame:

@@ -485,3 +485,31 @@ SELECT a.label, a.n_total, coalesce(b.n_used, 0) AS n_used,
  round(coalesce(b.n_used, 0) * 100.0::DOUBLE / a.n_total, 6) AS pct_used
 FROM (SELECT CAST(label AS BIGINT) AS label, count(*) AS n_total FROM valid GROUP BY 1) a
 LEFT JOIN (SELECT CAST(label AS BIGINT) AS label, count(*) AS n_used FROM used GROUP BY 1) b USING (label)"""
+
+
+ORACLE["ml_standardize"] = ORACLE["standardize"]
+_TEST = with_(PIXELS, FEATURES, STRAT, f"""b AS (
+ SELECT *, {u_sql(['patch_id', 'pixel_idx'], 'split42')} AS u FROM strat
+ WHERE red_b4 IS NOT NULL AND nir_b8 IS NOT NULL AND swir_b11 IS NOT NULL AND ndvi IS NOT NULL
+  AND NOT isnan(red_b4) AND NOT isnan(nir_b8) AND NOT isnan(swir_b11) AND NOT isnan(ndvi))""")
+ORACLE["rf_test_rows"] = _TEST + """
+SELECT patch_id, pixel_idx, CAST(label AS DOUBLE) AS label, count(*) AS n, true AS ok FROM b WHERE u >= 0.8::DOUBLE GROUP BY ALL"""
+ORACLE["rf_importance_rows"] = _TEST + """
+SELECT 4 AS features, 1.0::DOUBLE AS total, true AS ok, count(*) AS n_train FROM b WHERE u < 0.8::DOUBLE"""
+ORACLE["lr_weight_rows"] = with_(PIXELS, FEATURES, f"""tr AS (SELECT * FROM valid WHERE {u_sql(['patch_id', 'pixel_idx'], 'split42')} < 0.8::DOUBLE),
+r AS (SELECT CAST(count(*) FILTER (WHERE label = 1) AS DOUBLE) / CAST(count(*) FILTER (WHERE label = 0) AS DOUBLE) AS ratio FROM tr)""") + """
+SELECT patch_id, pixel_idx, CAST(label AS DOUBLE) AS label, round(CASE WHEN ratio > 1 AND label = 0 THEN ratio ELSE 1.0::DOUBLE END, 6) AS weight FROM tr, r"""
+ORACLE["parcels_source"] = with_(PARCELS) + """
+SELECT parcel_id, ec_hcat_n, xmin, ymin, xmax, ymax FROM parcels WHERE xmin <= 900 AND xmax >= 200 AND ymin <= 700 AND ymax >= 150"""
+ORACLE["patches_source"] = with_(PATCHES) + """
+SELECT patch_id, CAST(p AS BIGINT) AS pixel_idx, CAST(CASE WHEN e[p + 1] > 0 THEN 1 ELSE 0 END AS BIGINT) AS label,
+""" + ",\n".join(f" CASE WHEN e[{k * 16} + p + 1] < -0.5 THEN 0.0::DOUBLE ELSE CAST(e[{k * 16} + p + 1] AS DOUBLE) END AS band_{k}" for k in range(4)) + """
+FROM pat, (SELECT unnest(range(0, 16)) AS p) r"""
+ORACLE["scenes_source"] = with_(SCENES) + "SELECT * FROM scenes"
+ORACLE["pixels_source"] = with_(PIXELS) + """
+SELECT patch_id, pixel_idx, label, band_1 AS green, band_2 AS nir, band_4 AS red, band_8 AS swir16 FROM pixels"""
+ORACLE["dedupe_pixels"] = with_(PIXELS, r"""ids AS (SELECT DISTINCT patch_id, CAST(regexp_extract(patch_id, 'task_(\d+)_worker_(.+)', 1) AS BIGINT) AS task_id,
+ regexp_extract(patch_id, 'task_(\d+)_worker_(.+)', 2) AS worker_id FROM pixels),
+won AS (SELECT patch_id FROM (SELECT *, row_number() OVER (PARTITION BY task_id
+ ORDER BY (task_id * 7 + CAST(worker_id AS BIGINT) * 5) % 11 DESC, worker_id DESC) AS rn FROM ids) WHERE rn = 1)""") + """
+SELECT p.* FROM pixels p JOIN won USING (patch_id)"""

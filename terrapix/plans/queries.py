@@ -589,3 +589,107 @@ def q_inventory(spark, sf_dir):
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+# --- machine learning and sources, as rows that a twin can check -----------------
+
+import uuid  # noqa: E402
+
+from pyspark.ml import Pipeline  # noqa: E402
+from pyspark.ml.functions import vector_to_array  # noqa: E402
+
+from terrapix.functions.spectral import name_bands  # noqa: E402
+from terrapix.session import scratch_path  # noqa: E402
+from terrapix.sources import files  # noqa: E402
+
+
+def _folder(spark, name):
+    return scratch_path(spark, f"queries/{name}-{uuid.uuid4().hex}")
+
+
+@register("ml_standardize")
+def q_ml_standardize(spark, sf_dir):
+    """Assembler and scaler of the pipeline give z-scores."""
+    b = balanced(spark, sf_dir)
+    model = Pipeline(stages=[ml.assembler(feat.FEATURES_V1), ml.scaler()]).fit(b)
+    z = model.transform(b).withColumn("_z", vector_to_array("scaled_features"))
+    return z.select(*KEY, F.col("label").cast("double").alias("label"),
+                    *[F.round(F.col("_z")[k], 6).alias(f"{c}_z") for k, c in enumerate(feat.FEATURES_V1)])
+
+
+@register("rf_test_rows")
+def q_rf_test_rows(spark, sf_dir):
+    """K4, K5: the forest scores every valid test row once, with a class."""
+    model, test = _fit_v1(spark, sf_dir)
+    s = ml.score(model, test)
+    ok = F.col("prediction").isin(0.0, 1.0) & (F.col("p1") >= 0) & (F.col("p1") <= 1) & ((F.col("p1") > 0.5) == (F.col("prediction") == 1.0))
+    tie = F.abs(F.col("p1") - 0.5) < 1e-12
+    return s.groupBy(*KEY, F.col("label").cast("double").alias("label")).agg(F.count(F.lit(1)).alias("n"), F.min(ok | tie).alias("ok"))
+
+
+@register("rf_importance_rows")
+def q_rf_importance_rows(spark, sf_dir):
+    """K6, H2: an importance for every feature, in [0, 1], summing to 1, over
+    the rows that trained the forest."""
+    model, _ = _fit_v1(spark, sf_dir)
+    i = ml.importances(model, feat.FEATURES_V1)
+    n = sampling.hash_split(feat.drop_invalid(balanced(spark, sf_dir), feat.FEATURES_V1), [0.8, 0.2], 42)[0].count()
+    return i.agg(F.count(F.lit(1)).alias("features"), F.round(F.sum("importance"), 6).alias("total"),
+                 F.min((F.col("importance") >= 0) & (F.col("importance") <= 1)).alias("ok")).withColumn("n_train", F.lit(n).cast("bigint"))
+
+
+@register("lr_weight_rows")
+def q_lr_weight_rows(spark, sf_dir):
+    """The training rows of the weighted regression with their weights."""
+    f = feat.drop_invalid(features_v1(spark, sf_dir), feat.FEATURES_V1)
+    train, _ = sampling.hash_split(f, [0.8, 0.2], 42)
+    w = metrics.with_weight(train, metrics.class_weights(train, threshold=1.0))
+    return w.select(*KEY, F.col("label").cast("double").alias("label"), F.round("weight", 6).alias("weight"))
+
+
+@register("parcels_source")
+def q_parcels_source(spark, sf_dir):
+    """The parcel layer written and read through the source, box filter
+    pushed; closed edges."""
+    path = _folder(spark, "parcels")
+    files.write_parcels(derived.parcels(spark, sf_dir, with_rings=False), path, derived.FIXTURE_GRID_STEP)
+    return files.read_parcels(spark, path, bbox=(200.0, 150.0, 900.0, 700.0)).select("parcel_id", "ec_hcat_n", *["xmin", "ymin", "xmax", "ymax"])
+
+
+@register("patches_source")
+def q_patches_source(spark, sf_dir):
+    """Patches with missing values archived, read back and
+    filled."""
+    path = _folder(spark, "patches")
+    p = derived.patches(spark, sf_dir)
+    holes = p.withColumn("bands", F.transform("bands", lambda b: F.transform(b, lambda v: F.when(v < -0.5, F.lit(None)).otherwise(v))))
+    files.write_patch_archive(holes, path)
+    px = pt.explode_patches(pt.fill_missing(files.read_patches(spark, path)), 4)
+    return px.select("patch_id", "pixel_idx", "label", *[f"band_{k}" for k in range(4)])
+
+
+@register("scenes_source")
+def q_scenes_source(spark, sf_dir):
+    """A10: the scene catalog written and read through the checked reader."""
+    path = _folder(spark, "scenes")
+    derived.scenes(spark, sf_dir).write.parquet(path)
+    return files.read_scenes(spark, path)
+
+
+@register("pixels_source")
+def q_pixels_source(spark, sf_dir):
+    """Pixel rows written by task bucket (twice: a replay) and
+    read back with their band names."""
+    path = _folder(spark, "pixels")
+    px = derived.pixels(spark, sf_dir).withColumn("task_id", F.regexp_extract("patch_id", r"task_(\d+)_", 1).cast("bigint"))
+    for _ in range(2):
+        pp.write_pixels(px, path, batch=0)
+    return name_bands(files.read_pixels(spark, path).select("patch_id", "pixel_idx", "label", "band_1", "band_2", "band_4", "band_8"))
+
+
+@register("dedupe_pixels")
+def q_dedupe_pixels(spark, sf_dir):
+    """Only the pixels of each task's winning result stay, when two workers
+    produced the same task."""
+    px = derived.pixels(spark, sf_dir)
+    return mon.dedupe_pixels(px, derived.pixel_results(px))

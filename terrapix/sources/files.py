@@ -79,8 +79,18 @@ def read_pixels(spark: SparkSession, path: str, bands: BandSpec | None = None) -
 # --- patches ----------------------------------------------------------------------
 
 def read_patches(spark: SparkSession, path: str) -> DataFrame:
-    """Patch table with band-major array columns."""
-    return spark.read.parquet(path)
+    """Patch table with band-major array columns (A11, A13); raises when a
+    column is missing or of another kind."""
+    return _checked(spark.read.parquet(path), {
+        "patch_id": T.StringType, "n_bands": T.IntegralType, "h": T.IntegralType, "w": T.IntegralType, "bands": T.ArrayType}, path)
+
+
+def _checked(df: DataFrame, columns: dict, path: str) -> DataFrame:
+    kinds = {f.name: f.dataType for f in df.schema}
+    wrong = [c for c, kind in columns.items() if not isinstance(kinds.get(c), kind)]
+    if wrong:
+        raise ValueError(f"{path}: columns missing or of another type: {wrong}")
+    return df
 
 
 def write_patch_archive(patches: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -118,8 +128,11 @@ def read_npz_patches(spark: SparkSession, glob: str) -> DataFrame:
 # --- scenes ---------------------------------------------------------------------
 
 def read_scenes(spark: SparkSession, path: str) -> DataFrame:
-    """Scene catalog table: scene_id, scene_ts, cloud_cover, footprint box (A10)."""
-    return spark.read.parquet(path)
+    """Scene catalog table: scene_id, scene_ts, cloud_cover, footprint box
+    (A10); raises when a column is missing or of another kind."""
+    return _checked(spark.read.parquet(path), {
+        "scene_id": (T.IntegralType, T.StringType), "scene_ts": (T.TimestampType, T.TimestampNTZType, T.DateType),
+        "cloud_cover": T.NumericType, **{c: T.NumericType for c in ("xmin", "ymin", "xmax", "ymax")}}, path)
 
 
 # --- object inventory / one-file sample -------------------------------------------

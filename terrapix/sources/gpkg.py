@@ -75,9 +75,10 @@ def _meta(path: str, table: str | None):
     con = sqlite3.connect(f"file:{path}?mode=ro", uri=True)
     try:
         if table is None:
-            row = con.execute("SELECT table_name FROM gpkg_contents WHERE data_type = 'features' "
-                              "ORDER BY table_name LIMIT 1").fetchone()
-            table = row[0]
+            layers = [r[0] for r in con.execute("SELECT table_name FROM gpkg_contents WHERE data_type = 'features' ORDER BY table_name")]
+            if len(layers) != 1:
+                raise ValueError(f"{path} has the feature layers {layers}: name one with the option table")
+            table = layers[0]
         geom, srs = con.execute("SELECT column_name, srs_id FROM gpkg_geometry_columns WHERE table_name = ?",
                                 (table,)).fetchone()
         crs = None
@@ -87,10 +88,10 @@ def _meta(path: str, table: str | None):
             crs = f"{r[0].upper()}:{r[1]}"
         pk = [c[1] for c in con.execute(f'PRAGMA table_info("{table}")') if c[5]]
         fid = pk[0] if pk else "rowid"
-        lo, hi = con.execute(f'SELECT min("{fid}"), max("{fid}") FROM "{table}"').fetchone()
+        lo, hi, n = con.execute(f'SELECT min("{fid}"), max("{fid}"), count(*) FROM "{table}"').fetchone()
         rtree = f"rtree_{table}_{geom}"
         has_rtree = con.execute("SELECT count(*) FROM sqlite_master WHERE name = ?", (rtree,)).fetchone()[0] > 0
-        return dict(table=table, geom=geom, crs=crs, fid=fid, lo=lo, hi=hi,
+        return dict(table=table, geom=geom, crs=crs, fid=fid, lo=lo, hi=hi, n=n,
                     rtree=rtree if has_rtree else None)
     finally:
         con.close()
@@ -106,8 +107,10 @@ class GeoPackageReader(DataSourceReader):
     def __init__(self, options: dict):
         self.path = options["path"]
         self.cls = options.get("class_column", "EC_hcat_n")
-        self.n = int(options.get("numPartitions", "8"))
         self.meta = _meta(self.path, options.get("table"))
+        # splits follow the number of features
+        rows = int(options.get("rowsPerPartition", "50000"))
+        self.n = int(options.get("numPartitions", max(1, -(-self.meta["n"] // rows))))
         self.box: dict[str, tuple[str, float]] = {}
 
     # envelope constraints -> R-tree query; Spark re-checks every filter
@@ -143,9 +146,10 @@ class GeoPackageReader(DataSourceReader):
                     args.append(v)
             sql += " WHERE " + " AND ".join(where)
             for pid, cls, blob in con.execute(sql, args):
-                _, rings = parse_gpkg_geometry(blob)
+                rings = parse_gpkg_geometry(blob)[1] if blob is not None else []
                 pts = [p for r in rings for p in r]
-                if not pts:
+                if not pts:  # no geometry: a row without envelope, which meets nothing but can be counted
+                    yield (int(pid), cls, None, None, None, None, [], m["crs"])
                     continue
                 xs, ys = [p[0] for p in pts], [p[1] for p in pts]
                 yield (int(pid), cls, min(xs), min(ys), max(xs), max(ys),
