@@ -43,7 +43,7 @@ from terrapix.llm import textvec as tv
 
 _MARK = "▁"
 #: words in each generation of a worker's cache (and parts), remembered pairs of pieces
-CACHED, PAIRS = 250_000, 500_000
+CACHED, PAIRS = 500_000, 500_000
 UNIGRAM, BPE, _UNKNOWN = 1, 2, 1e6
 _models: dict[str, "Transducer"] = {}
 
@@ -75,6 +75,24 @@ def _fields(raw: bytes) -> dict[int, list]:
     return out
 
 
+class Words(dict):
+    """word -> ids of the word led by a mark, in two generations."""
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode, self.old = encode, {}
+
+    def __missing__(self, word: str) -> bytes:
+        done = self.old.get(word)
+        if done is None:
+            done = self.encode(_MARK + word)
+        if len(self) >= CACHED:
+            self.old = dict(self)
+            self.clear()
+        self[word] = done
+        return done
+
+
 class Transducer:
     """A compiled model."""
 
@@ -106,8 +124,7 @@ class Transducer:
             raise ValueError("pieces with inner word marks are not supported")
         self.heads = {p[:k] for p in self.ids for k in range(1, len(p))}  # beginnings of longer pieces
         self.parts: dict[str, bytes] = {}
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.words = Words(self._word)
         self.output = [b""] * n  # what decoding writes for an id
         for p, i in self.ids.items():
             self.output[i] = p.replace(_MARK, " ").encode()
@@ -222,14 +239,6 @@ class Transducer:
             self.parts[part] = done
         return done
 
-    def _learn(self, words: set[str], encode) -> None:
-        missing = words - self.young.keys()
-        if len(self.young) + len(missing) > CACHED:
-            self.old, self.young, missing = self.young, {}, words
-        for w in missing:
-            known = self.old.get(w)
-            self.young[w] = known if known is not None else encode(w)
-
     def _word(self, word: str) -> bytes:
         """A marked word: its parts between characters that no piece joins."""
         side = self.side
@@ -240,17 +249,17 @@ class Transducer:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit numbers."""
-        split = [self._words(t) if t else [] for t in texts]
-        self._learn({w for s in split for w in s}, self._word)
-        known = self.young.__getitem__
-        return [b"".join(map(known, s)) for s in split]
-
-    def _words(self, text: str) -> list[str]:
-        """Words led by their marks; a run of marks belongs to the next word."""
-        if _MARK not in text and "  " not in text and self.prefix and text[0] != " " and text[-1] != " ":
-            return [_MARK + w for w in text.split(" ")]
-        marked = (_MARK if self.prefix else "") + text.replace(" ", _MARK)
-        return re.findall(f"{_MARK}+[^{_MARK}]*|[^{_MARK}]+", marked)
+        known = self.words.__getitem__
+        out = []
+        for t in texts:
+            if not t:
+                out.append(b"")
+            elif self.prefix and t[0] != " " and t[-1] != " " and "  " not in t and _MARK not in t:
+                out.append(b"".join(map(known, t.split(" "))))
+            else:  # a run of marks belongs to the next word
+                marked = (_MARK if self.prefix else "") + t.replace(" ", _MARK)
+                out.append(b"".join(map(self._word, re.findall(f"{_MARK}+[^{_MARK}]*|[^{_MARK}]+", marked))))
+        return out
 
     def decode(self, ids: bytes) -> str:
         raw = b"".join(map(self.output.__getitem__, np.frombuffer(ids, "<u4").tolist()))
