@@ -6,8 +6,7 @@
   python -m terrapix train   --pixels GLOB --out DIR [--variant v1|v2] [--model PATH]
 
 ``--master`` is only for local runs; on a cluster the submitter decides.
-Streaming jobs keep their checkpoints under ``spark.checkpoint.dir`` unless
-``--checkpoint`` is given.
+Streaming jobs keep their checkpoints below ``--checkpoint``, else ``--out``.
 """
 
 from __future__ import annotations
@@ -52,6 +51,11 @@ def cmd_tasks(args) -> dict:
     return stats
 
 
+def _checkpoint(args, name: str) -> str:
+    """A stream's own folder: below --checkpoint, else below --out."""
+    return f"{(args.checkpoint or args.out).rstrip('/')}/_checkpoint_{name}"
+
+
 def cmd_worker(args):
     from terrapix.operators import grid
     from terrapix.schema import windows_from_intervals
@@ -62,10 +66,12 @@ def cmd_worker(args):
                                 _class_map(spark, args.class_map))
     scenes = files.read_scenes(spark, args.scenes)
     stream = messages.read_task_stream(spark, args.bootstrap, args.tasks)
-    q = run_patch_stream(stream, parcels, scenes, windows_from_intervals(), args.out, args.checkpoint,
+    q = run_patch_stream(stream, parcels, scenes, windows_from_intervals(), args.out, _checkpoint(args, "worker"),
                          res=args.res, parcel_cell=args.parcel_cell, scene_cell=args.scene_cell,
                          worker_id=args.worker_id, available_now=args.once,
-                         processing_time=None if args.once else "1 second", kafka_bootstrap=args.bootstrap)
+                         processing_time=None if args.once else "1 second", kafka_bootstrap=args.bootstrap,
+                         rasters=files.read_rasters(spark, args.rasters) if args.rasters else None,
+                         n_bands=args.bands, utm_zone=args.utm_zone)
     q.awaitTermination()
 
 
@@ -75,11 +81,9 @@ def cmd_monitor(args):
     from terrapix.streaming.progress_stream import run_progress_stream
     spark = _session(args)
     stream = messages.valid(messages.read_result_stream(spark, args.bootstrap, args.results))
-    q1 = run_monitor_stream(stream, f"{args.out}/monitor", None if not args.checkpoint else
-                            f"{args.checkpoint}/monitor", available_now=args.once,
+    q1 = run_monitor_stream(stream, f"{args.out}/monitor", _checkpoint(args, "monitor"), available_now=args.once,
                             processing_time=None if args.once else "5 seconds")
-    q2 = run_progress_stream(stream, f"{args.out}/progress", None if not args.checkpoint else
-                             f"{args.checkpoint}/progress", every=args.every, available_now=args.once)
+    q2 = run_progress_stream(stream, f"{args.out}/progress", _checkpoint(args, "progress"), every=args.every, available_now=args.once)
     q1.awaitTermination()
     q2.awaitTermination()
 
@@ -139,6 +143,9 @@ def parser() -> argparse.ArgumentParser:
     w.add_argument("--parcel-cell", type=float, default=GRID_STEP_DEG)
     w.add_argument("--scene-cell", type=float, default=1.0)
     w.add_argument("--worker-id", default="spark")
+    w.add_argument("--rasters", default=None, help="raster table: task_id, h, w, bands")
+    w.add_argument("--bands", type=int, default=10)
+    w.add_argument("--utm-zone", type=int, default=None, help="project before burning; --res is in metres then")
     w.add_argument("--once", action="store_true", help="process what is available, then stop")
     w.set_defaults(fn=cmd_worker)
 

@@ -85,6 +85,11 @@ def read_patches(spark: SparkSession, path: str) -> DataFrame:
         "patch_id": T.StringType, "n_bands": T.IntegralType, "h": T.IntegralType, "w": T.IntegralType, "bands": T.ArrayType}, path)
 
 
+def read_rasters(spark: SparkSession, path: str) -> DataFrame:
+    """Raster table of the worker (A11): a task's bands as arrays."""
+    return _checked(spark.read.parquet(path), {"task_id": T.IntegralType, "h": T.IntegralType, "w": T.IntegralType, "bands": T.ArrayType}, path)
+
+
 def _checked(df: DataFrame, columns: dict, path: str) -> DataFrame:
     kinds = {f.name: f.dataType for f in df.schema}
     wrong = [c for c, kind in columns.items() if not isinstance(kinds.get(c), kind)]

@@ -1,53 +1,85 @@
-"""Scoring stream (L5, E6): image-ready events -> the patch's pixels (a
-stream-static join on patch_id) -> features -> saved pipeline model ->
-running confusion counts.
-
-The pixel table is the static side and is never broadcast; each micro-batch
-of ready events joins it on patch_id, so only the announced patches' pixels
-are read and scored. The running confusion table is streaming state keyed
-by (label, prediction): at most (#classes)^2 rows.
+"""Scoring stream (L5, E6): image-ready events -> the announced patches' pixels
+-> features -> saved pipeline model -> running confusion and its report.
+
+Each micro-batch reads only the task buckets it needs (the pixel table's
+partition folders), joins them with its patch ids, and leaves three folders
+under its batch id, so a replayed batch replaces its own: the patch ids it
+scored, the running (label, prediction) counts - at most (#classes)^2 rows - and
+the report (accuracy, precision, recall, F1). A patch announced again, in this
+batch or an earlier one, is scored once.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from terrapix.session import require_checkpoint
-
 from terrapix.operators import features as feat
+from terrapix.operators import metrics
+from terrapix.operators.monitor import patch_name
 from terrapix.schema import DEFAULT_BANDS, BandSpec
+from terrapix.session import require_checkpoint
+
+_CONFUSION = "label double, prediction double, count long"
 
 
 def ready_patch_ids(ready: DataFrame) -> DataFrame:
-    """patch_id of each ready event (the id the pixel table uses)."""
-    return ready.select(F.concat(F.lit("task_"), F.col("task_id").cast("string"), F.lit("_worker_"),
-                                 F.col("worker_id")).alias("patch_id"))
+    """task_id and patch_id of the ready events, once each."""
+    return ready.select("task_id", patch_name().alias("patch_id")).distinct()
+
 
+def announced_pixels(ids: DataFrame, pixels: DataFrame, buckets: int = 64) -> DataFrame:
+    """Pixels of the patches in ``ids`` (E6). When the pixel table has task
+    buckets (``write_pixels``), only the buckets of these tasks are read."""
+    if "task_bucket" in pixels.columns:
+        needed = [r[0] for r in ids.select(F.pmod("task_id", F.lit(buckets)).cast("int")).distinct().collect()]  # <= buckets
+        pixels = pixels.where(F.col("task_bucket").isin(needed))
+    return pixels.join(ids.select("patch_id"), "patch_id", "left_semi")
 
-def scored_pixels(ready: DataFrame, pixels: DataFrame, model: PipelineModel,
+
+def scored_pixels(ids: DataFrame, pixels: DataFrame, model: PipelineModel,
                   bands: BandSpec = DEFAULT_BANDS, features=feat.FEATURES_V1) -> DataFrame:
     idx = tuple(f for f in ("ndvi", "ndwi", "ndmi") if f in features) or ("ndvi",)
-    ids = ready_patch_ids(ready)
-    if ready.isStreaming:
-        # a patch announced twice is scored once (state: one row per patch id)
-        ids = ids.dropDuplicates(["patch_id"])
-    else:
-        ids = ids.distinct()
-    px = ids.join(pixels, "patch_id")
-    f = feat.pixel_features(px, bands, indices=idx, keep=("patch_id", "pixel_idx"))
+    f = feat.pixel_features(announced_pixels(ids, pixels), bands, indices=idx, keep=("patch_id", "pixel_idx"))
     return model.transform(f).select("patch_id", "pixel_idx", "label", "prediction")
 
 
+def _before(spark, out: str, epoch: int) -> DataFrame:
+    """The counts that batch ``epoch - 1`` left; lost state is an error."""
+    if epoch == 0:
+        return spark.createDataFrame([], _CONFUSION)
+    path = f"{out}/confusion/batch={epoch - 1}"
+    try:
+        return spark.read.schema(_CONFUSION).parquet(path)
+    except AnalysisException as ex:
+        raise RuntimeError(f"confusion counts of batch {epoch - 1} are missing: {path}") from ex
+
+
 def run_score_stream(ready_stream: DataFrame, pixels: DataFrame, model: PipelineModel, checkpoint: str | None,
-                     query_name: str = "confusion_running", available_now: bool = True) -> StreamingQuery:
-    """Running (label, prediction) counts into a memory table ``query_name``."""
+                     out_dir: str, available_now: bool = True) -> StreamingQuery:
+    """Running confusion and report of all announced patches below ``out_dir``
+    (folders ``scored``, ``confusion``, ``report``, each by ``batch=<id>``)."""
     require_checkpoint(checkpoint)
-    conf = scored_pixels(ready_stream, pixels, model).groupBy("label", "prediction").count()
-    w = (conf.writeStream.outputMode("complete").format("memory").queryName(query_name)
-         .option("checkpointLocation", checkpoint))
+    out = out_dir.rstrip("/")
+
+    def batch(df: DataFrame, epoch: int) -> None:
+        spark = df.sparkSession
+        ids = ready_patch_ids(df)
+        if epoch > 0:
+            done = spark.read.schema("task_id long, patch_id string, batch int").parquet(f"{out}/scored").where(F.col("batch") < epoch)
+            ids = ids.join(done.select("patch_id"), "patch_id", "left_anti").select("task_id", "patch_id")
+        ids.write.mode("overwrite").parquet(f"{out}/scored/batch={epoch}")
+        ids = spark.read.schema("task_id long, patch_id string").parquet(f"{out}/scored/batch={epoch}")
+        conf = metrics.confusion_long(scored_pixels(ids, pixels, model)).unionByName(_before(spark, out, epoch))
+        conf = conf.groupBy("label", "prediction").agg(F.sum("count").alias("count"))
+        conf.write.mode("overwrite").parquet(f"{out}/confusion/batch={epoch}")
+        conf = spark.read.schema(_CONFUSION).parquet(f"{out}/confusion/batch={epoch}")
+        metrics.report_from_confusion(conf).write.mode("overwrite").parquet(f"{out}/report/batch={epoch}")
+
+    w = ready_stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     if available_now:
         w = w.trigger(availableNow=True)
     return w.start()
