@@ -55,6 +55,23 @@ def point_in_rings(px, py, rings) -> Column:
     return F.when(F.size(rings) > 0, F.aggregate(rings, F.lit(False), ring_parity)).otherwise(F.lit(False))
 
 
+def segment_meets_box(e: Column, box: tuple) -> Column:
+    """Whether an edge (x1, y1, x2, y2) meets a closed box: no separating axis
+    among x, y and the edge's normal."""
+    x0, y0, x1, y1 = map(_c, box)
+    hx, hy = (x1 - x0) / 2, (y1 - y0) / 2
+    dx, dy = (e["x2"] - e["x1"]) / 2, (e["y2"] - e["y1"]) / 2
+    mx, my = (e["x1"] + e["x2"]) / 2 - (x0 + x1) / 2, (e["y1"] + e["y2"]) / 2 - (y0 + y1) / 2
+    return ((F.abs(mx) <= hx + F.abs(dx)) & (F.abs(my) <= hy + F.abs(dy))
+            & (F.abs(mx * dy - my * dx) <= hx * F.abs(dy) + hy * F.abs(dx)))
+
+
+def rings_meet_box(rings, box: tuple) -> Column:
+    """Whether a polygon meets a closed box (D1 exact): an edge does, or the
+    box lies inside."""
+    return F.exists(ring_edges(rings), lambda e: segment_meets_box(e, box)) | point_in_rings(box[0], box[1], rings)
+
+
 def ring_edges(rings) -> Column:
     """All edges of all rings as structs (x1, y1, x2, y2)."""
     rings = _c(rings)

@@ -26,22 +26,12 @@ def label_name(label) -> Column:
     return m[_c(label).cast("int")]
 
 
-def ratio_floor1(a, b) -> Column:
-    """a / max(b, 1)."""
-    return _c(a).cast("double") / F.greatest(_c(b), F.lit(1)).cast("double")
-
-
 def percent(part, total) -> Column:
     """part / total * 100, 0 when total is 0."""
     part, total = _c(part).cast("double"), _c(total).cast("double")
     return F.when(total > 0, part / total * 100.0).otherwise(F.lit(0.0))
 
 
-def percent_or_null(part, total) -> Column:
-    """part / total * 100, null when total is 0 (the original raised)."""
-    return F.try_divide(_c(part).cast("double"), _c(total).cast("double")) * 100.0
-
-
 def rate(n, seconds) -> Column:
     """n / seconds, 0 when elapsed <= 0."""
     s = _c(seconds).cast("double")

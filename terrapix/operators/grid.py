@@ -20,12 +20,6 @@ from terrapix.schema import MIN_POLYGONS_TASK, GridSpec
 from terrapix.session import checkpoint_dir
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast hint only after checking the row count is bounded."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def extent(parcels: DataFrame) -> DataFrame:
     """Total bounds of the layer: one partial+final aggregation (A3)."""
     return parcels.agg(F.min("xmin").alias("xmin"), F.min("ymin").alias("ymin"),
@@ -62,9 +56,10 @@ def grid_cells(spark: SparkSession, spec: GridSpec) -> DataFrame:
 
 
 def class_lookup(parcels: DataFrame, class_map: DataFrame, drop_unmapped: bool = False) -> DataFrame:
-    """Left join with the (small, size-checked, broadcast) class map: binary_id
-    null = unmapped (E1); ``drop_unmapped`` is the D3 filter."""
-    cm = broadcast_if_small(class_map.select("ec_hcat_n", F.col("binary_id").cast("int")))
+    """Left join with the class map: binary_id null = unmapped (E1);
+    ``drop_unmapped`` is the D3 filter. Whether the map is broadcast is left to
+    the optimiser's size limit."""
+    cm = class_map.select("ec_hcat_n", F.col("binary_id").cast("int"))
     out = parcels.join(cm, "ec_hcat_n", "left")
     return out.where(F.col("binary_id").isNotNull()) if drop_unmapped else out
 
@@ -155,17 +150,16 @@ def dataset_stats(tasks: DataFrame, pairs: DataFrame, spec: GridSpec, threshold:
     kept cells (the per-cell sum counts a border polygon once per cell)."""
     kept = tasks.select("i", "j")
     distinct = (pairs.where(F.col("binary_id").isNotNull())
-                .join(kept, ["i", "j"], "left_semi")
-                .agg(F.count_distinct("parcel_id").alias("distinct_polygons")))
-    s = tasks.agg(
-        F.count(F.lit(1)).alias("n_tasks"),
-        F.coalesce(F.sum("polygon_count"), F.lit(0)).alias("total_polygons"),
-        F.coalesce(F.sum("crop"), F.lit(0)).alias("crop"),
-        F.coalesce(F.sum("non_crop"), F.lit(0)).alias("non_crop"))
+                .join(kept, ["i", "j"], "left_semi").select("parcel_id").distinct()
+                .select(F.lit(0).cast("bigint").alias("n"), *[F.lit(0).cast("bigint").alias(c) for c in ("polygon_count", "crop", "non_crop")],
+                        F.lit(1).cast("bigint").alias("d")))
+    # both kinds of rows in one aggregation: no join of one-row tables
+    both = tasks.select(F.lit(1).cast("bigint").alias("n"), "polygon_count", "crop", "non_crop", F.lit(0).cast("bigint").alias("d")).unionByName(distinct)
+    s = both.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(name) for c, name in (
+        ("n", "n_tasks"), ("polygon_count", "total_polygons"), ("crop", "crop"), ("non_crop", "non_crop"), ("d", "distinct_polygons"))])
     tot = F.col("crop") + F.col("non_crop")
     ratio = F.try_divide(F.col("crop").cast("double"), F.col("non_crop").cast("double"))
-    one = F.lit(1).alias("_one")
-    return s.select("*", one).join(distinct.select("*", one), "_one").select(
+    return s.select(
         "n_tasks", F.lit(spec.nx * spec.ny).cast("bigint").alias("n_cells"), "total_polygons", "crop", "non_crop",
         F.round(F.try_divide(F.col("crop").cast("double"), tot.cast("double")) * 100.0, 6).alias("crop_pct"),
         F.round(F.try_divide(F.col("non_crop").cast("double"), tot.cast("double")) * 100.0, 6).alias("non_crop_pct"),

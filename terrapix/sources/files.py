@@ -12,16 +12,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terrapix.functions.geo import bbox_overlap
+from terrapix.functions.geo import bbox_overlap, rings_meet_box
 from terrapix.schema import PATCH_SCHEMA, BandSpec
 
 
 # --- parcels ----------------------------------------------------------------
 
 def read_parcels(spark: SparkSession, path: str, bbox: tuple | None = None, fmt: str | None = None,
-                 class_column: str = "EC_hcat_n") -> DataFrame:
-    """Parcels whose envelope meets ``bbox`` (closed), from Parquet (envelope
-    columns -> row-group pruning) or a GeoPackage (R-tree pushdown) (A1, D1)."""
+                 class_column: str = "EC_hcat_n", exact: bool = False) -> DataFrame:
+    """Parcels whose envelope - with ``exact``, whose polygon - meets ``bbox``
+    (closed), from Parquet (envelope columns -> row-group pruning) or a
+    GeoPackage (R-tree pushdown) (A1, D1)."""
     fmt = fmt or ("gpkg" if path.endswith(".gpkg") else "parquet")
     if fmt == "gpkg":
         from terrapix.sources import gpkg
@@ -30,7 +31,10 @@ def read_parcels(spark: SparkSession, path: str, bbox: tuple | None = None, fmt:
     else:
         df = spark.read.parquet(path)
     if bbox is not None:
-        df = df.where(bbox_overlap(("xmin", "ymin", "xmax", "ymax"), tuple(F.lit(float(v)) for v in bbox)))
+        box = tuple(F.lit(float(v)) for v in bbox)
+        df = df.where(bbox_overlap(("xmin", "ymin", "xmax", "ymax"), box))
+        if exact:
+            df = df.where(rings_meet_box("rings", box))
     return df
 
 

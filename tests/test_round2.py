@@ -4,6 +4,7 @@ import itertools
 import os
 import random
 import sqlite3
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -205,3 +206,30 @@ def test_geopackage_layers_must_be_named(tmp_dir):
     con.close()
     with pytest.raises(ValueError, match="option table"):
         _meta(path, None)
+
+
+def test_exact_box_filter_on_polygons(spark, tmp_dir):
+    """Rhombi around a box: their envelopes meet it, some polygons do not; a
+    polygon around the whole box and one inside it do."""
+    path = os.path.join(tmp_dir, "parcels")
+    derived.parcels(spark, SF_SMALL, shape="diamond").write.parquet(path)
+    from terrapix.functions.geo import rings_meet_box
+    rng = random.Random(4)
+    boxes = [(x, y, x + w, y + h) for x, y, w, h in ((rng.randrange(2000) * 1.0, rng.randrange(1500) * 1.0, rng.choice([0.0, 3.0, 40.0]), rng.choice([0.0, 5.0, 60.0])) for _ in range(60))]
+    rows = spark.read.parquet(path)
+    meets = F.array(*[rings_meet_box("rings", tuple(F.lit(v) for v in box)) for box in boxes])
+    seen = Counter()
+    for r in rows.withColumn("meets", meets).collect():
+        cx, cy, a, b = (r.xmin + r.xmax) / 2, (r.ymin + r.ymax) / 2, (r.xmax - r.xmin) / 2, (r.ymax - r.ymin) / 2
+        for box, got in zip(boxes, r.meets):
+            dx, dy = max(box[0] - cx, 0, cx - box[2]), max(box[1] - cy, 0, cy - box[3])
+            want = dx / a + dy / b <= 1 + 1e-12  # the nearest point of the box, in the rhombus norm
+            assert got == want, (r.parcel_id, box)
+            seen[want, dx <= a and dy <= b] += 1
+    assert seen[True, True] and seen[False, True]  # envelopes that meet: some polygons do, some do not
+    ring = [(0.0, 0.0), (10.0, 0.0), (10.0, 10.0), (0.0, 10.0)]
+    rows = [(1, 0.0, 0.0, 10.0, 10.0, [ring])]
+    df = spark.createDataFrame(rows, "parcel_id long, xmin double, ymin double, xmax double, ymax double, rings array<array<struct<x:double,y:double>>>")
+    df.write.parquet(os.path.join(tmp_dir, "one"))
+    for b in ((4.0, 4.0, 5.0, 5.0), (-5.0, -5.0, 15.0, 15.0), (10.0, 10.0, 11.0, 11.0)):
+        assert files.read_parcels(spark, os.path.join(tmp_dir, "one"), bbox=b, exact=True).count() == 1
