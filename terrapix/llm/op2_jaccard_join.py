@@ -249,10 +249,9 @@ def _joined(placed: DataFrame | None, links: DataFrame) -> DataFrame:
     a = _rooted(links.withColumnRenamed("a", "node"), placed).select(F.col("root").alias("a"), F.col("b").alias("node"))
     both = _rooted(a, placed).select("a", F.col("root").alias("b"))
     moved = components(both).select(F.col("node").alias("root"), F.col("root").alias("to"))
-    nodes = placed.unionByName(links.select(F.col("a").alias("node"), F.col("a").alias("root"))).unionByName(links.select(F.col("b").alias("node"), F.col("b").alias("root")))
+    own = links.select("a").unionByName(links.select(F.col("b").alias("a"))).select(F.col("a").alias("node"), F.col("a").alias("root"))
     # a node placed before keeps its root; one that is new is its own
-    known = placed.select("node", F.lit(1).alias("old"))
-    nodes = nodes.join(known, "node", "left").filter("old is null or node != root or root = node").groupBy("node").agg(F.min_by("root", F.col("root") == F.col("node")).alias("root"))
+    nodes = placed.unionByName(own).groupBy("node").agg(F.min_by("root", F.col("root") == F.col("node")).alias("root"))
     return written(nodes.join(moved, "root", "left").select("node", F.coalesce("to", "root").alias("root")), "jaccard-placed")
 
 

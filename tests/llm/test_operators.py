@@ -107,9 +107,12 @@ def test_op2_awkward(spark):
     assert op2.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
-def test_op2_chains_and_thresholds(spark):
+@pytest.mark.parametrize("crowded, query_bytes, rounds", [(64, 32 << 20, 3), (2, 2000, 1)])
+def test_op2_chains_and_thresholds(spark, monkeypatch, crowded, query_bytes, rounds):
     """Chains of edits (links only between neighbours), unrelated documents
     sharing passages, and pairs just on either side of the threshold."""
+    for name, value in (("CROWDED", crowded), ("QUERY_BYTES", query_bytes), ("ROUNDS", rounds)):
+        monkeypatch.setattr(op2, name, value)
     vocabulary = [f"w{i}" for i in range(400)]
     docs, n = [], 0
     passage = words(60, 99, vocabulary)
