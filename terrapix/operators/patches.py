@@ -262,10 +262,12 @@ def rasterize(pairs: DataFrame, key: tuple[str, ...] = ("task_id",), exact: bool
         px = (spans.repartition(*part)
               .select(*key, "_r", "parcel_id", "binary_id", "w",
                       F.explode(F.sequence("_a", "_b")).alias("_c")))
-    return (px.groupBy(*key, "_r", "_c")
-            .agg(F.max_by("binary_id", "parcel_id").alias("mask_class"), F.first("w").alias("w"))
-            .select(*key, (F.col("_r") * F.col("w") + F.col("_c")).cast("bigint").alias("pixel_idx"),
-                    "mask_class"))
+    # the label of the highest parcel as one number: 2 * parcel + label (labels
+    # are 0 and 1), so a pixel's state in the aggregation is a single long
+    code = (F.col("parcel_id") * 2 + F.col("binary_id")).cast("bigint")
+    px = px.select(*key, "_r", (F.col("_r") * F.col("w") + F.col("_c")).cast("bigint").alias("pixel_idx"), code.alias("_code"))
+    return (px.groupBy(*key, "_r", "pixel_idx").agg(F.max("_code").alias("_code"))
+            .select(*key, "pixel_idx", F.pmod("_code", F.lit(2)).cast("int").alias("mask_class")))
 
 
 def mask_counts(burned: DataFrame, grid: DataFrame, key: tuple[str, ...] = ("task_id",)) -> DataFrame:
