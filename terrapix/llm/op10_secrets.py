@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from terrapix.llm import textvec as tv
 from terrapix.llm.store import written
+from terrapix.llm.worker import release, small_batches
 
 MIN_LENGTH, DICTIONARY, PER_CLASS, TREES, DEPTH, SEED = 16, 20_000, 10_000, 60, 8, 11
 TRACKED, SUMMARY = 100_000, 4_096
@@ -113,6 +114,7 @@ def candidates(docs: DataFrame, words: list[str], id_col: str = "doc_id", text_c
     shared = docs.sparkSession.sparkContext.broadcast(words)  # DICTIONARY words at most
 
     def run(batches):
+        release()
         describer = Describer(shared.value)
         for b in batches:
             rows, out = [], []
@@ -178,6 +180,7 @@ def _model(found: DataFrame):
 
 def scan(docs: DataFrame, findings: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", at_least: float = 0.5) -> DataFrame:
     """The secrets found: doc_id, start, end, value, score."""
+    small_batches(docs.sparkSession)
     found = written(candidates(docs, dictionary(docs, text_col), id_col, text_col), "secret-candidates")
     if findings is not None:
         said = findings.groupBy("doc_id", "start", "end").agg(F.max("label").cast("int").alias("label"))

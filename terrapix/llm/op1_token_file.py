@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 
 from terrapix.llm import textvec as tv
 from terrapix.llm.store import new_folder
+from terrapix.llm.worker import hold, release, small_batches
 
 BLOCK, LANES, MIN_STEPS = 1 << 21, 16384, 128
 MAGIC = b"TPX1"
@@ -303,7 +304,6 @@ def unpack(block: bytes) -> np.ndarray:
 
 #: words in each of the two generations of a worker's cache
 CACHED = 500_000
-_encoders: dict[str, "WordCache"] = {}
 
 
 def _byte_letters() -> dict[int, str]:
@@ -372,9 +372,7 @@ class WordCache(dict):
 
 
 def encoder(path: str) -> WordCache:
-    if path not in _encoders:
-        _encoders[path] = WordCache(path)
-    return _encoders[path]
+    return hold(f"words of {path}", lambda: WordCache(path))
 
 
 def _pack_partition(path: str, end_id: int):
@@ -410,6 +408,7 @@ def _pack_partition(path: str, end_id: int):
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Write the token blocks of ``docs`` in ascending id order to ``path``."""
+    small_batches(docs.sparkSession)
     thin = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).withColumn("tie", F.xxhash64("text"))
     kind = thin.schema["doc_id"].dataType.simpleString()
     ordered = thin.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
@@ -434,6 +433,7 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataF
     kind = blocks.schema["doc_ids"].dataType.elementType.simpleString()
 
     def run(batches):
+        release()
         for b in batches:
             for i in range(b.num_rows):
                 before, docs, sizes, payload = (b.column(k)[i] for k in range(4))

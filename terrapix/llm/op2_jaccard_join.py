@@ -8,8 +8,8 @@ costs more list entries but leaves fewer candidates, as the estimated list
 sizes tell, and a pair must share at least the smaller l of its two documents
 before it is verified on the whole sets.
 
-1. One scan: a 128-bit fingerprint of each document's set, and each batch's
-   repeated shingles, which sum up to the table of frequent shingles that gives
+1. One scan: a 128-bit fingerprint of each document's set, and the
+   shingles that repeat within a task, which sum up to the table of frequent shingles that gives
    the order.  (It orders and estimates only; any order is right.)
 2. Documents with equal sets are one node.  Nodes' prefixes are dealt out by
    shingle; shingles of a single node end here.
@@ -47,10 +47,13 @@ from pyspark.sql import functions as F
 from terrapix.llm import textvec as tv
 from terrapix.llm.components import components
 from terrapix.llm.store import written
+from terrapix.llm.worker import release, small_batches
 
 WORDS, SHARE = 5, (80, 100)  # similarity of at least 80 / 100
-#: a shingle met this often in one batch is reported; entries of the frequent table
+#: a shingle met this often among those counted together is reported; entries of the frequent table
 REPEATED, FREQUENT = 3, 200_000
+#: shingles of a task counted together
+COUNTED = 4_000_000
 #: choices of l, and what verifying a candidate costs against one list entry
 MATCHES, VERIFY_COST = (1, 2, 3, 4, 6, 8, 12, 16, 24, 32), 16.0
 #: rounds of pivots, and pivots per shingle group and round (shingles are dealt to as many classes)
@@ -86,28 +89,45 @@ def _fingerprint(s: np.ndarray) -> tuple[int, int]:
 
 
 def _first_pass(batches):
-    """A row per document (id, size, fingerprint), and a row per repeated
-    shingle of the batch (shingle, count)."""
+    """A row per document (id, size, fingerprint), and a row per shingle that
+    repeats among ``COUNTED`` (shingle, count)."""
+    release()
+    held, kind = [], None
     for b in batches:
         sets = [s for _, s in _row_sets(b.column(1))]
-        prints = [_fingerprint(s) for s in sets]
-        every = np.sort(np.concatenate(sets)) if sets else np.zeros(0, np.uint64)
-        edge = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]])) if len(every) else np.zeros(0, np.int64)
-        count = np.diff(np.append(edge, len(every)))
-        often = count >= REPEATED
-        shingle, times = every[edge[often]].view(np.int64), count[often]
-        n, m = len(sets), len(shingle)
-        none = lambda k: pa.nulls(k, pa.int64())
-        yield pa.RecordBatch.from_arrays([
-            pa.concat_arrays([b.column(0), pa.nulls(m, b.column(0).type)]),
-            pa.concat_arrays([b.column(2), none(m)]),
-            pa.concat_arrays([b.column(3), none(m)]),
-            pa.concat_arrays([pa.array([len(s) for s in sets], pa.int64()), none(m)]),
-            pa.concat_arrays([pa.array([p[0] for p in prints], pa.int64()), none(m)]),
-            pa.concat_arrays([pa.array([p[1] for p in prints], pa.int64()), none(m)]),
-            pa.concat_arrays([none(n), pa.array(shingle, pa.int64())]),
-            pa.concat_arrays([none(n), pa.array(times.astype(np.int64), pa.int64())]),
-        ], ["doc_id", "tie", "code", "n", "hi", "lo", "shingle", "times"])
+        kind = b.column(0).type
+        held += sets
+        repeated = (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        if sum(map(len, held)) >= COUNTED:
+            repeated, held = _repeated(held), []
+        yield _first_rows(b, sets, *repeated)
+    if held:
+        none = pa.array([], pa.int64())
+        yield _first_rows(pa.RecordBatch.from_arrays([pa.array([], kind), pa.array([], pa.string()), none, none], ["a", "b", "c", "d"]), [], *_repeated(held))
+
+
+def _repeated(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    every = np.sort(np.concatenate(sets))
+    edge = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]])) if len(every) else np.zeros(0, np.int64)
+    count = np.diff(np.append(edge, len(every)))
+    often = count >= REPEATED
+    return every[edge[often]].view(np.int64), count[often]
+
+
+def _first_rows(b: pa.RecordBatch, sets: list[np.ndarray], shingle: np.ndarray, times: np.ndarray) -> pa.RecordBatch:
+    prints = [_fingerprint(s) for s in sets]
+    n, m = len(sets), len(shingle)
+    none = lambda k: pa.nulls(k, pa.int64())
+    return pa.RecordBatch.from_arrays([
+        pa.concat_arrays([b.column(0), pa.nulls(m, b.column(0).type)]),
+        pa.concat_arrays([b.column(2), none(m)]),
+        pa.concat_arrays([b.column(3), none(m)]),
+        pa.concat_arrays([pa.array([len(s) for s in sets], pa.int64()), none(m)]),
+        pa.concat_arrays([pa.array([p[0] for p in prints], pa.int64()), none(m)]),
+        pa.concat_arrays([pa.array([p[1] for p in prints], pa.int64()), none(m)]),
+        pa.concat_arrays([none(n), pa.array(shingle, pa.int64())]),
+        pa.concat_arrays([none(n), pa.array(times.astype(np.int64), pa.int64())]),
+    ], ["doc_id", "tie", "code", "n", "hi", "lo", "shingle", "times"])
 
 
 class Order:
@@ -139,6 +159,7 @@ class Order:
 
 def _prefixes(order):
     def run(batches):
+        release()
         for b in batches:
             hi, lo, n, need, pre = [], [], [], [], []
             for _, s in _row_sets(b.column(0)):
@@ -363,6 +384,7 @@ def _grouped(thin: DataFrame) -> DataFrame:
     """Of (doc_id, text, tie): doc_id, tie, n, node (the set's fingerprint) and
     group (the component's smallest node, null without shingles) of every row."""
     spark = thin.sparkSession
+    small_batches(spark)
     thin = thin.withColumn("code", F.xxhash64("text"))
     texts = thin.select("text", "code")
     kind = thin.schema["doc_id"].dataType.simpleString()

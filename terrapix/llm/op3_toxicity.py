@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from terrapix.llm import textvec as tv
 from terrapix.llm.store import written
+from terrapix.llm.worker import release, small_batches
 
 PER_CLASS, MAX_WORDS, STEPS, RATE, L1, SEED = 4_000, 5_000, 160, 0.25, 5e-3, 3
 #: share of the toxic bags in the likelihood
@@ -163,6 +164,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
     """Train on the bounded sample.  Features are chosen by Spark: the
     ``MAX_WORDS`` whose share of documents differs most between the labels, of
     those in three training documents or more.  Only these reach the driver."""
+    small_batches(docs.sparkSession)
     thin = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     rows = written(_training_rows(thin, labels, label_col).dropDuplicates(["doc_id"]).select("doc_id", "text", "label"), "toxicity-sample")
     size = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
@@ -212,10 +214,12 @@ def train(bags: list[tuple[int, np.ndarray, np.ndarray, int]], features: int) ->
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row."""
+    small_batches(docs.sparkSession)
     thin = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(model)  # MAX_WORDS words at most
 
     def run(batches):
+        release()
         for b in batches:
             parts = [shared.value.chunk(buf, off) for _, _, buf, off in tv.chunks(b.column(1))]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.concatenate(parts) if parts else np.zeros(0))], ["doc_id", "score"])
@@ -227,6 +231,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 def locate(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", at_least: float = 0.5) -> DataFrame:
     """The offending sentences: (doc_id, sentence, start, end, score, text);
     start and end are byte offsets of the first and last word."""
+    small_batches(docs.sparkSession)
     thin = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

@@ -40,12 +40,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrapix.llm import textvec as tv
+from terrapix.llm.worker import hold, small_batches
 
 _MARK = "▁"
-#: words in each generation of a worker's cache (and parts), remembered pairs of pieces
-CACHED, PAIRS = 500_000, 500_000
+#: words in each of the two generations of a worker's cache, parts, and pairs of
+#: pieces remembered: about 350 MB in all, let go when another operator runs in the worker
+CACHED, PARTS, PAIRS = 500_000, 500_000, 500_000
 UNIGRAM, BPE, _UNKNOWN = 1, 2, 1e6
-_models: dict[str, "Transducer"] = {}
 
 
 def _fields(raw: bytes) -> dict[int, list]:
@@ -234,7 +235,7 @@ class Transducer:
             if sys.byteorder == "big":
                 ids.byteswap()
             done = ids.tobytes()
-            if len(self.parts) >= CACHED:
+            if len(self.parts) >= PARTS:
                 self.parts.clear()
             self.parts[part] = done
         return done
@@ -267,14 +268,13 @@ class Transducer:
 
 
 def transducer(path: str) -> Transducer:
-    if path not in _models:
-        _models[path] = Transducer(path)
-    return _models[path]
+    return hold(f"transducer of {path}", lambda: Transducer(path))
 
 
 def encode(docs: DataFrame, model: str, text_col: str = "text", with_decoded: bool = False) -> tuple[DataFrame, list[str]]:
     """``docs`` with its ids (little-endian 32-bit numbers) and, on demand, the
     text decoded from them; returns the frame and the added names."""
+    small_batches(docs.sparkSession)
     at = docs.columns.index(text_col)
     inner = [f"c{i}" for i in range(len(docs.columns))]
     plain = docs.toDF(*inner).withColumn(inner[at], F.col(inner[at]).cast("string"))
@@ -299,6 +299,7 @@ def decode(frame: DataFrame, model: str, ids_col: str = "ids") -> DataFrame:
         fst = transducer(model)
         return pa.array([fst.decode(x or b"") for x in ids.to_pylist()], pa.string())
 
+    small_batches(frame.sparkSession)
     inner = [f"c{i}" for i in range(len(frame.columns))]
     at = frame.columns.index(ids_col)
 

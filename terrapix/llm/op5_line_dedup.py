@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from terrapix.llm import textvec as tv
 from terrapix.llm.store import new_folder, written
+from terrapix.llm.worker import release, small_batches
 
 BATCHES, FANOUT, BROADCAST_KEYS = 8, 4, 400_000
 KEY = ["hi", "lo"]
@@ -53,6 +54,7 @@ def _batch_keys(batches: int, min_chars: int):
     """Per Arrow batch: its distinct keys, the number of rows holding each, the
     smallest id among them."""
     def run(source):
+        release()
         number = TaskContext.get().partitionId() % batches
         for b in source:
             hi, lo, rows = [], [], []
@@ -191,6 +193,7 @@ def dedup_lines(docs: DataFrame, at_least: int = 10, min_chars: int = 1, keep_fi
     """``docs`` with frequent lines removed from its text, and two columns
     added: lines before, lines dropped.  Returns the frame and the names of the
     two columns (chosen so that they clash with none of ``docs``)."""
+    small_batches(docs.sparkSession)
     keys = written(frequent_lines(docs, at_least, min_chars, id_col, text_col, keep_first), "line-frequent")
     spark, names = docs.sparkSession, [_free("n_lines", docs), _free("n_dropped", docs)]
     text_at, id_at = docs.columns.index(text_col), docs.columns.index(id_col)
@@ -203,6 +206,7 @@ def dedup_lines(docs: DataFrame, at_least: int = 10, min_chars: int = 1, keep_fi
         shared = spark.sparkContext.broadcast(Settled(held["hi"].to_numpy(np.int64), held["lo"].to_numpy(np.int64), held["first"].tolist() if keep_first else None))
 
         def run(batches):
+            release()
             known = shared.value
             for b in batches:
                 ids = b.column(id_at).to_pylist() if keep_first else []

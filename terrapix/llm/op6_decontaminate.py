@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrapix.llm import textvec as tv
+from terrapix.llm.worker import release, small_batches
 
 WINDOW, BLOCK_WORDS, MAX_COVERAGE = 10, 1_000_000, 0.5
 _SLOTS = 18
@@ -192,10 +193,12 @@ def _scan_chunk(found: list[Automaton], buf: np.ndarray, off: np.ndarray):
 
 def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_words, n_hit, the items met (sorted as strings)."""
+    small_batches(docs.sparkSession)
     thin = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     shared = [docs.sparkSession.sparkContext.broadcast(a) for a in automata(benchmark, window)]  # BLOCK_WORDS each
 
     def run(batches):
+        release()
         found = [s.value for s in shared]
         for b in batches:
             words, hits, items = [], [], []
@@ -212,10 +215,12 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, m
     """``docs`` without the hit spans; a document whose hit words exceed the
     ``max_coverage`` share goes as a whole.  A span reaches from its first to
     its last hit word; what stands between spans stays."""
+    small_batches(docs.sparkSession)
     at, schema = docs.columns.index(text_col), docs.schema
     shared = [docs.sparkSession.sparkContext.broadcast(a) for a in automata(benchmark, window)]
 
     def run(batches):
+        release()
         found = [s.value for s in shared]
         for b in batches:
             texts, keep = b.column(at).to_pylist(), np.ones(b.num_rows, bool)

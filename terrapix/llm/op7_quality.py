@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from terrapix.llm import textvec as tv
 from terrapix.llm.store import written
+from terrapix.llm.worker import release, small_batches
 
 SAMPLE, TREES, PSI, CONTAMINATION, GOOD_WEIGHT, DEFAULT_THRESHOLD, SEED = 20_000, 128, 256, 0.05, 20.0, 0.62, 7
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -168,10 +169,12 @@ class Forest:
 
 def rule_stats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and the statistics of every row."""
+    small_batches(docs.sparkSession)
     thin = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     names = BASE + EXTRA
 
     def run(batches):
+        release()
         for b in batches:
             s = batch_stats(b.column(1))
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(s[k]) for k in names)], ["doc_id", *names])
@@ -248,10 +251,12 @@ def quality(docs: DataFrame, labels: DataFrame | None, id_col: str = "doc_id", t
 
 def judge(docs: DataFrame, forest: Forest, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that pass, with all their columns."""
+    small_batches(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(forest)
     at = docs.columns.index(text_col)
 
     def run(batches):
+        release()
         for b in batches:
             s = batch_stats(b.column(at))
             ok = ~base_failed(s) & (model.value.score(features(s)) < model.value.threshold)

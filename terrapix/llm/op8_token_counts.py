@@ -28,13 +28,13 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from terrapix.llm.worker import hold, release, small_batches
+
 #: distinct pre-tokens a task tracks, those it reports, and entries of the table
 TRACKED, SUMMARY, FREQUENT = 200_000, 4_096, 100_000
 #: entries of a worker's cache before it starts anew
 CACHED = 400_000
 _MARK = "▁"
-_models: dict[str, "PieceCounter"] = {}
-_tables: dict[str, "Frequent"] = {}
 
 
 class PieceCounter(dict):
@@ -70,9 +70,7 @@ class Frequent(dict):
 
 
 def piece_counter(model: str) -> PieceCounter:
-    if model not in _models:
-        _models[model] = PieceCounter(model)
-    return _models[model]
+    return hold(f"pieces of {model}", lambda: PieceCounter(model))
 
 
 def _simple(text: str) -> bool:
@@ -81,6 +79,7 @@ def _simple(text: str) -> bool:
 
 def _summaries(batches):
     """Each task's most frequent pre-tokens, with a bounded number tracked."""
+    release()
     seen: Counter[str] = Counter()
     for b in batches:
         for t in b.column(0).to_pylist():
@@ -108,11 +107,8 @@ def frequent_lengths(docs: DataFrame, model: str, text_col: str = "text") -> tup
 
 def _count(model: str, table: Broadcast, name: str):
     def run(batches):
-        counter = piece_counter(model)
-        if name not in _tables:  # once for each worker and table
-            _tables.clear()
-            _tables[name] = Frequent(table.value, counter)
-        known = _tables[name].__getitem__
+        tier = hold(f"lengths {name}", lambda: Frequent(table.value, PieceCounter(model)))  # once for each worker and table
+        counter, known = tier.rest, tier.__getitem__
         for b in batches:
             sizes, counts = [], []
             for t in b.column(1).to_pylist():
@@ -129,6 +125,7 @@ def _count(model: str, table: Broadcast, name: str):
 def token_counts(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", limit: int = 4096) -> DataFrame:
     """(doc_id, n_bytes, n_tokens, over_limit) for every row of ``docs``."""
     spark = docs.sparkSession
+    small_batches(spark)
     table = spark.sparkContext.broadcast(frequent_lengths(docs, model, text_col))
     thin = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = thin.schema["doc_id"].dataType.simpleString()
