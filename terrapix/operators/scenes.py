@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrapix.operators.spatial import BOX, box_join, prefixed
+from terrapix.operators.spatial import BOX, box_join, box_levels, prefixed
 from terrapix.schema import STATUS_FAILED_DOWNLOAD, SearchWindow
 from terrapix.session import checkpoint_dir
 
@@ -92,9 +92,10 @@ def match_scenes(tasks: DataFrame, scenes: DataFrame, windows: list[SearchWindow
         checkpoint_dir(tasks.sparkSession)
         t = t.checkpoint(eager=True)
         remaining, parts = t, []
+        levels = box_levels([(t, ""), (scenes, "")], coarse)  # once for all tiers
         for w in sorted(windows, key=lambda x: x.priority):
             s = prefixed(_tier_scenes(scenes, w), "s_")
-            b = _best(box_join(prefixed(remaining, "t_"), s, coarse, "t_", "s_")).checkpoint(eager=True)
+            b = _best(box_join(prefixed(remaining, "t_"), s, coarse, "t_", "s_", levels)).checkpoint(eager=True)
             parts.append(b)
             remaining = remaining.join(b.select("task_id"), "task_id", "left_anti")
         best = parts[0]

@@ -45,13 +45,23 @@ def explode_cells(df: DataFrame, size: float, levels: list[int], prefix: str, ow
              .withColumn("_cy", F.explode(F.sequence(_cell(y0, size), _cell(y1, size)))))
 
 
+def box_levels(frames: list[tuple[DataFrame, str]], size: float) -> list[int]:
+    """The levels that occur among the boxes of some (frame, prefix): at most
+    _TOP + 1 numbers."""
+    found: set[int] = set()
+    for df, prefix in frames:
+        found |= {r["k"] for r in _usable(df, prefix).select(box_level(size, prefix).alias("k")).distinct().collect()}
+    return sorted(found) or [0]
+
+
 def box_join(left: DataFrame, right: DataFrame, size: float,
-             lp: str = "l_", rp: str = "r_") -> DataFrame:
+             lp: str = "l_", rp: str = "r_", levels: list[int] | None = None) -> DataFrame:
     """Pairs of overlapping boxes. ``left`` / ``right`` carry box columns
-    already renamed with prefixes ``lp`` / ``rp`` (e.g. l_xmin ... r_ymax)."""
-    found = (_usable(left, lp).select(box_level(size, lp).alias("k")).distinct()
-             .union(_usable(right, rp).select(box_level(size, rp).alias("k")).distinct()).distinct().collect())
-    levels = sorted(r["k"] for r in found) or [0]  # at most _TOP + 1 numbers
+    already renamed with prefixes ``lp`` / ``rp`` (e.g. l_xmin ... r_ymax).
+    ``levels`` may be given when known (``box_levels`` of supersets of both
+    sides), to save reading expensive sides for it."""
+    if levels is None:
+        levels = box_levels([(left, lp), (right, rp)], size)
     le = explode_cells(left, size, levels, lp, "_ll")
     re = explode_cells(right, size, levels, rp, "_rl")
     j = le.join(re, ["_level", "_cx", "_cy"])
