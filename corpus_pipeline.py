@@ -5,9 +5,9 @@ Parquet and read again as the next stage's documents.  All but the last return
 the columns of documents; ``n_chars`` follows the text.
 
 1. quality rules: documents failing the base rule or the isolation forest go;
-2. line dedup: of a line of at least ``LINE_CHARS`` characters found in
-   ``LINE_DOCUMENTS`` documents or more, only the copy in the document with the
-   smallest id stays; documents left without text by that go;
+2. line dedup: of a line that is not blank (``LINE_CHARS`` code points) and found
+   in ``LINE_DOCUMENTS`` documents or more, only the copy in the document with
+   the smallest id stays; documents left without text by that go;
 3. n-gram Jaccard join: one document of each group of near duplicates stays;
 4. decontamination: words inside benchmark windows go, and documents consisting
    of them for more than ``MAX_COVERAGE``;
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from terrapix.llm import op2_jaccard_join, op4_sentencepiece, op5_line_dedup, op6_decontaminate, op7_quality
 from terrapix.llm.store import written
 
-LINE_DOCUMENTS, LINE_CHARS, MAX_COVERAGE = 10, 25, 0.5
+LINE_DOCUMENTS, LINE_CHARS, MAX_COVERAGE = 10, 1, 0.5
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
