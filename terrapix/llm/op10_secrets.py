@@ -6,7 +6,8 @@ described by its length, character classes and transitions, dictionary coverage,
 path marks and neighbouring words; a random forest trained from labelled
 findings (spark.ml) gives its probability of being a secret.
 
-The dictionary is the ``DICTIONARY`` words most frequent over all documents.
+The dictionary is the ``DICTIONARY`` words most frequent over all documents
+(ties by the word), whatever their partitions: every word is counted.
 Labelled findings are a parameter (doc_id, start, end, label).  Where there are
 none, ``weak_labels`` labels the candidates whose nature is certain: known key
 formats and credential assignments against e-mail addresses, plain words and
@@ -39,7 +40,7 @@ from terrapix.llm.store import written
 from terrapix.llm.worker import release, small_batches
 
 MIN_LENGTH, DICTIONARY, PER_CLASS, TREES, DEPTH, SEED = 16, 20_000, 10_000, 60, 8, 11
-TRACKED, SUMMARY = 100_000, 4_096
+TRACKED = 100_000
 _CHARS = np.ones(256, bool)
 _CHARS[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *b"_+/=.-@"]] = False
 #: fixed values: names under which credentials are commonly assigned, key formats
@@ -52,16 +53,21 @@ FEATURES = ["length", "digits", "upper", "lower", "hex", "marks", "switches", "e
 
 
 def _summaries(batches):
-    """Each task's most frequent words of three letters or more."""
+    """Counts of each task's words of three letters or more; when ``TRACKED``
+    words are held, all are given out and counting starts anew, so a word may
+    come several times."""
     seen: Counter[str] = Counter()
+
+    def counts():
+        return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
     for b in batches:
         for t in b.column(0).to_pylist():
             if t:
                 seen.update(w for w in t.lower().split() if w.isalpha() and 3 <= len(w) <= 24)
-                if len(seen) > 2 * TRACKED:
-                    seen = Counter(dict(seen.most_common(TRACKED)))
-    top = seen.most_common(SUMMARY)
-    yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64())], ["word", "n"])
+                if len(seen) >= TRACKED:
+                    yield counts()
+                    seen.clear()
+    yield counts()
 
 
 def dictionary(docs: DataFrame, text_col: str = "text") -> list[str]:

@@ -1,6 +1,12 @@
 """Cases of the second review: each fails on the code before it."""
 
+import itertools
+from collections import Counter
+
+import pyarrow as pa
+
 import corpus_pipeline
+from terrapix.llm import op10_secrets as op10
 from tests.llm.fixtures import words
 
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -16,3 +22,23 @@ def test_copies_with_short_lines_leave_one_document(spark, tmp_dir):
     corpus_pipeline.line_dedup(spark, df, "").write.parquet(f"{tmp_dir}/lines")
     out = corpus_pipeline.near_duplicates(spark, spark.read.parquet(f"{tmp_dir}/lines"), "")
     assert sorted((r["doc_id"], r["text"]) for r in out.collect()) == [(3, text), *docs[12:]]
+
+
+# ---- 10
+
+def test_dictionary_counts_every_word(spark, monkeypatch):
+    """More words than a task once reported, in frequencies that differ by task."""
+    names = ["".join(p) for p in itertools.product("abcdefghijklmnopqrst", repeat=3)][:6000]
+    texts = [" ".join(names[i % 7::1 + i % 5] + names[:50 * i]) for i in range(40)]
+    count = Counter(w for t in texts for w in t.split())
+    want = sorted(count, key=lambda w: (-count[w], w))
+    assert len(want) > 4096
+    for parts in (1, 4):
+        df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1).repartition(parts)
+        assert op10.dictionary(df) == want[:op10.DICTIONARY]
+    monkeypatch.setattr(op10, "TRACKED", 100)
+    got = Counter()
+    for b in op10._summaries([pa.RecordBatch.from_arrays([pa.array([*texts, None, ""])], ["text"])]):
+        for r in b.to_pylist():
+            got[r["word"]] += r["n"]
+    assert got == count
