@@ -1,8 +1,11 @@
 """10. Secret scans: a random forest removes the false positives.
 
-Candidates are runs of at least ``MIN_LENGTH`` characters a secret may consist
-of; of an assignment (``name=value``) the value is the candidate.  Each is
-described by its length, character classes and transitions, dictionary coverage,
+Candidates are the values after an assignment (``=`` or ``:``) or a credential
+name, of any length, and runs without such context of at least ``MIN_LENGTH``
+characters a secret may consist of.  A value reaches to its closing quote or to
+white space; where its end is uncertain (punctuation at the end, ``&``, ``;`` or
+``,`` inside, a long run cut at another mark) each possible end is a candidate.
+Each is described by its length, character classes and transitions, dictionary coverage,
 path marks and neighbouring words; a random forest trained from labelled
 findings (spark.ml) gives its probability of being a secret.
 
@@ -49,6 +52,11 @@ KEY_FORMAT = re.compile(r"(AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox
 _HEX = re.compile(r"[0-9a-f]{16,}|[0-9A-F]{16,}")
 _MAIL = re.compile(r"[\w.+-]+@[\w-]+(\.[\w-]+)+\.?")
 _WORD = re.compile(r"[A-Za-z]{3,}")
+_CUE = "|".join(sorted(CUES, key=len, reverse=True)).encode()
+#: a credential name with or without an assignment, or an assignment alone
+_CONTEXT = re.compile(rb"(?<![A-Za-z0-9])(" + _CUE + rb")(?:[\"'`]?[ \t]*[=:]+>?[ \t]*|[\"'`]?[ \t]+(?![ \t=:]))|[=:]+>?[ \t]*", re.I)
+_VALUE = re.compile(rb"\"([^\"\r\n]+)\"|'([^'\r\n]+)'|[\"']?([^\s\"']+)")
+_PART, _NEXT, _NAME = re.compile(rb"[&;,\s]"), re.compile(rb"[=:]+"), re.compile(r"[a-z0-9_]+$")
 FEATURES = ["length", "digits", "upper", "lower", "hex", "marks", "switches", "entropy", "bigrams", "coverage", "slashes", "dots", "at", "assigned", "quoted", "cue", "word_before", "word_after"]
 
 
@@ -128,11 +136,21 @@ def candidates(docs: DataFrame, words: list[str], id_col: str = "doc_id", text_c
                 s, e, first = tv.word_spans(buf, off, _CHARS)
                 at = np.flatnonzero(e - s >= MIN_LENGTH)
                 row = np.searchsorted(first, at, "right") - 1
+                runs: dict[int, list[int]] = {}
                 for k, r in zip(at.tolist(), row.tolist()):
-                    found = _describe(describer, buf, int(off[r]), int(off[r + 1]), int(s[k]), int(e[k]))
-                    if found:
-                        rows.append(r0 + r)
-                        out.append(found)
+                    runs.setdefault(r, []).append(k)
+                for r in range(len(off) - 1):
+                    a, z = int(off[r]), int(off[r + 1])
+                    found = {}
+                    for k in runs.get(r, ()):
+                        one = _describe(describer, buf, a, z, int(s[k]), int(e[k]))
+                        if one:
+                            found[one[:2]] = one
+                    text = buf[a:z].tobytes()
+                    for span in sorted(_values(text) - found.keys()):
+                        found[span] = _describe_value(describer, text, *span)
+                    rows += [r0 + r] * len(found)
+                    out += found.values()
             cols = [b.column(0).take(pa.array(rows, pa.int64()))]
             for i, kind in enumerate((pa.int64(), pa.int64(), pa.string(), pa.int32())):
                 cols.append(pa.array([o[i] for o in out], kind))
@@ -142,6 +160,52 @@ def candidates(docs: DataFrame, words: list[str], id_col: str = "doc_id", text_c
     return thin.mapInArrow(run, f"doc_id {kind}, start long, end long, value string, weak_label int, " + ", ".join(f"`{f}` double" for f in FEATURES))
 
 
+def _values(text: bytes) -> set[tuple[int, int]]:
+    """Spans of the values that follow an assignment or a credential name.
+
+    Inside a value already given out, a later context gives the part up to the
+    next sign of assignment, and only the first credential name in it gives more,
+    so that all spans together grow with the text and not with its square."""
+    spans = set()
+    whole, part = [0, 0], [0, 0]  # ends of what was given out: by any context, by a credential name
+    for m in _CONTEXT.finditer(text):
+        v = _VALUE.match(text, m.end())
+        if not v:
+            continue
+        start, end = v.span(v.lastindex)
+        named = m.group(1) is not None
+        cut = _PART.search(text, start, end)
+        stop = cut.start() if cut else end
+        sign = _NEXT.search(text, start, stop)
+        ends = [sign.start() if sign and sign.end() < stop else stop] if not sign or sign.start() > start else []
+        for reach, to in ((whole, end), (part, stop)):
+            if start >= reach[0] or named and start >= reach[1]:
+                ends.append(to)
+                reach[0] = max(reach[0], to)
+            if named:
+                reach[1] = max(reach[1], to)
+        for to in ends:
+            spans.add((start, to))
+            if v.lastindex == 3 and (short := len(text[start:to].rstrip(b".,;:)]}>"))):
+                spans.add((start, start + short))
+    return {(a, z) for a, z in spans if z > a}
+
+
+def _describe_value(describer: Describer, text: bytes, start: int, end: int):
+    """As ``_describe``, of the value of a context."""
+    value = text[start:end].decode("utf-8", "replace")
+    head = text[max(0, start - 80):start].decode("utf-8", "replace")
+    after = text[end:end + 80].decode("utf-8", "replace").strip(" \t\"'").split()
+    before = head.rstrip(" \t\"'`=:>").split()
+    prev = before[-1].lower().strip("\"'") if before else ""
+    following = after[0].lower().strip(".,;:!?") if after else ""
+    name = _NAME.search(prev)
+    name = name.group() if name else ""
+    assigned = head.rstrip(" \t\"'").endswith(("=", ":", "=>", ":>"))
+    features = describer.features(value, assigned, head.endswith(("\"", "'")), prev, following, name)
+    return start, end, value, weak_label(value, assigned, name), features
+
+
 def _describe(describer: Describer, buf: np.ndarray, row_start: int, row_end: int, s: int, e: int):
     """(start, end, value, weak label or None, features) of a run of bytes."""
     run = buf[s:e].tobytes().decode("ascii")
@@ -165,6 +229,8 @@ def _describe(describer: Describer, buf: np.ndarray, row_start: int, row_end: in
 
 def weak_label(value: str, assigned: bool, name: str) -> int | None:
     """1 and 0 for candidates whose nature is certain, None for the rest."""
+    if assigned and name in CUES and len(value) < MIN_LENGTH:
+        return None
     if KEY_FORMAT.fullmatch(value) or assigned and name in CUES and _HEX.fullmatch(value) and re.search(r"\d.*\d", value):
         return 1
     if _MAIL.fullmatch(value) or value.isdigit() or re.fullmatch(r"[A-Za-z]+([.\-/][A-Za-z]+)*", value):

@@ -42,3 +42,40 @@ def test_dictionary_counts_every_word(spark, monkeypatch):
         for r in b.to_pylist():
             got[r["word"]] += r["n"]
     assert got == count
+
+
+SHORT = [('password=hunter2secret now', "hunter2secret"), ("secret: Tr0ub4dor!3xyz", "Tr0ub4dor!3xyz"), ('{"pwd":"a$b"}', "a$b"), ("token = 'x y%z' end", "x y%z"),
+         ("http://h/?u=me&password=p:w!1&x=2", "p:w!1"), ("password hunter2!", "hunter2!"), ("é DB_PASSWORD: pässwört,", "pässwört"), ("key: k.", "k"), ("say \"set password: Tr0!b4 now\"", "Tr0!b4"),
+         ("see token=abcdef0123456789abcd!tail", "abcdef0123456789abcd"), ("auth=ab12==", "ab12==")]
+
+
+def test_values_after_a_context_are_candidates_at_any_length(spark):
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(SHORT)], "doc_id long, text string")
+    rows = op10.candidates(df, []).collect()
+    got = {(r["doc_id"], r["start"], r["end"], r["value"]) for r in rows}
+    assert len(got) == len(rows)
+    for i, (t, v) in enumerate(SHORT):
+        at = len(t[:t.rindex(v)].encode())
+        assert (i, at, at + len(v.encode()), v) in got, t
+        assert all(t.encode()[a:z].decode() == x for d, a, z, x in got if d == i)
+
+
+def test_runs_without_context_keep_the_length_rule():
+    assert not op10._values(b"no context here hunter2secret, abcdefghij0123456789")
+
+
+def test_values_grow_with_the_text():
+    for unit in (b"a=", b"token=", b"k=v&", b"a:b,", b"password=x;"):
+        spans = op10._values(unit * 2000)
+        assert sum(z - a for a, z in spans) < 20 * len(unit) * 2000, unit
+
+
+def test_findings_label_short_values(spark):
+    """Labels that name short credentials reach the forest, which finds others like them."""
+    docs = [(i, f"{words(8, i)} " + (f"password=hun{i}!s" if i % 2 else f"note: {words(1, i)}") + f" {words(8, i + 500)}") for i in range(200)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    spans = {i: (t.encode().index(b"hun"), t.encode().index(b"!s") + 2) for i, t in docs if i % 2}
+    found = op10.candidates(df, op10.dictionary(df)).select("doc_id", "start", "end").collect()
+    labels = [(d, a, z, int(spans.get(d) == (a, z))) for d, a, z in found if d < 150]
+    got = {(r["doc_id"], r["start"], r["end"]) for r in op10.scan(df, spark.createDataFrame(labels, "doc_id long, start long, end long, label int")).collect()}
+    assert got == {(d, *s) for d, s in spans.items()}
