@@ -12,7 +12,7 @@ choose the ``FREQUENT`` table entries.  The table changes speed, never counts.
 
 Defined cases: null text counts as empty (0 bytes, 0 tokens); rows are counted
 one by one, so repeated rows and ids repeat; texts with leading, trailing or
-doubled spaces are encoded whole; an empty table gives an empty result; only
+doubled spaces, or with the word-start mark itself, are encoded whole; an empty table gives an empty result; only
 the id and text columns are read, so other columns may have any name.
 """
 
@@ -74,7 +74,7 @@ def piece_counter(model: str) -> PieceCounter:
 
 
 def _simple(text: str) -> bool:
-    return bool(text) and text[0] != " " and text[-1] != " " and "  " not in text
+    return bool(text) and text[0] != " " and text[-1] != " " and "  " not in text and _MARK not in text
 
 
 def _summaries(batches):

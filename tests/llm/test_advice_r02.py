@@ -6,7 +6,8 @@ from collections import Counter
 import pyarrow as pa
 
 import corpus_pipeline
-from terrapix.llm import op10_secrets as op10
+from terrapix.llm import op8_token_counts as op8, op10_secrets as op10
+from terrapix.llm.queries import tokenizer_path
 from tests.llm.fixtures import words
 
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -24,6 +25,18 @@ def test_copies_with_short_lines_leave_one_document(spark, tmp_dir):
     assert sorted((r["doc_id"], r["text"]) for r in out.collect()) == [(3, text), *docs[12:]]
 
 
+# ---- 8
+
+def test_texts_with_the_word_start_mark_are_encoded_whole(spark):
+    path = tokenizer_path("piece_bpe_32k.model")
+    texts = ["the▁ ▁the", "caf▁ 12", "▁", "a ▁ b", "plain words"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["n_tokens"] for r in op8.token_counts(df, path).collect()}
+    sp = op8.PieceCounter(path).sp
+    assert got == {i: len(sp.encode(t)) for i, t in enumerate(texts)}
+    assert [got[0], got[1]] == [3, 4]
+
+
 # ---- 10
 
 def test_dictionary_counts_every_word(spark, monkeypatch):
