@@ -16,8 +16,8 @@ line keys are joined with them by a shuffle and only line numbers return.
 Defined cases: a null or empty text is one empty line; keys shorter than
 ``min_chars`` code points (so blank lines) always stay; every row counts as a
 document of its own, also with a repeated or null id; with ``keep_first`` rows
-without id never hold the copy that stays unless no row has an id; an empty
-table gives an empty result; other columns are carried untouched, whatever
+without id hold the copy that stays only when no row with the line has an id,
+then one of them, by the hash of its text; an empty table gives an empty result; other columns are carried untouched, whatever
 their names.
 """
 
@@ -52,7 +52,7 @@ def line_keys(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 def _batch_keys(batches: int, min_chars: int):
     """Per Arrow batch: its distinct keys, the number of rows holding each, the
-    smallest id among them."""
+    smallest id among them, and the smallest number of those without id."""
     def run(source):
         release()
         number = TaskContext.get().partitionId() % batches
@@ -65,9 +65,10 @@ def _batch_keys(batches: int, min_chars: int):
             if not hi:
                 continue
             t = pa.table({"hi": np.concatenate(hi), "lo": np.concatenate(lo), "row": np.concatenate(rows)}).group_by(["hi", "lo", "row"]).aggregate([])
-            t = t.append_column("doc_id", b.column(0).take(t["row"].combine_chunks()))
-            t = t.group_by(KEY).aggregate([("row", "count"), ("doc_id", "min")])
-            t = t.select(["hi", "lo", "row_count", "doc_id_min"]).rename_columns(["hi", "lo", "n", "first"])
+            at = t["row"].combine_chunks()
+            t = t.append_column("doc_id", b.column(0).take(at)).append_column("orphan", b.column(2).take(at))
+            t = t.group_by(KEY).aggregate([("row", "count"), ("doc_id", "min"), ("orphan", "min")])
+            t = t.select(["hi", "lo", "row_count", "doc_id_min", "orphan_min"]).rename_columns(["hi", "lo", "n", "first", "first_orphan"])
             t = t.append_column("batch", pa.array(np.full(len(t), number), pa.int32()))
             yield from t.to_batches()
     return run
@@ -129,21 +130,23 @@ class LineRuns:
 
 
 def frequent_lines(docs: DataFrame, at_least: int, min_chars: int, id_col: str, text_col: str, keep_first: bool) -> DataFrame:
-    """Settled keys (hi, lo) and, on demand, the smallest id holding each."""
-    thin = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    """Settled keys (hi, lo) and, on demand, the smallest id holding each, and the
+    smallest number (``orphan``) of a row without id."""
+    thin = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), "orphan")
     kind = thin.schema["doc_id"].dataType.simpleString()
-    staged = written(thin.mapInArrow(_batch_keys(BATCHES, min_chars), f"hi long, lo long, n long, first {kind}, batch int"), "line-keys", partition_by="batch")
+    staged = written(thin.mapInArrow(_batch_keys(BATCHES, min_chars), f"hi long, lo long, n long, first {kind}, first_orphan long, batch int"), "line-keys", partition_by="batch")
     runs = LineRuns(docs.sparkSession, at_least)
     for i in range(BATCHES):
         runs.add(staged.filter(F.col("batch") == i).select(*KEY, "n"))
     keys = runs.frequent()
-    return staged.join(keys, KEY).groupBy(*KEY).agg(F.min("first").alias("first")) if keep_first else keys
+    return staged.join(keys, KEY).groupBy(*KEY).agg(F.min("first").alias("first"), F.min("first_orphan").alias("first_orphan")) if keep_first else keys
 
 
 class Settled:
     """Settled keys sorted by their first half, for lookups in a task."""
 
     def __init__(self, hi: np.ndarray, lo: np.ndarray, first: list | None):
+        """``first``: the holder of each key, (id, None) or (None, orphan)."""
         order = np.lexsort((lo, hi))
         self.hi, self.lo = hi[order], lo[order]
         self.first = [first[i] for i in order] if first is not None else None
@@ -194,22 +197,23 @@ def dedup_lines(docs: DataFrame, at_least: int = 10, min_chars: int = 1, keep_fi
     added: lines before, lines dropped.  Returns the frame and the names of the
     two columns (chosen so that they clash with none of ``docs``)."""
     small_batches(docs.sparkSession)
-    keys = written(frequent_lines(docs, at_least, min_chars, id_col, text_col, keep_first), "line-frequent")
     spark, names = docs.sparkSession, [_free("n_lines", docs), _free("n_dropped", docs)]
     text_at, id_at = docs.columns.index(text_col), docs.columns.index(id_col)
     internal = [f"c{i}" for i in range(len(docs.columns))]
     plain = docs.toDF(*internal).withColumn(internal[text_at], F.col(internal[text_at]).cast("string"))
+    plain = _numbered_orphans(plain, internal[id_at], internal[text_at]) if keep_first else plain.withColumn("orphan", F.lit(None).cast("long"))
+    keys = written(frequent_lines(plain, at_least, min_chars, internal[id_at], internal[text_at], keep_first), "line-frequent")
     schema = ", ".join(f"{c} {plain.schema[c].dataType.simpleString()}" for c in internal)
     added = f", c{len(internal)} long, c{len(internal) + 1} long"
     if keys.count() <= BROADCAST_KEYS:
-        held = keys.toPandas()
-        shared = spark.sparkContext.broadcast(Settled(held["hi"].to_numpy(np.int64), held["lo"].to_numpy(np.int64), held["first"].tolist() if keep_first else None))
+        held = keys.toArrow()
+        shared = spark.sparkContext.broadcast(Settled(held["hi"].to_numpy(), held["lo"].to_numpy(), _holders(held) if keep_first else None))
 
         def run(batches):
             release()
             known = shared.value
             for b in batches:
-                ids = b.column(id_at).to_pylist() if keep_first else []
+                ids = list(zip(b.column(id_at).to_pylist(), b.column(len(internal)).to_pylist())) if keep_first else []
 
                 def dropped(r0, lines):
                     _, _, row, points, hi, lo = lines
@@ -218,19 +222,33 @@ def dedup_lines(docs: DataFrame, at_least: int = 10, min_chars: int = 1, keep_fi
                     if keep_first:
                         _spare_first(gone, at, [ids[r0 + r] for r in row[gone].tolist()], row, known.first)
                     return gone
-                yield _drop(b, text_at, dropped)
+                yield _drop(pa.RecordBatch.from_arrays(b.columns[:-1], internal), text_at, dropped)
         out = plain.mapInArrow(run, schema + added)
     else:
         out = _by_join(plain, keys, schema, added, internal, text_at, id_at, min_chars, keep_first)
     return out.toDF(*docs.columns, *names), names
 
 
+def _numbered_orphans(plain: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``plain`` with a number for every row without id (null for the others), in
+    the order of their texts' hashes; such rows are written once."""
+    some = plain.filter(F.col(id_col).isNull()).withColumn("orphan", F.monotonically_increasing_id())
+    some = some.orderBy(F.xxhash64(text_col), "orphan").withColumn("orphan", F.monotonically_increasing_id())
+    some = written(some, "line-orphans")
+    rest = plain.withColumn("orphan", F.lit(None).cast("long"))
+    return rest if some.isEmpty() else rest.filter(F.col(id_col).isNotNull()).unionByName(some)
+
+
+def _holders(held: pa.Table) -> list[tuple]:
+    return [(d, None if d is not None else o) for d, o in zip(held["first"].to_pylist(), held["first_orphan"].to_pylist())]
+
+
 def _spare_first(gone: np.ndarray, key: np.ndarray, ids: list, row: np.ndarray, first: list) -> None:
     """Let the first line of a key stay in the first document holding it."""
     spared = set()
     for i, doc in zip(np.flatnonzero(gone).tolist(), ids):
         mark = (int(row[i]), int(key[i]))
-        if doc is not None and first[key[i]] == doc and mark not in spared:
+        if first[key[i]] == doc and mark not in spared:
             spared.add(mark)
             gone[i] = False
 
@@ -246,11 +264,11 @@ def _by_join(plain: DataFrame, keys: DataFrame, schema: str, added: str, interna
                 _, _, row, points, hi, lo = line_keys(buf, off)
                 first = np.searchsorted(row, np.arange(r1 - r0))
                 at = np.flatnonzero(points >= min_chars)
-                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row[at] + r0)), pa.array(at - first[row[at]]), pa.array(hi[at]), pa.array(lo[at]), b.column(2).take(pa.array(row[at] + r0))], ["uid", "line", "hi", "lo", "doc"])
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row[at] + r0)), pa.array(at - first[row[at]]), pa.array(hi[at]), pa.array(lo[at]), b.column(2).take(pa.array(row[at] + r0)), b.column(3).take(pa.array(row[at] + r0))], ["uid", "line", "hi", "lo", "doc", "orphan"])
     kind = plain.schema[internal[id_at]].dataType.simpleString()
-    found = numbered.select("uid", internal[text_at], F.col(internal[id_at]).alias("doc")).mapInArrow(lines, f"uid long, line long, hi long, lo long, doc {kind}").join(keys, KEY)
+    found = numbered.select("uid", internal[text_at], F.col(internal[id_at]).alias("doc"), "orphan").mapInArrow(lines, f"uid long, line long, hi long, lo long, doc {kind}, orphan long").join(keys, KEY)
     if keep_first:
-        stays = found.filter(F.col("doc") == F.col("first")).groupBy("uid", *KEY).agg(F.min("line").alias("line"))
+        stays = found.filter(F.when(F.col("first").isNull(), F.col("orphan") == F.col("first_orphan")).otherwise(F.col("doc") == F.col("first"))).groupBy("uid", *KEY).agg(F.min("line").alias("line"))
         found = found.join(stays, ["uid", "line", *KEY], "left_anti")
     gone = found.groupBy("uid").agg(F.collect_list("line").alias("gone"))
     joined = numbered.join(gone, "uid", "left").select(*internal, "gone")

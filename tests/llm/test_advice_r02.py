@@ -4,9 +4,10 @@ import itertools
 from collections import Counter
 
 import pyarrow as pa
+import pytest
 
 import corpus_pipeline
-from terrapix.llm import op8_token_counts as op8, op10_secrets as op10
+from terrapix.llm import op5_line_dedup as op5, op8_token_counts as op8, op10_secrets as op10
 from terrapix.llm.queries import tokenizer_path
 from tests.llm.fixtures import words
 
@@ -25,6 +26,20 @@ def test_copies_with_short_lines_leave_one_document(spark, tmp_dir):
     assert sorted((r["doc_id"], r["text"]) for r in out.collect()) == [(3, text), *docs[12:]]
 
 
+# ---- 5
+
+@pytest.mark.parametrize("broadcast", [400_000, 0])
+def test_one_copy_stays_when_no_row_has_an_id(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(op5, "BROADCAST_KEYS", broadcast)
+    text = "a line of ten rows\nand another"
+    docs = [(None, text)] * 12 + [(None, "held by an id\nalone")] * 3 + [(9, "held by an id"), (4, "Held by an id")]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    out, (lines, dropped) = op5.dedup_lines(df, at_least=3, keep_first=True)
+    got = Counter((r["doc_id"], r["text"]) for r in out.collect())
+    assert got == {(None, text): 1, (None, ""): 13, (None, "alone"): 1, (4, "Held by an id"): 1, (9, ""): 1}
+    assert out.agg({dropped: "sum"}).first()[0] == 22 + 2 + 4
+
+
 # ---- 8
 
 def test_texts_with_the_word_start_mark_are_encoded_whole(spark):
