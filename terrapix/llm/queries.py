@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from terrapix.llm import op1_token_file as op1
-from terrapix.llm import op2_jaccard_join, op3_toxicity, op4_sentencepiece, op5_line_dedup, op6_decontaminate, op7_quality, op8_token_counts, op9_sharding, op10_secrets
+from terrapix.llm import op2_jaccard_join, op3_toxicity, op4_sentencepiece, op5_line_dedup, op6_decontaminate, op7_quality, op8_token_counts, op9_sharding, op10_secrets, op11_whitening, op12_quality_cnn, op13_runs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -151,6 +152,43 @@ def op10_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "start", "end", F.sha2(F.col("value").cast("binary"), 256).alias("secret_sha256"), F.round("score", 6).alias("score"))
 
 
+@query
+def op11_whitening_chebyshev(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """11: whitened embeddings on the leading components of the distinct vectors."""
+    return op11_whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_quality_cnn_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """12: quality score of every document by the byte-level network."""
+    docs = table(spark, sf_dir, "documents")
+    return op12_quality_cnn.score(docs, op12_quality_cnn.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def plant_period(doc_id, text: bytes) -> bytes:
+    """The text whose words the query reads: where crc32(doc_id) % 10 is 0, words
+    from a on repeat the first p words after a."""
+    if doc_id is None:
+        return text
+    h = zlib.crc32(str(doc_id).encode())
+    if h % 10:
+        return text
+    words = text.split()
+    n, g = len(words), h // 10
+    if not n:
+        return text
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return b" ".join(words[:a] + [words[a + k % p] for k in range(n - a)])
+
+
+@query
+def op13_runs_difference_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """13: periodic runs of words of every document, and the text without repeats."""
+    out = op13_runs.summary(table(spark, sf_dir, "documents"), rewrite=plant_period)
+    return out.select("doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256")
+
+
 def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five stages of corpus_pipeline over all documents."""
     return corpus_pipeline.run(spark, sf_dir)

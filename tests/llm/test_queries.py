@@ -23,10 +23,10 @@ def test_sql_twin(spark, name):
 
 def test_registered():
     names = entry.queries()
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)) and "pipeline" in names
 
 
-@pytest.mark.parametrize("name", [n for n in sorted(QUERIES) if n.startswith(("op1_", "op3_", "op4_", "op7_", "op8_", "op9_"))])
+@pytest.mark.parametrize("name", [n for n in sorted(QUERIES) if n.startswith(("op1_", "op3_", "op4_", "op7_", "op8_", "op9_", "op12_", "op13_"))])
 def test_a_row_for_every_document(spark, name):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     got = QUERIES[name](spark, SF_SMALL)
