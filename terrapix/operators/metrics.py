@@ -86,7 +86,6 @@ def auc_rank(pred: DataFrame, label: str = "label", score: str = "score",
              n: int | None = None) -> DataFrame:
     """Exact area under the ROC curve (F15), ties counted one half.
 
-    AUC = sum_s pos(s) * (neg(< s) + neg(s)/2) / (P * N) over distinct scores.
     Rows are first reduced to one per distinct score (partial aggregation),
     then the negatives below each score come from distributed running totals.
     """
@@ -94,6 +93,14 @@ def auc_rank(pred: DataFrame, label: str = "label", score: str = "score",
                  .groupBy(F.col(score).cast("double").alias("s"))
                  .agg(F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).cast("bigint").alias("pos"),
                       F.sum(F.when(F.col(label) == 1, 0).otherwise(1)).cast("bigint").alias("neg")))
+    return auc_from_counts(per_score, n)
+
+
+def auc_from_counts(per_score: DataFrame, n: int | None = None) -> DataFrame:
+    """The area from one row for each score ``s`` with its ``pos`` and ``neg``:
+
+    AUC = sum_s pos(s) * (neg(< s) + neg(s)/2) / (P * N) over distinct scores.
+    """
     cum = running_totals(per_score, ["s"], ["neg"], n=n)
     contrib = F.col("pos") * (F.col("cum_neg") - F.col("neg") + F.col("neg") / 2.0)
     return cum.agg(

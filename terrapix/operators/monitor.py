@@ -133,6 +133,20 @@ def patch_name() -> Column:
 
 def dedupe_pixels(pixels: DataFrame, results: DataFrame) -> DataFrame:
     """Pixels of the winning result of each task (G4): a task done twice leaves
-    two patches under different names, and only one may be trained on."""
-    won = dedupe_results(results.where(F.col("status") == "success").select("task_id", "worker_id", "ts"))
-    return pixels.join(won.select(patch_name().alias("patch_id")), "patch_id", "left_semi")
+    two patches, and only one may be trained on.
+
+    Two workers leave them under different names. The same worker leaves both
+    under one name, in different batches of the pixel table (column ``batch``):
+    the batch of the winning result decides when results know their batch, else
+    the latest batch that holds the patch."""
+    by_batch = "batch" in pixels.columns and "batch" in results.columns
+    own = [F.col("batch").cast("bigint").alias("batch")] if by_batch else []
+    won = dedupe_results(results.where(F.col("status") == "success").select("task_id", "worker_id", "ts", *own))
+    names = won.select(patch_name().alias("patch_id"), *(["batch"] if by_batch else []))
+    if by_batch:
+        wide = pixels.withColumn("_batch", F.col("batch").cast("bigint"))
+        return wide.join(names.withColumnRenamed("batch", "_batch"), ["patch_id", "_batch"], "left_semi").select(*pixels.columns)
+    if "batch" in pixels.columns:
+        last = pixels.groupBy("patch_id").agg(F.max("batch").alias("batch")).join(names, "patch_id", "left_semi")
+        return pixels.join(last, ["patch_id", "batch"], "left_semi").select(*pixels.columns)
+    return pixels.join(names, "patch_id", "left_semi")

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrapix.functions.geo import ring_edges
+from terrapix.operators.spans import visible_spans
 from terrapix.schema import (MIN_POLYGONS_PATCH, STATUS_EMPTY_MASK, STATUS_FEW_POLYGONS,
                              STATUS_INVALID_SHAPE, STATUS_NO_BINARY, STATUS_SUCCESS)
 
@@ -193,7 +194,7 @@ def cell_grid_columns(spec, res: float) -> dict[str, Column]:
             "h": F.lit(n), "w": F.lit(n)}
 
 
-def rasterize(pairs: DataFrame, key: tuple[str, ...] = ("task_id",), exact: bool = True) -> DataFrame:
+def rasterize_spans(pairs: DataFrame, key: tuple[str, ...] = ("task_id",), exact: bool = True) -> DataFrame:
     """Burn each mapped polygon's binary label onto its patch's pixel grid.
 
     ``pairs``: key columns, parcel_id, binary_id, xmin..ymax[, rings] and the
@@ -203,30 +204,27 @@ def rasterize(pairs: DataFrame, key: tuple[str, ...] = ("task_id",), exact: bool
     multi-part polygons work; the envelope when ``exact=False`` or no rings);
     where polygons overlap, the later one (higher parcel_id) wins.
 
-    Scanline rasterisation as plain relational steps:
+    Scanline rasterisation by spans:
       1. every non-horizontal edge is exploded over the pixel rows whose
          centre line it crosses (half-open in y), and the crossing x is plain
          arithmetic;
-      2. crossing rows are shuffled on (patch, pixel row) - not pixels;
-      3. a window over (patch, row, polygon) ordered by x pairs crossings
-         1-2, 3-4, ... into inside spans (even-odd);
-      4. spans become pixel columns and each pixel keeps the label of the
-         highest parcel_id.
-    Steps 3-4 group by supersets of (patch, row), so the one shuffle of step
-    2 serves them all, and a crowded patch is spread over its rows. The
-    closed-envelope mode (``exact=False``) emits its span directly.
-
-    Returns sparse burned pixels: key, pixel_idx, mask_class.
+      2. a window over (patch, row, polygon) ordered by x pairs crossings
+         1-2, 3-4, ... into inside spans (even-odd): a crowded pixel row is
+         spread over its polygons;
+      3. overlapping spans of a pixel row are merged by priority
+         (``spans.visible_spans``): in the task that made them, then on
+         (patch, pixel row).
+    The closed-envelope mode (``exact=False``) emits its span directly.
+
+    Returns disjoint spans: key, w, _r, _a, _b (inclusive), parcel_id, mask_class.
     """
     p = pairs.where(F.col("binary_id").isNotNull())
     res = F.col("res")
-    use_rings = exact and "rings" in pairs.columns
-    part = [F.col(k) for k in key] + [F.col("_r")]
 
     def col_of(x):  # first pixel column whose centre is >= x
         return F.ceil((x - F.col("gx0")) / res - 0.5)
 
-    if use_rings:
+    if exact and "rings" in pairs.columns:
         e = (p.select(*key, "parcel_id", "binary_id", "gx0", "gy1", "res", "h", "w",
                       F.explode(ring_edges("rings")).alias("e"))
              .where(F.col("e.y1") != F.col("e.y2")))
@@ -240,7 +238,6 @@ def rasterize(pairs: DataFrame, key: tuple[str, ...] = ("task_id",), exact: bool
         cy = F.col("gy1") - (F.col("_r") + 0.5) * res
         x = F.col("e.x1") + (F.col("e.x2") - F.col("e.x1")) * (cy - F.col("e.y1")) / (F.col("e.y2") - F.col("e.y1"))
         cross = cross.select(*key, "_r", "parcel_id", "binary_id", "gx0", "res", "w", x.alias("_x"))
-        cross = cross.repartition(*part)
         order = Window.partitionBy(*key, "_r", "parcel_id").orderBy("_x")
         paired = cross.withColumn("_pair", F.floor((F.row_number().over(order) - 1) / 2))
         spans = (paired.groupBy(*key, "_r", "parcel_id", "binary_id", "gx0", "res", "w", "_pair")
@@ -248,37 +245,39 @@ def rasterize(pairs: DataFrame, key: tuple[str, ...] = ("task_id",), exact: bool
                  .where(F.col("_n") == 2))
         a = F.greatest(col_of(F.col("_xa")), F.lit(0)).cast("int")
         b = F.least(col_of(F.col("_xb")) - 1, F.col("w") - 1).cast("int")
-        px = spans.where(a <= b).select(*key, "_r", "parcel_id", "binary_id", "w",
-                                        F.explode(F.sequence(a, b)).alias("_c"))
     else:
         # closed envelope: centre in [xmin, xmax] x [ymin, ymax]
         r_lo = F.greatest(F.ceil((F.col("gy1") - F.col("ymax")) / res - 0.5), F.lit(0))
         r_hi = F.least(F.floor((F.col("gy1") - F.col("ymin")) / res - 0.5), F.col("h") - 1)
-        rows = (p.where(r_lo <= r_hi)
-                .withColumn("_r", F.explode(F.sequence(r_lo.cast("int"), r_hi.cast("int")))))
+        spans = (p.where(r_lo <= r_hi)
+                 .withColumn("_r", F.explode(F.sequence(r_lo.cast("int"), r_hi.cast("int")))))
         a = F.greatest(col_of(F.col("xmin")), F.lit(0)).cast("int")
         b = F.least(F.floor((F.col("xmax") - F.col("gx0")) / res - 0.5), F.col("w") - 1).cast("int")
-        spans = rows.where(a <= b).select(*key, "_r", "parcel_id", "binary_id", "w", a.alias("_a"), b.alias("_b"))
-        px = (spans.repartition(*part)
-              .select(*key, "_r", "parcel_id", "binary_id", "w",
-                      F.explode(F.sequence("_a", "_b")).alias("_c")))
-    # the label of the highest parcel as one number: 2 * parcel + label (labels
-    # are 0 and 1), so a pixel's state in the aggregation is a single long
-    code = (F.col("parcel_id") * 2 + F.col("binary_id")).cast("bigint")
-    px = px.select(*key, "_r", (F.col("_r") * F.col("w") + F.col("_c")).cast("bigint").alias("pixel_idx"), code.alias("_code"))
-    return (px.groupBy(*key, "_r", "pixel_idx").agg(F.max("_code").alias("_code"))
-            .select(*key, "pixel_idx", F.pmod("_code", F.lit(2)).cast("int").alias("mask_class")))
+    spans = spans.where(a <= b).select(*key, "w", "_r", "parcel_id", "binary_id", a.alias("_a"), b.alias("_b"))
+    return visible_spans(spans, [*key, "w", "_r"]).withColumnRenamed("binary_id", "mask_class")
+
+
+def span_pixels(spans: DataFrame, key: tuple[str, ...] = ("task_id",)) -> DataFrame:
+    """A row for each burned pixel of disjoint spans: key, pixel_idx, mask_class."""
+    px = spans.select(*key, "w", "_r", "mask_class", F.explode(F.sequence("_a", "_b")).alias("_c"))
+    return px.select(*key, (F.col("_r") * F.col("w") + F.col("_c")).cast("bigint").alias("pixel_idx"), F.col("mask_class").cast("int").alias("mask_class"))
+
+
+def rasterize(pairs: DataFrame, key: tuple[str, ...] = ("task_id",), exact: bool = True) -> DataFrame:
+    """Sparse burned pixels (key, pixel_idx, mask_class) of ``rasterize_spans``."""
+    return span_pixels(rasterize_spans(pairs, key, exact), key)
 
 
 def mask_counts(burned: DataFrame, grid: DataFrame, key: tuple[str, ...] = ("task_id",)) -> DataFrame:
     """Per patch: crop pixels (mask 1), non-crop pixels (mask 0: non-crop
     polygons plus unburned background), background pixels, empty flag.
 
-    Computed from the sparse burned pixels and the grid size, without
-    materialising the background pixels. ``grid`` has the key and h, w."""
+    Computed from the disjoint spans (or sparse burned pixels) and the grid
+    size, without materialising pixels. ``grid`` has the key and h, w."""
+    n = (F.col("_b") - F.col("_a") + 1).cast("bigint") if "_a" in burned.columns else F.lit(1).cast("bigint")
     per = burned.groupBy(*key).agg(
-        F.count_if(F.col("mask_class") == 1).alias("crop_pixels"),
-        F.count_if(F.col("mask_class") == 0).alias("class0_pixels"))
+        F.sum(F.when(F.col("mask_class") == 1, n).otherwise(0)).alias("crop_pixels"),
+        F.sum(F.when(F.col("mask_class") == 0, n).otherwise(0)).alias("class0_pixels"))
     g = grid.select(*key, (F.col("h") * F.col("w")).cast("bigint").alias("n_pixels"))
     j = g.join(per, list(key), "left").fillna(0, subset=["crop_pixels", "class0_pixels"])
     return j.select(
@@ -290,8 +289,13 @@ def mask_counts(burned: DataFrame, grid: DataFrame, key: tuple[str, ...] = ("tas
 
 def full_mask(burned: DataFrame, grid: DataFrame, key: tuple[str, ...] = ("task_id",)) -> DataFrame:
     """Dense mask rows: key, pixel_idx, label (0/1, background 0) and
-    nullable mask_class (null = background) (C6, Q4)."""
-    allpx = (grid.select(*key, F.explode(F.sequence(F.lit(0), F.col("h") * F.col("w") - 1)).alias("pixel_idx"))
+    nullable mask_class (null = background) (C6, Q4). ``burned`` are disjoint
+    spans or sparse pixels; a grid without pixels has no rows."""
+    if "_a" in burned.columns:
+        burned = span_pixels(burned, key)
+    last = F.col("h") * F.col("w") - 1
+    idx = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
+    allpx = (grid.select(*key, F.explode(idx).alias("pixel_idx"))
              .withColumn("pixel_idx", F.col("pixel_idx").cast("bigint")))
     return (allpx.join(burned, [*key, "pixel_idx"], "left")
             .withColumn("label", F.coalesce(F.col("mask_class"), F.lit(0)).cast("bigint")))

@@ -513,3 +513,16 @@ ORACLE["dedupe_pixels"] = with_(PIXELS, r"""ids AS (SELECT DISTINCT patch_id, CA
 won AS (SELECT patch_id FROM (SELECT *, row_number() OVER (PARTITION BY task_id
  ORDER BY (task_id * 7 + CAST(worker_id AS BIGINT) * 5) % 11 DESC, worker_id DESC) AS rn FROM ids) WHERE rn = 1)""") + """
 SELECT p.* FROM pixels p JOIN won USING (patch_id)"""
+
+ORACLE["dedupe_pixels_batches"] = with_(PIXELS, r"""tp AS (SELECT *, CAST(regexp_extract(patch_id, 'task_(\d+)_worker_(.+)', 1) AS BIGINT) AS task_id,
+ CAST(regexp_extract(patch_id, 'task_(\d+)_worker_(.+)', 2) AS BIGINT) AS w FROM pixels),
+both_ AS (SELECT *, 0 AS batch FROM tp UNION ALL SELECT * REPLACE (band_1 + 1 AS band_1), 2 AS batch FROM tp WHERE task_id % 3 = 0),
+res AS (SELECT DISTINCT patch_id, task_id, w, batch,
+ (task_id * 7 + w * 5) % 11 + CASE WHEN batch = 0 THEN 0 WHEN task_id % 2 = 0 THEN 100 ELSE -100 END AS t FROM both_),
+won AS (SELECT patch_id, batch FROM (SELECT *, row_number() OVER (PARTITION BY task_id ORDER BY t DESC, CAST(w AS VARCHAR) DESC, batch DESC) AS rn FROM res) WHERE rn = 1)""") + """
+SELECT b.* EXCLUDE (task_id, w) FROM both_ b JOIN won USING (patch_id, batch)"""
+
+ORACLE["score_stream"] = f"SELECT * FROM ({ORACLE['ndvi_confusion']}), ({ORACLE['auc_rank']})"
+ORACLE["worker_stream"] = ORACLE["worker_results"]
+ORACLE["monitor_stream"] = ORACLE["monitor_by_worker"]
+ORACLE["progress_stream"] = ORACLE["progress"]

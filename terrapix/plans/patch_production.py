@@ -95,7 +95,7 @@ def polygon_counts(tasks: DataFrame, pairs: DataFrame) -> DataFrame:
 @dataclass
 class Production:
     """What a set of tasks yields: ``results`` (RESULT_SCHEMA and the patch's
-    shape), ``burned`` mask pixels and the raster ``grid`` of the tasks that
+    shape), ``burned`` mask spans and the raster ``grid`` of the tasks that
     were rasterised."""
 
     results: DataFrame
@@ -129,7 +129,7 @@ def produce_all(tasks: DataFrame, parcels: DataFrame, scenes: DataFrame, windows
     eligible = counts.where((F.col("n_raw") >= min_polygons) & (F.col("polygon_count") > 0))
     grid = pt.pixel_grid(project_box(eligible, utm_zone) if utm_zone else eligible, res)
     shapes = project_rings(pairs, utm_zone) if utm_zone and "rings" in pairs.columns else pairs
-    burned = pt.rasterize(shapes.join(grid, "task_id"), key=("task_id",))
+    burned = pt.rasterize_spans(shapes.join(grid, "task_id"), key=("task_id",))
     masks = pt.mask_counts(burned, grid).join(
         grid.select("task_id", F.array(F.lit(n_bands), "h", "w").alias("shape")), "task_id")
     match = sc.match_scenes(eligible, scenes, windows, coarse=scene_cell)
@@ -179,14 +179,29 @@ def pixel_rows(results: DataFrame, rasters: DataFrame, burned_mask: DataFrame, n
         .fillna(0, subset=["label"])
 
 
+#: what a complete pixel batch leaves beside the table
+LAYOUT = "pixel_batch long, buckets int, folder string"
+
+
+def layout_path(path: str) -> str:
+    """Where the layout records of a pixel table are."""
+    return path.rstrip("/") + "_layout"
+
+
 def write_pixels(pixels: DataFrame, path: str, batch: int = 0, buckets: int = 64, rows_per_file: int = 5_000_000) -> None:
     """Snappy Parquet in folders ``batch=<id>/task_bucket=<k>``.
 
     A batch written again replaces its own folder, so a replay leaves no second
     copy. ``buckets`` only names folders (readers prune on them); the number of
     writers follows the shuffle partitions and the rows: a bucket's patches are
-    spread by (bucket, task), and no file exceeds ``rows_per_file``."""
+    spread by (bucket, task), and no file exceeds ``rows_per_file``. When all
+    files are there, a record of the batch with its folder and bucket number is
+    left beside the table (``layout_path``): readers learn from it that the
+    batch is complete, and how to prune it."""
+    folder = f"{path.rstrip('/')}/batch={batch}"
     b = F.pmod(F.col("task_id"), F.lit(buckets)).cast("int").alias("task_bucket")
     (pixels.withColumn("task_bucket", b).repartition("task_bucket", "task_id")
      .write.mode("overwrite").option("compression", "snappy").option("maxRecordsPerFile", rows_per_file)
-     .partitionBy("task_bucket").parquet(f"{path.rstrip('/')}/batch={batch}"))
+     .partitionBy("task_bucket").parquet(folder))
+    record = pixels.sparkSession.createDataFrame([(batch, buckets, folder)], LAYOUT)
+    record.coalesce(1).write.mode("overwrite").json(f"{layout_path(path)}/{batch}")

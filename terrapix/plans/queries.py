@@ -358,7 +358,7 @@ def cell_masks(tasks, pairs, spec, res=1.0):
     """Rasterise per grid cell and attach task ids: burning needs no join,
     and the per-cell counts join the (one row per cell) task table."""
     g = pairs.withColumns(pt.cell_grid_columns(spec, res))
-    burned = pt.rasterize(g, key=("i", "j"))
+    burned = pt.rasterize_spans(g, key=("i", "j"))
     n = int(-(-spec.step // res))
     tg = tasks.select("task_id", "i", "j", F.lit(n).alias("h"), F.lit(n).alias("w"))
     return pt.mask_counts(burned, tg.select("i", "j", "h", "w"), key=("i", "j")).join(
@@ -693,3 +693,106 @@ def q_dedupe_pixels(spark, sf_dir):
     produced the same task."""
     px = derived.pixels(spark, sf_dir)
     return mon.dedupe_pixels(px, derived.pixel_results(px))
+
+
+@register("dedupe_pixels_batches")
+def q_dedupe_pixels_batches(spark, sf_dir):
+    """The same worker left a patch in two batches of the pixel table; the
+    batch of the winning result stays, once."""
+    px = derived.pixels(spark, sf_dir)
+    task = F.regexp_extract("patch_id", r"task_(\d+)_", 1).cast("bigint")
+    again = px.where(task % 3 == 0).withColumn("band_1", F.col("band_1") + 1)
+    both = px.withColumn("batch", F.lit(0)).unionByName(again.withColumn("batch", F.lit(2)))
+    first = derived.pixel_results(px).withColumn("batch", F.lit(0))
+    # the second delivery's message came later for even tasks, before the first for odd ones
+    shift = F.when(F.col("task_id") % 2 == 0, 100).otherwise(-100)
+    second = first.where(F.col("task_id") % 3 == 0).withColumns({
+        "batch": F.lit(2), "ts": F.timestamp_seconds(F.unix_seconds("ts") + shift)})
+    return mon.dedupe_pixels(both, first.unionByName(second))
+
+
+# --- streams over whole derived tables -------------------------------------------
+
+from terrapix.schema import READY_SCHEMA, RESULT_SCHEMA  # noqa: E402
+from terrapix.streaming.monitor_stream import run_monitor_stream  # noqa: E402
+from terrapix.streaming.patch_stream import run_patch_stream  # noqa: E402
+from terrapix.streaming.progress_stream import run_progress_stream  # noqa: E402
+from terrapix.streaming.score_stream import run_score_stream  # noqa: E402
+
+
+class NdviThreshold:
+    """The threshold classifier in a model's place."""
+
+    def transform(self, df):
+        return feat.threshold_predict(feat.drop_invalid(df, feat.FEATURES_V1), "ndvi", 0.2)
+
+
+def ready_of(px, table, batch):
+    """Ready events of a derived pixel table: shape [4, 1, rows of the patch]."""
+    n = px.groupBy("patch_id").agg(F.count(F.lit(1)).cast("int").alias("n"))
+    task = F.regexp_extract("patch_id", r"task_(\d+)_", 1).cast("bigint")
+    return n.select(task.alias("task_id"), F.regexp_extract("patch_id", r"_worker_(.+)", 1).alias("worker_id"), F.lit(None).cast("array<double>").alias("bbox"),
+                    F.concat(F.lit(f"{table}/batch={batch}/"), "patch_id").alias("s3_path"), F.array(F.lit(4), F.lit(1), "n").alias("shape"), F.lit(0.0).alias("timestamp"))
+
+
+@register("score_stream")
+def q_score_stream(spark, sf_dir):
+    """The scoring stream over a pixel table that grows in three
+    batches, each announced before, with or after its pixels; the confusion and the
+    exact AUC that the last batch left."""
+    base = _folder(spark, "score-stream")
+    table, src, out = f"{base}/pixels", f"{base}/ready", f"{base}/out"
+    px = derived.pixels(spark, sf_dir).withColumn("task_id", F.regexp_extract("patch_id", r"task_(\d+)_", 1).cast("bigint"))
+    for k in range(3):
+        pp.write_pixels(px.where(F.col("task_id") % 3 == k), table, batch=k, buckets=8 * (k + 1))
+        soon = (k + 1) % 3  # announced a batch early, but for the first
+        msg.write_json_lines(msg.encode(ready_of(px.where(F.col("task_id") % 3 == soon), table, soon)), src)
+        stream = msg.valid(msg.read_json_stream(spark, src, READY_SCHEMA))
+        run_score_stream(stream, table, NdviThreshold(), f"{base}/checkpoint", out).awaitTermination()
+    last = spark.read.parquet(f"{out}/report").agg(F.max("batch")).first()[0]
+    auc = spark.read.parquet(f"{out}/report/batch={last}").select(F.round("auc", 6).alias("auc"), "n_pos", "n_neg")
+    return spark.read.parquet(f"{out}/confusion/batch={last}").crossJoin(auc)  # one row
+
+
+@register("worker_stream")
+def q_worker_stream(spark, sf_dir):
+    """The patch stream over task messages that come twice, the second
+    time together with the rest; every task has one result (a failed one is tried
+    again, the latest counts)."""
+    base = _folder(spark, "worker-stream")
+    tasks, _, spec = task_pairs(spark, sf_dir, with_rings=False)
+    msgs = msg.encode(grid.task_messages(tasks, spec, derived.FIXTURE_CLASS_MAP), msg.task_key())
+    parcels = grid.class_lookup(derived.parcels(spark, sf_dir), derived.class_map(spark))
+    first = F.crc32("value") % 2 == 0
+    for part in (msgs.where(first), msgs):
+        msg.write_json_lines(part, f"{base}/tasks")
+        run_patch_stream(msg.read_json_stream(spark, f"{base}/tasks", TASK_SCHEMA), parcels, derived.scenes(spark, sf_dir), derived.FIXTURE_WINDOWS, f"{base}/out",
+                         f"{base}/checkpoint", res=1.0, parcel_cell=derived.FIXTURE_GRID_STEP, scene_cell=50.0, worker_id="1").awaitTermination()
+    made = spark.read.parquet(f"{base}/out/results").select("task_id", "ts", "worker_id", "status", "polygon_count", "crop_pixels", "noncrop_pixels")
+    return mon.dedupe_results(made).drop("ts", "worker_id")
+
+
+def _result_stream(spark, sf_dir, base):
+    res = derived.task_results(spark, sf_dir)
+    msg.write_json_lines(msg.encode(res.withColumn("ts", F.col("ts").cast("timestamp"))), f"{base}/in")
+    return msg.valid(msg.read_json_stream(spark, f"{base}/in", RESULT_SCHEMA))
+
+
+@register("monitor_stream")
+def q_monitor_stream(spark, sf_dir):
+    """The monitor over the whole result topic as a stream; the
+    per-worker counters that its last batch left."""
+    base = _folder(spark, "monitor-stream")
+    run_monitor_stream(_result_stream(spark, sf_dir, base), f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    t = spark.read.parquet(f"{base}/out/by_worker")
+    t = t.where(F.col("batch") == t.agg(F.max("batch")).first()[0])
+    return t.select("worker_id", "tasks", "success", "skipped", "failed", "patches", "crop_pixels", "noncrop_pixels")
+
+
+@register("progress_stream")
+def q_progress_stream(spark, sf_dir):
+    """Snapshots after every 20th message of the result topic as a stream."""
+    base = _folder(spark, "progress-stream")
+    run_progress_stream(_result_stream(spark, sf_dir, base), f"{base}/out", f"{base}/checkpoint", every=20).awaitTermination()
+    ts = derived.task_results(spark, sf_dir).schema["ts"].dataType
+    return spark.read.parquet(f"{base}/out/snapshots").drop("batch").withColumn("ts", F.col("ts").cast(ts))

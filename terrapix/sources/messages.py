@@ -21,10 +21,14 @@ READY_TOPIC = "satellite-images-ready"
 WORKER_GROUP = "satellite-workers"
 
 
+#: times keep their microseconds
+_JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
 def encode(df: DataFrame, key=None, cols: list[str] | None = None) -> DataFrame:
     """(key, value) string frame: value = JSON object of ``cols``."""
     cols = cols or df.columns
-    value = F.to_json(F.struct(*[F.col(c) for c in cols]))
+    value = F.to_json(F.struct(*[F.col(c) for c in cols]), _JSON)
     k = F.lit(None).cast("string") if key is None else (F.col(key) if isinstance(key, str) else key)
     return df.select(k.cast("string").alias("key"), value.alias("value"))
 

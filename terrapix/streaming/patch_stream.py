@@ -9,18 +9,25 @@ never duplicates, its files: rejects, pixels, ready events, and results last, so
 a result row exists only if the pixels it names were written. Topics are
 written after the files, at least once: a replayed batch publishes its records
 again, keyed ``task_<id>``, and readers keep one per key.
+
+A task is done once over all micro-batches: the ids of finished tasks stand in a
+ledger of levelled runs, and a task that the bus delivers again later is only
+listed in ``repeats``. A task that failed is not finished; delivered again, it is
+tried again.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from terrapix.session import require_checkpoint
-
+from terrapix.functions.status import status_group
 from terrapix.plans.patch_production import produce_all, write_pixels
 from terrapix.schema import REQUESTED_BANDS, SearchWindow
+from terrapix.session import require_checkpoint
 from terrapix.sources import messages
+from terrapix.streaming.levels import ledger, unseen
 
 
 def run_patch_stream(tasks_stream: DataFrame, parcels: DataFrame, scenes: DataFrame,
@@ -36,9 +43,14 @@ def run_patch_stream(tasks_stream: DataFrame, parcels: DataFrame, scenes: DataFr
     ready events and results are also published to their topics."""
     require_checkpoint(checkpoint)
     out = out_dir.rstrip("/")
+    done = ledger(f"{out}/done", "task_id", "bigint")
 
     def batch(df: DataFrame, epoch: int) -> None:
-        good = df.where("_ok")
+        accepted = f"{out}/accepted/batch={epoch}"  # read many times below
+        unseen(df.where("_ok"), done, "task_id", epoch).write.mode("overwrite").parquet(accepted)
+        good = df.sparkSession.read.schema(df.schema).parquet(accepted)
+        repeats = df.where("_ok").select("task_id").join(good.select("task_id"), "task_id", "left_anti").where("task_id IS NOT NULL")
+        repeats.distinct().write.mode("overwrite").parquet(f"{out}/repeats/batch={epoch}")
         df.where("not _ok").select("_raw").write.mode("overwrite").text(f"{out}/rejects/batch={epoch}")
         made = produce_all(good, parcels, scenes, windows, res, parcel_cell, scene_cell, worker_id,
                            pixel_path=f"{out}/pixels/batch={epoch}" if rasters is not None else None,
@@ -50,6 +62,7 @@ def run_patch_stream(tasks_stream: DataFrame, parcels: DataFrame, scenes: DataFr
         ready = messages.ready_events(res_df if rasters is not None else res_df.limit(0))
         ready.write.mode("overwrite").parquet(f"{out}/ready/batch={epoch}")
         res_df.write.mode("overwrite").parquet(f"{out}/results/batch={epoch}")
+        done.put(res_df.where((status_group("status") != "failed") & F.col("task_id").isNotNull()), epoch)
         if kafka_bootstrap:
             messages.write_topic(messages.encode(ready, messages.task_key()), messages.READY_TOPIC, kafka_bootstrap)
             messages.write_results(res_df, kafka_bootstrap)

@@ -75,59 +75,6 @@ def test_patch_stream_results_idempotent(spark, tmp_dir):
     assert set(glob.glob(os.path.join(out, "results", "batch=*")))
 
 
-def test_score_stream_running_confusion(spark, tmp_dir):
-    from pyspark.sql import types as T
-
-    from terrapix.operators import features as feat
-    from terrapix.operators import ml
-    from terrapix.streaming.score_stream import run_score_stream
-    px = derived.pixels(spark, SF_SMALL)
-    f = feat.pixel_features(px, keep=("patch_id", "pixel_idx"))
-    model = ml.logistic_pipeline(feat.FEATURES_V1, weight=None, max_iter=5).fit(f)
-    # ready events for two patches, as JSON lines
-    ev = spark.createDataFrame([(3, "0"), (7, "1")], "task_id long, worker_id string")
-    src = os.path.join(tmp_dir, "ready")
-    messages.write_json_lines(messages.encode(ev), src)
-    schema = T.StructType([T.StructField("task_id", T.LongType()), T.StructField("worker_id", T.StringType())])
-    stream = messages.valid(messages.read_json_stream(spark, src, schema))
-    # the pixel table by task buckets, as the worker leaves it
-    from terrapix.operators import metrics
-    from terrapix.plans import patch_production as pp
-    table = os.path.join(tmp_dir, "pixels")
-    pp.write_pixels(px.withColumn("task_id", F.regexp_extract("patch_id", r"task_(\d+)_", 1).cast("bigint")), table)
-    stored = spark.read.parquet(table)
-    out, ck = os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ck")
-    run_score_stream(stream, stored, model, ck, out).awaitTermination(120)
-    # a later batch repeats an event and brings a new one
-    messages.write_json_lines(messages.encode(spark.createDataFrame([(3, "0"), (9, "2"), (9, "2")], "task_id long, worker_id string")), src)
-    stream = messages.valid(messages.read_json_stream(spark, src, schema))
-    run_score_stream(stream, stored, model, ck, out).awaitTermination(120)
-    ids = ["task_3_worker_0", "task_7_worker_1", "task_9_worker_2"]
-    want = metrics.confusion_long(model.transform(f.where(F.col("patch_id").isin(ids))))
-    conf = spark.read.parquet(os.path.join(out, "confusion"))
-    last = conf.agg(F.max("batch")).first()[0]
-    got = conf.where(F.col("batch") == last).select("label", "prediction", "count")
-    assert last == 1 and got.exceptAll(want).count() == 0 and got.count() == want.count() > 0
-    report = spark.read.parquet(os.path.join(out, "report")).where(F.col("batch") == last).first()
-    assert abs(report.accuracy - metrics.report_from_confusion(want).first().accuracy) < 1e-12
-
-
-def test_announced_pixels_prune_folders(spark, tmp_dir):
-    """The plan of a scoring batch filters the pixel table's partitions."""
-    import io
-    from contextlib import redirect_stdout
-
-    from terrapix.plans import patch_production as pp
-    from terrapix.streaming.score_stream import announced_pixels
-    px = derived.pixels(spark, SF_SMALL).withColumn("task_id", F.regexp_extract("patch_id", r"task_(\d+)_", 1).cast("bigint"))
-    pp.write_pixels(px, os.path.join(tmp_dir, "p"))
-    ids = spark.createDataFrame([(3, "task_3_worker_0")], "task_id long, patch_id string")
-    buf = io.StringIO()
-    with redirect_stdout(buf):
-        announced_pixels(ids, spark.read.parquet(os.path.join(tmp_dir, "p"))).explain("formatted")
-    assert "PartitionFilters: [isnotnull(task_bucket" in buf.getvalue()
-
-
 def test_progress_stream_equals_batch(spark, tmp_dir):
     from terrapix.streaming.progress_stream import run_progress_stream
     res = derived.task_results(spark, SF_SMALL)
