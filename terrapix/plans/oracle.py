@@ -526,3 +526,22 @@ ORACLE["score_stream"] = f"SELECT * FROM ({ORACLE['ndvi_confusion']}), ({ORACLE[
 ORACLE["worker_stream"] = ORACLE["worker_results"]
 ORACLE["monitor_stream"] = ORACLE["monitor_by_worker"]
 ORACLE["progress_stream"] = ORACLE["progress"]
+
+
+def _value(k: int, x: str, y: str) -> str:
+    v = f"(scene_id * 31 + {x} * 7 + {y} * 13 + {k * 101} + {x} * {y})"
+    return f"(({v} % 10000) + 10000) % 10000"
+
+
+SCENE_PIXELS = f"""t AS (SELECT o_orderkey AS task_id, CASE WHEN o_orderkey % 50 = 0 THEN NULL ELSE o_orderkey % 5 END AS scene_id,
+ CAST(floor((o_orderkey * 37) % 2000 - 1000.25) AS BIGINT) AS x0, CAST(ceil((o_orderkey * 37) % 2000 + 20 - 1000.25) AS BIGINT) AS x1,
+ CAST(floor((o_orderkey * 91) % 1500 - 700.5) AS BIGINT) AS y0, CAST(ceil((o_orderkey * 91) % 1500 + 20 - 700.5) AS BIGINT) AS y1 FROM orders),
+g AS (SELECT *, x1 - x0 AS w, y1 - y0 AS h, unnest(range(0, (x1 - x0) * (y1 - y0))) AS p FROM t),
+c AS (SELECT *, x0 + p % w AS x, y1 - 1 - p // w AS y FROM g),
+k AS (SELECT *, CAST(floor(x / 2.0) AS BIGINT) AS x2, CAST(floor(y / 2.0) AS BIGINT) AS y2,
+ CAST(floor(x / 16.0) AS BIGINT) AS tx, CAST(floor(y / 16.0) AS BIGINT) AS ty FROM c),
+v AS (SELECT task_id, h, w, p, scene_id IS NOT NULL AND ((tx * 5 + ty * 3 + scene_id) % 7 + 7) % 7 <> 0 AS there,
+ {_value(0, "x", "y")} AS v0, {_value(1, "x", "y")} AS v1, {_value(2, "x2", "y2")} AS v2 FROM k)"""
+_SUMS = ", ".join(f"CAST(coalesce(sum(v{k} * (p + 1)) FILTER (WHERE there), 0) AS BIGINT) AS band_{k}" for k in range(3))
+ORACLE["scene_pixels"] = with_(SCENE_PIXELS) + f"SELECT task_id, count(*) AS n_pixels, CAST(sum(p) AS BIGINT) AS at, {_SUMS} FROM v GROUP BY task_id"
+ORACLE["scene_rasters"] = with_(SCENE_PIXELS) + f"SELECT task_id, CAST(h AS INTEGER) AS h, CAST(w AS INTEGER) AS w, {_SUMS} FROM v GROUP BY task_id, h, w"

@@ -711,6 +711,39 @@ def q_dedupe_pixels_batches(spark, sf_dir):
     return mon.dedupe_pixels(both, first.unionByName(second))
 
 
+# --- rasters cut from scenes ------------------------------------------------------
+
+from terrapix.operators import mosaic  # noqa: E402
+
+
+def _cut(spark, sf_dir):
+    tasks, path = derived.tile_tasks(spark, sf_dir), _folder(spark, "tiles")
+    mosaic.write_tiles(derived.scene_tiles(tasks), path)
+    return tasks, mosaic.read_tiles(spark, path, tasks)
+
+
+@register("scene_pixels")
+def q_scene_pixels(spark, sf_dir):
+    """Every task's raster cut out of its scene's tiles on a 1-unit grid,
+    a band of double pixel size brought to it, fill 0; a line of sums a task."""
+    tasks, tiles = _cut(spark, sf_dir)
+    px = mosaic.cut_pixels(tasks, tiles, 1.0, derived.TILE_SIZE, derived.TILE_BANDS, derived.TILE_COARSE)
+    return px.groupBy("task_id").agg(
+        F.count(F.lit(1)).alias("n_pixels"), F.sum("pixel_idx").alias("at"),
+        *[F.sum(F.col(f"band_{k}") * (F.col("pixel_idx") + 1)).cast("bigint").alias(f"band_{k}") for k in range(derived.TILE_BANDS)])
+
+
+@register("scene_rasters")
+def q_scene_rasters(spark, sf_dir):
+    """The same rasters as arrays, as the worker takes them."""
+    tasks, tiles = _cut(spark, sf_dir)
+    r = mosaic.cut_rasters(tasks, tiles, 1.0, derived.TILE_SIZE, derived.TILE_BANDS, derived.TILE_COARSE)
+
+    def weighted(k):
+        return F.aggregate(F.transform(F.col("bands")[k], lambda v, i: v * (i + 1)), F.lit(0.0), lambda a, v: a + v).cast("bigint")
+    return r.select("task_id", "h", "w", *[weighted(k).alias(f"band_{k}") for k in range(derived.TILE_BANDS)])
+
+
 # --- streams over whole derived tables -------------------------------------------
 
 from terrapix.schema import READY_SCHEMA, RESULT_SCHEMA  # noqa: E402

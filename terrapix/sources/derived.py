@@ -207,3 +207,35 @@ def pixel_results(px: DataFrame) -> DataFrame:
     worker = F.regexp_extract("patch_id", r"task_(\d+)_worker_(.+)", 2)
     second = (task * 7 + worker.cast("bigint") * 5) % 11
     return ids.select(task.alias("task_id"), worker.alias("worker_id"), F.timestamp_seconds(second).alias("ts"), F.lit("success").alias("status"))
+
+
+# --- scene tiles <- orders ----------------------------------------------------
+
+TILE_SIZE, TILE_BANDS, TILE_COARSE = 16, 3, (2,)
+
+
+def tile_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Task boxes off the pixel grid, on both sides of the origin, each with one of
+    five scenes (every 50th has none)."""
+    t = match_tasks(spark, sf_dir)
+    shift = {"xmin": -1000.25, "ymin": -700.5, "xmax": -1000.25, "ymax": -700.5}
+    scene = F.when(F.col("task_id") % 50 == 0, F.lit(None)).otherwise(F.col("task_id") % 5)
+    return t.select("task_id", scene.cast("bigint").alias("scene_id"), *[(F.col(c) + d).alias(c) for c, d in shift.items()])
+
+
+def scene_tiles(tasks: DataFrame) -> DataFrame:
+    """The tiles under the tasks' boxes, as an archive holds them, without those
+    whose (5x + 3y + scene) is a multiple of 7. A value is made of its scene, band
+    and place; band 2 is coarse."""
+    size, half = TILE_SIZE, TILE_SIZE // 2
+    lo, hi = (lambda c: F.floor(F.floor(c) / size)), (lambda c: F.floor((F.ceil(c) - 1) / size))
+    t = tasks.where("scene_id IS NOT NULL").select("scene_id", F.explode(F.sequence(lo(F.col("xmin")), hi(F.col("xmax")))).alias("tile_x"), "ymin", "ymax")
+    t = t.select("scene_id", "tile_x", F.explode(F.sequence(lo(F.col("ymin")), hi(F.col("ymax")))).alias("tile_y")).distinct()
+    t = t.where(F.pmod(F.col("tile_x") * 5 + F.col("tile_y") * 3 + F.col("scene_id"), F.lit(7)) != 0)
+
+    def band(k: int, n: int) -> Column:
+        def value(p):
+            x, y = F.col("tile_x") * n + p % n, F.col("tile_y") * n + (n - 1) - F.floor(p / n)
+            return F.pmod(F.col("scene_id") * 31 + x * 7 + y * 13 + k * 101 + x * y, F.lit(10000)).cast("int")
+        return F.transform(F.sequence(F.lit(0), F.lit(n * n - 1)), value)
+    return t.withColumn("bands", F.array(*[band(k, half if k in TILE_COARSE else size) for k in range(TILE_BANDS)]))
