@@ -302,8 +302,15 @@ def unpack(block: bytes) -> np.ndarray:
     return ids
 
 
-#: words in each of the two generations of a worker's cache
-CACHED = 500_000
+#: words that a worker remembers; the slots of its hash table
+CACHED, _SLOTS = 1 << 20, 22
+_BLANK = np.zeros(256, bool)
+_BLANK[0x20] = True
+_POINT, _LETTER = np.zeros(256, bool), np.zeros(256, bool)
+_POINT[[0x2C, 0x2E]] = True
+_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+#: tell a text's first word, and a point after a word, from words led by a space
+_HEAD, _TAIL = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 
 
 def _byte_letters() -> dict[int, str]:
@@ -314,65 +321,177 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-class WordCache(dict):
-    """Encodes texts with the library: word -> ids of the word led by a space.
+class Words:
+    """Encodes words and texts with the library.
 
     Under the byte-level pattern a single space before a character that is not
     white space always starts a new pre-token, so a text whose spaces are
     single is the concatenation of its space-led words; a word's pre-tokens are
-    encoded one by one by the library's model.  Other texts, and those holding
-    an added token's text, are encoded whole.  Words are remembered in two
-    generations.
+    encoded one by one by the library's model.  ``splits`` tells whether the given
+    tokenizer passes a probe of this.
     """
 
     def __init__(self, path: str):
-        super().__init__()
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        self.added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        self.added = [t.content.encode() for t in self.tok.get_added_tokens_decoder().values()]
         self.model, self.cut = self.tok.model, self.tok.pre_tokenizer
         self.letters, self.space = _byte_letters(), _byte_letters()[0x20]
-        self.old: dict[str, bytes] = {}
         probe = ["a\n b c\n\n d \te 1 2x 's it's", " x y", "a\t b", " a  b", "a \u3000b", "word, word. Zoë's Ünï-x 12,5 \U0001F642 \u00aa\u00b5"]
-        self.splits = True
         try:
-            self.splits = self._whole(probe) == [self.encode(t) for t in probe]
+            self.splits = [self.whole(t) for t in probe if "  " not in t] == [self._split(t) for t in probe if "  " not in t]
         except AttributeError:  # a tokenizer without these parts
             self.splits = False
 
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+    def whole(self, text: str) -> list[int]:
+        return self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def _split(self, text: str) -> list[int]:
+        head, *rest = text.split(" ")
+        return (self.whole(head) if head else []) + [i for w in rest for i in self.led(w)]
 
     def _ids(self, pre_token: str) -> list[int]:
         return [t.id for t in self.model.tokenize(pre_token)]
 
-    def __missing__(self, word: str) -> bytes:
-        done = self.old.get(word)
-        if done is None:
-            stem, end = (word[:-1], word[-1]) if word[-1:] in (",", ".") else (word, "")
-            if stem.isalpha() and stem < "\u0250" and max(stem) < "\u0250":  # one pre-token of Latin letters
-                ids = self._ids(self.space + stem.encode().decode("latin-1").translate(self.letters)) + (self._ids(end) if end else [])
-            else:
-                ids = [i for part, _ in self.cut.pre_tokenize_str(" " + word) for i in self._ids(part)]
-            done = struct.pack(f"<{len(ids)}I", *ids)
-        if len(self) >= CACHED:
-            self.old = dict(self)
-            self.clear()
-        self[word] = done
-        return done
-
-    def encode(self, text: str) -> bytes:
-        """The ids of a text as little-endian 32-bit numbers."""
-        if not text:
-            return b""
-        if not self.splits or "  " in text or any(a in text for a in self.added):
-            return self._whole([text])[0]
-        head, *rest = text.split(" ")
-        return (self._whole([head])[0] if head else b"") + b"".join(map(self.__getitem__, rest))
+    def led(self, word: str) -> list[int]:
+        """The ids of a word led by a space."""
+        if word.isalpha() and max(word) < "\u0250":  # one pre-token of Latin letters
+            return self._ids(self.space + word.encode().decode("latin-1").translate(self.letters))
+        return [i for part, _ in self.cut.pre_tokenize_str(" " + word) for i in self._ids(part)]
 
+    def plain(self, text: bytes) -> bool:
+        """The text is the concatenation of its space-led words."""
+        return self.splits and b"  " not in text and text[-1:] != b" " and not any(a in text for a in self.added)
 
-def encoder(path: str) -> WordCache:
-    return hold(f"words of {path}", lambda: WordCache(path))
+
+class WordTable:
+    """Ids of words in an open hash table of numpy arrays: all words of a chunk
+    are looked up at once, by 128 bits of hash, and their ids gathered; only words
+    not seen yet go through the library.  When the table is full, words met again
+    since the last time stay.  Texts that are not plain are encoded whole."""
+
+    def __init__(self, path: str):
+        self.words = Words(path)
+        self._clear()
+
+    def _clear(self) -> None:
+        self.slot = np.full(1 << _SLOTS, -1, np.int32)
+        self.key = np.zeros((2, CACHED), np.uint64)
+        self.begin, self.length, self.met = np.zeros(CACHED, np.int64), np.zeros(CACHED, np.int64), np.zeros(CACHED, np.int32)
+        self.ids = np.zeros(1 << 16, np.uint32)
+        self.n = self.used = 0
+
+    def _find(self, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
+        """The entry of each word, -1 for unknown words."""
+        out = np.full(len(h1), -1, np.int64)
+        at, live = (h1 >> np.uint64(64 - _SLOTS)).astype(np.int64), np.arange(len(h1))
+        while len(live):
+            entry = self.slot[at]
+            there = entry >= 0
+            live, at, entry = live[there], at[there], entry[there]
+            same = (self.key[0][entry] == h1[live]) & (self.key[1][entry] == h2[live])
+            out[live[same]] = entry[same]
+            live, at = live[~same], (at[~same] + 1) & ((1 << _SLOTS) - 1)
+        return out
+
+    def _add(self, h1: np.ndarray, h2: np.ndarray, ids: list[list[int]]) -> None:
+        """New entries; the keys differ from each other and from those held."""
+        lengths = np.array([len(x) for x in ids], np.int64)
+        flat = np.fromiter((i for x in ids for i in x), np.uint32, int(lengths.sum()))
+        new = np.arange(self.n, self.n + len(ids))
+        while self.used + len(flat) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.ids[self.used:self.used + len(flat)] = flat
+        self.key[0][new], self.key[1][new] = h1, h2
+        self.begin[new], self.length[new], self.met[new] = self.used + np.cumsum(lengths) - lengths, lengths, 0
+        self.n, self.used = self.n + len(ids), self.used + len(flat)
+        self._place(new)
+
+    def _place(self, new: np.ndarray) -> None:
+        at = (self.key[0][new] >> np.uint64(64 - _SLOTS)).astype(np.int64)
+        while len(new):
+            free = self.slot[at] < 0
+            self.slot[at[free]] = new[free]  # of several for a slot the last stays
+            lost = self.slot[at] != new
+            new, at = new[lost], (at[lost] + 1) & ((1 << _SLOTS) - 1)
+
+    def _make_room(self, n: int) -> None:
+        """Room for n more words: those met again stay, half the table at most."""
+        if self.n + n <= CACHED:
+            return
+        kept = np.flatnonzero(self.met[:self.n] > 1)  # in two parts or more
+        if len(kept) > CACHED // 2 or len(kept) + n > CACHED:
+            kept = kept[:0]
+        key, lengths = self.key[:, kept].copy(), self.length[kept]
+        ids = self.ids[_ragged(self.begin[kept], lengths)]
+        self._clear()
+        m = len(kept)
+        while len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.ids[:len(ids)] = ids
+        self.key[:, :m], self.begin[:m], self.length[:m] = key, np.cumsum(lengths) - lengths, lengths
+        self.n, self.used = m, len(ids)
+        self._place(np.arange(m))
+
+    def rows(self, buf: np.ndarray, off: np.ndarray) -> list[bytes]:
+        """The ids of each text of a chunk as little-endian 32-bit numbers."""
+        raw = buf.tobytes()
+        n = len(off) - 1
+        texts = [raw[off[r]:off[r + 1]] for r in range(n)]
+        plain = np.array([self.words.plain(t) for t in texts], bool)
+        starts, ends, first = tv.word_spans(buf, off, _BLANK)
+        row = np.repeat(np.arange(n), np.diff(first))
+        use = plain[row]
+        starts, ends, row = starts[use], ends[use], row[use]
+        # a comma or full stop after an ASCII letter is a pre-token of its own
+        ended = (ends - starts > 1) & _POINT[buf[ends - 1]] & _LETTER[buf[np.maximum(ends - 2, 0)]] if len(ends) else np.zeros(0, bool)
+        of = np.repeat(np.arange(len(starts)), 1 + ended)
+        tail = np.zeros(len(of), bool)
+        tail[1:] = of[1:] == of[:-1]
+        starts, ends, row = np.where(tail, ends[of] - 1, starts[of]), np.where(tail, ends[of], ends[of] - ended[of]), row[of]
+        h1, h2 = (tv.span_hashes(buf, starts, ends, lower=False, which=k) if len(starts) else np.zeros(0, np.uint64) for k in (0, 1))
+        head = starts == off[row]
+        for kind, salt in ((head, _HEAD), (tail, _TAIL)):
+            h1[kind] ^= salt
+            h2[kind] ^= salt
+        kinds = np.where(tail, 2, np.where(head, 1, 0))
+        out: list[bytes] = [b""] * n
+        step = CACHED // 4  # a chunk of few, very long texts may have more words than the table
+        ids, sizes = [], np.zeros(n, np.int64)
+        for a in range(0, len(h1), step):
+            part = slice(a, a + step)
+            entry = self._find(h1[part], h2[part])
+            missing = np.flatnonzero(entry < 0)
+            if len(missing):
+                _, one = np.unique(h1[part][missing], return_index=True)
+                at = missing[one] + a
+                if self.n + len(at) > CACHED:
+                    self._make_room(len(at) + step)
+                    entry = self._find(h1[part], h2[part])
+                    at = np.flatnonzero(entry < 0)
+                    at = at[np.unique(h1[part][at], return_index=True)[1]] + a
+                encode = (self.words.led, self.words.whole, self.words.whole)
+                self._add(h1[at], h2[at], [encode[k](raw[s:e].decode("utf-8", "replace")) for s, e, k in zip(starts[at].tolist(), ends[at].tolist(), kinds[at].tolist())])
+                entry = self._find(h1[part], h2[part])
+            self.met[entry] += 1
+            lengths = self.length[entry]
+            ids.append(self.ids[_ragged(self.begin[entry], lengths)])
+            sizes += np.bincount(row[part], lengths, minlength=n).astype(np.int64)
+        flat = np.concatenate(ids).astype("<u4").tobytes() if ids else b""
+        stop = 4 * np.cumsum(sizes)
+        for r in range(n):
+            out[r] = flat[stop[r] - 4 * sizes[r]:stop[r]] if plain[r] else np.array(self.words.whole(texts[r].decode("utf-8", "replace")), "<u4").tobytes()
+        return out
+
+
+def _ragged(begin: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The numbers begin .. begin + length - 1 of each entry, in a row."""
+    total = np.cumsum(lengths)
+    return np.repeat(begin - (total - lengths), lengths) + np.arange(int(total[-1]) if len(total) else 0)
+
+
+def encoder(path: str) -> WordTable:
+    return hold(f"words of {path}", lambda: WordTable(path))
 
 
 def _pack_partition(path: str, end_id: int):
@@ -392,8 +511,8 @@ def _pack_partition(path: str, end_id: int):
                 ["part", "block", "start", "n_tokens", "doc_ids", "doc_tokens", "payload"])
         for b in batches:
             kind = b.schema.field(0).type
-            for i, j, _, _ in tv.chunks(b.column(1)):
-                for doc, one in zip(b.column(0)[i:j].to_pylist(), map(enc.encode, (t or "" for t in b.column(1)[i:j].to_pylist()))):
+            for i, j, buf, off in tv.chunks(b.column(1)):
+                for doc, one in zip(b.column(0)[i:j].to_pylist(), enc.rows(buf, off)):
                     docs.append(doc)
                     ids.append(one + end)
                     held += len(one) // 4 + 1

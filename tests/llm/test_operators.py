@@ -68,11 +68,16 @@ def test_op1_word_cache_equals_library(monkeypatch):
     from tokenizers import Tokenizer
     path = tokenizer_path("byte_bpe_50k.json")
     tok = Tokenizer.from_file(path)
-    cache = op1.WordCache(path)
-    assert cache.splits
-    monkeypatch.setattr(op1, "CACHED", 5)  # generations turn over
-    for text in [t or "" for _, t in pairs()] + ["don't 'll I've it's 's x's", "a. b, c.d, .e, ,", "Zoë's ª µ ǅ ʰ 12½ ²"]:
-        assert np.frombuffer(cache.encode(text), "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids
+    texts = [t or "" for _, t in pairs()] + ["don't 'll I've it's 's x's", "a. b, c.d, .e, ,", "Zoë's ª µ ǅ ʰ 12½ ²", "é, é. ß, x1, a,. b", "one, one. one one", " led by, a space", "ends in a space ", "word,", ","]
+    buf = np.frombuffer("".join(texts).encode(), np.uint8)
+    off = np.concatenate([[0], np.cumsum([len(t.encode()) for t in texts])])
+    want = [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    for held in (4, 40, op1.CACHED):  # the table turns over
+        monkeypatch.setattr(op1, "CACHED", held)
+        table = op1.WordTable(path)
+        assert table.words.splits
+        for _ in range(3):
+            assert [np.frombuffer(x, "<u4").tolist() for x in table.rows(buf, off)] == want
 
 
 # ---- 2
