@@ -303,7 +303,7 @@ def unpack(block: bytes) -> np.ndarray:
 
 
 #: words that a worker remembers; the slots of its hash table
-CACHED, _SLOTS = 1 << 20, 22
+CACHED, _SLOTS = 1 << 21, 23
 _BLANK = np.zeros(256, bool)
 _BLANK[0x20] = True
 _POINT, _LETTER = np.zeros(256, bool), np.zeros(256, bool)
@@ -377,7 +377,7 @@ class WordTable:
     def _clear(self) -> None:
         self.slot = np.full(1 << _SLOTS, -1, np.int32)
         self.key = np.zeros((2, CACHED), np.uint64)
-        self.begin, self.length, self.met = np.zeros(CACHED, np.int64), np.zeros(CACHED, np.int64), np.zeros(CACHED, np.int32)
+        self.begin, self.length, self.met = np.zeros(CACHED, np.int64), np.zeros(CACHED, np.int32), np.zeros(CACHED, np.int32)
         self.ids = np.zeros(1 << 16, np.uint32)
         self.n = self.used = 0
 
@@ -486,7 +486,7 @@ class WordTable:
 
 def _ragged(begin: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The numbers begin .. begin + length - 1 of each entry, in a row."""
-    total = np.cumsum(lengths)
+    total = np.cumsum(lengths, dtype=np.int64)
     return np.repeat(begin - (total - lengths), lengths) + np.arange(int(total[-1]) if len(total) else 0)
 
 
