@@ -21,6 +21,8 @@ the added names never clash.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -82,20 +84,25 @@ def shuffle_into_shards(df: DataFrame, shards: int = SHARDS, seed: int = SEED, r
     sizes = {r["p"]: r["n"] for r in staged.groupBy(part.alias("p")).agg(F.count("*").alias("n")).collect()}
     parts = sorted(sizes)
     matrix = communication_matrix([sizes[p] for p in parts], shards, seed)
-    shared = spark.sparkContext.broadcast((parts, matrix))
+    shared = spark.sparkContext.broadcast(({p: i for i, p in enumerate(parts)}, matrix))
 
     @F.pandas_udf("int")
-    def shard_of(pos: pd.Series) -> pd.Series:
-        """The partition's shard numbers in a random order, by position."""
-        known, counts = shared.value
-        at = pos.to_numpy(np.int64)
-        out = np.zeros(len(at), np.int32)
-        for p in np.unique(at >> 33).tolist():
-            labels = np.repeat(np.arange(shards, dtype=np.int32), counts[known.index(p)])
-            np.random.default_rng((seed, p)).shuffle(labels)
-            mine = (at >> 33) == p
-            out[mine] = labels[at[mine] & _INDEX]
-        return pd.Series(out)
+    def shard_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        """The partition's shard numbers in a random order, by position: permuted
+        once in a task, for all its batches."""
+        row, counts = shared.value
+        held: dict[int, np.ndarray] = {}
+        for pos in batches:
+            at = pos.to_numpy(np.int64)
+            out = np.zeros(len(at), np.int32)
+            for p in np.unique(at >> 33).tolist():
+                if p not in held:
+                    held.clear()
+                    held[p] = np.repeat(np.arange(shards, dtype=np.int32), counts[row[p]])
+                    np.random.default_rng((seed, p)).shuffle(held[p])
+                mine = (at >> 33) == p
+                out[mine] = held[p][at[mine] & _INDEX]
+            yield pd.Series(out)
 
     n = sum(sizes.values())
     buckets = max(1, -(-n // (shards * rows_per_bucket)))
