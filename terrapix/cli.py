@@ -78,14 +78,16 @@ def cmd_worker(args):
 def cmd_monitor(args):
     from terrapix.sources import messages
     from terrapix.streaming.monitor_stream import run_monitor_stream
-    from terrapix.streaming.progress_stream import run_progress_stream
+    from terrapix.streaming.progress_stream import run_progress_stream, run_to_end
     spark = _session(args)
     stream = messages.valid(messages.read_result_stream(spark, args.bootstrap, args.results))
     q1 = run_monitor_stream(stream, f"{args.out}/monitor", _checkpoint(args, "monitor"), available_now=args.once,
                             processing_time=None if args.once else "5 seconds")
     q2 = run_progress_stream(stream, f"{args.out}/progress", _checkpoint(args, "progress"), every=args.every, available_now=args.once)
-    q1.awaitTermination()
-    q2.awaitTermination()
+    try:
+        q1.awaitTermination()
+    finally:  # also when interrupted
+        run_to_end(q2, f"{args.out}/progress", None if args.once else 1.0)
 
 
 def cmd_train(args) -> dict:

@@ -199,3 +199,24 @@ def test_dedupe_pixels_by_batch(spark):
         assert got.columns == px.columns and sorted((r["patch_id"], r["batch"]) for r in got.collect()) == [("task_1_worker_7", 2)] * 10 + [("task_2_worker_7", 0)]
     earlier = res.withColumn("ts", F.when(F.col("batch") == 2, 0).otherwise(F.col("ts")))
     assert {r["batch"] for r in mon.dedupe_pixels(px, earlier).collect()} == {0}
+
+
+# ---- the summary on stop
+
+def test_final_summary_when_the_stream_ends(spark, tmp_dir):
+    from terrapix.schema import RESULT_SCHEMA
+    from terrapix.streaming.progress_stream import final_summary, run_progress_stream, run_to_end
+    res = derived.task_results(spark, SF_SMALL).orderBy("ts", "task_id").limit(47)
+    src, out, ck = (os.path.join(tmp_dir, x) for x in ("in", "out", "ck"))
+    messages.write_json_lines(messages.encode(res.withColumn("ts", F.col("ts").cast("timestamp"))), src)
+    assert final_summary(spark, out).count() == 0
+    stream = messages.valid(messages.read_json_stream(spark, src, RESULT_SCHEMA))
+    last = run_to_end(run_progress_stream(stream, out, ck, every=20), out).first()
+    assert sorted(r["message"] for r in spark.read.parquet(os.path.join(out, "snapshots")).collect()) == [20, 40]
+    want = mon.monitor_totals(res, ts=None).first()
+    assert last["message"] == 47 and last["messages_read"] == 47 and last["messages_per_sec"] > 0
+    assert all(last[c] == want[c] for c in ("success", "skipped", "failed", "crop_pixels", "noncrop_pixels"))
+    # one that goes on is stopped
+    stream = messages.valid(messages.read_json_stream(spark, src, RESULT_SCHEMA))
+    q = run_progress_stream(stream, out, ck, every=20, available_now=False)
+    assert run_to_end(q, out, timeout=3).first()["message"] == 47 and not q.isActive
