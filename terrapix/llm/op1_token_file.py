@@ -306,10 +306,14 @@ def unpack(block: bytes) -> np.ndarray:
 CACHED, _SLOTS = 1 << 20, 22
 _BLANK = np.zeros(256, bool)
 _BLANK[0x20] = True
-_POINT, _LETTER = np.zeros(256, bool), np.zeros(256, bool)
-_POINT[[0x2C, 0x2E]] = True
-_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
-#: tell a text's first word, and a point after a word, from words led by a space
+_WORDLY = np.zeros(256, bool)  # ASCII letters and digits
+_WORDLY[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+_PRINTED = np.zeros(256, bool)
+_PRINTED[0x21:0x7F] = True
+_MARK = _PRINTED & ~_WORDLY
+#: longer runs of marks stay with their word
+_MARKS = 8
+#: tell a text's first word, and other pieces not led by a space, from words led by one
 _HEAD, _TAIL = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 
 
@@ -327,7 +331,9 @@ class Words:
     Under the byte-level pattern a single space before a character that is not
     white space always starts a new pre-token, so a text whose spaces are
     single is the concatenation of its space-led words; a word's pre-tokens are
-    encoded one by one by the library's model.  ``splits`` tells whether the given
+    encoded one by one by the library's model.  A line break between characters
+    that are not white space, and the marks at the end of a word after a letter
+    or digit, are pre-tokens as well.  ``splits`` tells whether the given
     tokenizer passes a probe of this.
     """
 
@@ -340,6 +346,8 @@ class Words:
         probe = ["a\n b c\n\n d \te 1 2x 's it's", " x y", "a\t b", " a  b", "a \u3000b", "word, word. Zoë's Ünï-x 12,5 \U0001F642 \u00aa\u00b5"]
         try:
             self.splits = [self.whole(t) for t in probe if "  " not in t] == [self._split(t) for t in probe if "  " not in t]
+            pieces = ["it's", "!?", "\n", "Äb", "%%%", "\n", "'s", "\n", "9", "..."]
+            self.splits &= self.whole("a " + "".join(pieces)) == self.whole("a") + self.led(pieces[0]) + [i for x in pieces[1:] for i in self.bare(x)]
         except AttributeError:  # a tokenizer without these parts
             self.splits = False
 
@@ -359,6 +367,12 @@ class Words:
             return self._ids(self.space + word.encode().decode("latin-1").translate(self.letters))
         return [i for part, _ in self.cut.pre_tokenize_str(" " + word) for i in self._ids(part)]
 
+    def bare(self, piece: str) -> list[int]:
+        """The ids of a piece that neither begins its text nor follows a space."""
+        if piece.isalpha() and max(piece) < "\u0250":
+            return self._ids(piece.encode().decode("latin-1").translate(self.letters))
+        return [i for part, _ in self.cut.pre_tokenize_str(piece) for i in self._ids(part)]
+
     def plain(self, text: bytes) -> bool:
         """The text is the concatenation of its space-led words."""
         return self.splits and b"  " not in text and text[-1:] != b" " and not any(a in text for a in self.added)
@@ -443,18 +457,12 @@ class WordTable:
         row = np.repeat(np.arange(n), np.diff(first))
         use = plain[row]
         starts, ends, row = starts[use], ends[use], row[use]
-        # a comma or full stop after an ASCII letter is a pre-token of its own
-        ended = (ends - starts > 1) & _POINT[buf[ends - 1]] & _LETTER[buf[np.maximum(ends - 2, 0)]] if len(ends) else np.zeros(0, bool)
-        of = np.repeat(np.arange(len(starts)), 1 + ended)
-        tail = np.zeros(len(of), bool)
-        tail[1:] = of[1:] == of[:-1]
-        starts, ends, row = np.where(tail, ends[of] - 1, starts[of]), np.where(tail, ends[of], ends[of] - ended[of]), row[of]
+        starts, ends, row, led = _pieces(buf, off, starts, ends, row)
         h1, h2 = (tv.span_hashes(buf, starts, ends, lower=False, which=k) if len(starts) else np.zeros(0, np.uint64) for k in (0, 1))
-        head = starts == off[row]
-        for kind, salt in ((head, _HEAD), (tail, _TAIL)):
-            h1[kind] ^= salt
-            h2[kind] ^= salt
-        kinds = np.where(tail, 2, np.where(head, 1, 0))
+        kinds = np.where(starts == off[row], 1, np.where(led, 0, 2))
+        for kind, salt in ((1, _HEAD), (2, _TAIL)):
+            h1[kinds == kind] ^= salt
+            h2[kinds == kind] ^= salt
         out: list[bytes] = [b""] * n
         step = CACHED // 4  # a chunk of few, very long texts may have more words than the table
         ids, sizes = [], np.zeros(n, np.int64)
@@ -470,7 +478,7 @@ class WordTable:
                     entry = self._find(h1[part], h2[part])
                     at = np.flatnonzero(entry < 0)
                     at = at[np.unique(h1[part][at], return_index=True)[1]] + a
-                encode = (self.words.led, self.words.whole, self.words.whole)
+                encode = (self.words.led, self.words.whole, self.words.bare)
                 self._add(h1[at], h2[at], [encode[k](raw[s:e].decode("utf-8", "replace")) for s, e, k in zip(starts[at].tolist(), ends[at].tolist(), kinds[at].tolist())])
                 entry = self._find(h1[part], h2[part])
             self.met[entry] += 1
@@ -484,6 +492,40 @@ class WordTable:
         return out
 
 
+def _wordly(buf: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """An ASCII letter or digit, or a letter of two bytes up to U+00FF, ends at each position."""
+    last = buf[at]
+    return _WORDLY[last] | (buf[np.maximum(at - 1, 0)] == 0xC3) & (last >= 0x80) & (last != 0x97) & (last != 0xB7)
+
+
+def _pieces(buf: np.ndarray, off: np.ndarray, starts: np.ndarray, ends: np.ndarray, row: np.ndarray):
+    """Words cut at line breaks between characters that are not white space, and
+    before the marks that end them: starts, ends, rows and whether led by a space."""
+    if not len(starts):
+        return starts, ends, row, np.zeros(0, bool)
+    at = np.flatnonzero(buf == 0x0A)
+    word = np.searchsorted(starts, at, "right") - 1
+    inside = (word >= 0) & (at > starts[word]) & (at + 1 < ends[word])
+    at, word = at[inside], word[inside]
+    fit = (_PRINTED[buf[at - 1]] | _wordly(buf, at - 1) & (at - 2 >= starts[word])) & (_PRINTED[buf[at + 1]] | (buf[at + 1] == 0xC3))
+    at, word = at[fit], word[fit]
+    led = np.concatenate([np.ones(len(starts), bool), np.zeros(2 * len(at), bool)])
+    starts, rows = np.concatenate([starts, at, at + 1]), np.concatenate([row, row[word], row[word]])
+    order = np.argsort(starts, kind="stable")
+    starts, row, led, ends = starts[order], rows[order], led[order], np.sort(np.concatenate([ends, at, at + 1]))
+    # marks at the end
+    body, live = ends.copy(), np.arange(len(ends))
+    for _ in range(_MARKS):
+        live = live[(body[live] - starts[live] > 1) & _MARK[buf[body[live] - 1]]]
+        body[live] -= 1
+    marked = (body < ends) & _wordly(buf, body - 1) & (_WORDLY[buf[body - 1]] | (body - starts > 1))
+    of = np.repeat(np.arange(len(starts)), 1 + marked)
+    tail = np.zeros(len(of), bool)
+    tail[1:] = of[1:] == of[:-1]
+    body = np.where(marked, body, ends)
+    return np.where(tail, body[of], starts[of]), np.where(tail, ends[of], body[of]), row[of], led[of] & ~tail
+
+
 def _ragged(begin: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The numbers begin .. begin + length - 1 of each entry, in a row."""
     total = np.cumsum(lengths, dtype=np.int64)

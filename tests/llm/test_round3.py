@@ -244,3 +244,24 @@ def test_network_cases(spark):
     assert {r["score"] for r in op12.score(df, op12.fit(df, labels.limit(0))).collect()} == {0.5}
     assert op12.score(df.limit(0), op12.fit(df.limit(0), labels)).collect() == []
     assert {r["held_out"] for r in out if r["doc_id"] is None} == {False}
+
+
+def test_words_cut_at_line_breaks_and_end_marks_as_the_library():
+    import random
+
+    import numpy as np
+    import pyarrow as pa
+    import public_tokenizers
+
+    from terrapix.llm import op1_token_file
+    from terrapix.llm import textvec as tv
+
+    table = op1_token_file.WordTable(public_tokenizers.path("byte_bpe_50k.json"))
+    assert table.words.splits
+    draw = random.Random(3)
+    parts = ["a", "Z", "é", "ß", "×", "÷", "À", "ÿ", "\n", "\n\n", " ", ".", ",", "'", "'s", "!!", "%%%", "9", "١", "…", "　", "\t", "\r",
+             "日", "\U0001F642", "&", "'ll", " don't", "Ĳ", "!" * 12, "\x7f", "\x00", "\xa0", "\x85"]
+    texts = ["".join(draw.choice(parts) for _ in range(draw.randrange(14))) for _ in range(20_000)]
+    for i, j, buf, off in tv.chunks(pa.array(texts)):
+        for text, ids in zip(texts[i:j], table.rows(buf, off)):
+            assert np.frombuffer(ids, "<u4").tolist() == table.words.tok.encode(text, add_special_tokens=False).ids, text
