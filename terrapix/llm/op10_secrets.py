@@ -39,6 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrapix.llm import textvec as tv
+from terrapix.llm.smallest import smallest
 from terrapix.llm.store import written
 from terrapix.llm.worker import release, small_batches
 
@@ -55,7 +56,7 @@ _WORD = re.compile(r"[A-Za-z]{3,}")
 _CUE = "|".join(sorted(CUES, key=len, reverse=True)).encode()
 #: a credential name with or without an assignment, or an assignment alone
 _CONTEXT = re.compile(rb"(?<![A-Za-z0-9])(" + _CUE + rb")(?:[\"'`]?[ \t]*[=:]+>?[ \t]*|[\"'`]?[ \t]+(?![ \t=:]))|[=:]+>?[ \t]*", re.I)
-_VALUE = re.compile(rb"\"([^\"\r\n]+)\"|'([^'\r\n]+)'|[\"']?([^\s\"']+)")
+_QUOTED, _BARE = re.compile(rb"\"([^\"\r\n]+)\"|'([^'\r\n]+)'"), re.compile(rb"[^\s\"']*")
 _PART, _NEXT, _NAME = re.compile(rb"[&;,\s]"), re.compile(rb"[=:]+"), re.compile(r"[a-z0-9_]+$")
 FEATURES = ["length", "digits", "upper", "lower", "hex", "marks", "switches", "entropy", "bigrams", "coverage", "slashes", "dots", "at", "assigned", "quoted", "cue", "word_before", "word_after"]
 
@@ -79,8 +80,13 @@ def _summaries(batches):
 
 
 def dictionary(docs: DataFrame, text_col: str = "text") -> list[str]:
-    return (docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(_summaries, "word string, n long")
-            .groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(DICTIONARY).select("word").toPandas()["word"].tolist())
+    """The ``DICTIONARY`` words most frequent; words that many tasks know are cut
+    to about that number by histograms before any reaches the driver."""
+    counts = (docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(_summaries, "word string, n long")
+              .groupBy("word").agg(F.sum("n").alias("n")))
+    head = F.expr("cast(conv(rpad(hex(substring(cast(word AS binary), 1, 7)), 14, '0'), 16, 10) AS bigint)")  # ordered as the words
+    top = smallest(written(counts, "secret-words").withColumns({"_often": -F.col("n"), "_head": head}), ["_often", "_head"], DICTIONARY)
+    return top.orderBy(F.desc("n"), "word").limit(DICTIONARY).select("word").toPandas()["word"].tolist()
 
 
 class Describer:
@@ -168,14 +174,23 @@ def _values(text: bytes) -> set[tuple[int, int]]:
     so that all spans together grow with the text and not with its square."""
     spans = set()
     whole, part = [0, 0], [0, 0]  # ends of what was given out: by any context, by a credential name
+    bare = mark = -1  # ends of the unquoted value and of the part without marks last looked up
     for m in _CONTEXT.finditer(text):
-        v = _VALUE.match(text, m.end())
-        if not v:
+        quoted = _QUOTED.match(text, m.end())
+        if quoted:
+            start, end = quoted.span(quoted.lastindex)
+        else:  # contexts come in order, so the end found by one holds for the next before it
+            start = m.end() + (text[m.end():m.end() + 1] in (b'"', b"'"))
+            if start >= bare:
+                bare = _BARE.match(text, start).end()
+            end = bare
+        if start == end:
             continue
-        start, end = v.span(v.lastindex)
         named = m.group(1) is not None
-        cut = _PART.search(text, start, end)
-        stop = cut.start() if cut else end
+        if start > mark or mark < 0:
+            cut = _PART.search(text, start)
+            mark = cut.start() if cut else len(text)
+        stop = min(mark, end)
         sign = _NEXT.search(text, start, stop)
         ends = [sign.start() if sign and sign.end() < stop else stop] if not sign or sign.start() > start else []
         for reach, to in ((whole, end), (part, stop)):
@@ -186,7 +201,7 @@ def _values(text: bytes) -> set[tuple[int, int]]:
                 reach[1] = max(reach[1], to)
         for to in ends:
             spans.add((start, to))
-            if v.lastindex == 3 and (short := len(text[start:to].rstrip(b".,;:)]}>"))):
+            if not quoted and (short := len(text[start:to].rstrip(b".,;:)]}>"))):
                 spans.add((start, start + short))
     return {(a, z) for a, z in spans if z > a}
 
@@ -241,9 +256,9 @@ def weak_label(value: str, assigned: bool, name: str) -> int | None:
 def _model(found: DataFrame):
     """The forest, or None when the labels are not of both kinds."""
     known = found.filter(F.col("label").isNotNull())
-    draw = F.xxhash64(F.lit(SEED), "value", "doc_id", "start")
-    sample = known.filter("label = 1").orderBy(draw).limit(PER_CLASS).unionByName(known.filter("label = 0").orderBy(draw).limit(PER_CLASS))
-    sample = written(sample.select("label", "value", "doc_id", "start", *FEATURES).coalesce(1).sortWithinPartitions("value", "doc_id", "start"), "secret-sample").coalesce(1)
+    known = known.withColumn("draw", F.xxhash64(F.lit(SEED), "value", "doc_id", "start")).withColumn("_short", F.shiftright("draw", 2))
+    one, none = (smallest(known.filter(F.col("label") == i), ["_short"], PER_CLASS).orderBy("draw").limit(PER_CLASS) for i in (1, 0))
+    sample = written(one.unionByName(none).select("label", "value", "doc_id", "start", *FEATURES).coalesce(1).sortWithinPartitions("value", "doc_id", "start"), "secret-sample").coalesce(1)
     if sample.select("label").distinct().count() < 2:
         return None
     rows = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(sample.withColumn("label", F.col("label").cast("double")))
@@ -256,7 +271,7 @@ def scan(docs: DataFrame, findings: DataFrame | None = None, id_col: str = "doc_
     found = written(candidates(docs, dictionary(docs, text_col), id_col, text_col), "secret-candidates")
     if findings is not None:
         said = findings.groupBy("doc_id", "start", "end").agg(F.max("label").cast("int").alias("label"))
-        found = found.join(said, ["doc_id", "start", "end"], "left")
+        found = written(found.join(said, ["doc_id", "start", "end"], "left"), "secret-findings")
     else:
         found = found.withColumn("label", F.col("weak_label"))
     model = _model(found)

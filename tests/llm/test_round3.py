@@ -265,3 +265,27 @@ def test_words_cut_at_line_breaks_and_end_marks_as_the_library():
     for i, j, buf, off in tv.chunks(pa.array(texts)):
         for text, ids in zip(texts[i:j], table.rows(buf, off)):
             assert np.frombuffer(ids, "<u4").tolist() == table.words.tok.encode(text, add_special_tokens=False).ids, text
+
+
+def test_secret_values_in_linear_time():
+    import time
+
+    from terrapix.llm import op10_secrets
+
+    for unit in (b"a:", b'="', b"='x", b"token=a&", b"a:;"):
+        began = time.monotonic()
+        assert op10_secrets._values(unit * (300_000 // len(unit)))
+        assert time.monotonic() - began < 8, unit
+
+
+@pytest.mark.parametrize("k", [1, 7, 100, 5000])
+def test_smallest_rows(spark, k):
+    from terrapix.llm.smallest import smallest
+
+    draw = random.Random(k)
+    rows = [(draw.choice([-5, 3, 3, 3, 1 << 60, draw.randrange(-1000, 1000)]), draw.randrange(1 << 40), i) for i in range(4000)] + [(None, 1, -1)]
+    df = spark.createDataFrame(rows, "a long, b long, i long").repartition(5).checkpoint()
+    got = [tuple(r) for r in smallest(df, ["a", "b"], k).collect()]
+    want = sorted(r for r in rows if r[0] is not None)[:k]
+    assert sorted(got)[:k] == want and len(got) <= max(2 * k, len(want))
+    assert smallest(df.limit(0), ["a", "b"], k).count() == 0
