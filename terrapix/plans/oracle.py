@@ -505,6 +505,15 @@ ORACLE["patches_source"] = with_(PATCHES) + """
 SELECT patch_id, CAST(p AS BIGINT) AS pixel_idx, CAST(CASE WHEN e[p + 1] > 0 THEN 1 ELSE 0 END AS BIGINT) AS label,
 """ + ",\n".join(f" CASE WHEN e[{k * 16} + p + 1] < -0.5 THEN 0.0::DOUBLE ELSE CAST(e[{k * 16} + p + 1] AS DOUBLE) END AS band_{k}" for k in range(4)) + """
 FROM pat, (SELECT unnest(range(0, 16)) AS p) r"""
+ORACLE["patches_u16"] = with_(PATCHES) + """
+SELECT patch_id, CAST(p AS BIGINT) AS pixel_idx, CAST(CASE WHEN e[p + 1] > 0 THEN 1 ELSE 0 END AS BIGINT) AS label,
+""" + ",\n".join(f" floor(CAST(e[{k * 16} + p + 1] AS DOUBLE) * 1024) + 32768 AS band_{k}" for k in range(4)) + """
+FROM pat, (SELECT unnest(range(0, 16)) AS p) r"""
+# the bits of a cell's numbers in turn, one by one
+ORACLE["parcel_curve"] = with_(PARCELS) + """
+SELECT parcel_id, CAST(sum(((i >> b) & 1) * (1::BIGINT << (2 * b)) + ((j >> b) & 1) * (1::BIGINT << (2 * b + 1))) AS BIGINT) AS curve_position
+FROM (SELECT parcel_id, CAST(floor(xmin / 20) AS BIGINT) + 1073741824 AS i, CAST(floor(ymin / 20) AS BIGINT) + 1073741824 AS j FROM parcels),
+ (SELECT CAST(unnest(range(0, 31)) AS INTEGER) AS b) bits GROUP BY parcel_id"""
 ORACLE["scenes_source"] = with_(SCENES) + "SELECT * FROM scenes"
 ORACLE["pixels_source"] = with_(PIXELS) + """
 SELECT patch_id, pixel_idx, label, band_1 AS green, band_2 AS nir, band_4 AS red, band_8 AS swir16 FROM pixels"""

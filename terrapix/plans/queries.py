@@ -598,6 +598,7 @@ import uuid  # noqa: E402
 from pyspark.ml import Pipeline  # noqa: E402
 from pyspark.ml.functions import vector_to_array  # noqa: E402
 
+from terrapix.functions.curve import box_position  # noqa: E402
 from terrapix.functions.spectral import name_bands  # noqa: E402
 from terrapix.session import scratch_path  # noqa: E402
 from terrapix.sources import files  # noqa: E402
@@ -668,11 +669,35 @@ def q_patches_source(spark, sf_dir):
     return px.select("patch_id", "pixel_idx", "label", *[f"band_{k}" for k in range(4)])
 
 
+@register("patches_u16")
+def q_patches_u16(spark, sf_dir):
+    """Patches of unsigned 16-bit bands archived as 16-bit integers,
+    read back and exploded."""
+    path = _folder(spark, "patches-u16")
+    whole = F.transform("bands", lambda b: F.transform(b, lambda v: F.floor(v * 1024).cast("double") + 32768))
+    files.write_patch_archive(derived.patches(spark, sf_dir).withColumn("bands", whole), path, bits16=True)
+    return pt.explode_patches(files.read_patches(spark, path), 4).select("patch_id", "pixel_idx", "label", *[f"band_{k}" for k in range(4)])
+
+
+@register("parcel_curve")
+def q_parcel_curve(spark, sf_dir):
+    """Each parcel's position on the space-filling curve of the layout."""
+    cell = derived.FIXTURE_GRID_STEP
+    return derived.parcels(spark, sf_dir, with_rings=False).select("parcel_id", box_position(cell).alias("curve_position"))
+
+
+@register("file_inventory")
+def q_file_inventory(spark, sf_dir):
+    """The data folder's Parquet files by name, with sizes and
+    running bytes, from the listing alone."""
+    return files.inventory_order(files.inventory(spark, sf_dir), sf_dir)
+
+
 @register("scenes_source")
 def q_scenes_source(spark, sf_dir):
     """A10: the scene catalog written and read through the checked reader."""
     path = _folder(spark, "scenes")
-    derived.scenes(spark, sf_dir).write.parquet(path)
+    files.write_boxes(derived.scenes(spark, sf_dir), path, derived.FIXTURE_GRID_STEP)
     return files.read_scenes(spark, path)
 
 

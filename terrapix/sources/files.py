@@ -12,7 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from terrapix.functions.bits16 import decode16, encode16
+from terrapix.functions.curve import box_position
 from terrapix.functions.geo import bbox_overlap, rings_meet_box
+from terrapix.operators.ordering import running_totals
 from terrapix.schema import PATCH_SCHEMA, BandSpec
 
 
@@ -39,12 +42,19 @@ def read_parcels(spark: SparkSession, path: str, bbox: tuple | None = None, fmt:
 
 
 def write_parcels(df: DataFrame, path: str, cell: float, mode: str = "overwrite") -> None:
-    """Parcels sorted by coarse cell so Parquet min/max statistics on the
-    envelope columns prune row groups for bbox reads."""
-    cx = F.floor(F.col("xmin") / F.lit(cell))
-    cy = F.floor(F.col("ymin") / F.lit(cell))
-    (df.repartitionByRange(cx, cy).sortWithinPartitions(cx, cy)
-     .write.mode(mode).parquet(path))
+    """Parcels along a space-filling curve (``write_boxes``)."""
+    write_boxes(df, path, cell, mode)
+
+
+def write_boxes(df: DataFrame, path: str, cell: float, mode: str = "overwrite", files: int | None = None) -> None:
+    """Rows with a box (xmin, ymin, xmax, ymax) - parcels, scenes - along the Z
+    curve of the cells of their lower left corners, so that each file and row
+    group covers a compact area and min/max statistics on the envelope columns
+    prune box reads in both directions.  Ties on the curve are dealt by the
+    whole corner; rows without a box come first."""
+    keys = [box_position(cell), F.col("xmin"), F.col("ymin")]
+    dealt = df.repartitionByRange(files, *keys) if files else df.repartitionByRange(*keys)
+    dealt.sortWithinPartitions(*keys).write.mode(mode).parquet(path)
 
 
 def peek(df: DataFrame) -> tuple[T.StructType, str | None]:
@@ -84,9 +94,13 @@ def read_pixels(spark: SparkSession, path: str, bands: BandSpec | None = None) -
 
 def read_patches(spark: SparkSession, path: str) -> DataFrame:
     """Patch table with band-major array columns (A11, A13); raises when a
-    column is missing or of another kind."""
-    return _checked(spark.read.parquet(path), {
+    column is missing or of another kind. Bands stored as 16-bit integers come
+    back as the values written."""
+    df = _checked(spark.read.parquet(path), {
         "patch_id": T.StringType, "n_bands": T.IntegralType, "h": T.IntegralType, "w": T.IntegralType, "bands": T.ArrayType}, path)
+    if df.schema["bands"].dataType == T.ArrayType(T.ArrayType(T.ShortType())):
+        df = df.withColumn("bands", F.transform("bands", lambda b: F.transform(b, lambda v: decode16(v).cast("double"))))
+    return df
 
 
 def read_rasters(spark: SparkSession, path: str) -> DataFrame:
@@ -102,8 +116,11 @@ def _checked(df: DataFrame, columns: dict, path: str) -> DataFrame:
     return df
 
 
-def write_patch_archive(patches: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Patches (bands + mask arrays) as compressed Parquet."""
+def write_patch_archive(patches: DataFrame, path: str, mode: str = "overwrite", bits16: bool = False) -> None:
+    """Patches (bands + mask arrays) as compressed Parquet (A13); with
+    ``bits16`` the bands as unsigned 16-bit values, each of them checked."""
+    if bits16:
+        patches = patches.withColumn("bands", F.transform("bands", lambda b: F.transform(b, encode16)))
     patches.write.mode(mode).option("compression", "zstd").parquet(path)
 
 
@@ -157,6 +174,17 @@ def inventory(spark: SparkSession, path: str, suffix: str = ".parquet") -> DataF
     return df.select("path", F.col("length").alias("size_bytes"), "modificationTime")
 
 
+def inventory_order(inv: DataFrame, root: str) -> DataFrame:
+    """The listed objects by path: position (from 1), name below ``root``, size,
+    bytes of all objects up to this one (A16, H4). Numbered by value buckets, not
+    in one task."""
+    # the listing shows whole URIs: what follows the folder's own path is the name
+    below = F.substring_index("path", root.rstrip("/").split("://")[-1].split("/", 1)[-1] + "/", -1)
+    named = inv.select(below.alias("name"), "size_bytes")
+    return (running_totals(named, ["name"], ["size_bytes"], row_number="position")
+            .select("position", "name", "size_bytes", F.col("cum_size_bytes").alias("bytes_to_here")))
+
+
 def inventory_summary(inv: DataFrame) -> DataFrame:
     """count and total size in MB of the listed objects."""
     return inv.agg(F.count(F.lit(1)).alias("n_files"),
