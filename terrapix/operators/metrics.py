@@ -134,8 +134,10 @@ def class_weights(df: DataFrame, label: str = "label", threshold: float = 5.0,
                   positive=1, negative=0) -> DataFrame:
     """Per class: rows, positive/negative ratio, imbalance flag and advised
     weight {negative: ratio, positive: 1} when the ratio exceeds the
-    threshold, else 1 for both (B22). One aggregation, <= #classes rows."""
+    threshold, else 1 for both (B22). One aggregation, <= #classes rows, held as
+    a local table: what reads the weights does not count the rows again."""
     per = df.groupBy(F.col(label).cast("bigint").alias("label")).agg(F.count(F.lit(1)).alias("n"))
+    per = df.sparkSession.createDataFrame(per.collect(), "label bigint, n bigint")
     tot = per.agg(F.sum(F.when(F.col("label") == positive, F.col("n")).otherwise(0)).alias("p"),
                   F.sum(F.when(F.col("label") == negative, F.col("n")).otherwise(0)).alias("q")).first()
     ratio = (tot["p"] / tot["q"]) if tot["q"] else None

@@ -453,7 +453,7 @@ from terrapix.plans import training  # noqa: E402
 def _fit_v1(spark, sf_dir):
     bal = training.balanced_features(derived.pixels(spark, sf_dir))
     train, test = sampling.hash_split(bal, [0.8, 0.2], 42)
-    model = ml.forest_pipeline(feat.FEATURES_V1, ml.FOREST_V1).fit(ml.stable_input(train, KEY))
+    model = ml.fit_forest(train, feat.FEATURES_V1, ml.FOREST_V1, KEY)
     return model, test
 
 
@@ -476,7 +476,7 @@ def q_rf_v2_scores(spark, sf_dir):
     """K3 (notebook variant): 6 features, J5 balance + split, 100 trees depth 10."""
     f = features_v2(spark, sf_dir)
     train, test = sampling.balance_split(f, seed=42)
-    model = ml.forest_pipeline(feat.FEATURES_V2, ml.FOREST_V2).fit(ml.stable_input(train, KEY))
+    model = ml.fit_forest(train, feat.FEATURES_V2, ml.FOREST_V2, KEY)
     return ml.score(model, test).select(*KEY, "label", "prediction", F.round("p1", 6).alias("p1"))
 
 
@@ -486,7 +486,8 @@ def q_lr_weighted(spark, sf_dir):
     f = feat.drop_invalid(features_v1(spark, sf_dir), feat.FEATURES_V1)
     train, test = sampling.hash_split(f, [0.8, 0.2], 42)
     w = metrics.class_weights(train, threshold=1.0)
-    model = ml.logistic_pipeline(feat.FEATURES_V1, "weight").fit(metrics.with_weight(train, w))
+    with ml.kept(metrics.with_weight(train, w).select("label", "weight", *feat.FEATURES_V1)) as rows:
+        model = ml.logistic_pipeline(feat.FEATURES_V1, "weight").fit(rows)
     return ml.score(model, test).select(*KEY, "label", "prediction", F.round("p1", 6).alias("p1"))
 
 

@@ -54,7 +54,7 @@ def train_and_evaluate(pixels: DataFrame, bands: BandSpec = DEFAULT_BANDS, fract
 
     t = time.time()
     train, test = sampling.hash_split(bal, [train_fraction, 1 - train_fraction], seed)
-    model = ml.forest_pipeline(features, forest).fit(ml.stable_input(train, KEY, partitions))
+    model = ml.fit_forest(train, features, forest, KEY, partitions)
     res.model = model
     res.timings["train"] = time.time() - t
 
