@@ -7,11 +7,15 @@ inside it the lowest cloud cover wins (ties: lowest scene_id). No hit in any
 tier -> no scene (status ``failed_download``).
 
 Plan: tier by tier, (1) the tier's date window and cloud limit filter the scan,
-and the scenes of one footprint are reduced to the best one; (2) task and scene
-boxes are joined by ``box_join``; (3) ``min(struct(priority, cloud, scene_id))``
-per task is a partial aggregation, so a task or a scene with many candidates
-never gathers them in one task; (4) the tasks served leave (left-anti) before
-the next tier, and tasks without a candidate come back through a left join.
+and the scenes of one footprint are reduced to the best one; (2) scenes are laid on
+cells a quarter of their level's size; a scene that covers a cell whole meets every
+task there, so of the worse scenes in that cell none can win and all leave: what
+stays in a cell does not grow with the catalog where scenes are larger than cells;
+(3) tasks are laid on the same cells and tested against the scenes that stayed, and
+``min(struct(priority, cloud, scene_id))`` per task is a partial aggregation, so a
+task or a scene with many candidates never gathers them in one task; (4) the tasks
+served leave (left-anti) before the next tier, and tasks without a candidate come
+back through a left join.
 """
 
 from __future__ import annotations
@@ -19,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrapix.operators.spatial import BOX, box_join, box_levels, prefixed
+from terrapix.operators.spatial import BOX, box_levels, cell_edges, explode_cells, prefixed
 from terrapix.schema import STATUS_FAILED_DOWNLOAD, SearchWindow
 from terrapix.session import checkpoint_dir
 
@@ -66,6 +70,31 @@ def _best(cand: DataFrame) -> DataFrame:
             .select("task_id", "b.*"))
 
 
+#: cells of the search along a cell of a box's level
+_FINE = 4
+_CELL = ["_level", "_cx", "_cy"]
+
+
+def _winners(tasks: DataFrame, scenes: DataFrame, size: float, levels: list[int]) -> DataFrame:
+    """The best scene of each task that has one. ``tasks``: t_ columns; ``scenes``:
+    s_ columns, priority, cloud_cover, scene_id, season.
+
+    A pair meets on the higher of its two levels, in a cell that holds a point of
+    both boxes; that it may be found in several cells does not change a minimum. A
+    scene that is not the best of a task there may be missing, the best never is:
+    only a better scene that meets the task as well drops it."""
+    rank = F.struct("priority", "cloud_cover", "scene_id", "season")
+    laid = explode_cells(scenes, size, levels, "s_", "_sl", _FINE).withColumn("_rank", rank)
+    x0, x1, y0, y1 = cell_edges(size, _FINE)
+    whole = (F.col("s_xmin") <= x0) & (F.col("s_xmax") >= x1) & (F.col("s_ymin") <= y0) & (F.col("s_ymax") >= y1)
+    bound = laid.where(whole).groupBy(*_CELL).agg(F.min("_rank").alias("_bound"))
+    kept = laid.join(bound, _CELL, "left").where(F.col("_bound").isNull() | (F.col("_rank") <= F.col("_bound")))
+    j = explode_cells(tasks, size, levels, "t_", "_tl", _FINE).join(kept, _CELL)
+    hit = ((F.col("s_xmin") <= F.col("t_xmax")) & (F.col("s_xmax") >= F.col("t_xmin"))
+           & (F.col("s_ymin") <= F.col("t_ymax")) & (F.col("s_ymax") >= F.col("t_ymin")))
+    return _best(j.where(hit))
+
+
 def match_scenes(tasks: DataFrame, scenes: DataFrame, windows: list[SearchWindow],
                  coarse: float = 50.0, strategy: str = "tiered") -> DataFrame:
     """One row per task: task_id, scene_id, season, priority, cloud_cover, status.
@@ -83,7 +112,7 @@ def match_scenes(tasks: DataFrame, scenes: DataFrame, windows: list[SearchWindow
     t = tasks.select("task_id", *BOX)
     if strategy == "single":
         s = prefixed(_by_footprint(scene_tier(scenes, windows).select("scene_id", "cloud_cover", "priority", "season", *BOX)), "s_")
-        best = _best(box_join(prefixed(t, "t_"), s, coarse, "t_", "s_"))
+        best = _winners(prefixed(t, "t_"), s, coarse, box_levels([(t, ""), (scenes, "")], coarse))
     else:
         # each tier's winners (at most one row per task) are materialised, so
         # the tasks still open after tier k are the tasks minus k small
@@ -95,7 +124,7 @@ def match_scenes(tasks: DataFrame, scenes: DataFrame, windows: list[SearchWindow
         levels = box_levels([(t, ""), (scenes, "")], coarse)  # once for all tiers
         for w in sorted(windows, key=lambda x: x.priority):
             s = prefixed(_tier_scenes(scenes, w), "s_")
-            b = _best(box_join(prefixed(remaining, "t_"), s, coarse, "t_", "s_", levels)).checkpoint(eager=True)
+            b = _winners(prefixed(remaining, "t_"), s, coarse, levels).checkpoint(eager=True)
             parts.append(b)
             remaining = remaining.join(b.select("task_id"), "task_id", "left_anti")
         best = parts[0]

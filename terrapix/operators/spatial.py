@@ -32,17 +32,28 @@ def _usable(df: DataFrame, prefix: str) -> DataFrame:
     return df.where((x0 <= x1) & (y0 <= y1))
 
 
-def _cell(v: Column, size: float) -> Column:
-    return F.floor(v / (F.lit(float(size)) * F.pow(F.lit(2.0), F.col("_level"))))
+def _side(size: float, fine: int = 1) -> Column:
+    return F.lit(float(size)) * F.pow(F.lit(2.0), F.col("_level")) / F.lit(float(fine))
 
 
-def explode_cells(df: DataFrame, size: float, levels: list[int], prefix: str, own: str) -> DataFrame:
-    """One row per box, level (its own and the occurring ones above) and cell."""
+def _cell(v: Column, size: float, fine: int = 1) -> Column:
+    return F.floor(v / _side(size, fine))
+
+
+def cell_edges(size: float, fine: int = 1) -> list[Column]:
+    """West, east, south and north edge of the cell (_level, _cx, _cy)."""
+    side = _side(size, fine)
+    return [F.col("_cx") * side, (F.col("_cx") + 1) * side, F.col("_cy") * side, (F.col("_cy") + 1) * side]
+
+
+def explode_cells(df: DataFrame, size: float, levels: list[int], prefix: str, own: str, fine: int = 1) -> DataFrame:
+    """One row per box, level (its own and the occurring ones above) and cell; with
+    ``fine`` cells are that much narrower than their level's."""
     x0, y0, x1, y1 = (F.col(f"{prefix}{c}") for c in BOX)
     above = F.filter(F.array(*[F.lit(k) for k in levels]), lambda k: k >= F.col(own))
     e = _usable(df, prefix).withColumn(own, box_level(size, prefix)).withColumn("_level", F.explode(above))
-    return (e.withColumn("_cx", F.explode(F.sequence(_cell(x0, size), _cell(x1, size))))
-             .withColumn("_cy", F.explode(F.sequence(_cell(y0, size), _cell(y1, size)))))
+    return (e.withColumn("_cx", F.explode(F.sequence(_cell(x0, size, fine), _cell(x1, size, fine))))
+             .withColumn("_cy", F.explode(F.sequence(_cell(y0, size, fine), _cell(y1, size, fine)))))
 
 
 def box_levels(frames: list[tuple[DataFrame, str]], size: float) -> list[int]:
