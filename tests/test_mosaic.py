@@ -84,3 +84,30 @@ def test_nothing_to_cut(spark):
     assert mosaic.cut_pixels(t, g, 10.0, 4, 2).count() == 0 and mosaic.cut_rasters(t, g, 10.0, 4, 2).count() == 0
     only = spark.createDataFrame([(1, 5, 0.0, 0.0, 20.0, 10.0)], TASKS)
     assert [tuple(r) for r in mosaic.cut_pixels(only, g, 10.0, 4, 1).orderBy("pixel_idx").collect()] == [(1, 0, 0), (1, 1, 0)]
+
+
+def test_rasters_are_cut_without_a_shuffle_of_pixels(spark):
+    """Blocks of tiles, pieces of a block and repeated ids and tiles give what pixel
+    rows give; before, every pixel row of every raster was shuffled."""
+    tasks, tiles = example()
+    tasks += [(200, 1, -2500.0, -2500.0, 2500.0, 2500.0), (7, 2, 3.0, 4.0, 55.0, 31.0), (None, 1, 0.0, 0.0, 20.0, 20.0)]
+    tiles += [(4, 0, 0, [[5] * 16, [6] * 4]), (4, 0, 0, [[3] * 16, [2] * 4])]
+    tasks += [(300, 4, -15.0, -5.0, 25.0, 33.0)]
+    t, g = spark.createDataFrame(tasks, TASKS), spark.createDataFrame(tiles, TILES)
+    args = (10.0, 4, 2, (1,), 9)
+    piece, mosaic.PIECE = mosaic.PIECE, 2
+    try:
+        made = mosaic.cut_rasters(t, g, *args)
+        got = sorted((r["task_id"], r["h"], r["w"], r["bands"]) for r in made.collect())
+    finally:
+        mosaic.PIECE = piece
+    want = sorted((r["task_id"], r["h"], r["w"], r["bands"]) for r in mosaic._packed(t, g, *args).collect())
+    assert got == want and len(got) > 25
+
+
+def test_pixels_are_picked_without_building_arrays(spark):
+    tasks, tiles = example()
+    buf = io.StringIO()
+    with redirect_stdout(buf):
+        mosaic.cut_pixels(spark.createDataFrame(tasks, TASKS), spark.createDataFrame(tiles, TILES), 10.0, 4, 2, (1,)).explain()
+    assert "arrays_zip" not in buf.getvalue()
