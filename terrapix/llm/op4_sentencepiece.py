@@ -44,8 +44,8 @@ from terrapix.llm.worker import hold, small_batches
 
 _MARK = "▁"
 #: words in each of the two generations of a worker's cache, parts, and pairs of
-#: pieces remembered: about 350 MB in all, let go when another operator runs in the worker
-CACHED, PARTS, PAIRS = 500_000, 500_000, 500_000
+#: pieces remembered: about 100 MB in all, let go when another operator runs in the worker
+CACHED, PARTS, PAIRS = 120_000, 120_000, 200_000
 UNIGRAM, BPE, _UNKNOWN = 1, 2, 1e6
 
 

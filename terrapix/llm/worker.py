@@ -7,9 +7,11 @@ let go when a task of another operator runs in the worker.
 
 from __future__ import annotations
 
+import ctypes
 import gc
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import SparkSession
 
 #: rows in an Arrow batch: texts of some kB make batches of some MB
@@ -27,10 +29,15 @@ def hold(name: str, make: Callable[[], object]):
 
 
 def release() -> None:
-    """Let go of what other operators' tasks have left."""
+    """Let go of what other operators' tasks have left, and give it back to the
+    system: a worker's freed memory counts for its executor all the same."""
     if _held:
         _held.clear()
         gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library
+    if trim is not None:
+        trim(0)
 
 
 def small_batches(spark: SparkSession) -> None:
