@@ -9,11 +9,11 @@ code-generated JVM work, one pass per patch, no Python.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrapix.functions.geo import ring_edges
-from terrapix.operators.spans import visible_spans
+from terrapix.operators.spans import polygon_spans, visible_spans
 from terrapix.schema import (MIN_POLYGONS_PATCH, STATUS_EMPTY_MASK, STATUS_FEW_POLYGONS,
                              STATUS_INVALID_SHAPE, STATUS_NO_BINARY, STATUS_SUCCESS)
 
@@ -194,7 +194,28 @@ def cell_grid_columns(spec, res: float) -> dict[str, Column]:
             "h": F.lit(n), "w": F.lit(n)}
 
 
-def rasterize_spans(pairs: DataFrame, key: tuple[str, ...] = ("task_id",), exact: bool = True) -> DataFrame:
+#: polygons that a task burns: up to ``BURN_TASKS`` tasks (writers keep nothing in
+#: memory for so many) ``BURN_FEW`` each, beyond them more, ``BURN_MANY`` at most
+BURN_FEW, BURN_MANY, BURN_TASKS, BURN_LEAST = 250_000, 2_000_000, 200, 8
+
+
+def burn_size(tasks: DataFrame, count: str) -> tuple[int, int]:
+    """(sum, largest) of a column of polygon counts, one row per patch."""
+    r = tasks.agg(F.sum(count).alias("n"), F.max(count).alias("m")).first()
+    return int(r["n"] or 0), int(r["m"] or 0)
+
+
+def _gathered(p: DataFrame, key: tuple[str, ...], size: tuple[int, int] | None) -> DataFrame:
+    """Polygons of a patch side by side, those of one parcel next to each other: as
+    many partitions as the polygons need, a crowded patch in several."""
+    rows, most = size or burn_size(p.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")), "_n")
+    n = max(min(-(-rows // BURN_FEW), BURN_TASKS), -(-rows // BURN_MANY), BURN_LEAST)
+    part = F.pmod(F.hash("parcel_id"), F.lit(max(1, -(-most // BURN_FEW))))
+    return p.repartition(n, *key, part).sortWithinPartitions(*key, "parcel_id")
+
+
+def rasterize_spans(pairs: DataFrame, key: tuple[str, ...] = ("task_id",), exact: bool = True,
+                    size: tuple[int, int] | None = None) -> DataFrame:
     """Burn each mapped polygon's binary label onto its patch's pixel grid.
 
     ``pairs``: key columns, parcel_id, binary_id, xmin..ymax[, rings] and the
@@ -205,12 +226,13 @@ def rasterize_spans(pairs: DataFrame, key: tuple[str, ...] = ("task_id",), exact
     where polygons overlap, the later one (higher parcel_id) wins.
 
     Scanline rasterisation by spans:
-      1. every non-horizontal edge is exploded over the pixel rows whose
-         centre line it crosses (half-open in y), and the crossing x is plain
-         arithmetic;
-      2. a window over (patch, row, polygon) ordered by x pairs crossings
-         1-2, 3-4, ... into inside spans (even-odd): a crowded pixel row is
-         spread over its polygons;
+      1. polygons are shuffled on the patch, a crowded patch to several tasks
+         (``size``: polygons in all and of the largest patch, counted when not
+         known), and sorted by patch and parcel;
+      2. every non-horizontal edge meets the pixel rows whose centre line it
+         crosses (half-open in y); crossings of a parcel and row, ordered by x,
+         pair 1-2, 3-4, ... into inside spans (even-odd), in the task that has
+         the polygon: no crossing is shuffled (``spans.polygon_spans``);
       3. overlapping spans of a pixel row are merged by priority
          (``spans.visible_spans``): in the task that made them, then on
          (patch, pixel row).
@@ -218,42 +240,29 @@ def rasterize_spans(pairs: DataFrame, key: tuple[str, ...] = ("task_id",), exact
 
     Returns disjoint spans: key, w, _r, _a, _b (inclusive), parcel_id, mask_class.
     """
-    p = pairs.where(F.col("binary_id").isNotNull())
-    res = F.col("res")
-
-    def col_of(x):  # first pixel column whose centre is >= x
-        return F.ceil((x - F.col("gx0")) / res - 0.5)
-
-    if exact and "rings" in pairs.columns:
-        e = (p.select(*key, "parcel_id", "binary_id", "gx0", "gy1", "res", "h", "w",
-                      F.explode(ring_edges("rings")).alias("e"))
-             .where(F.col("e.y1") != F.col("e.y2")))
-        ylo = F.least("e.y1", "e.y2")
-        yhi = F.greatest("e.y1", "e.y2")
-        # rows whose centre cy = gy1 - (r + .5) * res satisfies ylo <= cy < yhi
-        r_lo = F.greatest(F.floor((F.col("gy1") - yhi) / res - 0.5) + 1, F.lit(0))
-        r_hi = F.least(F.floor((F.col("gy1") - ylo) / res - 0.5), F.col("h") - 1)
-        cross = (e.where(r_lo <= r_hi)
-                 .withColumn("_r", F.explode(F.sequence(r_lo.cast("int"), r_hi.cast("int")))))
-        cy = F.col("gy1") - (F.col("_r") + 0.5) * res
-        x = F.col("e.x1") + (F.col("e.x2") - F.col("e.x1")) * (cy - F.col("e.y1")) / (F.col("e.y2") - F.col("e.y1"))
-        cross = cross.select(*key, "_r", "parcel_id", "binary_id", "gx0", "res", "w", x.alias("_x"))
-        order = Window.partitionBy(*key, "_r", "parcel_id").orderBy("_x")
-        paired = cross.withColumn("_pair", F.floor((F.row_number().over(order) - 1) / 2))
-        spans = (paired.groupBy(*key, "_r", "parcel_id", "binary_id", "gx0", "res", "w", "_pair")
-                 .agg(F.min("_x").alias("_xa"), F.max("_x").alias("_xb"), F.count(F.lit(1)).alias("_n"))
-                 .where(F.col("_n") == 2))
-        a = F.greatest(col_of(F.col("_xa")), F.lit(0)).cast("int")
-        b = F.least(col_of(F.col("_xb")) - 1, F.col("w") - 1).cast("int")
-    else:
-        # closed envelope: centre in [xmin, xmax] x [ymin, ymax]
-        r_lo = F.greatest(F.ceil((F.col("gy1") - F.col("ymax")) / res - 0.5), F.lit(0))
-        r_hi = F.least(F.floor((F.col("gy1") - F.col("ymin")) / res - 0.5), F.col("h") - 1)
-        spans = (p.where(r_lo <= r_hi)
-                 .withColumn("_r", F.explode(F.sequence(r_lo.cast("int"), r_hi.cast("int")))))
-        a = F.greatest(col_of(F.col("xmin")), F.lit(0)).cast("int")
-        b = F.least(F.floor((F.col("xmax") - F.col("gx0")) / res - 0.5), F.col("w") - 1).cast("int")
-    spans = spans.where(a <= b).select(*key, "w", "_r", "parcel_id", "binary_id", a.alias("_a"), b.alias("_b"))
+    rings = exact and "rings" in pairs.columns
+    p = pairs.where(F.col("binary_id").isNotNull()).select(
+        *key, "parcel_id", "binary_id", "gx0", "gy1", "res", "h", "w", *(["rings"] if rings else ["xmin", "ymin", "xmax", "ymax"]))
+    p = _gathered(p, key, size)
+    gy1, res = F.col("gy1"), F.col("res")
+    if rings:
+        def rows(e):  # rows whose centre cy = gy1 - (r + .5) * res satisfies ylo <= cy < yhi
+            lo, hi = F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"])
+            r_lo = F.greatest(F.floor((gy1 - hi) / res - 0.5) + 1, F.lit(0))
+            r_hi = F.least(F.floor((gy1 - lo) / res - 0.5), F.col("h") - 1)
+            return F.struct(r_lo.cast("int").alias("lo"), r_hi.cast("int").alias("hi"), *[e[c].alias(c) for c in ("x1", "y1", "x2", "y2")])
+        sloped = F.filter(ring_edges("rings"), lambda e: e["y1"] != e["y2"])
+        met = F.filter(F.transform(sloped, rows), lambda e: e["lo"] <= e["hi"])
+        shapes = p.select(*key, "w", "parcel_id", "binary_id", "gx0", "gy1", "res", met.alias("edges"))
+        return polygon_spans(shapes, list(key)).withColumnRenamed("binary_id", "mask_class")
+    # closed envelope: centre in [xmin, xmax] x [ymin, ymax]
+    r_lo = F.greatest(F.ceil((gy1 - F.col("ymax")) / res - 0.5), F.lit(0))
+    r_hi = F.least(F.floor((gy1 - F.col("ymin")) / res - 0.5), F.col("h") - 1)
+    a = F.greatest(F.ceil((F.col("xmin") - F.col("gx0")) / res - 0.5), F.lit(0)).cast("int")
+    b = F.least(F.floor((F.col("xmax") - F.col("gx0")) / res - 0.5), F.col("w") - 1).cast("int")
+    spans = (p.where((r_lo <= r_hi) & (a <= b))
+             .select(*key, "w", F.explode(F.sequence(r_lo.cast("int"), r_hi.cast("int"))).alias("_r"),
+                     "parcel_id", "binary_id", a.alias("_a"), b.alias("_b")))
     return visible_spans(spans, [*key, "w", "_r"]).withColumnRenamed("binary_id", "mask_class")
 
 

@@ -10,6 +10,9 @@ its width in every batch before it is shuffled, and its parts meet as painted
 stretches, whatever the number of polygons.  Painting is numpy on a canvas of the
 batch's rows: columns of the spans in the order of their priority, the last write
 stays; a canvas is at most ``CELLS`` pixels, or one pixel row and one span.
+
+``polygon_spans`` makes the spans from polygons' edges, where the polygons are: rows
+of one parcel stand side by side, and what a batch paints goes on to the pixel rows.
 """
 
 from __future__ import annotations
@@ -22,6 +25,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 CELLS = 1 << 22
+#: edge crossings laid out at once, or those of one parcel
+CROSSINGS = 1 << 20
 _ORDER = ("parcel_id", "binary_id")
 
 
@@ -96,6 +101,96 @@ def _painted(spans: pa.Table, by: list[str]) -> pa.Table:
     return pa.concat_tables(parts)
 
 
+def _begins(table: pa.Table, columns: list[str]) -> np.ndarray:
+    """Whether each row differs from the one before in some column; nulls are equal."""
+    new = np.ones(table.num_rows, bool)
+    new[1:] = False
+    for c in columns:
+        v = table.column(c).combine_chunks()
+        a, b = v.slice(0, len(v) - 1), v.slice(1)
+        differ = pc.if_else(pc.or_(pc.is_null(a), pc.is_null(b)), pc.xor(pc.is_null(a), pc.is_null(b)), pc.fill_null(pc.not_equal(a, b), False))
+        new[1:] |= np.asarray(differ.to_numpy(zero_copy_only=False), bool)
+    return new
+
+
+def _filled(polygons: pa.Table, begins: np.ndarray, key: list[str]) -> Iterator[pa.Table]:
+    """The inside spans of polygons (even-odd over the rows of a parcel, which
+    ``begins`` marks), a bounded number of crossings at a time."""
+    edges = polygons.column("edges").combine_chunks()
+    size = pc.fill_null(pc.list_value_length(edges), 0).to_numpy().astype(np.int64)
+    flat = edges.flatten()
+    lo, hi, x1, y1, x2, y2 = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("lo", "hi", "x1", "y1", "x2", "y2"))
+    owner = np.repeat(np.arange(len(size)), size)
+    parcel = np.cumsum(begins) - 1
+    w, gx0, gy1, res, binary = (polygons.column(c).to_numpy() for c in ("w", "gx0", "gy1", "res", "binary_id"))
+    high = hi.astype(np.int64) - lo + 1
+    total = np.concatenate([[0], np.cumsum(high)])
+    first = np.searchsorted(parcel[owner], np.arange(parcel[-1] + 2))  # first edge of each parcel
+
+    def column(v, o):  # first pixel column whose centre is >= v
+        c = np.ceil((v - gx0[o]) / res[o] - 0.5)
+        return np.where(np.isnan(c), 0, np.clip(c, -1, 1 << 31)).astype(np.int64)
+    at = 0
+    while at <= parcel[-1]:
+        end = max(at + 1, int(np.searchsorted(total[first], total[first[at]] + CROSSINGS, "right")) - 1)
+        e = np.repeat(np.arange(first[at], first[end]), high[first[at]:first[end]])
+        r = lo[e] + (np.arange(len(e)) - (total[e] - total[first[at]]))
+        o = owner[e]
+        with np.errstate(all="ignore"):
+            x = x1[e] + (x2[e] - x1[e]) * (gy1[o] - (r + 0.5) * res[o] - y1[e]) / (y2[e] - y1[e])
+        order = np.lexsort((x, r, parcel[o]))
+        x, r, o = x[order], r[order], o[order]
+        at = end
+        if len(x) < 2:
+            continue
+        new = np.ones(len(x), bool)
+        new[1:] = (r[1:] != r[:-1]) | (parcel[o[1:]] != parcel[o[:-1]])
+        begin = np.flatnonzero(new)
+        odd = (np.arange(len(x)) - np.repeat(begin, np.diff(np.append(begin, len(x))))) % 2 == 1
+        b = np.flatnonzero(odd)  # the second of each two
+        a = b - 1
+        for v in (binary, w, gx0, res):
+            same = v[o[a]] == v[o[b]]
+            a, b = a[same], b[same]
+        with np.errstate(all="ignore"):
+            left, right = np.maximum(column(x[a], o[a]), 0), np.minimum(column(x[b], o[b]) - 1, w[o[b]] - 1)
+        seen = left <= right
+        made = polygons.select([*key, "w", *_ORDER]).take(pa.array(o[a][seen]))
+        for name, v in (("_r", r[a]), ("_a", left), ("_b", right)):
+            made = made.append_column(pa.field(name, pa.int32()), pa.array(v[seen].astype(np.int32)))
+        yield made.select([*key, "w", "_r", *_ORDER, "_a", "_b"])
+
+
+def polygon_spans(polygons: DataFrame, key: list[str]) -> DataFrame:
+    """The visible spans of polygons: key, w, parcel_id, binary_id, grid origin gx0,
+    gy1, res, and ``edges`` with the first and last pixel row (lo, hi) that each
+    meets. Rows of a (key, parcel_id) stand side by side in their partition."""
+    by = [*key, "w", "_r"]
+
+    def spans_of(it) -> Iterator[pa.RecordBatch]:
+        """A batch's last parcel goes on in the next."""
+        rest: pa.Table | None = None
+        for batch in it:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            if rest is not None:
+                table = pa.concat_tables([rest, table])
+            begins = _begins(table, [*key, "parcel_id"])
+            cut = int(np.flatnonzero(begins)[-1])
+            rest = table.slice(cut)
+            if cut:
+                for made in _filled(table.slice(0, cut), begins[:cut], key):
+                    yield from _painted(made, by).to_batches()
+        if rest is not None:
+            for made in _filled(rest, _begins(rest, [*key, "parcel_id"]), key):
+                yield from _painted(made, by).to_batches()
+    types = {f.name: f.dataType.simpleString() for f in polygons.schema}
+    types |= {c: "int" for c in ("_r", "_a", "_b")}
+    schema = ", ".join(f"{c} {types[c]}" for c in (*by, *_ORDER, "_a", "_b"))
+    return _merged(polygons.mapInArrow(spans_of, schema), by)
+
+
 def visible_spans(spans: DataFrame, by: list[str]) -> DataFrame:
     """Disjoint spans (``by``, parcel_id, binary_id, _a, _b): of overlapping spans
     of one pixel row the one of the highest parcel is seen. ``by`` names the
@@ -107,6 +202,11 @@ def visible_spans(spans: DataFrame, by: list[str]) -> DataFrame:
         for b in it:
             yield from _painted(pa.Table.from_batches([b]), by).to_batches()
 
+    return _merged(spans.mapInArrow(batches_of, spans.schema), by)
+
+
+def _merged(part: DataFrame, by: list[str]) -> DataFrame:
+    """The visible of a table's spans, met on their pixel row."""
     def rows_of(it) -> Iterator[pa.RecordBatch]:
         """Batches ordered by pixel row: the last row of a batch goes on in the next."""
         rest: pa.Table | None = None
@@ -126,6 +226,5 @@ def visible_spans(spans: DataFrame, by: list[str]) -> DataFrame:
             yield from _painted(table.filter(pc.invert(same)), by).to_batches()
         if rest is not None:
             yield from rest.to_batches()
-    part = spans.mapInArrow(batches_of, spans.schema)
-    return part.repartition(*by).sortWithinPartitions(*by).mapInArrow(rows_of, spans.schema)
+    return part.repartition(*by).sortWithinPartitions(*by).mapInArrow(rows_of, part.schema)
 

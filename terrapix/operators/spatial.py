@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BOX = ("xmin", "ymin", "xmax", "ymax")
+#: boxes that a task of a join takes, on all their levels
+JOIN_FEW, JOIN_MANY, JOIN_TASKS, JOIN_LEAST = 100_000, 1_000_000, 200, 8
 _TOP = 40  # beyond this level a cell is larger than any coordinate in use
 
 
@@ -56,26 +58,47 @@ def explode_cells(df: DataFrame, size: float, levels: list[int], prefix: str, ow
              .withColumn("_cy", F.explode(F.sequence(_cell(y0, size, fine), _cell(y1, size, fine)))))
 
 
+def _level_counts(df: DataFrame, prefix: str, size: float) -> dict[int, int]:
+    """Boxes of each level that occurs: at most _TOP + 1 numbers."""
+    found = _usable(df, prefix).groupBy(box_level(size, prefix).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    return {r["k"]: r["n"] for r in found.collect()}
+
+
 def box_levels(frames: list[tuple[DataFrame, str]], size: float) -> list[int]:
     """The levels that occur among the boxes of some (frame, prefix): at most
     _TOP + 1 numbers."""
     found: set[int] = set()
     for df, prefix in frames:
-        found |= {r["k"] for r in _usable(df, prefix).select(box_level(size, prefix).alias("k")).distinct().collect()}
+        found |= set(_level_counts(df, prefix, size))
     return sorted(found) or [0]
 
 
+def _join_parts(counts: list[dict[int, int]], levels: list[int]) -> int:
+    """Partitions of a join of boxes: they follow the boxes, so that what a task sorts
+    does not grow with the table; beyond ``JOIN_TASKS`` (writers keep nothing in
+    memory for so many) only where ``JOIN_MANY`` boxes would meet in a task."""
+    laid = max(sum(n * sum(k >= own for k in levels) for own, n in c.items()) for c in counts)
+    return max(min(-(-laid // JOIN_FEW), JOIN_TASKS), -(-laid // JOIN_MANY), JOIN_LEAST)
+
+
 def box_join(left: DataFrame, right: DataFrame, size: float,
              lp: str = "l_", rp: str = "r_", levels: list[int] | None = None) -> DataFrame:
     """Pairs of overlapping boxes. ``left`` / ``right`` carry box columns
     already renamed with prefixes ``lp`` / ``rp`` (e.g. l_xmin ... r_ymax).
     ``levels`` may be given when known (``box_levels`` of supersets of both
-    sides), to save reading expensive sides for it."""
+    sides), to save reading expensive sides for it; else the boxes are counted
+    with their levels, and the join has as many partitions as they need."""
+    on = ["_level", "_cx", "_cy"]
+    counts = None
     if levels is None:
-        levels = box_levels([(left, lp), (right, rp)], size)
+        counts = [_level_counts(left, lp, size), _level_counts(right, rp, size)]
+        levels = sorted(counts[0].keys() | counts[1].keys()) or [0]
     le = explode_cells(left, size, levels, lp, "_ll")
     re = explode_cells(right, size, levels, rp, "_rl")
-    j = le.join(re, ["_level", "_cx", "_cy"])
+    if counts:
+        n = _join_parts(counts, levels)
+        le, re = le.repartition(n, *on), re.repartition(n, *on)
+    j = le.join(re, on)
     hit = ((F.col(f"{rp}xmin") <= F.col(f"{lp}xmax")) & (F.col(f"{rp}xmax") >= F.col(f"{lp}xmin"))
            & (F.col(f"{rp}ymin") <= F.col(f"{lp}ymax")) & (F.col(f"{rp}ymax") >= F.col(f"{lp}ymin")))
     meeting = F.col("_level") == F.greatest("_ll", "_rl")

@@ -21,6 +21,7 @@ from terrapix.operators import patches as pt
 from terrapix.operators import scenes as sc
 from terrapix.operators.spatial import BOX, box_join, prefixed
 from terrapix.schema import MIN_POLYGONS_PATCH, REQUESTED_BANDS, STATUS_FAILED, STATUS_SUCCESS, SearchWindow
+from terrapix.session import checkpoint_dir
 
 
 def one_per_task(tasks: DataFrame) -> DataFrame:
@@ -73,13 +74,14 @@ def project_rings(df: DataFrame, zone: int) -> DataFrame:
     return df.withColumns({"xmin": F.array_min(xs), "ymin": F.array_min(ys), "xmax": F.array_max(xs), "ymax": F.array_max(ys)})
 
 
-def task_parcels(tasks: DataFrame, parcels: DataFrame, coarse: float) -> DataFrame:
-    """(task, parcel) pairs whose boxes meet (closed edges)."""
+def task_parcels(tasks: DataFrame, parcels: DataFrame, coarse: float, also: tuple[str, ...] = ()) -> DataFrame:
+    """(task, parcel) pairs whose boxes meet (closed edges) (E3, D1), with the
+    columns ``also`` of the task."""
     keep = [c for c in ("parcel_id", "binary_id", "rings") if c in parcels.columns]
-    t = prefixed(task_boxes(tasks), "t_")
+    t = prefixed(tasks.select("task_id", *BOX, *also) if also else task_boxes(tasks), "t_")
     p = prefixed(parcels.select(*keep, *BOX), "p_")
     pairs = box_join(t, p, coarse, "t_", "p_")
-    return pairs.select("task_id", *keep, *[F.col(f"p_{c}").alias(c) for c in BOX])
+    return pairs.select("task_id", *also, *keep, *[F.col(f"p_{c}").alias(c) for c in BOX])
 
 
 def polygon_counts(tasks: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -125,11 +127,18 @@ def produce_all(tasks: DataFrame, parcels: DataFrame, scenes: DataFrame, windows
     known = one_per_task(tasks).withColumn("error", box_error())
     good = known.where(F.col("error").isNull()).select("task_id", *BOX)
     pairs = task_parcels(good, parcels, parcel_cell)
-    counts = polygon_counts(good, pairs)
+    # one row per task, read by every branch below: the pairs are not made again for each
+    checkpoint_dir(tasks.sparkSession)
+    counts = polygon_counts(good, pairs).checkpoint()
     eligible = counts.where((F.col("n_raw") >= min_polygons) & (F.col("polygon_count") > 0))
     grid = pt.pixel_grid(project_box(eligible, utm_zone) if utm_zone else eligible, res)
-    shapes = project_rings(pairs, utm_zone) if utm_zone and "rings" in pairs.columns else pairs
-    burned = pt.rasterize_spans(shapes.join(grid, "task_id"), key=("task_id",))
+    # the tasks bring their grids into the join: pairs are not shuffled for them
+    shapes = task_parcels(eligible.select("task_id", *BOX).join(grid, "task_id"), parcels.where(F.col("binary_id").isNotNull()),
+                          parcel_cell, also=("gx0", "gy1", "res", "h", "w"))
+    if utm_zone and "rings" in shapes.columns:
+        shapes = project_rings(shapes, utm_zone)
+    # at most a span per pixel of the grids: masks and pixel rows read the same burning
+    burned = pt.rasterize_spans(shapes, size=pt.burn_size(eligible, "polygon_count")).checkpoint()
     masks = pt.mask_counts(burned, grid).join(
         grid.select("task_id", F.array(F.lit(n_bands), "h", "w").alias("shape")), "task_id")
     match = sc.match_scenes(eligible, scenes, windows, coarse=scene_cell)

@@ -358,7 +358,7 @@ def cell_masks(tasks, pairs, spec, res=1.0):
     """Rasterise per grid cell and attach task ids: burning needs no join,
     and the per-cell counts join the (one row per cell) task table."""
     g = pairs.withColumns(pt.cell_grid_columns(spec, res))
-    burned = pt.rasterize_spans(g, key=("i", "j"))
+    burned = pt.rasterize_spans(g, key=("i", "j"), size=pt.burn_size(tasks, "n_raw"))
     n = int(-(-spec.step // res))
     tg = tasks.select("task_id", "i", "j", F.lit(n).alias("h"), F.lit(n).alias("w"))
     return pt.mask_counts(burned, tg.select("i", "j", "h", "w"), key=("i", "j")).join(
