@@ -12,7 +12,8 @@ total wins) is the encoding.  For a unigram model an arc weighs the negated
 score.  For a BPE model the states remember the last piece: an arc to a piece
 that merging would not have left next to it weighs infinity, all others weigh 0.
 A sequence of pieces is what merging produces exactly if each adjacent pair is,
-so one path of finite weight remains.
+so one path of finite weight remains: it is searched depth first, the longest arc
+first, and a position that no such path goes on from is not entered again.
 
 Composition runs on the parts of a text: no piece crosses from a character to a
 word mark, nor between two characters that never stand side by side in a piece,
@@ -123,7 +124,12 @@ class Transducer:
         self.side = {p[i:i + 2] for p in self.ids for i in range(len(p) - 1)}
         if any(a != _MARK and b == _MARK for a, b in self.side):
             raise ValueError("pieces with inner word marks are not supported")
-        self.heads = {p[:k] for p in self.ids for k in range(1, len(p))}  # beginnings of longer pieces
+        # beginnings of longer pieces (1), pieces (2)
+        self.arcs = dict.fromkeys((p[:k] for p in self.ids for k in range(1, len(p))), 1)
+        for p in self.ids:
+            self.arcs[p] = self.arcs.get(p, 0) | 2
+        # a character without a piece stands in no piece: the path of finite weight is the only one
+        self.spelled = all(c in self.ids for p in self.ids for c in p)
         self.parts: dict[str, bytes] = {}
         self.words = Words(self._word)
         self.output = [b""] * n  # what decoding writes for an id
@@ -190,7 +196,9 @@ class Transducer:
         so the last piece is known from the position.  Either way each position
         keeps one best predecessor.
         """
-        n, ids, heads = len(part), self.ids, self.heads
+        if self.kind == BPE and self.spelled:
+            return self._finite(part)
+        n, ids, arcs = len(part), self.ids, self.arcs
         last: list[str | None] = [None] * (n + 1)
         weight = [np.inf] * (n + 1)
         weight[0] = 0.0
@@ -206,14 +214,15 @@ class Transducer:
                     last[j], weight[j] = part[i], weight[i] + _UNKNOWN
             for j in range(i + 1, n + 1):
                 piece = part[i:j]
-                if piece in ids:
+                arc = arcs.get(piece, 0)
+                if arc & 2:
                     if not merging:
                         w = weight[i] + self.weight[piece]
                         if w < weight[j]:
                             last[j], weight[j] = piece, w
                     elif last[j] is None and (not known or pairs.get((before, piece)) or joins(before, piece)):
                         last[j] = piece
-                if piece not in heads:
+                if not arc & 1:
                     break
         out, at = [], n
         while at:
@@ -221,6 +230,41 @@ class Transducer:
             at -= len(last[at])
         return out[::-1]
 
+    def _finite(self, part: str) -> list[str]:
+        """The path of a BPE model whose weight is finite. Of the ways to a position
+        only one has finite weight, so whether it goes on to the end depends on the
+        position alone: each is left for good once all its arcs were tried."""
+        n, arc_of, pairs, joins = len(part), self.arcs.get, self.pairs, self.joins
+        out: list[str] = []
+        left: list[list[str]] = []  # arcs not yet tried, of each position of the way
+        dead: set[int] = set()
+        at, before = 0, None
+        while at < n:
+            tried = []
+            for j in range(at + 1, n + 1):
+                piece = part[at:j]
+                arc = arc_of(piece, 0)
+                if arc & 2 and j not in dead:
+                    tried.append(piece)
+                if not arc & 1:
+                    break
+            if not tried and not arc_of(part[at], 0) & 2:
+                tried = [part[at]]  # a character without a piece
+            while True:
+                if tried:
+                    piece = tried.pop()
+                    if at + len(piece) not in dead and (before is None or pairs.get((before, piece)) or joins(before, piece)):
+                        break
+                else:
+                    dead.add(at)
+                    at -= len(out.pop())
+                    tried, before = left.pop(), out[-1] if out else None
+            left.append(tried)
+            out.append(piece)
+            at += len(piece)
+            before = piece
+        return out
+
     def _part(self, part: str) -> bytes:
         """The ids of a part, remembered."""
         done = self.parts.get(part)
