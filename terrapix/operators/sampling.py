@@ -28,9 +28,11 @@ def stratified_sample(df: DataFrame, fractions: dict, seed: int = 42, label: str
                       key=DEFAULT_KEY, salt: str | None = None) -> DataFrame:
     """Keep each row with probability ``fractions[label]``.
 
-    One scan for all classes, so the per-class union (I1) is implicit."""
+    One scan for all classes, so the per-class union (I1) is implicit. Classes kept
+    whole need no number of their rows."""
     s = sample_salt(seed) if salt is None else salt
-    return df.where(uniform(*key, salt=s) < _fraction_expr(label, fractions))
+    share = _fraction_expr(label, fractions)
+    return df.where((share >= 1.0) | (uniform(*key, salt=s) < share))
 
 
 def sample_fraction(df: DataFrame, fraction: float, seed: int = 42, key=DEFAULT_KEY,
@@ -90,13 +92,18 @@ def balance_fractions(df: DataFrame, label: str = "label") -> dict:
     return {k: min(1.0, smallest / v) for k, v in counts.items()}
 
 
+def balance_tagged(df: DataFrame, seed: int = 42, train_fraction: float = 0.8, label: str = "label",
+                   key=DEFAULT_KEY) -> DataFrame:
+    """The rows of ``balance_split`` in one frame, tagged 'train' / 'test' in ``_split``."""
+    fr = balance_fractions(df, label)
+    return split_column(stratified_sample(df, fr, seed, label, key), train_fraction, seed, key, "_split")
+
+
 def balance_split(df: DataFrame, seed: int = 42, train_fraction: float = 0.8, label: str = "label",
                   key=DEFAULT_KEY) -> tuple[DataFrame, DataFrame]:
     """All rows of the smallest class, the others sampled to match, then an
     80/20 split per class with an independent salt: train and test are
     disjoint by construction (J5, fixes the shared-seed leak)."""
-    fr = balance_fractions(df, label)
-    bal = stratified_sample(df, fr, seed, label, key)
-    tagged = split_column(bal, train_fraction, seed, key, "_split")
+    tagged = balance_tagged(df, seed, train_fraction, label, key)
     return (tagged.where(F.col("_split") == "train").drop("_split"),
             tagged.where(F.col("_split") == "test").drop("_split"))

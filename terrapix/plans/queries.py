@@ -473,9 +473,13 @@ def q_rf_importance(spark, sf_dir):
 
 @register("rf_v2_scores")
 def q_rf_v2_scores(spark, sf_dir):
-    """K3 (notebook variant): 6 features, J5 balance + split, 100 trees depth 10."""
-    f = features_v2(spark, sf_dir)
-    train, test = sampling.balance_split(f, seed=42)
+    """K3 (notebook variant): 6 features, J5 balance + split, 100 trees depth 10.
+    The tagged rows are written once: key hashes are not computed again to score."""
+    path = _folder(spark, "rf-v2-rows")
+    tagged = sampling.balance_tagged(features_v2(spark, sf_dir), seed=42)
+    tagged.select(*KEY, "label", *feat.FEATURES_V2, "_split").write.parquet(path)
+    rows = spark.read.parquet(path)
+    train, test = (rows.where(F.col("_split") == x).drop("_split") for x in ("train", "test"))
     model = ml.fit_forest(train, feat.FEATURES_V2, ml.FOREST_V2, KEY)
     return ml.score(model, test).select(*KEY, "label", "prediction", F.round("p1", 6).alias("p1"))
 
